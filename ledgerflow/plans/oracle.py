@@ -130,3 +130,122 @@ ORACLE["clean_payment"] = _with(RAW_PAYMENT, CLEAN_PAYMENT) + f"SELECT {PAYMENT_
 
 ORACLE["conform_columns"] = _with(RAW_CUSTOMER, CLEAN_CUSTOMER) + "SELECT " + CUSTOMER_OUT.replace(
     "fea_1,", "fea_1 AS region_code,") + " FROM clean_customer"
+
+# -- run documents, decoded straight from events ------------------------------
+
+RUN_ITEMS = """
+ev AS (
+  SELECT event_id AS k, user_id, event_type, value,
+         'metadata/' || event_type || '/' || strftime(ts, '%Y-%m-%d') || '.json' AS src,
+         strftime(ts, '%Y-%m-%d') AS run_date,
+         CAST(epoch_us(ts) AS DOUBLE) / CAST(1000000 AS DOUBLE) AS st
+  FROM events WHERE event_id % 50 <> 0
+),
+run_items AS (
+  SELECT k, 0 AS item_pos, src, run_date, CASE WHEN k % 8 = 0 THEN 'ingest' ELSE 'transform' END AS step,
+         st AS start_time, st + value AS end_time, value AS duration_sec,
+         CASE WHEN k % 12 = 0 THEN NULL ELSE user_id END AS customer_records,
+         CASE WHEN k % 12 = 0 THEN NULL ELSE k END AS payment_records,
+         CAST(NULL AS VARCHAR) AS format, src AS path, CAST(NULL AS VARCHAR) AS raw_path,
+         CAST(NULL AS VARCHAR) AS is_table, CAST(NULL AS VARCHAR) AS status, CAST(NULL AS VARCHAR) AS error,
+         CAST(NULL AS BIGINT) AS row_count,
+         CASE WHEN k % 12 = 0 THEN '"n/a"'
+              ELSE '{"customer":' || user_id || ',"payment":' || k || '}' END AS records,
+         FALSE AS is_list
+  FROM ev WHERE k % 4 = 0
+  UNION ALL
+  SELECT k, 0, src, run_date, 'verify', NULL, NULL, value * 10, NULL, NULL, event_type,
+         CASE WHEN k % 3 = 0 OR k % 5 = 0 THEN src ELSE 'out/' || event_type || '/' || k END,
+         CASE WHEN k % 3 = 0 THEN '' WHEN k % 5 = 0 THEN NULL ELSE 'out/' || event_type || '/' || k END,
+         CASE WHEN event_type = 'purchase' THEN 'true' ELSE 'false' END,
+         CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END,
+         CASE WHEN event_type = 'error' THEN 'boom ' || k END,
+         CASE WHEN event_type = 'error' THEN NULL ELSE user_id * 5 END,
+         NULL, TRUE
+  FROM ev WHERE k % 4 <> 0
+  UNION ALL
+  SELECT k, 1, src, run_date, 'load', NULL, NULL, value, NULL, NULL, NULL, 'warehouse/' || k, 'warehouse/' || k,
+         NULL, 'success', NULL, k, NULL, TRUE
+  FROM ev WHERE k % 4 = 3
+),
+alerts AS (
+  SELECT *, 'Format ' || coalesce(format, 'null') || ': status=' || coalesce(status, 'null') || ', duration='
+            || regexp_replace(CAST(round(coalesce(duration_sec, 0.0), 2) AS VARCHAR), '\\.0$', '')
+            || 's, row_count=' || CAST(coalesce(row_count, 1) AS VARCHAR) AS alert
+  FROM run_items
+  WHERE step = 'verify'
+    AND (status IS DISTINCT FROM 'success' OR coalesce(duration_sec, 0) > 300 OR coalesce(row_count, 1) < 100)
+)"""
+
+FLOOR4 = "floor({c} * 10000) / 10000 AS {c}"
+
+ORACLE["flatten_runs"] = _with(RUN_ITEMS) + f"""
+SELECT run_date, step, {FLOOR4.format(c='start_time')}, {FLOOR4.format(c='end_time')},
+       round(duration_sec, 4) AS duration_sec, customer_records, payment_records, format, path, is_table,
+       status, error, row_count
+FROM run_items"""
+
+ORACLE["flatten_runs_compact"] = _with(RUN_ITEMS) + f"""
+SELECT CASE WHEN is_list THEN 'verify' ELSE step END AS step, {FLOOR4.format(c='start_time')},
+       {FLOOR4.format(c='end_time')}, round(duration_sec, 4) AS duration_sec, records, format,
+       raw_path AS path, status, row_count
+FROM run_items"""
+
+ORACLE["evaluate_alerts"] = _with(RUN_ITEMS) + """
+SELECT k AS doc_seq, item_pos, format, status, round(duration_sec, 4) AS duration_sec, row_count, alert
+FROM alerts"""
+
+ORACLE["alert_status"] = _with(RUN_ITEMS) + """
+SELECT count(*) > 0 AS has_alert, count(*) AS n_alerts FROM alerts"""
+
+ORACLE["alert_summary"] = _with(RUN_ITEMS) + """
+SELECT src AS source_path, k AS doc_seq, item_pos, alert AS line FROM alerts
+UNION ALL
+SELECT NULL, NULL, NULL, 'NO_ALERT' WHERE NOT EXISTS (SELECT 1 FROM alerts)"""
+
+ORACLE["notification_text"] = _with(RUN_ITEMS) + """
+SELECT 0 AS part, NULL AS source_path, NULL AS doc_seq, NULL AS item_pos,
+       CASE WHEN EXISTS (SELECT 1 FROM alerts) THEN '🚨 *ALERT from DataOps Pipeline!*'
+            ELSE '✅ DataOps pipeline ran successfully and no alert was triggered. All good!' END AS line
+UNION ALL
+SELECT 1, src, k, item_pos, alert FROM alerts"""
+
+ORACLE["step_metrics"] = _with(RUN_ITEMS) + """
+, m AS (
+  SELECT strftime(make_timestamp(CAST(round(end_time * 1000000) AS BIGINT)), '%Y-%m-%dT%H:%M:%S.%f') AS ts,
+         step AS task, CAST(trunc(duration_sec) AS BIGINT) AS duration,
+         CASE WHEN coalesce(trunc(duration_sec), 0) > 300 THEN 'warning' ELSE 'success' END AS status
+  FROM run_items WHERE step IS NOT NULL AND start_time IS NOT NULL
+)
+SELECT ts, task, duration, status, concat_ws(',', ts, task, CAST(duration AS VARCHAR), status) AS line FROM m"""
+
+ORACLE["duration_by_step"] = _with(RUN_ITEMS) + """
+SELECT run_date, step, round(avg(duration_sec), 4) AS avg_duration_sec, round(max(duration_sec), 4) AS max_duration_sec,
+       round(sum(duration_sec), 4) AS total_duration_sec, count(*) AS n_records
+FROM run_items GROUP BY run_date, step"""
+
+ORACLE["daily_status"] = _with(RUN_ITEMS) + """
+SELECT run_date, count(*) FILTER (WHERE status = 'success') AS success,
+       count(*) FILTER (WHERE status = 'failed') AS failed
+FROM run_items GROUP BY run_date"""
+
+ORACLE["alert_trend"] = _with(RUN_ITEMS) + """
+SELECT run_date, count(*) AS n_alerts FROM alerts GROUP BY run_date"""
+
+ORACLE["row_drop_check"] = _with(RUN_ITEMS) + """
+, d AS (
+  SELECT run_date,
+         CAST(sum(CASE WHEN step = 'ingest' THEN customer_records END) AS BIGINT) AS cb,
+         CAST(sum(CASE WHEN step = 'transform' THEN customer_records END) AS BIGINT) AS ca,
+         CAST(sum(CASE WHEN step = 'ingest' THEN payment_records END) AS BIGINT) AS pb,
+         CAST(sum(CASE WHEN step = 'transform' THEN payment_records END) AS BIGINT) AS pa
+  FROM run_items GROUP BY run_date
+), r AS (
+  SELECT run_date, 'customer' AS "table", cb AS records_before, ca AS records_after,
+         1.0 - CAST(ca AS DOUBLE) / CAST(nullif(cb, 0) AS DOUBLE) AS drop_ratio FROM d
+  UNION ALL
+  SELECT run_date, 'payment', pb, pa, 1.0 - CAST(pa AS DOUBLE) / CAST(nullif(pb, 0) AS DOUBLE) FROM d
+)
+SELECT run_date, "table", records_before, records_after, round(drop_ratio, 4) AS drop_ratio,
+       coalesce(drop_ratio > 0.1, FALSE) AS flagged
+FROM r"""

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerflow.operators import clean
+from ledgerflow.operators import alerts, clean, runs
 from ledgerflow.sources import fixtures as fx
 from ledgerflow.specs import CUSTOMER_SPEC, PAYMENT_SPEC
 
@@ -125,3 +125,82 @@ def q_clean_payment(spark, sf):
 @register("conform_columns")
 def q_conform(spark, sf):
     return boundary(clean.conform_customer(cleaned_customer(spark, sf)))
+
+
+# -- run metadata, alerts, dashboards ---------------------------------------
+
+EPOCH_COLUMNS = ("start_time", "end_time")
+
+
+def floor4(df: DataFrame, cols=EPOCH_COLUMNS) -> DataFrame:
+    """Epoch seconds carry microseconds; flooring to 4 decimals (exact in
+    IEEE arithmetic on both engines) avoids rounding ties at the boundary."""
+    present = [c for c in cols if c in df.columns]
+    return df.withColumns({c: F.floor(F.col(c) * 10000) / 10000 for c in present}) if present else df
+
+
+def run_table(spark: SparkSession, sf: str, keep_position: bool = False) -> DataFrame:
+    docs = fx.run_docs(fx.load(spark, sf, "events"))
+    return runs.flatten_runs(docs, run_date=runs.run_date_from_path("source_path"), keep_position=keep_position)
+
+
+def verify_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    table = run_table(spark, sf, keep_position=True)
+    return alerts.evaluate_alerts(table.filter(F.col("step") == "verify"))
+
+
+@register("flatten_runs")
+def q_flatten_runs(spark, sf):
+    return boundary(floor4(run_table(spark, sf)))
+
+
+@register("flatten_runs_compact")
+def q_flatten_runs_compact(spark, sf):
+    docs = fx.run_docs(fx.load(spark, sf, "events"))
+    return boundary(floor4(runs.flatten_runs_compact(docs)))
+
+
+@register("evaluate_alerts")
+def q_evaluate_alerts(spark, sf):
+    out = verify_alerts(spark, sf)
+    return boundary(out.select("doc_seq", "item_pos", "format", "status", "duration_sec", "row_count", "alert"))
+
+
+@register("alert_status")
+def q_alert_status(spark, sf):
+    return alerts.alert_status(verify_alerts(spark, sf))
+
+
+@register("alert_summary")
+def q_alert_summary(spark, sf):
+    return alerts.alert_summary(verify_alerts(spark, sf))
+
+
+@register("notification_text")
+def q_notification_text(spark, sf):
+    return alerts.notification_text(verify_alerts(spark, sf))
+
+
+@register("step_metrics")
+def q_step_metrics(spark, sf):
+    return alerts.step_metrics(run_table(spark, sf))
+
+
+@register("duration_by_step")
+def q_duration_by_step(spark, sf):
+    return boundary(runs.duration_by_step(run_table(spark, sf)))
+
+
+@register("daily_status")
+def q_daily_status(spark, sf):
+    return runs.daily_status(run_table(spark, sf))
+
+
+@register("alert_trend")
+def q_alert_trend(spark, sf):
+    return alerts.alert_trend(verify_alerts(spark, sf))
+
+
+@register("row_drop_check")
+def q_row_drop_check(spark, sf):
+    return boundary(runs.row_drop_check(run_table(spark, sf), max_drop=0.1))
