@@ -90,19 +90,14 @@ def range_filter(df: DataFrame, column: str, low: float, high: float) -> DataFra
     return df.filter((c >= F.lit(low)) & (c < F.lit(high)))
 
 
-def column_means(source: DataFrame, columns: Iterable[str]) -> dict[str, Column]:
-    """Per-column mean of ``source`` as scalar-subquery columns.
+def column_means(source: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """One row: the mean of every listed column of ``source``.
 
     Values are read through ``try_cast(double)`` so a text column with bad
     cells (an inferred string column) averages its numeric cells; NaN is
-    skipped.  Each subquery is a one-row aggregate with map-side partials.
+    skipped.  A global aggregate with map-side partials.
     """
-    columns = list(columns)
-    stats = source.select(*[F.avg(nan_to_null(tolerant_double(c))).alias(c) for c in columns])
-    if len(columns) == 1:
-        return {columns[0]: stats.scalar()}
-    packed = stats.select(F.struct(*columns).alias("m")).scalar()
-    return {c: packed.getField(c) for c in columns}
+    return source.select(*[F.avg(nan_to_null(tolerant_double(c))).alias(c) for c in columns])
 
 
 def impute_mean(df: DataFrame, columns: Iterable[str], source: DataFrame | None = None) -> DataFrame:
@@ -112,21 +107,30 @@ def impute_mean(df: DataFrame, columns: Iterable[str], source: DataFrame | None
     reference's staged pipeline ("raw scope") or ``df`` itself ("filtered
     scope").  A NULL mean (no value at all) leaves the cells NULL.  The fill
     value is cast to the column type (an int column truncates, as
-    ``fillna`` does).
+    ``fillna`` does).  One column: a scalar subquery; several: the one-row
+    means frame joined once (broadcast of a single row).
     """
     columns = list(columns)
     if not columns:
         return df
     means = column_means(df if source is None else source, columns)
     types = {f.name: f.dataType for f in df.schema.fields}
+    if len(columns) == 1:
+        fill = {columns[0]: means.scalar()}
+        base = df
+    else:
+        means = means.select(*[F.col(c).alias(f"_mean_{c}") for c in columns])
+        fill = {c: F.col(f"_mean_{c}") for c in columns}
+        base = df.crossJoin(F.broadcast(means))
     out = {}
     for c in columns:
         col = F.col(c)
         missing = col.isNull()
         if isinstance(types[c], (T.DoubleType, T.FloatType)):
             missing = missing | F.isnan(col)
-        out[c] = F.when(missing, means[c].cast(types[c])).otherwise(col)
-    return df.withColumns(out)
+        out[c] = F.when(missing, fill[c].cast(types[c])).otherwise(col)
+    res = base.withColumns(out)
+    return res if len(columns) == 1 else res.drop(*[f"_mean_{c}" for c in columns])
 
 
 def conform_columns(df: DataFrame, renames: dict[str, str]) -> DataFrame:

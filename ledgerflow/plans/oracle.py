@@ -249,3 +249,133 @@ ORACLE["row_drop_check"] = _with(RUN_ITEMS) + """
 SELECT run_date, "table", records_before, records_after, round(drop_ratio, 4) AS drop_ratio,
        coalesce(drop_ratio > 0.1, FALSE) AS flagged
 FROM r"""
+
+# -- features, split, scaling, metrics ----------------------------------------
+
+CUSTOMER_NUMERIC = ["region_code"] + [f"fea_{i}" for i in range(2, 12)]
+PAYMENT_NUMERIC = ["OVD_t1", "OVD_t2", "OVD_t3", "OVD_sum", "pay_normal", "prod_code", "credit_limit",
+                   "new_balance", "highest_balance"]
+IMPUTED = CUSTOMER_NUMERIC + PAYMENT_NUMERIC
+JOINED_COLUMNS = (["label", "id"] + CUSTOMER_NUMERIC + PAYMENT_NUMERIC[:7] + ["update_date"]
+                  + PAYMENT_NUMERIC[7:] + ["report_date"])
+DOUBLE_IN_JOIN = {"fea_2", "fea_3", "fea_4", "fea_10", "fea_11", "credit_limit", "new_balance", "highest_balance"}
+
+JOINED = """
+cc AS (SELECT label, id, fea_1 AS region_code, fea_2, fea_3, fea_4, fea_5, fea_6, fea_7, fea_8, fea_9, fea_10, fea_11
+       FROM clean_customer),
+cp AS (SELECT id, OVD_t1, OVD_t2, OVD_t3, OVD_sum, pay_normal, prod_code, prod_limit AS credit_limit, update_date,
+              new_balance, highest_balance, report_date FROM clean_payment),
+joined AS (SELECT * FROM cc LEFT JOIN cp USING (id))"""
+
+MEDIANS = "med AS (SELECT " + ", ".join(
+    f"CAST(median(CAST({c} AS DOUBLE)) AS DOUBLE) AS {c}" for c in IMPUTED) + " FROM joined)"
+
+FILLED = "filled AS (SELECT " + ", ".join(
+    (f"coalesce(CAST(j.{c} AS DOUBLE), med.{c}) AS {c}" if c in IMPUTED else f"j.{c} AS {c}")
+    for c in JOINED_COLUMNS) + " FROM joined j, med)"
+
+FEATURES = """
+features AS (
+  SELECT *, new_balance / (credit_limit + 1e-5) AS debt_ratio,
+         CAST(coalesce(new_balance > credit_limit, FALSE) AS INTEGER) AS is_over_limit,
+         (OVD_t1 + OVD_t2 + OVD_t3) / 3.0 AS mean_ovd
+  FROM filled
+)"""
+
+HASH_U = "CAST(('0x' || substr(md5(CAST(id AS VARCHAR) || ':42'), 1, 15)) AS BIGINT)"
+
+SPLIT = f"""
+split AS (
+  SELECT id, CASE WHEN row_number() OVER (PARTITION BY label ORDER BY {HASH_U}, id)
+                       <= round(0.2 * count(*) OVER (PARTITION BY label)) THEN 'test' ELSE 'train' END AS split
+  FROM joined
+)"""
+
+
+def _r(c: str, doubles) -> str:
+    return f"round({c}, 4) AS {c}" if c in doubles else c
+
+
+FEATURE_COLS = [c for c in JOINED_COLUMNS if c not in ("label", "id", "update_date", "report_date")] + [
+    "debt_ratio", "is_over_limit", "mean_ovd"]
+FEATURE_DOUBLES = set(IMPUTED) | {"debt_ratio", "mean_ovd"}
+
+BASE_FEATURES = [RAW_CUSTOMER, CLEAN_CUSTOMER, RAW_PAYMENT, CLEAN_PAYMENT, JOINED]
+
+ORACLE["customer_payment_left_join"] = _with(*BASE_FEATURES) + "SELECT " + ", ".join(
+    _r(c, DOUBLE_IN_JOIN) for c in JOINED_COLUMNS) + " FROM joined"
+
+ORACLE["impute_median_all"] = _with(*BASE_FEATURES, MEDIANS, FILLED) + "SELECT " + ", ".join(
+    _r(c, set(IMPUTED)) for c in JOINED_COLUMNS) + " FROM filled"
+
+ORACLE["debt_ratio"] = _with(*BASE_FEATURES) + """
+SELECT id, round(new_balance, 4) AS new_balance, round(credit_limit, 4) AS credit_limit,
+       round(new_balance / (credit_limit + 1e-5), 4) AS debt_ratio FROM joined"""
+
+ORACLE["over_limit_flag"] = _with(*BASE_FEATURES) + """
+SELECT id, round(new_balance, 4) AS new_balance, round(credit_limit, 4) AS credit_limit,
+       CAST(coalesce(new_balance > credit_limit, FALSE) AS INTEGER) AS is_over_limit FROM joined"""
+
+ORACLE["row_mean_overdue"] = _with(*BASE_FEATURES) + """
+SELECT id, OVD_t1, OVD_t2, OVD_t3,
+       round((coalesce(OVD_t1, 0) + coalesce(OVD_t2, 0) + coalesce(OVD_t3, 0))
+             / nullif(CAST((OVD_t1 IS NOT NULL) AS INTEGER) + CAST((OVD_t2 IS NOT NULL) AS INTEGER)
+                      + CAST((OVD_t3 IS NOT NULL) AS INTEGER), 0), 4) AS mean_ovd
+FROM joined"""
+
+ORACLE["build_features"] = _with(*BASE_FEATURES, MEDIANS, FILLED, FEATURES) + "SELECT " + ", ".join(
+    _r(c, FEATURE_DOUBLES) for c in JOINED_COLUMNS + ["debt_ratio", "is_over_limit", "mean_ovd"]) + " FROM features"
+
+ORACLE["stratified_split"] = _with(*BASE_FEATURES, SPLIT) + """
+SELECT j.id, j.label, s.split FROM joined j JOIN split s USING (id)"""
+
+_STATS = "st AS (SELECT " + ", ".join(
+    f"avg(CAST({c} AS DOUBLE)) AS {c}_m, stddev_pop(CAST({c} AS DOUBLE)) AS {c}_s" for c in FEATURE_COLS
+) + " FROM features JOIN split USING (id) WHERE split = 'train')"
+
+ORACLE["standardise"] = _with(*BASE_FEATURES, MEDIANS, FILLED, FEATURES, SPLIT, _STATS) + "SELECT f.id, f.label, s.split, " + \
+    ", ".join(f"round((CAST(f.{c} AS DOUBLE) - st.{c}_m) / CASE WHEN st.{c}_s IS NULL OR st.{c}_s = 0 THEN 1.0 "
+              f"ELSE st.{c}_s END, 4) AS {c}" for c in FEATURE_COLS) + \
+    " FROM features f JOIN split s USING (id), st"
+
+SCORED = """
+scored AS (
+  SELECT CAST(l.quality AS INTEGER) AS label, d.n_chars / CAST(20000 AS DOUBLE) AS score,
+         CAST(d.n_chars / CAST(20000 AS DOUBLE) >= 0.05 AS INTEGER) AS prediction
+  FROM labels l JOIN documents d USING (doc_id)
+)"""
+
+ORACLE["roc_auc"] = _with(SCORED) + """
+, r AS (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS ar
+        FROM scored),
+c AS (SELECT sum(ar) FILTER (WHERE label = 1) AS rs, count(*) FILTER (WHERE label = 1) AS p,
+             count(*) FILTER (WHERE label <> 1) AS n FROM r)
+SELECT round((rs - p * (p + 1) / 2.0) / (CAST(p AS DOUBLE) * n), 4) AS roc_auc, p AS n_pos, n AS n_neg FROM c"""
+
+ORACLE["confusion_matrix"] = _with(SCORED) + """
+SELECT label, count(*) FILTER (WHERE prediction = 0) AS pred_0, count(*) FILTER (WHERE prediction = 1) AS pred_1
+FROM scored GROUP BY label"""
+
+ORACLE["classification_report"] = _with(SCORED) + """
+, cls AS (SELECT label AS c FROM scored UNION SELECT prediction FROM scored),
+per AS (
+  SELECT c, (SELECT count(*) FROM scored WHERE label = c) AS support,
+            (SELECT count(*) FROM scored WHERE prediction = c) AS predicted,
+            (SELECT count(*) FROM scored WHERE label = c AND prediction = c) AS tp
+  FROM cls
+), m AS (
+  SELECT c, support, tp, coalesce(tp / nullif(CAST(predicted AS DOUBLE), 0), 0.0) AS precision,
+         coalesce(tp / nullif(CAST(support AS DOUBLE), 0), 0.0) AS recall FROM per
+), f AS (
+  SELECT *, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0.0) AS f1_score FROM m
+)
+SELECT CAST(c AS VARCHAR) AS class, round(precision, 4) AS precision, round(recall, 4) AS recall,
+       round(f1_score, 4) AS f1_score, support FROM f
+UNION ALL
+SELECT 'accuracy', NULL, NULL, round(sum(tp) / CAST(sum(support) AS DOUBLE), 4), CAST(sum(support) AS BIGINT) FROM f
+UNION ALL
+SELECT 'macro avg', round(avg(precision), 4), round(avg(recall), 4), round(avg(f1_score), 4),
+       CAST(sum(support) AS BIGINT) FROM f
+UNION ALL
+SELECT 'weighted avg', round(sum(precision * support) / sum(support), 4), round(sum(recall * support) / sum(support), 4),
+       round(sum(f1_score * support) / sum(support), 4), CAST(sum(support) AS BIGINT) FROM f"""

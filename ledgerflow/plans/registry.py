@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerflow.operators import alerts, clean, runs
+from ledgerflow.operators import alerts, clean, features, metrics, runs, sampling
 from ledgerflow.sources import fixtures as fx
 from ledgerflow.specs import CUSTOMER_SPEC, PAYMENT_SPEC
 
@@ -204,3 +204,82 @@ def q_alert_trend(spark, sf):
 @register("row_drop_check")
 def q_row_drop_check(spark, sf):
     return boundary(runs.row_drop_check(run_table(spark, sf), max_drop=0.1))
+
+
+# -- features, split, scaling, metrics ----------------------------------------
+
+def joined_frame(spark: SparkSession, sf: str) -> DataFrame:
+    c = clean.conform_customer(cleaned_customer(spark, sf))
+    p = clean.conform_payment(cleaned_payment(spark, sf))
+    return features.customer_payment_join(c, p)
+
+
+def feature_frame(spark: SparkSession, sf: str) -> DataFrame:
+    c = clean.conform_customer(cleaned_customer(spark, sf))
+    p = clean.conform_payment(cleaned_payment(spark, sf))
+    return features.build_features(c, p)
+
+
+def scored_frame(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.scored(fx.load(spark, sf, "labels"), fx.load(spark, sf, "documents"))
+
+
+@register("customer_payment_left_join")
+def q_join(spark, sf):
+    return boundary(joined_frame(spark, sf))
+
+
+@register("impute_median_all")
+def q_impute_median(spark, sf):
+    return boundary(features.impute_median(joined_frame(spark, sf)))
+
+
+@register("debt_ratio")
+def q_debt_ratio(spark, sf):
+    df = features.add_credit_features(joined_frame(spark, sf))
+    return boundary(df.select("id", "new_balance", "credit_limit", "debt_ratio"))
+
+
+@register("over_limit_flag")
+def q_over_limit(spark, sf):
+    df = features.add_credit_features(joined_frame(spark, sf))
+    return boundary(df.select("id", "new_balance", "credit_limit", "is_over_limit"))
+
+
+@register("row_mean_overdue")
+def q_row_mean(spark, sf):
+    df = features.add_credit_features(joined_frame(spark, sf))
+    return boundary(df.select("id", "OVD_t1", "OVD_t2", "OVD_t3", "mean_ovd"))
+
+
+@register("build_features")
+def q_build_features(spark, sf):
+    return boundary(feature_frame(spark, sf))
+
+
+@register("stratified_split")
+def q_split(spark, sf):
+    return sampling.stratified_split(joined_frame(spark, sf)).select("id", "label", "split")
+
+
+@register("standardise")
+def q_standardise(spark, sf):
+    df = sampling.stratified_split(feature_frame(spark, sf))
+    cols = features.feature_columns(df, drop=("id", "label", "update_date", "report_date", "split"))
+    out = sampling.standardise(df, cols, train=df.filter(F.col("split") == "train"))
+    return boundary(out.select("id", "label", "split", *cols))
+
+
+@register("roc_auc")
+def q_roc_auc(spark, sf):
+    return boundary(metrics.roc_auc(scored_frame(spark, sf)))
+
+
+@register("confusion_matrix")
+def q_confusion(spark, sf):
+    return metrics.confusion_matrix(scored_frame(spark, sf))
+
+
+@register("classification_report")
+def q_report(spark, sf):
+    return boundary(metrics.classification_report(scored_frame(spark, sf)))
