@@ -24,6 +24,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerflow.sources.scratch import reliable_checkpoint
+
 GRID = 1000
 MAX_TARGETS = 100_000
 
@@ -105,7 +107,7 @@ def select_ranks(
         for k in bounds:
             below[k] += crow[k]["nb"]
             sizes[k] = crow[k]["nin"]
-        cand = attached.filter(inside).select(*gkey, *order_cols).checkpoint(eager=True)
+        cand = reliable_checkpoint(attached.filter(inside).select(*gkey, *order_cols))
     else:
         raise RuntimeError("select_ranks: bands did not converge; raise max_band or accuracy")
 

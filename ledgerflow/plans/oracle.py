@@ -379,3 +379,51 @@ SELECT 'macro avg', round(avg(precision), 4), round(avg(recall), 4), round(avg(f
 UNION ALL
 SELECT 'weighted avg', round(sum(precision * support) / sum(support), 4), round(sum(recall * support) / sum(support), 4),
        round(sum(f1_score * support) / sum(support), 4), CAST(sum(support) AS BIGINT) FROM f"""
+
+# -- SMOTE, brute force over the (small) minority class ---------------------
+
+_X = [f"x{i}" for i in range(8)]
+_XS = ", ".join(_X)
+_D2 = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in _X)
+_PT_EQ = " AND ".join(f"r.{c} IS NOT DISTINCT FROM p.{c}" for c in _X)
+
+ORACLE["smote_balance"] = f"""
+WITH e AS (
+  SELECT vec_id AS id, CAST(label = 0 AS INTEGER) AS label,
+         {", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS x{i}" for i in range(8))}
+  FROM embeddings
+),
+cnt AS (SELECT label, count(*) AS c FROM e GROUP BY label),
+mino AS (SELECT label AS ml, c AS m FROM cnt ORDER BY c, label LIMIT 1),
+params AS (SELECT ml, m, (SELECT max(c) FROM cnt) - m AS s_total, ((SELECT max(c) FROM cnt) - m) // m AS per,
+                  ((SELECT max(c) FROM cnt) - m) % m AS extra, least(5, m - 1) AS kk FROM mino),
+rows_ AS (SELECT e.* FROM e, params WHERE e.label = params.ml),
+pts AS (SELECT min(id) AS vid, count(*) AS mult, {_XS} FROM rows_ GROUP BY {_XS}),
+cand AS (
+  SELECT a.vid, b.vid AS y_vid, {_D2} AS d2, b.mult AS w FROM pts a JOIN pts b ON a.vid <> b.vid
+  UNION ALL
+  SELECT vid, vid, 0.0, mult - 1 FROM pts WHERE mult > 1
+),
+ranked AS (SELECT *, CAST(sum(w) OVER (PARTITION BY vid ORDER BY d2, y_vid ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cum
+           FROM cand),
+slots AS (SELECT vid, unnest(range(CAST(cum - w AS BIGINT), CAST(least(cum, kk) AS BIGINT))) AS slot, y_vid AS nvid
+          FROM ranked, params WHERE cum - w < kk),
+keyed AS (SELECT id, row_number() OVER (ORDER BY {HASH_U}, id) AS rk FROM rows_),
+alloc AS (SELECT id, per + CASE WHEN rk <= extra THEN 1 ELSE 0 END AS s FROM keyed, params),
+rv AS (SELECT r.id, p.vid FROM rows_ r JOIN pts p ON {_PT_EQ}),
+samples AS (SELECT a.id, rv.vid, unnest(range(0, CAST(a.s AS BIGINT))) AS sample FROM alloc a JOIN rv USING (id) WHERE a.s > 0),
+sm AS (
+  SELECT samples.*,
+         CAST(('0x' || substr(md5(concat_ws(':', id, sample, 42, 'slot')), 1, 15)) AS BIGINT) % kk AS slot,
+         CAST(('0x' || substr(md5(concat_ws(':', id, sample, 42, 'gap')), 1, 8)) AS BIGINT)
+           / CAST(4294967296 AS DOUBLE) AS gap
+  FROM samples, params
+)
+SELECT id, label, {", ".join(f"round({c}, 4) AS {c}" for c in _X)}, id AS src_id, CAST(NULL AS INTEGER) AS sample
+FROM e
+UNION ALL
+SELECT CAST(NULL AS BIGINT), params.ml,
+       {", ".join(f"round(x.{c} + sm.gap * (n.{c} - x.{c}), 4)" for c in _X)},
+       sm.id, CAST(sm.sample AS INTEGER)
+FROM sm JOIN slots ON sm.vid = slots.vid AND sm.slot = slots.slot
+     JOIN pts x ON x.vid = sm.vid JOIN pts n ON n.vid = slots.nvid, params"""

@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerflow.operators import alerts, clean, features, metrics, runs, sampling
+from ledgerflow.operators import alerts, clean, features, metrics, ml, runs, sampling, smote
 from ledgerflow.sources import fixtures as fx
+from ledgerflow.sources.scratch import reliable_checkpoint
 from ledgerflow.specs import CUSTOMER_SPEC, PAYMENT_SPEC
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -283,3 +284,38 @@ def q_confusion(spark, sf):
 @register("classification_report")
 def q_report(spark, sf):
     return boundary(metrics.classification_report(scored_frame(spark, sf)))
+
+
+# -- resampling and models -------------------------------------------------------
+
+EMBED_DIMS = 8
+
+
+@register("smote_balance")
+def q_smote(spark, sf):
+    df = fx.embedding_matrix(fx.load(spark, sf, "embeddings"), EMBED_DIMS)
+    cols = [f"x{i}" for i in range(EMBED_DIMS)]
+    return boundary(smote.smote_balance(df, cols))
+
+
+def trained_model(spark: SparkSession, sf: str):
+    """Split the training frame, fit scale -> SMOTE -> trees on the training
+    part with the parameters of the reference's logged run."""
+    df = sampling.stratified_split(feature_frame(spark, sf))
+    cols = features.feature_columns(df, drop=("id", "label", "update_date", "report_date", "split"))
+    df = reliable_checkpoint(df)
+    train, test = df.filter(F.col("split") == "train"), df.filter(F.col("split") == "test")
+    est = ml.ResampledClassifier(featureCols=cols, maxIter=100, maxDepth=3, stepSize=0.05, subsamplingRate=0.8)
+    return est.fit(train), test, cols
+
+
+@register("gbt_predict")
+def q_gbt_predict(spark, sf):
+    model, test, _ = trained_model(spark, sf)
+    return boundary(ml.predict(model, test))
+
+
+@register("top_k_importance")
+def q_top_k_importance(spark, sf):
+    model, _, cols = trained_model(spark, sf)
+    return boundary(ml.top_importances(model, cols, spark))

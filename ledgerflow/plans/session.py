@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
+from ledgerflow.sources.scratch import ensure_checkpoint_dir
+
 # Session extension / catalog classes of the optional table formats
 # (fixed values: public class names of the connectors).
 FORMAT_EXTENSIONS = {
@@ -50,24 +49,3 @@ def build_session(master: str | None = None, app_name: str = "ledgerflow", forma
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and scratch tables.
-
-    On a cluster this is ``spark.checkpoint.dir`` as configured for the
-    cluster (a shared file system).  Only when it is unset and the master is
-    local (tests, benches) is a private folder created and set.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current.rstrip("/")
-    if not sc.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    path = tempfile.mkdtemp(prefix="ledgerflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(path)
-    spark.conf.set("spark.checkpoint.dir", path)
-    return sc.getCheckpointDir().rstrip("/")

@@ -74,3 +74,13 @@ PAYMENT_SPEC = CleanSpec(
     ranges=(("new_balance", PAYMENT_BALANCE_LOW, PAYMENT_BALANCE_HIGH),),
     renames={"prod_limit": "credit_limit"},
 )
+
+
+# Column names and text types of the dirty inputs (what a
+# header + type-inference read of the raw CSVs yields; text where bad cells
+# occur).  Used as explicit read schemas so no inference pass is needed.
+CUSTOMER_RAW_SCHEMA = ("label int, id bigint, fea_1 int, fea_2 string, fea_3 double, fea_4 double, fea_5 int, "
+                       "fea_6 int, fea_7 int, fea_8 int, fea_9 int, fea_10 double, fea_11 double")
+PAYMENT_RAW_SCHEMA = ("id bigint, OVD_t1 int, OVD_t2 int, OVD_t3 int, OVD_sum int, pay_normal int, prod_code int, "
+                      "prod_limit string, update_date string, new_balance string, highest_balance string, "
+                      "report_date string")
