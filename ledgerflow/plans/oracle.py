@@ -427,3 +427,24 @@ SELECT CAST(NULL AS BIGINT), params.ml,
        sm.id, CAST(sm.sample AS INTEGER)
 FROM sm JOIN slots ON sm.vid = slots.vid AND sm.slot = slots.slot
      JOIN pts x ON x.vid = sm.vid JOIN pts n ON n.vid = slots.nvid, params"""
+
+# -- sources and sinks ----------------------------------------------------------
+
+ORACLE["csv_roundtrip"] = _with(RAW_PAYMENT, CLEAN_PAYMENT) + "SELECT " + PAYMENT_OUT.replace(
+    "round(prod_limit, 4) AS prod_limit", "round(prod_limit, 4) AS credit_limit") + " FROM clean_payment"
+
+ORACLE["parquet_roundtrip"] = ORACLE["conform_columns"]
+
+_COUNTS = _with(RAW_CUSTOMER, CLEAN_CUSTOMER, RAW_PAYMENT, CLEAN_PAYMENT) + """
+, f AS (SELECT * FROM (VALUES ('csv'), ('parquet'), ('orc'), ('json')) t(format)),
+n AS (SELECT 'customer' AS "table", count(*) AS row_count FROM clean_customer
+      UNION ALL SELECT 'payment', count(*) FROM clean_payment)
+"""
+
+ORACLE["fan_out_counts"] = _COUNTS + """SELECT n."table", f.format, 'success' AS status, n.row_count FROM n, f"""
+
+ORACLE["verify_tables"] = ORACLE["fan_out_counts"]
+
+ORACLE["load_table_modes"] = _COUNTS + """
+SELECT n."table", m.mode, n.row_count * m.k AS row_count
+FROM n, (VALUES ('truncate', 1), ('append', 2)) m(mode, k)"""

@@ -15,7 +15,9 @@ from pyspark.sql import types as T
 
 from ledgerflow.operators import alerts, clean, features, metrics, ml, runs, sampling, smote
 from ledgerflow.sources import fixtures as fx
-from ledgerflow.sources.scratch import reliable_checkpoint
+from ledgerflow.operators.quality import results_frame, verify_table
+from ledgerflow.sources import readers, sinks
+from ledgerflow.sources.scratch import reliable_checkpoint, scratch_path
 from ledgerflow.specs import CUSTOMER_SPEC, PAYMENT_SPEC
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -319,3 +321,68 @@ def q_gbt_predict(spark, sf):
 def q_top_k_importance(spark, sf):
     model, _, cols = trained_model(spark, sf)
     return boundary(ml.top_importances(model, cols, spark))
+
+
+# -- sources and sinks (written to a scratch folder under the shared
+#    checkpoint folder, then read back) ------------------------------------
+
+IO_FORMATS = ("csv", "parquet", "orc", "json")
+
+
+def conformed(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    return {"customer": clean.conform_customer(cleaned_customer(spark, sf)),
+            "payment": clean.conform_payment(cleaned_payment(spark, sf))}
+
+
+@register("csv_roundtrip")
+def q_csv_roundtrip(spark, sf):
+    df = conformed(spark, sf)["payment"]
+    path = scratch_path(spark, "payment_csv")
+    sinks.write_table(df, sinks.Target("csv", path))
+    return boundary(readers.read_table(spark, "csv", path, schema=df.schema))
+
+
+@register("parquet_roundtrip")
+def q_parquet_roundtrip(spark, sf):
+    df = conformed(spark, sf)["customer"]
+    path = scratch_path(spark, "customer_parquet")
+    sinks.write_table(df, sinks.Target("parquet", path))
+    return boundary(readers.read_table(spark, "parquet", path))
+
+
+def _fan_out_all(spark, sf):
+    base = scratch_path(spark, "fan_out")
+    results, targets = [], []
+    for table, df in conformed(spark, sf).items():
+        tg = [sinks.Target(f, f"{base}/{f}/{table}") for f in IO_FORMATS]
+        results += sinks.fan_out(df, tg, table=table)
+        targets += [(table, t) for t in tg]
+    return results, targets
+
+
+@register("fan_out_counts")
+def q_fan_out(spark, sf):
+    results, _ = _fan_out_all(spark, sf)
+    return results_frame(spark, results).select("table", "format", "status", "row_count")
+
+
+@register("verify_tables")
+def q_verify(spark, sf):
+    _, targets = _fan_out_all(spark, sf)
+    rows = [verify_table(spark, t, table) for table, t in targets]
+    return results_frame(spark, rows).select("table", "format", "status", "row_count")
+
+
+@register("load_table_modes")
+def q_load_modes(spark, sf):
+    """Two daily loads per mode: ``truncate`` keeps one copy, ``append`` two."""
+    rows = []
+    for table, df in conformed(spark, sf).items():
+        staged = scratch_path(spark, f"{table}_staged")
+        df.write.parquet(staged)
+        for mode in ("truncate", "append"):
+            target = scratch_path(spark, f"{table}_{mode}")
+            for _ in range(2):
+                sinks.load_table(spark, staged, target, mode=mode)
+            rows.append((table, mode, spark.read.parquet(target).count()))
+    return spark.createDataFrame(rows, "table string, mode string, row_count bigint")
