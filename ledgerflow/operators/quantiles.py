@@ -45,7 +45,7 @@ def select_ranks(
     ranks_fn: Callable[[Column], list[Column]],
     accuracy: int = 10_000,
     max_band: int = 2_000_000,
-    max_rounds: int = 6,
+    max_rounds: int = 8,
 ) -> DataFrame:
     """Rows at 1-based ranks of ``order_cols`` within each group.
 
@@ -54,70 +54,127 @@ def select_ranks(
     expressions from the group's non-null count ``n`` (ranks outside
     ``1..n`` select nothing).  Output: ``group_cols, rank_idx, rank, n,
     order_cols`` (``rank_idx`` = position in the list ``ranks_fn`` returns).
-    Group keys must be non-NULL.
+    Group keys must be non-NULL.  A value repeated more than ``max_band``
+    times is answered without ranking its rows: by the value itself, or by
+    selecting on the next order column among its rows.
     """
     group_cols, order_cols = list(group_cols), list(order_cols)
     v = order_cols[0]
-    spark = df.sparkSession
     gkey = group_cols or ["_g"]
     cand = df.select(*group_cols, *order_cols).filter(F.col(v).isNotNull())
     if not group_cols:
         cand = cand.withColumn("_g", F.lit(0))
-
     counts = cand.groupBy(*gkey).agg(F.count(F.lit(1)).alias("n"))
     targets = counts.select(*gkey, "n", F.posexplode(F.array(*[r.cast("long") for r in ranks_fn(F.col("n"))]))
                             .alias("rank_idx", "rank")).filter((F.col("rank") >= 1) & (F.col("rank") <= F.col("n")))
-    tgt_rows = targets.collect()
+    tgt_rows = [(_key(t, gkey), t["rank_idx"], t["rank"], t["n"]) for t in targets.collect()]
     if len(tgt_rows) > MAX_TARGETS:
         raise ValueError(f"select_ranks: {len(tgt_rows)} targets exceed the bound of {MAX_TARGETS}")
-    sizes = {_key(t, gkey): t["n"] for t in tgt_rows}
-    below = {k: 0 for k in sizes}
+    out = _select(cand, gkey, order_cols, [(*t, t[3]) for t in tgt_rows], accuracy, max_band, max_rounds)
+    return out.select(*group_cols, "rank_idx", "rank", "n", *order_cols)
+
+
+def _select(cand: DataFrame, gkey: list[str], order_cols: list[str], tgt_rows: list[tuple], accuracy: int,
+            max_band: int, max_rounds: int) -> DataFrame:
+    """Targets ``(key, rank_idx, rank, n, size)``: ``rank`` is within
+    ``cand`` (whose group holds ``size`` rows); ``n`` is only reported.
+
+    Every target is its own problem ``(key, rank_idx)`` with a band
+    ``[lo, hi]`` (ends open or closed) on ``v``.  A round sketches the band,
+    verifies the bracket with exact counts and keeps only the part that
+    holds the rank: the rows equal to ``lo``, strictly between, or equal to
+    ``hi`` - so the band shrinks every round even under heavy ties.
+    """
+    spark = cand.sparkSession
+    v = order_cols[0]
+    vtype = dict(cand.dtypes)[v]
+    gtypes = cand.select(*gkey).dtypes
+    pkey = [*gkey, "rank_idx"]
+    tdf = spark.createDataFrame([(*k, i, r, n) for k, i, r, n, _ in tgt_rows],
+                                ", ".join([f"{g} {t}" for g, t in gtypes] + ["rank_idx int", "rank long", "n long"]))
+    # problem -> [rank within band, band size, lo, hi, lo closed, hi closed]
+    probs = {(*k, i): [r, size, None, None, True, True] for k, i, r, _, size in tgt_rows}
+    widen: set = set()  # problems whose sketch bracket missed: use the full band
+    pieces: list[DataFrame] = []
+    work = cand.join(F.broadcast(tdf.select(*gkey, "rank_idx")), gkey)
+
+    def band_filter() -> DataFrame:
+        rows = [(*p, st[2], st[3], st[4], st[5]) for p, st in probs.items()]
+        bdf = spark.createDataFrame(rows, ", ".join([f"{g} {t}" for g, t in gtypes] + [
+            "rank_idx int", f"_lo {vtype}", f"_hi {vtype}", "_lc boolean", "_hc boolean"]))
+        lo_ok = F.col("_lo").isNull() | (F.col(v) > F.col("_lo")) | (F.col("_lc") & (F.col(v) == F.col("_lo")))
+        hi_ok = F.col("_hi").isNull() | (F.col(v) < F.col("_hi")) | (F.col("_hc") & (F.col(v) == F.col("_hi")))
+        return work.join(F.broadcast(bdf), pkey).filter(lo_ok & hi_ok).select(*pkey, *order_cols)
 
     for _ in range(max_rounds):
-        big = {k for k, n in sizes.items() if n > max_band}
+        big = {p for p, st in probs.items() if st[1] > max_band}
         if not big:
             break
-        # bracket each requested rank of the big groups from the sketch
-        sketch = cand.groupBy(*gkey).agg(F.min(v).alias("vmin"), F.max(v).alias("vmax"),
+        sketch = work.groupBy(*pkey).agg(F.min(v).alias("vmin"), F.max(v).alias("vmax"),
                                          F.percentile_approx(v, _grid(), accuracy).alias("q"))
-        srows = {_key(r, gkey): r for r in sketch.collect()}
-        bounds: dict[tuple, list] = {}
-        for t in tgt_rows:
-            k = _key(t, gkey)
-            s = srows[k]
-            if k in big:
-                local = t["rank"] - below[k]
-                pos = (local - 1) / max(sizes[k] - 1, 1) * GRID
-                lo, hi = s["q"][max(int(pos) - 2, 0)], s["q"][min(int(pos) + 3, GRID)]
-            else:
-                lo, hi = s["vmin"], s["vmax"]
-            b = bounds.setdefault(k, [lo, hi])
-            b[0], b[1] = min(b[0], lo), max(b[1], hi)
-        bdf = spark.createDataFrame([(*k, lo, hi) for k, (lo, hi) in bounds.items()], [*gkey, "_lo", "_hi"])
-        attached = cand.join(F.broadcast(bdf), gkey)
-        inside = (F.col(v) >= F.col("_lo")) & (F.col(v) <= F.col("_hi"))
-        crow = {_key(r, gkey): r for r in attached.groupBy(*gkey).agg(
-            F.count(F.when(F.col(v) < F.col("_lo"), 1)).alias("nb"),
-            F.count(F.when(inside, 1)).alias("nin")).collect()}
-        missed = [k for k in bounds for t in tgt_rows if _key(t, gkey) == k
-                  and not (crow[k]["nb"] < t["rank"] - below[k] <= crow[k]["nb"] + crow[k]["nin"])]
-        if missed:  # the sketch missed a rank: widen those groups and retry
-            accuracy *= 10
+        srows = {_key(r, pkey): r for r in sketch.collect()}
+        brk = {}
+        for p in big:
+            st, sk = probs[p], srows[p]
+            pos = (st[0] - 1) / max(st[1] - 1, 1) * GRID
+            brk[p] = ((sk["vmin"], sk["vmax"]) if p in widen
+                      else (sk["q"][max(int(pos) - 2, 0)], sk["q"][min(int(pos) + 3, GRID)]))
+        bdf = spark.createDataFrame([(*p, lo, hi) for p, (lo, hi) in brk.items()],
+                                    ", ".join([f"{g} {t}" for g, t in gtypes] + [
+                                        "rank_idx int", f"_blo {vtype}", f"_bhi {vtype}"]))
+        x = work.join(F.broadcast(bdf), pkey)
+        crow = {_key(r, pkey): r for r in x.groupBy(*pkey).agg(
+            F.count(F.when(F.col(v) < F.col("_blo"), 1)).alias("nb"),
+            F.count(F.when(F.col(v) == F.col("_blo"), 1)).alias("nlo"),
+            F.count(F.when(F.col(v) == F.col("_bhi"), 1)).alias("nhi"),
+            F.count(F.when((F.col(v) >= F.col("_blo")) & (F.col(v) <= F.col("_bhi")), 1)).alias("nin")).collect()}
+        missed = {p for p in big if not (crow[p]["nb"] < probs[p][0] <= crow[p]["nb"] + crow[p]["nin"])}
+        if missed:  # the sketch missed a rank: bracket those with the full band
+            widen |= missed
             continue
-        for k in bounds:
-            below[k] += crow[k]["nb"]
-            sizes[k] = crow[k]["nin"]
-        cand = reliable_checkpoint(attached.filter(inside).select(*gkey, *order_cols))
+        widen.clear()
+        for p in big:
+            st, c, (lo, hi) = probs[p], crow[p], brk[p]
+            local = st[0] - c["nb"]
+            if local <= c["nlo"]:
+                probs[p] = [local, c["nlo"], lo, lo, True, True]
+            elif local > c["nin"] - c["nhi"]:
+                probs[p] = [local - (c["nin"] - c["nhi"]), c["nhi"], hi, hi, True, True]
+            else:
+                probs[p] = [local - c["nlo"], c["nin"] - c["nlo"] - c["nhi"], lo, hi, False, False]
+        # a band of one repeated value needs no ranking on v
+        for p in [p for p, st in probs.items() if st[1] > max_band and st[2] is not None and st[2] == st[3]]:
+            local, size, value = probs.pop(p)[:3]
+            key, idx = p[:-1], p[-1]
+            rank, n = next((r, nn) for k, i, r, nn, _ in tgt_rows if k == key and i == idx)
+            if len(order_cols) == 1:
+                ddl = ", ".join([f"{g} {t}" for g, t in gtypes] + ["rank_idx int", "rank long", "n long", f"{v} {vtype}"])
+                pieces.append(spark.createDataFrame([(*key, idx, rank, n, value)], ddl))
+            else:
+                sub = cand.filter(F.col(v) == F.lit(value))
+                for g, val in zip(gkey, key):
+                    sub = sub.filter(F.col(g) == F.lit(val))
+                inner = _select(sub.drop(v), gkey, order_cols[1:], [(key, idx, local, n, size)], accuracy,
+                                max_band, max_rounds)
+                pieces.append(inner.withColumn("rank", F.lit(rank).cast("long"))
+                              .withColumn(v, F.lit(value).cast(vtype)))
+        if not probs:
+            break
+        work = reliable_checkpoint(band_filter())
     else:
         raise RuntimeError("select_ranks: bands did not converge; raise max_band or accuracy")
 
-    offs = spark.createDataFrame([(*k, b) for k, b in below.items()], [*gkey, "_below"])
-    w = Window.partitionBy(*gkey).orderBy(*[F.col(c) for c in order_cols])
-    ranked = (cand.withColumn("_rn", F.row_number().over(w))
-              .join(F.broadcast(offs), gkey)
-              .withColumn("rank", F.col("_rn") + F.col("_below")))
-    out = ranked.join(F.broadcast(targets.select(*gkey, "rank_idx", "rank", "n")), [*gkey, "rank"])
-    return out.select(*group_cols, "rank_idx", "rank", "n", *order_cols)
+    if probs:
+        band = band_filter() if any(st[2] is not None for st in probs.values()) else work
+        w = Window.partitionBy(*pkey).orderBy(*[F.col(c) for c in order_cols])
+        local = spark.createDataFrame([(*p, st[0]) for p, st in probs.items()],
+                                      ", ".join([f"{g} {t}" for g, t in gtypes] + ["rank_idx int", "_rn int"]))
+        hit = band.withColumn("_rn", F.row_number().over(w)).join(F.broadcast(local), [*pkey, "_rn"])
+        pieces.append(hit.join(F.broadcast(tdf), pkey).select(*gkey, "rank_idx", "rank", "n", *order_cols))
+    out = pieces[0]
+    for p in pieces[1:]:
+        out = out.unionByName(p.select(*out.columns))
+    return out
 
 
 def long_format(df: DataFrame, columns: Sequence[str], name_col: str = "column", value_col: str = "value") -> DataFrame:
