@@ -448,3 +448,5 @@ ORACLE["verify_tables"] = ORACLE["fan_out_counts"]
 ORACLE["load_table_modes"] = _COUNTS + """
 SELECT n."table", m.mode, n.row_count * m.k AS row_count
 FROM n, (VALUES ('truncate', 1), ('append', 2)) m(mode, k)"""
+
+ORACLE["stream_flatten_runs"] = ORACLE["flatten_runs"]

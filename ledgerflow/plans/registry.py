@@ -386,3 +386,20 @@ def q_load_modes(spark, sf):
                 sinks.load_table(spark, staged, target, mode=mode)
             rows.append((table, mode, spark.read.parquet(target).count()))
     return spark.createDataFrame(rows, "table string, mode string, row_count bigint")
+
+
+# -- streaming ------------------------------------------------------------------
+
+@register("stream_flatten_runs")
+def q_stream_flatten_runs(spark, sf):
+    """The run documents land as JSON-lines files; an available-now stream
+    flattens them into a Parquet run table, which is read back."""
+    from ledgerflow.streaming.run_docs import read_doc_stream, start_run_table
+
+    docs_dir = scratch_path(spark, "docs")
+    fx.run_docs(fx.load(spark, sf, "events")).repartition(4).write.json(docs_dir)
+    sink, ckpt = scratch_path(spark, "runs"), scratch_path(spark, "runs_ckpt")
+    q = start_run_table(read_doc_stream(spark, docs_dir, fmt="json", max_files_per_trigger=2), sink, ckpt,
+                        run_date=runs.run_date_from_path("source_path"))
+    q.awaitTermination()
+    return boundary(floor4(spark.read.parquet(sink)))
