@@ -48,14 +48,14 @@ def impute_median(df: DataFrame, columns: Iterable[str] | None = None, exclude:
                                               0.5, accuracy).cast("double").alias(c) for c in cols])
     else:
         med = exact_medians(df, cols)
-    # one-row frame joined once (broadcast of a single row): the plan stays
-    # linear in the number of columns, unlike one scalar subquery per use
-    med = med.select(*[F.col(c).alias(f"_med_{c}") for c in cols])
+    # one row (one value per column) comes back as literals: later jobs do
+    # not recompute the median selection
+    values = med.first().asDict()
     fills = {}
     for c in cols:
         x = F.col(c).cast("double")
-        fills[c] = F.when(x.isNull() | F.isnan(x), F.col(f"_med_{c}")).otherwise(x)
-    return df.crossJoin(F.broadcast(med)).withColumns(fills).drop(*med.columns)
+        fills[c] = F.when(x.isNull() | F.isnan(x), F.lit(values[c]).cast("double")).otherwise(x)
+    return df.withColumns(fills)
 
 
 def add_credit_features(df: DataFrame, balance: str = "new_balance", limit: str = "credit_limit",

@@ -14,13 +14,15 @@ ordering.  It never sorts a whole large group in one task:
    checkpoint into the session's checkpoint folder.
 
 Groups must be few (feature columns, classes): the per-group plan rows are
-collected and broadcast, and their number is checked.
+collected and broadcast, and their number is checked.  The answer (one row
+per requested rank) is returned as a small, already computed frame.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,6 +66,16 @@ def select_ranks(
     cand = df.select(*group_cols, *order_cols).filter(F.col(v).isNotNull())
     if not group_cols:
         cand = cand.withColumn("_g", F.lit(0))
+    # the projected candidates are read by every pass: keep them (spilling
+    # to disk as needed) for the duration of the selection
+    cand = cand.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _select_eager(cand, group_cols, gkey, order_cols, ranks_fn, accuracy, max_band, max_rounds)
+    finally:
+        cand.unpersist()
+
+
+def _select_eager(cand, group_cols, gkey, order_cols, ranks_fn, accuracy, max_band, max_rounds) -> DataFrame:
     counts = cand.groupBy(*gkey).agg(F.count(F.lit(1)).alias("n"))
     targets = counts.select(*gkey, "n", F.posexplode(F.array(*[r.cast("long") for r in ranks_fn(F.col("n"))]))
                             .alias("rank_idx", "rank")).filter((F.col("rank") >= 1) & (F.col("rank") <= F.col("n")))
@@ -71,7 +83,9 @@ def select_ranks(
     if len(tgt_rows) > MAX_TARGETS:
         raise ValueError(f"select_ranks: {len(tgt_rows)} targets exceed the bound of {MAX_TARGETS}")
     out = _select(cand, gkey, order_cols, [(*t, t[3]) for t in tgt_rows], accuracy, max_band, max_rounds)
-    return out.select(*group_cols, "rank_idx", "rank", "n", *order_cols)
+    out = out.select(*group_cols, "rank_idx", "rank", "n", *order_cols)
+    # at most one row per target (bounded above): return them as a small frame
+    return cand.sparkSession.createDataFrame(out.collect(), out.schema)
 
 
 def _select(cand: DataFrame, gkey: list[str], order_cols: list[str], tgt_rows: list[tuple], accuracy: int,

@@ -136,14 +136,25 @@ def run_date_from_path(path: str | Column = "path") -> Column:
 
 # -- documented dashboards (grouped aggregates with map-side partials) -------
 
-def duration_by_step(runs: DataFrame) -> DataFrame:
-    """Run duration per day and step: mean, max, total, number of records."""
-    return runs.groupBy("run_date", "step").agg(
-        F.avg("duration_sec").alias("avg_duration_sec"),
+def duration_by_step(runs: DataFrame, digits: int = 4) -> DataFrame:
+    """Run duration per day and step: mean, max, total, number of records.
+
+    The mean is exact and independent of row order: durations are summed as
+    whole microseconds (a long sum is associative, a double sum is not) and
+    divided with half-up rounding to ``digits`` decimals.
+    """
+    micros = F.round(F.col("duration_sec") * F.lit(1_000_000.0)).cast("long")
+    agg = runs.groupBy("run_date", "step").agg(
+        F.sum(micros).alias("_us"), F.count(micros).alias("_n"),
         F.max("duration_sec").alias("max_duration_sec"),
         F.sum("duration_sec").alias("total_duration_sec"),
         F.count(F.lit(1)).alias("n_records"),
     )
+    step = 10 ** (6 - digits)
+    half_up = F.expr(f"signum(_us) * ((abs(_us) * 2 + {step} * _n) div ({2 * step} * _n))")
+    mean = F.when(F.col("_n") > 0, half_up / F.lit(float(10 ** digits)))
+    return agg.select("run_date", "step", mean.alias("avg_duration_sec"), "max_duration_sec",
+                      "total_duration_sec", "n_records")
 
 
 def daily_status(runs: DataFrame, statuses: tuple[str, ...] = ("success", "failed")) -> DataFrame:

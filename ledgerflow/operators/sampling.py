@@ -35,8 +35,11 @@ def stratified_split(df: DataFrame, label: str = "label", id_col: str = "id", te
     """Adds ``split`` = ``test`` / ``train`` with exactly
     ``round(test_fraction * n_c)`` test rows in every class ``c``."""
     keyed = df.withColumn("_u", hash_key(id_col, seed))
-    thr = select_ranks(keyed, [label], ["_u", id_col], lambda n: [F.round(n * F.lit(test_fraction))])
-    thr = thr.select(F.col(label), F.col("_u").alias("_tu"), F.col(id_col).alias("_tid"))
+    picked = select_ranks(keyed, [label], ["_u", id_col], lambda n: [F.round(n * F.lit(test_fraction))])
+    # one threshold row per class (bounded by the number of classes)
+    rows = picked.select(label, F.col("_u").alias("_tu"), F.col(id_col).alias("_tid")).collect()
+    thr = df.sparkSession.createDataFrame(rows, f"{label} {dict(df.dtypes)[label]}, _tu bigint, "
+                                                f"_tid {dict(df.dtypes)[id_col]}")
     joined = keyed.join(F.broadcast(thr), label, "left")
     before = (F.col("_u") < F.col("_tu")) | ((F.col("_u") == F.col("_tu")) & (F.col(id_col) <= F.col("_tid")))
     is_test = F.coalesce(before, F.lit(False))
@@ -60,12 +63,10 @@ def scaler_stats(train: DataFrame, columns: Iterable[str]) -> DataFrame:
 def standardise(df: DataFrame, columns: Iterable[str], train: DataFrame | None = None) -> DataFrame:
     """``(x - mean) / std`` with stats of ``train`` (default: ``df``)."""
     columns = list(columns)
-    stats = scaler_stats(df if train is None else train, columns)
-    stats = stats.select(*[F.col(c).alias(f"_st_{c}") for c in stats.columns])
+    st = scaler_stats(df if train is None else train, columns).first()  # one row
     out = {}
     for c in columns:
-        mean, std = F.col(f"_st_{c}_mean"), F.col(f"_st_{c}_std")
-        scale = F.when(std.isNull() | (std == 0), F.lit(1.0)).otherwise(std)
-        out[c] = (F.col(c).cast("double") - mean) / scale
-    # the one-row stats frame is joined once (broadcast of a single row)
-    return df.crossJoin(F.broadcast(stats)).withColumns(out).drop(*stats.columns)
+        mean, std = st[f"{c}_mean"], st[f"{c}_std"]
+        scale = 1.0 if std is None or std == 0 else std
+        out[c] = (F.col(c).cast("double") - F.lit(mean).cast("double")) / F.lit(scale)
+    return df.withColumns(out)

@@ -220,9 +220,16 @@ ORACLE["step_metrics"] = _with(RUN_ITEMS) + """
 SELECT ts, task, duration, status, concat_ws(',', ts, task, CAST(duration AS VARCHAR), status) AS line FROM m"""
 
 ORACLE["duration_by_step"] = _with(RUN_ITEMS) + """
-SELECT run_date, step, round(avg(duration_sec), 4) AS avg_duration_sec, round(max(duration_sec), 4) AS max_duration_sec,
-       round(sum(duration_sec), 4) AS total_duration_sec, count(*) AS n_records
-FROM run_items GROUP BY run_date, step"""
+, g AS (
+  SELECT run_date, step, sum(CAST(round(duration_sec * 1000000) AS BIGINT)) AS us, count(duration_sec) AS n,
+         max(duration_sec) AS mx, sum(duration_sec) AS tot, count(*) AS n_records
+  FROM run_items GROUP BY run_date, step
+)
+SELECT run_date, step,
+       CASE WHEN n > 0 THEN CAST(sign(us) * ((abs(us) * 2 + 100 * n) // (200 * n)) AS DOUBLE) / 10000.0 END
+         AS avg_duration_sec,
+       round(mx, 4) AS max_duration_sec, round(tot, 4) AS total_duration_sec, n_records
+FROM g"""
 
 ORACLE["daily_status"] = _with(RUN_ITEMS) + """
 SELECT run_date, count(*) FILTER (WHERE status = 'success') AS success,

@@ -10,6 +10,7 @@ the metadata step flattens them into the run table with Spark.
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -17,12 +18,22 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.operators import alerts, clean, runs
-from ledgerflow.operators.quality import step_record, verify_all, verify_doc
+from ledgerflow.operators.quality import results_frame, step_record, verify_doc, verify_table
 from ledgerflow.sources.readers import format_available, read_run_docs
 from ledgerflow.sources.sinks import Target, append_rows, fan_out, load_table, write_alert, write_run_doc
 from ledgerflow.specs import VERIFY_FORMATS
 
 TABLES = ("customer", "payment")
+MAX_CONCURRENT_JOBS = 8
+
+
+def run_concurrently(tasks: list, workers: int = MAX_CONCURRENT_JOBS) -> list:
+    """Run independent driver-side actions (each submits its own Spark
+    jobs) from a thread pool; results keep the task order."""
+    if len(tasks) <= 1:
+        return [t() for t in tasks]
+    with ThreadPoolExecutor(max_workers=min(workers, len(tasks))) as pool:
+        return [f.result() for f in [pool.submit(t) for t in tasks]]
 
 
 @dataclass(frozen=True)
@@ -70,8 +81,9 @@ def ingest(spark: SparkSession, customer_raw: DataFrame, payment_raw: DataFrame,
     start = time.time()
     cust = clean.clean_customer(customer_raw, order_by=customer_order, scope=scope)
     pay = clean.clean_payment(payment_raw, order_by=payment_order, scope=scope)
-    counts = {"customer": _write_counted(cust, layout.staged("customer"), f"ingest_c_{start}"),
-              "payment": _write_counted(pay, layout.staged("payment"), f"ingest_p_{start}")}
+    n_c, n_p = run_concurrently([lambda: _write_counted(cust, layout.staged("customer"), f"ingest_c_{start}"),
+                                 lambda: _write_counted(pay, layout.staged("payment"), f"ingest_p_{start}")])
+    counts = {"customer": n_c, "payment": n_p}
     record = step_record("ingest", start, time.time(), counts)
     write_run_doc(spark, record, layout.doc("ingest"))
     return record
@@ -83,9 +95,11 @@ def transform(spark: SparkSession, layout: Layout, formats=VERIFY_FORMATS) -> tu
     start = time.time()
     conformed = {"customer": clean.conform_customer(spark.read.parquet(layout.staged("customer"))),
                  "payment": clean.conform_payment(spark.read.parquet(layout.staged("payment")))}
+    per_table = run_concurrently([
+        (lambda t=table, d=df: fan_out(d, [layout.copy(f, t) for f in formats], table=t))
+        for table, df in conformed.items()])
     results, counts = [], {}
-    for table, df in conformed.items():
-        res = fan_out(df, [layout.copy(f, table) for f in formats], table=table)
+    for table, res in zip(conformed, per_table):
         results += res
         counts[table] = next((r["row_count"] for r in res if r["status"] == "success"), None)
     record = step_record("transform", start, time.time(), counts)
@@ -95,16 +109,17 @@ def transform(spark: SparkSession, layout: Layout, formats=VERIFY_FORMATS) -> tu
 
 def verify(spark: SparkSession, layout: Layout, formats=VERIFY_FORMATS, tables=TABLES) -> DataFrame:
     """Read back and count every copy; write the verify document."""
-    results = verify_all(spark, [(t, layout.copy(f, t)) for t in tables for f in formats])
-    rows = [r.asDict() for r in results.collect()]  # one row per copy (bounded)
+    copies = [(t, layout.copy(f, t)) for t in tables for f in formats]
+    rows = run_concurrently([(lambda t=t, c=c: verify_table(spark, c, t)) for t, c in copies])
+    results = results_frame(spark, rows)  # one row per copy (bounded)
     write_run_doc(spark, verify_doc(rows), layout.doc("verify"))
     return results
 
 
 def load(spark: SparkSession, layout: Layout, mode: str = "truncate", fmt: str = "parquet") -> list[dict]:
     """Load the staged tables into the warehouse; write the load document."""
-    results = [load_table(spark, layout.staged(t), layout.warehouse(f"{t}_clean"), mode=mode, fmt=fmt,
-                          table=f"{t}_clean") for t in TABLES]
+    results = run_concurrently([(lambda t=t: load_table(spark, layout.staged(t), layout.warehouse(f"{t}_clean"),
+                                                        mode=mode, fmt=fmt, table=f"{t}_clean")) for t in TABLES])
     write_run_doc(spark, verify_doc(results), layout.doc("load"))
     return results
 

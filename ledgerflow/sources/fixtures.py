@@ -19,7 +19,32 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Driver table ``name`` from ``sf_dir`` (one Parquet file per table)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return balanced(spark.read.parquet(path), path)
+
+
+_SPLITS: dict[str, int] = {}
+
+
+def estimated_splits(spark: SparkSession, path: str) -> int:
+    """Input splits a scan of ``path`` will have (file sizes over
+    ``spark.sql.files.maxPartitionBytes``; a metadata lookup, cached)."""
+    if path not in _SPLITS:
+        jvm = spark.sparkContext._jvm
+        hp = jvm.org.apache.hadoop.fs.Path(path)
+        size = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(hp).getLength()
+        per = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+        _SPLITS[path] = max(1, -(-size // per))
+    return _SPLITS[path]
+
+
+def balanced(df: DataFrame, path: str) -> DataFrame:
+    """Spread an input that scans as fewer splits than the cluster has
+    cores (a single small file is one task) with a round-robin repartition;
+    a large input already has many splits and is returned unchanged."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if estimated_splits(spark, path) < cores else df
 
 
 def _null_when(cond: Column, value: Column) -> Column:
