@@ -11,6 +11,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,24 +26,31 @@ def _score_buckets(distinct_scores: DataFrame, score: str, buckets: int) -> Data
 
 def roc_auc(scored: DataFrame, label: str = "label", score: str = "score", buckets: int = 256) -> DataFrame:
     """One row ``(roc_auc, n_pos, n_neg)``; positives are ``label == 1``.
-    NULL when a class is absent."""
+    NULL when a class is absent.  Computed eagerly (the per-score counts
+    are kept for its passes) and returned as a one-row frame."""
     per_score = scored.filter(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("_s")).agg(
         F.sum((F.col(label) == 1).cast("long")).alias("pos"),
         F.sum((F.col(label) != 1).cast("long")).alias("neg"))
-    b = _score_buckets(per_score, "_s", buckets)
-    totals = b.groupBy("_bucket").agg(F.sum("neg").alias("bneg"))
-    offs = totals.select("_bucket", (F.sum("bneg").over(Window.orderBy("_bucket")) - F.col("bneg")).alias("off"))
-    w = Window.partitionBy("_bucket").orderBy("_s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (b.withColumn("_cum", F.sum("neg").over(w))
-              .join(F.broadcast(offs), "_bucket")
-              .withColumn("neg_below", F.col("off") + F.col("_cum") - F.col("neg")))
-    agg = ranked.agg(
-        F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") * 0.5)).alias("u"),
-        F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
-    return agg.select(
-        F.try_divide(F.col("u"), (F.col("n_pos") * F.col("n_neg")).cast("double")).alias("roc_auc"),
-        F.coalesce(F.col("n_pos"), F.lit(0)).cast("long").alias("n_pos"),
-        F.coalesce(F.col("n_neg"), F.lit(0)).cast("long").alias("n_neg"))
+    per_score = per_score.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        b = _score_buckets(per_score, "_s", buckets)
+        totals = b.groupBy("_bucket").agg(F.sum("neg").alias("bneg"))
+        # bucket offsets: a window over at most ``buckets`` rows
+        offs = totals.select("_bucket", (F.sum("bneg").over(Window.orderBy("_bucket")) - F.col("bneg")).alias("off"))
+        w = Window.partitionBy("_bucket").orderBy("_s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ranked = (b.withColumn("_cum", F.sum("neg").over(w))
+                  .join(F.broadcast(offs), "_bucket")
+                  .withColumn("neg_below", F.col("off") + F.col("_cum") - F.col("neg")))
+        agg = ranked.agg(
+            F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") * 0.5)).alias("u"),
+            F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
+        out = agg.select(
+            F.try_divide(F.col("u"), (F.col("n_pos") * F.col("n_neg")).cast("double")).alias("roc_auc"),
+            F.coalesce(F.col("n_pos"), F.lit(0)).cast("long").alias("n_pos"),
+            F.coalesce(F.col("n_neg"), F.lit(0)).cast("long").alias("n_neg"))
+        return scored.sparkSession.createDataFrame(out.collect(), out.schema)
+    finally:
+        per_score.unpersist()
 
 
 def confusion_counts(scored: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

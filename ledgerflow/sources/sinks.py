@@ -1,9 +1,10 @@
 """Writers: one table to many formats, run documents, warehouse loads,
 metric and alert text, model artifacts and training-run logs.
 
-``fan_out`` persists the source once and counts rows with an
-``Observation`` during the first write, so the lineage runs once for all
-copies (the reference re-ran it per sink and again per count).
+``fan_out`` counts rows with an ``Observation`` during the first write
+(no separate count job) and, for an expensive lineage, persists the source
+so it runs once for all copies (the reference re-ran it per sink and again
+per count).
 """
 
 from __future__ import annotations
@@ -75,15 +76,17 @@ def write_table(df: DataFrame, target: Target, mode: str = "overwrite", partitio
     w.save(target.path)
 
 
-def fan_out(df: DataFrame, targets: Iterable[Target], table: str | None = None) -> list[dict]:
-    """Write ``df`` to every target from one persisted computation.
+def fan_out(df: DataFrame, targets: Iterable[Target], table: str | None = None, persist: bool = True) -> list[dict]:
+    """Write ``df`` to every target; rows are counted during the first write.
 
-    Returns one result per target (``table, format, path, status,
-    row_count | error, duration_sec``); a failing target is recorded, not
-    raised, and the others still run.
+    ``persist=True`` computes an expensive lineage once for all targets;
+    pass ``False`` when ``df`` is a plain scan (re-reading is cheaper than
+    caching it).  Returns one result per target (``table, format, path,
+    status, row_count | error, duration_sec``); a failing target is
+    recorded, not raised, and the others still run.
     """
     targets = list(targets)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK) if persist else df
     results, rows = [], None
     try:
         for t in targets:
@@ -102,7 +105,8 @@ def fan_out(df: DataFrame, targets: Iterable[Target], table: str | None = None)
             res["duration_sec"] = round(time.time() - start, 2)
             results.append(res)
     finally:
-        cached.unpersist()
+        if persist:
+            cached.unpersist()
     return results
 
 
@@ -175,5 +179,14 @@ def log_training_run(spark: SparkSession, target: str, run_id: str, run_name: st
 
 
 def _short(e: Exception, limit: int = 500) -> str:
-    text = str(e).strip().splitlines()
-    return (text[0] if text else type(e).__name__)[:limit]
+    """A one-line error message; for JVM errors, the Java exception text."""
+    java = getattr(e, "java_exception", None)
+    if java is not None:
+        try:
+            text = str(java.toString())
+        except Exception:  # noqa: BLE001
+            text = str(e)
+    else:
+        text = str(e)
+    lines = [x for x in text.strip().splitlines() if x.strip()]
+    return (lines[0] if lines else type(e).__name__)[:limit]
