@@ -6,7 +6,7 @@
     python -m ledgerflow.plans.jobs load      --base OUT [--mode truncate|append]
     python -m ledgerflow.plans.jobs metadata  --base OUT [--run-date yyyy-MM-dd]
     python -m ledgerflow.plans.jobs alert     --base OUT
-    python -m ledgerflow.plans.jobs train     --base OUT [--folds 3] [--parallelism 4]
+    python -m ledgerflow.plans.jobs train     --base OUT [--folds 3] [--parallelism 4] [--grid JSON]
     python -m ledgerflow.plans.jobs all       --customer C.csv --payment P.csv --base OUT
 
 Every job exits non-zero when its step fails (the reference's wrappers
@@ -22,7 +22,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from ledgerflow.plans import pipeline as P
+from ledgerflow.plans import daily as P
 from ledgerflow.plans.session import build_session
 from ledgerflow.sources.readers import format_available, read_csv
 from ledgerflow.specs import CUSTOMER_RAW_SCHEMA, PAYMENT_RAW_SCHEMA, VERIFY_FORMATS
@@ -73,9 +73,12 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--scope", default="raw", choices=["raw", "filtered"])
     ap.add_argument("--folds", type=int, default=3)
     ap.add_argument("--parallelism", type=int, default=4)
+    ap.add_argument("--grid", help='JSON grid override, e.g. {"maxIter": [20], "maxDepth": [3]}')
+    ap.add_argument("--lakehouse", default="", help="session extensions to load: delta,iceberg,hudi (jars needed)")
     args = ap.parse_args(argv)
 
-    spark = build_session(app_name=f"ledgerflow-{args.step}", formats=("delta", "iceberg", "hudi"))
+    lake = tuple(f for f in args.lakehouse.split(",") if f)
+    spark = build_session(app_name=f"ledgerflow-{args.step}", formats=lake)
     layout = P.Layout(args.base.rstrip("/"))
     start = time.time()
     if args.step in ("ingest", "all") and not (args.customer and args.payment):
@@ -100,7 +103,8 @@ def main(argv: list[str] | None = None) -> int:
         lines = P.check_alerts(spark, layout)
         out, ok = {"step": "alert", "lines": lines.count()}, True
     elif args.step == "train":
-        out, ok = train(spark, layout, args.folds, args.parallelism), True
+        grid = json.loads(args.grid) if args.grid else None
+        out, ok = train(spark, layout, args.folds, args.parallelism, grid), True
     else:
         res = P.run_pipeline(spark, read_csv(spark, args.customer, schema=CUSTOMER_RAW_SCHEMA),
                              read_csv(spark, args.payment, schema=PAYMENT_RAW_SCHEMA), args.base,

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerflow.operators.quality import schema_check, verify_table
-from ledgerflow.plans.pipeline import run_pipeline
+from ledgerflow.plans.daily import run_pipeline
 from ledgerflow.sources import fixtures as fx
 from ledgerflow.sources.readers import UnknownFormat, format_available, read_csv, read_table
 from ledgerflow.sources.sinks import Target, fan_out, hudi_options, load_table, write_table
