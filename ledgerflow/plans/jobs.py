@@ -23,11 +23,24 @@ import time
 from pyspark.sql import functions as F
 
 from ledgerflow.plans import daily as P
-from ledgerflow.plans.session import build_session
+from ledgerflow.plans.session import build_session, shuffle_partitions_for
 from ledgerflow.sources.readers import format_available, read_csv
 from ledgerflow.specs import CUSTOMER_RAW_SCHEMA, PAYMENT_RAW_SCHEMA, VERIFY_FORMATS
 
 
+def size_shuffles(spark, paths: list[str]) -> int:
+    """Set the initial shuffle partitions from the input volume (AQE then
+    coalesces / splits at run time)."""
+    jvm, hconf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        total += hp.getFileSystem(hconf).getContentSummary(hp).getLength()
+    n = shuffle_partitions_for(total, spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n
+
+
 def _formats(spark, arg: str | None) -> tuple[str, ...]:
     if arg:
         return tuple(f.strip() for f in arg.split(",") if f.strip())
@@ -61,7 +74,8 @@ def train(spark, layout: P.Layout, folds: int, parallelism: int, grid: dict | No
     return {"step": "train", "params": params, "roc_auc": auc}
 
 
-def main(argv: list[str] | None = None) -> int:
+def main(argv: list[str] | None = None, spark=None) -> int:
+    """Run one step; ``spark`` reuses an existing session (left running)."""
     ap = argparse.ArgumentParser(prog="ledgerflow")
     ap.add_argument("step", choices=["ingest", "transform", "verify", "load", "metadata", "alert", "train", "all"])
     ap.add_argument("--base", required=True, help="output base folder")
@@ -78,8 +92,11 @@ def main(argv: list[str] | None = None) -> int:
     args = ap.parse_args(argv)
 
     lake = tuple(f for f in args.lakehouse.split(",") if f)
-    spark = build_session(app_name=f"ledgerflow-{args.step}", formats=lake)
+    own = spark is None
+    spark = spark or build_session(app_name=f"ledgerflow-{args.step}", formats=lake)
     layout = P.Layout(args.base.rstrip("/"))
+    if own and args.customer and args.payment:
+        size_shuffles(spark, [args.customer, args.payment])
     start = time.time()
     if args.step in ("ingest", "all") and not (args.customer and args.payment):
         ap.error("--customer and --payment are required")
@@ -111,7 +128,8 @@ def main(argv: list[str] | None = None) -> int:
                              formats=_formats(spark, args.formats), run_date=args.run_date)
         out, ok = {"ingest": res["ingest"], "transform": res["transform"]}, True
     print(json.dumps({"result": out, "seconds": round(time.time() - start, 2)}, default=str))
-    spark.stop()
+    if own:
+        spark.stop()
     return 0 if ok else 1
 
 

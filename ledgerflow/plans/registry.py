@@ -300,9 +300,20 @@ def q_smote(spark, sf):
     return boundary(smote.smote_balance(df, cols))
 
 
+_MODELS: dict = {}
+
+
 def trained_model(spark: SparkSession, sf: str):
     """Split the training frame, fit scale -> SMOTE -> trees on the training
-    part with the parameters of the reference's logged run."""
+    part with the parameters of the reference's logged run (fitted once per
+    session and scale; both model queries use it)."""
+    key = (id(spark), sf)
+    if key not in _MODELS:
+        _MODELS[key] = _fit_model(spark, sf)
+    return _MODELS[key]
+
+
+def _fit_model(spark: SparkSession, sf: str):
     df = sampling.stratified_split(feature_frame(spark, sf))
     cols = features.feature_columns(df, drop=("id", "label", "update_date", "report_date", "split"))
     df = reliable_checkpoint(df)

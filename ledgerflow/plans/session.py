@@ -15,6 +15,16 @@ FORMAT_EXTENSIONS = {
 }
 
 
+ADVISORY_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def shuffle_partitions_for(input_bytes: int, cores: int) -> int:
+    """Initial shuffle partitions for an input volume: about one advisory
+    partition (256 MiB) per partition, at least two waves of the cores; AQE
+    coalesces small ones and splits skewed ones at run time."""
+    return max(2 * cores, -(-input_bytes // ADVISORY_PARTITION_BYTES))
+
+
 def session_conf(formats: tuple[str, ...] = (), shuffle_partitions: int | None = None) -> dict[str, str]:
     """Configuration the jobs need: Kryo, AQE with skew-join handling and
     partition coalescing, UTC session zone, UI off, plus the extension
@@ -24,6 +34,7 @@ def session_conf(formats: tuple[str, ...] = (), shuffle_partitions: int | None =
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(ADVISORY_PARTITION_BYTES),
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
