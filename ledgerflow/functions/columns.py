@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ledgerflow.specs import ALERT_LINE_FORMAT
+
 
 def _epoch_ntz() -> Column:
     # text -> TIMESTAMP_NTZ involves no time zone
@@ -80,7 +82,7 @@ def step_status(duration: str | Column, threshold: float) -> Column:
 def alert_line(fmt: str | Column, status: str | Column, duration: str | Column, rows: str | Column) -> Column:
     """``Format X: status=S, duration=Ds, row_count=N`` with JSON-null rendering."""
     return F.format_string(
-        "Format %s: status=%s, duration=%ss, row_count=%s",
+        ALERT_LINE_FORMAT,
         F.coalesce(_c(fmt), F.lit("null")),
         F.coalesce(_c(status), F.lit("null")),
         number_text(_c(duration)),

@@ -7,6 +7,7 @@ per copy) and become a DataFrame with an explicit schema.
 
 from __future__ import annotations
 
+import logging
 import time
 from collections.abc import Iterable
 
@@ -18,6 +19,7 @@ from ledgerflow.sources.sinks import Target, _short
 VERIFY_SCHEMA = ("table string, format string, path string, is_table boolean, status string, "
                  "row_count bigint, error string, duration_sec double")
 SCHEMA_DIFF_SCHEMA = "copy string, column string, expected_type string, actual_type string, issue string"
+log = logging.getLogger("ledgerflow.verify")
 
 
 def verify_table(spark: SparkSession, target: Target, table: str | None = None, preview: int = 0) -> dict:
@@ -26,6 +28,7 @@ def verify_table(spark: SparkSession, target: Target, table: str | None = None,
     error, duration_sec``."""
     start = time.time()
     res = {"table": table, "format": target.fmt, "path": target.path, "is_table": target.is_table}
+    log.info("Verifying %s from: %s", target.fmt.upper(), target.path)
     try:
         df = read_table(spark, target.fmt, target.path, catalog_warehouse=target.warehouse)
         if preview:

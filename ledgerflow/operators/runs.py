@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerflow.specs import DEFAULT_LIST_STEP
+
 # Columns and types of the run-metadata table (epoch seconds
 # and durations widened to double, counts to bigint).
 RUN_SCHEMA = (
@@ -40,7 +42,6 @@ COMPACT_SCHEMA = (
     ("status", "string"),
     ("row_count", "bigint"),
 )
-DEFAULT_LIST_STEP = "verify"
 POSITION_COLUMNS = ("source_path", "doc_seq", "item_pos")
 
 

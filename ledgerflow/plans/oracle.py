@@ -457,3 +457,13 @@ SELECT n."table", m.mode, n.row_count * m.k AS row_count
 FROM n, (VALUES ('truncate', 1), ('append', 2)) m(mode, k)"""
 
 ORACLE["stream_flatten_runs"] = ORACLE["flatten_runs"]
+
+_SPARK_TYPE = ("CASE column_type WHEN 'INTEGER' THEN 'int' WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double' "
+               "WHEN 'DATE' THEN 'date' WHEN 'VARCHAR' THEN 'string' ELSE lower(column_type) END")
+
+ORACLE["schema_check"] = f"""
+SELECT 'csv' AS copy, column_name AS "column", {_SPARK_TYPE} AS expected_type, 'string' AS actual_type,
+       'type' AS issue
+FROM (DESCRIBE {_with(RAW_PAYMENT, CLEAN_PAYMENT)} SELECT id, OVD_t1, OVD_t2, OVD_t3, OVD_sum, pay_normal, prod_code,
+      prod_limit AS credit_limit, update_date, new_balance, highest_balance, report_date FROM clean_payment)
+WHERE {_SPARK_TYPE} <> 'string'"""

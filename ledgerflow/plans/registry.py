@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from ledgerflow.operators import alerts, clean, features, metrics, ml, runs, sampling, smote
 from ledgerflow.sources import fixtures as fx
-from ledgerflow.operators.quality import results_frame, verify_table
+from ledgerflow.operators.quality import results_frame, schema_check, verify_table
 from ledgerflow.sources import readers, sinks
 from ledgerflow.sources.scratch import reliable_checkpoint, scratch_path
 from ledgerflow.specs import CUSTOMER_SPEC, PAYMENT_SPEC
@@ -384,6 +384,19 @@ def q_verify(spark, sf):
     return results_frame(spark, rows).select("table", "format", "status", "row_count")
 
 
+@register("schema_check")
+def q_schema_check(spark, sf):
+    """The payment table written as Parquet and as CSV, read back the way a
+    verifier reads them: the CSV copy carries text columns."""
+    df = conformed(spark, sf)["payment"]
+    base = scratch_path(spark, "schema_check")
+    sinks.write_table(df, sinks.Target("parquet", f"{base}/parquet"))
+    sinks.write_table(df, sinks.Target("csv", f"{base}/csv"))
+    copies = {"parquet": readers.read_table(spark, "parquet", f"{base}/parquet"),
+              "csv": readers.read_table(spark, "csv", f"{base}/csv")}
+    return schema_check(spark, copies, "parquet")
+
+
 @register("load_table_modes")
 def q_load_modes(spark, sf):
     """Two daily loads per mode: ``truncate`` keeps one copy, ``append`` two."""
