@@ -28,3 +28,14 @@ def test_every_query_has_an_oracle_or_is_a_model():
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0 and "credit_limit" not in df.columns
+
+
+@pytest.mark.parametrize("name", ["flatten_runs", "step_metrics", "parse_dates", "clean_payment"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        problems = compare(entry.queries()[name](spark, SMOKE), con, entry.oracle_sql()[name])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert not problems, problems
