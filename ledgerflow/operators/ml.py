@@ -67,7 +67,7 @@ class ResampledClassifier(Estimator, _GbtParams, DefaultParamsReadable, DefaultP
             scaled = smote_balance(scaled, cols, label=label, id_col=idc, k=self.getOrDefault(self.neighbours),
                                    seed=seed)
         assembled = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep").transform(scaled)
-        gbt = GBTClassifier(labelCol=label, featuresCol="features", lossType="logistic", seed=seed,
+        gbt = GBTClassifier(labelCol=label, featuresCol="features", lossType="logistic", seed=seed, cacheNodeIds=True,
                             maxIter=self.getOrDefault(self.maxIter), maxDepth=self.getOrDefault(self.maxDepth),
                             stepSize=self.getOrDefault(self.stepSize),
                             subsamplingRate=self.getOrDefault(self.subsamplingRate))

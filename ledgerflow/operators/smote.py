@@ -12,7 +12,9 @@ Exact neighbours without an all-pairs join:
   not lengthen distances, so every point within the block's margin
   ``rho`` (distance from the point to the block border) is a candidate; a
   point whose k-th candidate distance is below ``rho`` is exact.  The rest
-  retry on a grid twice as coarse, until all are resolved.
+  retry on a grid ``growth`` times as coarse, until all are resolved.
+  Candidate distances are computed once per level (the ranked candidates,
+  at most k plus ties per point, are checkpointed).
 
 Randomness is md5 of ``(id, sample, seed)`` - reproducible, partition
 independent, and expressible in SQL for an independent check.  Every
@@ -71,7 +73,8 @@ def distinct_points(rows: DataFrame, vec: str, id_col: str) -> DataFrame:
 
 
 def neighbour_slots(points: DataFrame, dims: int, k: int, seed: int = SEED, vec: str = "vec",
-                    cell_target: int = 32, cell_cap: int = 2048, max_levels: int = 40) -> DataFrame:
+                    cell_target: int = 256, cell_cap: int = 2048, max_levels: int = 40,
+                    growth: int = 4) -> DataFrame:
     """``(vid, slot, nvid)``: for every distinct point, its neighbours filling
     slots ``0..k-1`` in order of (distance, vid); a point repeated ``m``
     times has ``m - 1`` copies of itself at distance 0."""
@@ -101,7 +104,7 @@ def neighbour_slots(points: DataFrame, dims: int, k: int, seed: int = SEED, vec:
     unresolved = pts
     parts = []
     for level in range(max_levels):
-        hl = h * (2 ** level)
+        hl = h * (growth ** level)
         x = unresolved.withColumns({"c1": F.floor(F.col("p1") / hl), "c2": F.floor(F.col("p2") / hl)})
         offs = F.array(*[F.struct(F.lit(a).alias("da"), F.lit(b).alias("db")) for a, b in OFFSETS])
         xb = x.select("*", F.inline(offs)).withColumns({"t1": F.col("c1") + F.col("da"),
@@ -116,7 +119,8 @@ def neighbour_slots(points: DataFrame, dims: int, k: int, seed: int = SEED, vec:
         win = Window.partitionBy("vid").orderBy("d2", "y_vid")
         ranked = allc.withColumn("cum", F.sum("w").over(win.rowsBetween(Window.unboundedPreceding,
                                                                        Window.currentRow)))
-        ranked = ranked.withColumn("before", F.col("cum") - F.col("w")).filter(F.col("before") < k)
+        # at most k (+ ties) rows per point: materialised once per level
+        ranked = reliable_checkpoint(ranked.withColumn("before", F.col("cum") - F.col("w")).filter(F.col("before") < k))
         kth = ranked.groupBy("vid").agg(F.max("cum").alias("covered"), F.max("d2").alias("dk"))
         margin = F.least(F.col("p1") - (F.col("c1") - 1) * hl, (F.col("c1") + 2) * hl - F.col("p1"),
                          F.col("p2") - (F.col("c2") - 1) * hl, (F.col("c2") + 2) * hl - F.col("p2"))
@@ -134,7 +138,7 @@ def neighbour_slots(points: DataFrame, dims: int, k: int, seed: int = SEED, vec:
         unresolved = reliable_checkpoint(pts.join(left, "vid", "left_semi"))
     else:
         raise RuntimeError("neighbour_slots: points left unresolved; raise max_levels")
-    return reduce(DataFrame.unionByName, parts).select("vid", F.col("slot").cast("int"), "nvid")
+    return reliable_checkpoint(reduce(DataFrame.unionByName, parts).select("vid", F.col("slot").cast("int"), "nvid"))
 
 
 def smote_balance(df: DataFrame, features: Sequence[str], label: str = "label", id_col: str = "id",
