@@ -82,6 +82,11 @@ def _select_eager(cand, group_cols, gkey, order_cols, ranks_fn, accuracy, max_ba
     tgt_rows = [(_key(t, gkey), t["rank_idx"], t["rank"], t["n"]) for t in targets.collect()]
     if len(tgt_rows) > MAX_TARGETS:
         raise ValueError(f"select_ranks: {len(tgt_rows)} targets exceed the bound of {MAX_TARGETS}")
+    if not tgt_rows:  # no rows, or no rank inside 1..n
+        types = dict(cand.dtypes)
+        ddl = ", ".join([f"{g} {types[g]}" for g in group_cols] + ["rank_idx int", "rank long", "n long"]
+                        + [f"{c} {types[c]}" for c in order_cols])
+        return cand.sparkSession.createDataFrame([], ddl)
     out = _select(cand, gkey, order_cols, [(*t, t[3]) for t in tgt_rows], accuracy, max_band, max_rounds)
     out = out.select(*group_cols, "rank_idx", "rank", "n", *order_cols)
     # at most one row per target (bounded above): return them as a small frame

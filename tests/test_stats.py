@@ -79,3 +79,17 @@ def test_select_ranks_hot_value_larger_than_band(spark):
     med = exact_medians(spark.createDataFrame([(float(i % 3),) for i in range(301)], "a double"), ["a"],
                         max_band=10).first()
     assert med.a == 1.0
+
+
+def test_edge_cases(spark):
+    from ledgerflow.operators import features
+
+    empty = spark.createDataFrame([], "g string, v double")
+    assert select_ranks(empty, ["g"], ["v"], lambda n: [F.lit(1)]).collect() == []
+    nulls = spark.createDataFrame([(None, 1.0), (None, 2.0)], "a double, b double")
+    assert exact_medians(nulls, ["a", "b"]).first().asDict() == {"a": None, "b": 1.5}
+    assert [r.a for r in features.impute_median(nulls, ["a", "b"]).collect()] == [None, None]
+    one_class = spark.createDataFrame([(1, 1, 0.3)], "id long, label int, score double")
+    assert metrics.roc_auc(one_class).first().roc_auc is None
+    tiny = sampling.stratified_split(spark.createDataFrame([(1, 0), (2, 0), (3, 1)], "id long, label int"))
+    assert {r.split for r in tiny.collect()} == {"train"}  # round(0.2 * n) = 0 per class
