@@ -18,13 +18,16 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+STRICT = False  # True: floats must be bit-identical (no re-rounding here)
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 4)
+        return v if STRICT else round(v, 4)
     if isinstance(v, dt.datetime):
         return v.isoformat()
     if isinstance(v, dt.date):
@@ -40,7 +43,22 @@ def _key(row):
     return tuple((x is None, str(type(x)), x if x is not None else 0) for x in row)
 
 
+DUCK_TO_SPARK = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date",
+                 "BOOLEAN": "boolean"}
+
+
+def type_problems(spark_df, con, sql):
+    """Column types must agree (int/bigint/double/string/date/boolean)."""
+    rel = con.sql(sql)
+    spark_types = dict(spark_df.dtypes)
+    return [f"type of {c}: spark={spark_types.get(c)} duck={t}" for c, t in zip(rel.columns, map(str, rel.types))
+            if DUCK_TO_SPARK.get(t, t) != spark_types.get(c)]
+
+
 def compare(spark_df, con, sql):
+    types = type_problems(spark_df, con, sql)
+    if types:
+        return types
     cols = sorted(spark_df.columns)
     srows = [tuple(_norm(r[c]) for c in cols) for r in spark_df.collect()]
     res = con.execute(sql)

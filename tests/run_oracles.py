@@ -12,8 +12,11 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+import oracle_compare  # noqa: E402
 from oracle_compare import compare, duck  # noqa: E402
 
+oracle_compare.STRICT = os.environ.get("ORACLE_STRICT") == "1"
+
 import __spark_entry__ as entry  # noqa: E402
 from ledgerflow.plans.session import build_session  # noqa: E402
 
