@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from ledgerflow.functions.columns import over_limit_flag, row_mean, safe_ratio
 from ledgerflow.operators.quantiles import exact_medians
+from ledgerflow.sources.scratch import reliable_checkpoint
 from ledgerflow.specs import OVERDUE_COLUMNS, RATIO_EPSILON, TRAINING_DROP_COLUMNS
 
 
@@ -69,8 +70,13 @@ def add_credit_features(df: DataFrame, balance: str = "new_balance", limit: str
 
 
 def build_features(customer: DataFrame, payment: DataFrame, approximate_median: bool = False) -> DataFrame:
-    """join -> median fill -> debt_ratio, is_over_limit, mean_ovd."""
-    joined = customer_payment_join(customer, payment)
+    """join -> median fill -> debt_ratio, is_over_limit, mean_ovd.
+
+    The joined frame is read twice (medians, then the fill), so it is
+    materialised once in the shared checkpoint folder instead of repeating
+    both cleanings and the join.
+    """
+    joined = reliable_checkpoint(customer_payment_join(customer, payment))
     return add_credit_features(impute_median(joined, approximate=approximate_median))
 
 
