@@ -6,6 +6,8 @@ runs Python per row.  They are ANSI-safe: bad input gives NULL, not an error.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -62,7 +64,7 @@ def epoch_seconds(ts: str | Column) -> Column:
 
 def epoch_to_iso(seconds: str | Column) -> Column:
     """UTC ISO text ``yyyy-MM-ddTHH:mm:ss.SSSSSS`` of epoch seconds."""
-    micros = F.round(_c(seconds) * F.lit(1_000_000.0)).cast("long")
+    micros = F.round(_c(seconds) * F.lit(1_000_000.0)).try_cast("long")
     ts = F.timestamp_add("MICROSECOND", micros, _epoch_ntz())
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
 
@@ -74,9 +76,11 @@ def number_text(c: str | Column, digits: int = 2) -> Column:
 
 def step_status(duration: str | Column, threshold: float) -> Column:
     """``warning`` when the whole-second duration exceeds the threshold;
-    a missing or zero duration counts as ``success``."""
-    secs = _c(duration).try_cast("double").cast("long")
-    return F.when(F.coalesce(secs, F.lit(0)) > F.lit(threshold), F.lit("warning")).otherwise(F.lit("success"))
+    a missing or zero duration counts as ``success``.  ``int(d) > t`` is
+    ``d >= floor(t) + 1`` for every double, so no integer cast is needed."""
+    d = _c(duration).try_cast("double")
+    slow = F.coalesce(d >= F.lit(float(math.floor(threshold) + 1)), F.lit(False))
+    return F.when(slow, F.lit("warning")).otherwise(F.lit("success"))
 
 
 def alert_line(fmt: str | Column, status: str | Column, duration: str | Column, rows: str | Column) -> Column:

@@ -74,7 +74,7 @@ def step_metrics(runs: DataFrame, threshold: float = SLOW_STEP_SECONDS) -> DataF
     step records (documents that carry a ``step`` and a ``start_time``).
     ``ts`` is the UTC ISO time the step ended; ``duration`` whole seconds."""
     steps = runs.filter(F.col("step").isNotNull() & F.col("start_time").isNotNull())
-    duration = F.col("duration_sec").cast("bigint")
+    duration = F.col("duration_sec").try_cast("bigint")
     out = steps.select(
         epoch_to_iso(F.coalesce(F.col("end_time"), F.col("start_time"))).alias("ts"),
         F.col("step").alias("task"),

@@ -144,7 +144,7 @@ def duration_by_step(runs: DataFrame, digits: int = 4) -> DataFrame:
     whole microseconds (a long sum is associative, a double sum is not) and
     divided with half-up rounding to ``digits`` decimals.
     """
-    micros = F.round(F.col("duration_sec") * F.lit(1_000_000.0)).cast("long")
+    micros = F.round(F.col("duration_sec") * F.lit(1_000_000.0)).try_cast("long")
     agg = runs.groupBy("run_date", "step").agg(
         F.sum(micros).alias("_us"), F.count(micros).alias("_n"),
         F.max("duration_sec").alias("max_duration_sec"),

@@ -102,3 +102,12 @@ def test_row_drop_check(spark):
     out = {x.table: x for x in runs.row_drop_check(r, 0.1).collect()}
     assert out["customer"].flagged and abs(out["customer"].drop_ratio - 0.2) < 1e-12
     assert not out["payment"].flagged
+
+
+def test_huge_durations_do_not_raise_under_ansi(spark):
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    r = spark.createDataFrame([("ingest", 0.0, 1e30, 1e30)],
+                              "step string, start_time double, end_time double, duration_sec double")
+    out = alerts.step_metrics(r).first()
+    assert out.duration is None and out.ts is None and out.status == "warning"
+    assert runs.duration_by_step(r.withColumn("run_date", F.lit("d"))).first().avg_duration_sec is None
