@@ -6,8 +6,8 @@ Plan notes (scale):
   aggregate (``partial_min_by``), so a key holding a third of all rows is
   reduced to one row per map task before it crosses the network.
 * ``impute_mean`` computes the mean as a scalar subquery: a one-row partial
-  + final aggregate whose result is substituted as a literal - no driver
-  round trip, no join, and the main plan keeps its filter pushdown.
+  + final aggregate whose result is substituted as a literal - no join, and
+  the main plan keeps its filter pushdown.
 * filters are plain predicates; Catalyst merges them and pushes the ones
   that sit directly on a scan into Parquet.
 """
@@ -107,8 +107,8 @@ def impute_mean(df: DataFrame, columns: Iterable[str], source: DataFrame | None
     reference's staged pipeline ("raw scope") or ``df`` itself ("filtered
     scope").  A NULL mean (no value at all) leaves the cells NULL.  The fill
     value is cast to the column type (an int column truncates, as
-    ``fillna`` does).  One column: a scalar subquery; several: the one-row
-    means frame joined once (broadcast of a single row).
+    ``fillna`` does).  One column: a scalar subquery (one plan); several:
+    one aggregate job whose single row is substituted as literals.
     """
     columns = list(columns)
     if not columns:
@@ -117,11 +117,10 @@ def impute_mean(df: DataFrame, columns: Iterable[str], source: DataFrame | None
     types = {f.name: f.dataType for f in df.schema.fields}
     if len(columns) == 1:
         fill = {columns[0]: means.scalar()}
-        base = df
-    else:
-        means = means.select(*[F.col(c).alias(f"_mean_{c}") for c in columns])
-        fill = {c: F.col(f"_mean_{c}") for c in columns}
-        base = df.crossJoin(F.broadcast(means))
+    else:  # several means: one aggregate job, the single row comes back as literals
+        row = means.first()
+        fill = {c: F.lit(row[c]).cast("double") for c in columns}
+    base = df
     out = {}
     for c in columns:
         col = F.col(c)
@@ -129,8 +128,7 @@ def impute_mean(df: DataFrame, columns: Iterable[str], source: DataFrame | None
         if isinstance(types[c], (T.DoubleType, T.FloatType)):
             missing = missing | F.isnan(col)
         out[c] = F.when(missing, fill[c].cast(types[c])).otherwise(col)
-    res = base.withColumns(out)
-    return res if len(columns) == 1 else res.drop(*[f"_mean_{c}" for c in columns])
+    return base.withColumns(out)
 
 
 def conform_columns(df: DataFrame, renames: dict[str, str]) -> DataFrame:

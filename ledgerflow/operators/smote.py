@@ -162,10 +162,9 @@ def smote_balance(df: DataFrame, features: Sequence[str], label: str = "label",
     per, extra = divmod(total, m)
     keyed = rows.withColumn("_u", hash_key(id_col, seed))
     if extra:
-        thr = select_ranks(keyed, [], ["_u", id_col], lambda n: [F.lit(extra)]).select(
-            F.col("_u").alias("_tu"), F.col(id_col).alias("_tid"))
-        keyed = keyed.crossJoin(F.broadcast(thr))
-        bonus = ((F.col("_u") < F.col("_tu")) | ((F.col("_u") == F.col("_tu")) & (F.col(id_col) <= F.col("_tid"))))
+        thr = select_ranks(keyed, [], ["_u", id_col], lambda n: [F.lit(extra)]).first()  # one row
+        tu, tid = F.lit(thr["_u"]), F.lit(thr[id_col])
+        bonus = (F.col("_u") < tu) | ((F.col("_u") == tu) & (F.col(id_col) <= tid))
         keyed = keyed.withColumn("_s", F.lit(per) + bonus.cast("int"))
     else:
         keyed = keyed.withColumn("_s", F.lit(per))
