@@ -83,3 +83,30 @@ def test_clean_payment_postconditions(spark):
     assert all(r.highest_balance is not None for r in rows)
     assert set(clean.conform_payment(spark.createDataFrame(rows)).columns) >= {"credit_limit"}
     assert "prod_limit" not in clean.conform_columns(spark.createDataFrame(rows), PAYMENT_SPEC.renames).columns
+
+
+def test_dedupe_matches_python_on_random_rows(spark):
+    import random
+
+    rnd = random.Random(9)
+    rows = [(rnd.choice([None, *range(40)]), rnd.randint(0, 10**6), rnd.random()) for _ in range(3000)]
+    want = {}
+    for k, o, v in rows:
+        if k not in want or (o, v) < want[k][:2]:
+            want[k] = (o, v, k)
+    df = spark.createDataFrame(rows, "k int, o long, v double")
+    got = {r.k: (r.o, r.v, r.k) for r in clean.dedupe_by_key(df, ["k"], ["o", "v"]).collect()}
+    assert got == want
+
+
+def test_hot_key_holding_a_third_of_rows(spark):
+    from ledgerflow.sources import fixtures as fx
+
+    orders = fx.load(spark, "/root/testdata/sf0.001", "orders")
+    hot = orders.withColumn("o_custkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(-7)).otherwise(F.col("o_custkey")))
+    raw = fx.dirty_payment(hot)
+    out = clean.dedupe_by_key(raw, ["id"], ["ord"])
+    rows = out.collect()
+    assert len(rows) == raw.select("id").distinct().count()
+    hot_row = [r for r in rows if r.id == -7][0]
+    assert hot_row.ord == raw.filter("id = -7").agg(F.min("ord")).first()[0]
