@@ -50,13 +50,16 @@ def start_run_table(docs: DataFrame, sink: str, checkpoint: str, run_date, avail
 
 
 def start_alert_stream(docs: DataFrame, sink: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Evaluate alert rules on every micro-batch of verify results and append
-    the alert lines (with their document positions) to ``sink``."""
+    """Evaluate alert rules on every micro-batch of verify results and write
+    the alert lines (with their document positions) to ``sink``, one
+    ``batch_id=N`` partition per micro-batch."""
     flat = runs.flatten_runs(docs, run_date="", keep_position=True).filter(F.col("step") == "verify")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        # a replayed batch (after a failure) overwrites its own partition:
+        # the sink stays exactly-once although foreachBatch is at-least-once
         found = alerts.evaluate_alerts(batch).select("source_path", "doc_seq", "item_pos", "alert")
-        found.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(sink)
+        found.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
     writer = flat.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -28,5 +28,6 @@ def test_alert_stream(spark, tmp_path):
                           "value string").coalesce(1).write.text(str(src / "v"))
     q = start_alert_stream(read_doc_stream(spark, str(src / "*")), str(tmp_path / "alerts"), str(tmp_path / "ck"))
     q.awaitTermination()
-    lines = [r.alert for r in spark.read.parquet(str(tmp_path / "alerts")).collect()]
-    assert lines == ["Format csv: status=failed, duration=0s, row_count=1"]
+    rows = spark.read.parquet(str(tmp_path / "alerts")).collect()
+    assert [r.alert for r in rows] == ["Format csv: status=failed, duration=0s, row_count=1"]
+    assert rows[0].batch_id == 0
