@@ -131,8 +131,10 @@ def collect_metadata(spark: SparkSession, layout: Layout, run_date: str | None =
     run_date = run_date or datetime.now(timezone.utc).strftime("%Y-%m-%d")
     docs, missing = read_run_docs(spark, [layout.doc(s) for s in steps])
     table = runs.flatten_runs(docs, run_date=run_date)
-    append_rows(table, layout.runs_table)
-    return spark.read.parquet(layout.runs_table).filter(F.col("run_date") == run_date)
+    # partitioned by day: reading one day back prunes the rest of the history
+    append_rows(table, layout.runs_table, partition_by=["run_date"])
+    schema = ", ".join(f"{n} {t}" for n, t in runs.RUN_SCHEMA)  # keeps run_date a string, in place
+    return spark.read.schema(schema).parquet(layout.runs_table).filter(F.col("run_date") == run_date)
 
 
 def check_alerts(spark: SparkSession, layout: Layout) -> DataFrame:

@@ -140,9 +140,12 @@ def load_table(spark: SparkSession, source: DataFrame | str, target: str, mode:
     return res
 
 
-def append_rows(df: DataFrame, target: str, fmt: str = "parquet") -> None:
-    """Warehouse append (run table, training-run log)."""
+def append_rows(df: DataFrame, target: str, fmt: str = "parquet", partition_by: Iterable[str] = ()) -> None:
+    """Warehouse append (run table, training-run log); ``partition_by`` lets
+    readers of one day prune the others."""
     w = df.write.mode("append").format(fmt)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
     if "/" in target or ":" in target:
         w.save(target)
     else:

@@ -73,6 +73,8 @@ def test_pipeline_end_to_end(spark, tmp_path):
     assert out["transform"]["records"] == {"customer": n_c, "payment": n_p}
     assert all(r["status"] == "success" for r in out["verify"])
     assert {r["row_count"] for r in out["verify"] if r["table"] == "customer"} == {n_c}
+    assert [c for c, _ in out["runs"].dtypes][:2] == ["run_date", "step"]
+    assert dict(out["runs"].dtypes)["run_date"] == "string"
     steps = {r.step for r in out["runs"].collect()}
     assert steps == {"ingest", "transform", "verify", "load"}
     lines = [r.line for r in out["alerts"].collect()]
