@@ -134,7 +134,8 @@ def collect_metadata(spark: SparkSession, layout: Layout, run_date: str | None =
     # partitioned by day: reading one day back prunes the rest of the history
     append_rows(table, layout.runs_table, partition_by=["run_date"])
     schema = ", ".join(f"{n} {t}" for n, t in runs.RUN_SCHEMA)  # keeps run_date a string, in place
-    return spark.read.schema(schema).parquet(layout.runs_table).filter(F.col("run_date") == run_date)
+    back = spark.read.schema(schema).parquet(layout.runs_table).filter(F.col("run_date") == run_date)
+    return back.select(*[n for n, _ in runs.RUN_SCHEMA])
 
 
 def check_alerts(spark: SparkSession, layout: Layout) -> DataFrame:
