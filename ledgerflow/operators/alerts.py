@@ -65,8 +65,9 @@ def notification_text(alerts: DataFrame, order_cols=ORDER_COLUMNS) -> DataFrame:
 
 
 def clean_alert_text(text_col: str = "line"):
-    """Stripped alert text; ``NO_ALERT`` becomes NULL."""
-    return F.nullif(F.trim(F.col(text_col)), F.lit(NO_ALERT))
+    """Alert text stripped of surrounding whitespace (newlines included);
+    ``NO_ALERT`` becomes NULL."""
+    return F.nullif(F.regexp_replace(F.col(text_col), r"^\s+|\s+$", ""), F.lit(NO_ALERT))
 
 
 def step_metrics(runs: DataFrame, threshold: float = SLOW_STEP_SECONDS) -> DataFrame:

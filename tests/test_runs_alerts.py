@@ -111,3 +111,21 @@ def test_huge_durations_do_not_raise_under_ansi(spark):
     out = alerts.step_metrics(r).first()
     assert out.duration is None and out.ts is None and out.status == "warning"
     assert runs.duration_by_step(r.withColumn("run_date", F.lit("d"))).first().avg_duration_sec is None
+
+
+def test_step_metric_log_appends_lines(spark, tmp_path):
+    from ledgerflow.sources.sinks import append_step_metric
+
+    r = spark.createDataFrame([("ingest", 0.0, 12.5, 12.5)],
+                              "step string, start_time double, end_time double, duration_sec double")
+    metrics = alerts.step_metrics(r)
+    for _ in range(2):
+        append_step_metric(metrics, str(tmp_path / "log"))
+    lines = sorted(x.value for x in spark.read.text(str(tmp_path / "log")).collect())
+    assert lines == ["1970-01-01T00:00:12.500000,ingest,12,success"] * 2
+
+
+def test_clean_alert_text(spark):
+    df = spark.createDataFrame([("  NO_ALERT \n",), (" Format csv: status=failed ",)], "line string")
+    assert [r.t for r in df.select(alerts.clean_alert_text().alias("t")).collect()] == [
+        None, "Format csv: status=failed"]
