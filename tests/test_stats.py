@@ -93,3 +93,10 @@ def test_edge_cases(spark):
     assert metrics.roc_auc(one_class).first().roc_auc is None
     tiny = sampling.stratified_split(spark.createDataFrame([(1, 0), (2, 0), (3, 1)], "id long, label int"))
     assert {r.split for r in tiny.collect()} == {"train"}  # round(0.2 * n) = 0 per class
+
+
+def test_report_zero_division_counts_as_zero(spark):
+    df = spark.createDataFrame([(1, 0), (0, 0), (0, 0)], "label int, prediction int")
+    rep = {r["class"]: r for r in metrics.classification_report(df).collect()}
+    assert (rep["1"].precision, rep["1"].recall, rep["1"].f1_score, rep["1"].support) == (0.0, 0.0, 0.0, 1)
+    assert rep["macro avg"].precision == pytest.approx((2 / 3) / 2)
