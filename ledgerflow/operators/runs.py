@@ -59,7 +59,8 @@ def explode_documents(docs: DataFrame, value_col: str = "value", path_col: str =
     v = F.try_parse_json(F.col(value_col))
     first = F.regexp_extract(F.col(value_col), r"^\s*(\S)", 1)
     as_list = F.try_variant_get(F.col("_v"), "$", "array<variant>")
-    objects = F.filter(as_list, lambda x: F.schema_of_variant(x).startswith("OBJECT"))
+    # an item is an object exactly when it reads as a map (``{}`` included)
+    objects = F.filter(as_list, lambda x: F.try_variant_get(x, "$", "map<string,variant>").isNotNull())
     items = F.when(F.col("_first") == "[", objects).when(F.col("_first") == "{", F.array(F.col("_v")))
     seq = F.col(seq_col) if seq_col and seq_col in docs.columns else F.lit(None).cast("bigint")
     return (docs
