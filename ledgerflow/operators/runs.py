@@ -56,17 +56,19 @@ def explode_documents(docs: DataFrame, value_col: str = "value", path_col: str =
     Output: ``source_path, doc_seq, item_pos, is_list, item`` (item is a
     VARIANT object).  Objects keep position 0; list items keep their index.
     """
+    def is_object(x):  # an object reads as a map (``{}`` included); nothing else does
+        return F.try_variant_get(x, "$", "map<string,variant>").isNotNull()
+
     v = F.try_parse_json(F.col(value_col))
-    first = F.regexp_extract(F.col(value_col), r"^\s*(\S)", 1)
     as_list = F.try_variant_get(F.col("_v"), "$", "array<variant>")
-    # an item is an object exactly when it reads as a map (``{}`` included)
-    objects = F.filter(as_list, lambda x: F.try_variant_get(x, "$", "map<string,variant>").isNotNull())
-    items = F.when(F.col("_first") == "[", objects).when(F.col("_first") == "{", F.array(F.col("_v")))
+    items = (F.when(F.col("_arr").isNotNull(), F.filter(F.col("_arr"), is_object))
+              .when(is_object(F.col("_v")), F.array(F.col("_v"))))
     seq = F.col(seq_col) if seq_col and seq_col in docs.columns else F.lit(None).cast("bigint")
     return (docs
-            .select(F.col(path_col).alias("source_path"), seq.alias("doc_seq"), v.alias("_v"), first.alias("_first"))
+            .select(F.col(path_col).alias("source_path"), seq.alias("doc_seq"), v.alias("_v"))
             .filter(F.col("_v").isNotNull())
-            .select("source_path", "doc_seq", (F.col("_first") == "[").alias("is_list"),
+            .withColumn("_arr", as_list)
+            .select("source_path", "doc_seq", F.col("_arr").isNotNull().alias("is_list"),
                     F.posexplode(items).alias("item_pos", "item")))
 
 
