@@ -1,2 +1,11 @@
 """Training-data operators: one module per operator, plus ``queries`` (the
-registered queries and their SQL).  Nothing outside this package imports it."""
+registered queries and their SQL).  Nothing outside this package imports it.
+
+Functions that run inside tasks travel by value, so executors need no copy of
+this package."""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

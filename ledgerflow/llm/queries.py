@@ -8,9 +8,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerflow.llm import hash_tree, mixing
-from ledgerflow.llm.common import table
+from ledgerflow.llm import hash_tree, language, mixing, rules
+from ledgerflow.llm.common import held_out, table
 from ledgerflow.llm.oracle_sql import ORACLE  # noqa: F401
 
 
@@ -23,8 +24,23 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_tree.shard_documents(table(spark, sf_dir, "documents"), hash_tree.balanced_tree(8))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = rules.learn(docs, table(spark, sf_dir, "labels"))
+    return rules.score_documents(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= rules.ACCEPT).cast("int").alias("predicted"))
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs.select("doc_id", "text"), language.fit_profiles(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "language.lang_pred", "language.score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": op5_mixing,
     "op7_sharding": op7_sharding,
+    "op8_quality": op8_quality,
+    "op10_language": op10_language,
 }
 
