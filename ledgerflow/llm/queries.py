@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import hash_tree, language, mixing, rules
+from ledgerflow.llm import hash_tree, language, mixing, rules, warc
 from ledgerflow.llm.common import held_out, table
 from ledgerflow.llm.oracle_sql import ORACLE  # noqa: F401
 
@@ -31,6 +31,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= rules.ACCEPT).cast("int").alias("predicted"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language.identify(docs.select("doc_id", "text"), language.fit_profiles(docs))
@@ -41,6 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": op5_mixing,
     "op7_sharding": op7_sharding,
     "op8_quality": op8_quality,
+    "op9_warc": op9_warc,
     "op10_language": op10_language,
 }
 
