@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import edit_embedding, hash_tree, language, mixing, packing, rules, warc
+from ledgerflow.llm import edit_embedding, hash_tree, language, mixing, multi_index, packing, rules, warc
 from ledgerflow.llm.common import held_out, table
 from ledgerflow.llm.oracle_sql import ORACLE  # noqa: F401
 
@@ -23,6 +23,10 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_embedding.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_documents(table(spark, sf_dir, "documents"))
     return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
@@ -52,6 +56,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_fingerprints": op2_fingerprints,
+    "op3_embeddings": op3_embeddings,
     "op5_mixing": op5_mixing,
     "op7_sharding": op7_sharding,
     "op8_quality": op8_quality,
