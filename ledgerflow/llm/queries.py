@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import edit_embedding, hash_tree, language, mixing, multi_index, packing, rules, warc
+from ledgerflow.llm import edit_embedding, hash_tree, language, mixing, multi_index, order_minhash, packing, rules, warc
 from ledgerflow.llm.common import held_out, table
 from ledgerflow.llm.oracle_sql import ORACLE  # noqa: F401
 
@@ -27,6 +27,11 @@ def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return order_minhash.near_duplicate_classes(docs, keep=["doc_id"]).select("doc.doc_id", "class_id", "kept")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_documents(table(spark, sf_dir, "documents"))
     return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
@@ -57,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_fingerprints": op2_fingerprints,
     "op3_embeddings": op3_embeddings,
+    "op4_near_duplicates": op4_near_duplicates,
     "op5_mixing": op5_mixing,
     "op7_sharding": op7_sharding,
     "op8_quality": op8_quality,
