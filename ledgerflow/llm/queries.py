@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import edit_embedding, hash_tree, language, mixing, multi_index, order_minhash, packing, rules, warc
+from ledgerflow.llm import edit_embedding, hash_tree, html_lstm, language, mixing, multi_index, order_minhash, packing, rules, warc
 from ledgerflow.llm.common import held_out, table
 from ledgerflow.llm.oracle_sql import ORACLE  # noqa: F401
 
@@ -37,6 +37,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_lstm.extract_pages(pages, html_lstm.fit(pages))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_tree.shard_documents(table(spark, sf_dir, "documents"), hash_tree.balanced_tree(8))
 
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_embeddings": op3_embeddings,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_mixing": op5_mixing,
+    "op6_html": op6_html,
     "op7_sharding": op7_sharding,
     "op8_quality": op8_quality,
     "op9_warc": op9_warc,
