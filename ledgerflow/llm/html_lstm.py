@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE, SAMPLE_BYTES = 200, 100_000
+SAMPLE, SAMPLE_BYTES = 400, 100_000
 TEMPLATES, EPOCHS, BATCH, RATE = 700, 18, 25, 0.01
 PATH_DIMS, WORD_DIMS, MEASURES, HIDDEN = 160, 48, 8, 20
 DIMS = PATH_DIMS + WORD_DIMS + MEASURES
@@ -344,11 +344,14 @@ def template_page(rng: np.random.Generator, words: list[str]) -> tuple[str, dict
         elif rng.random() < 0.4:
             body = text(2, 20, 0)
         else:
-            body = "".join(f"<{pick(['p', 'div', 'h3', 'p'])}>{text(2, 25, 0)}" for _ in range(rng.integers(1, 4)))
+            body = "".join("<{0}>{1}</{0}>".format(pick(["p", "div", "h3", "p"]), text(2, 25, 0)) for _ in range(rng.integers(1, 4)))
         return f"<{tag}{attr}>{body}</{tag}>"
 
+    long = rng.random() < 0.1  # pages of very many blocks, most of them short
+    brief = long or rng.random() < 0.1
+
     def paragraph() -> str:
-        body = text(3, 90, 1)
+        body = text(1, 4, 1) if brief and rng.random() < 0.8 else text(3, 40 if long else 90, 1)
         if rng.random() < 0.25:
             cut = body.find(" ", len(body) // 2)
             if cut > 0:
@@ -357,12 +360,12 @@ def template_page(rng: np.random.Generator, words: list[str]) -> tuple[str, dict
         return pick([f"<p>{body}</p>", f"<p>{body}</p>", f"<p>{body}", f"<p><b>{body}<br>", f"<div>{body}</div>"])
 
     main = [f"<h{rng.integers(1, 3)}>{text(2, 14, 1)}</h1>"] if rng.random() < 0.85 else []
-    for _ in range(int(rng.integers(1, 12))):
+    for _ in range(int(rng.integers(20, 130) if long else rng.integers(1, 12))):
         extra = rng.random()
         main.append(f"<h{rng.integers(2, 4)}>{text(1, 8, 1)}</h2>" if extra < 0.08 else f"<ul>{''.join(f'<li>{text(2, 25, 1)}</li>' for _ in range(rng.integers(1, 5)))}</ul>"
                     if extra < 0.14 else f"<blockquote>{paragraph()}</blockquote>" if extra < 0.18 else f"<pre>{text(3, 20, 1)}</pre>" if extra < 0.2
                     else f"<table><tr><td>{text(1, 6, 1)}</td><td>{text(1, 6, 1)}</td></tr></table>" if extra < 0.23 else paragraph())
-        if rng.random() < 0.06:
+        if rng.random() < (0.01 if long else 0.06):
             main.append(side(pick(["ad", "sidebar", "notice", "share", "form"]), inside=True))
     if rng.random() < 0.15:
         main.append(side("comment", inside=True))
