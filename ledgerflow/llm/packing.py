@@ -18,7 +18,6 @@ columns are ignored.
 
 from __future__ import annotations
 
-import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -26,7 +25,6 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,11 +35,11 @@ END_ID = 1
 DIMS, BITS = 4, 8
 HASHED = 1024
 SEED = 11
-CACHE_WORDS = 600_000
+CACHE_WORDS = 300_000
 TOKENIZER = "word_bpe_49k.json"
 
-# fixed value: how this vocabulary's tokenizer splits lower-cased text
-SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: one word of Latin letters, with or without a closing mark
+PLAIN = "^[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]?$"
 
 
 def default_tokenizer_path() -> str:
@@ -60,13 +58,20 @@ def _byte_alphabet() -> dict[int, str]:
     return table
 
 
+def _gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The runs ``flat[start:start + size]``, end to end."""
+    first = np.cumsum(size) - size
+    return flat[np.repeat(start - first, size) + np.arange(int(size.sum()))]
+
+
 class WordEncoder:
-    """Exact ids of white-space-delimited chunks, remembered between batches.
+    """Exact ids of many texts at a time, each distinct word encoded once.
 
     No rule of this vocabulary joins characters across white space, so a text's
-    ids are those of its chunks in turn.  Printable Latin chunks go word by
-    word to the vocabulary's model; any other chunk goes through the whole
-    tokenizer.  The memory holds at most ``CACHE_WORDS`` entries of each kind.
+    ids are those of its chunks in turn.  A chunk of Latin letters, with or
+    without one closing full stop or comma, is lower-cased and goes to the
+    vocabulary's model as one word; any other chunk goes through the whole
+    tokenizer.
     """
 
     def __init__(self, path: str):
@@ -74,54 +79,65 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.words: dict[str, list[int]] = {}
-        self.chunks: dict[str, np.ndarray] = {}
-        self.split = regex.compile(SPLIT).findall
         self.alphabet = {k: v for k, v in _byte_alphabet().items() if chr(k) != v}
+        self.words: dict[str, list[int]] = {}
 
     def word(self, word: str) -> list[int]:
-        ids = self.words.get(word)
-        if ids is None:
-            if len(self.words) >= CACHE_WORDS:
-                self.words.clear()
-            text = word if word.isascii() else word.encode().decode("latin-1").translate(self.alphabet)
-            ids = self.words[word] = [t.id for t in self.model.tokenize(text)]
-        return ids
-
-    def chunk(self, chunk: str) -> np.ndarray:
-        if "<|" in chunk or not chunk.isprintable() or not (chunk.isascii() or max(chunk) < "ɐ"):
-            return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, np.uint32)
-        low = chunk.lower()
-        if low.isascii() and low.isalpha():
-            return np.array(self.word(low), np.uint32)
-        low = unicodedata.normalize("NFC", low)
-        return np.array([i for w in self.split(low) for i in self.word(w)], np.uint32)
-
-    def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts end to end, and the number of ids of each text."""
+        text = word if word.isascii() else word.encode().decode("latin-1").translate(self.alphabet)
+        return [t.id for t in self.model.tokenize(text)]
+
+    def _words(self, words: list[str]) -> list[list[int]]:
+        known = self.words
+        if len(known) > CACHE_WORDS:
+            known.clear()
+        new = [w for w in words if w not in known]
+        known.update(zip(new, map(self.word, new)))
+        return [known[w] for w in words]
+
+    def chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of each chunk end to end, and their numbers."""
+        plain = pc.match_substring_regex(chunks, PLAIN)
+        simple = plain.to_numpy(zero_copy_only=False)
+        coded = pc.utf8_rtrim(pc.utf8_lower(chunks.filter(plain)), ".,").dictionary_encode()
+        found = self._words(coded.dictionary.to_pylist())
+        rest = [e.ids for e in self.tokenizer.encode_batch(chunks.filter(pc.invert(plain)).to_pylist(), add_special_tokens=False)]
+        closing = [pc.ends_with(chunks, mark).to_numpy(zero_copy_only=False) & simple for mark in ".,"]
+
+        size_of = np.fromiter(map(len, found), np.int64, len(found))
+        code = coded.indices.to_numpy(zero_copy_only=False)
+        size = np.empty(len(simple), np.int64)
+        size[simple] = size_of[code]
+        size[~simple] = np.fromiter(map(len, rest), np.int64, len(rest))
+        size += closing[0] | closing[1]
+        ids = np.empty(int(size.sum()), np.uint32)
+        end = np.cumsum(size)
+        closed = closing[0] | closing[1]
+        inner = np.ones(len(ids), bool)
+        inner[end[closed] - 1] = False
+        owner = np.repeat(simple, size)
+        flat = np.fromiter((i for ws in found for i in ws), np.uint32, int(size_of.sum()))
+        ids[owner & inner] = _gather(flat, (np.cumsum(size_of) - size_of)[code], size_of[code])
+        ids[~owner] = np.fromiter((i for ws in rest for i in ws), np.uint32, int(size[~simple].sum()))
+        for mark, at in zip(".,", closing):
+            ids[end[at] - 1] = self.word(mark)[0]
+        return ids, size
+
+    def batch(self, texts: pa.Array, rows: int = 1000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For every ``rows`` texts: all ids end to end, and the number of ids of each."""
         for mark in ("\n", "\t", "\r"):
             texts = pc.replace_substring(texts, mark, " ")
         parts = pc.split_pattern(texts, " ")
-        counts = pc.list_value_length(parts).to_numpy(zero_copy_only=False)
+        bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(parts).to_numpy(zero_copy_only=False))]).astype(np.int64)
         coded = parts.flatten().dictionary_encode()
-        found = []
-        if len(self.chunks) + len(coded.dictionary) > CACHE_WORDS:
-            self.chunks.clear()
-        for c in coded.dictionary.to_pylist():
-            ids = self.chunks.get(c)
-            if ids is None:
-                ids = self.chunks[c] = self.chunk(c)
-            found.append(ids)
-        code = coded.indices.to_numpy(zero_copy_only=False)
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.concatenate(found) if found else np.zeros(0, np.uint32)
+        del parts
+        flat, size = self.chunks(coded.dictionary)
         start = np.cumsum(size) - size
-        n = size[code]
-        first = np.cumsum(n) - n
-        total = int(n.sum())
-        ids = flat[np.repeat(start[code] - first, n) + np.arange(total)] if total else np.zeros(0, np.uint32)
-        of_text = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(counts)])]
-        return ids, np.diff(of_text)
+        code = coded.indices.to_numpy(zero_copy_only=False)
+        for lo in range(0, len(texts), rows):
+            hi = min(lo + rows, len(texts))
+            c = code[bounds[lo]:bounds[hi]]
+            upto = np.concatenate([[0], np.cumsum(size[c])])
+            yield _gather(flat, start[c], size[c]), np.diff(upto[bounds[lo:hi + 1] - bounds[lo]])
 
 
 def hilbert_key(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -163,22 +179,25 @@ def tokenised(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
         wide = "<u2" if encoder.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         rng = np.random.default_rng(SEED)
         matrix = rng.standard_normal((HASHED, DIMS))
-        for big in batches:
-            for lo in range(0, big.num_rows, 2000):
-                batch = big.slice(lo, 2000)
-                ids, n = encoder.batch(batch.column(1))
+        # the hashing trick: a bin and a sign for each id of the vocabulary
+        bins = rng.integers(0, HASHED, encoder.tokenizer.get_vocab_size())
+        sign = rng.choice([-1.0, 1.0], len(bins))
+        last = np.array([END_ID], wide).tobytes()
+        for batch in batches:
+            lo = 0
+            for ids, n in encoder.batch(batch.column(1)):
                 ends = np.cumsum(n)
                 blobs, places = [], np.zeros((len(n), DIMS))
-                hashed = (ids.astype(np.uint64) * np.uint64(2654435761) >> np.uint64(7)).astype(np.int64)
-                bins, sign = hashed % HASHED, np.where(hashed & (1 << 20), 1.0, -1.0)
+                narrow = ids.astype(wide)
                 for i, (b, m) in enumerate(zip(ends.tolist(), n.tolist())):
-                    blobs.append(np.append(ids[b - m:b], np.uint32(END_ID)).astype(wide).tobytes())
+                    blobs.append(narrow[b - m:b].tobytes() + last)
                     if m:
-                        v = np.bincount(bins[b - m:b], sign[b - m:b], HASHED)
+                        v = np.bincount(bins[ids[b - m:b]], sign[ids[b - m:b]], HASHED)
                         places[i] = (v @ matrix) / max(np.sqrt(v @ v), 1e-9)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0), pa.array(n + 1, pa.int64()), pa.array(blobs, pa.binary()),
+                    batch.column(0).slice(lo, len(n)), pa.array(n + 1, pa.int64()), pa.array(blobs, pa.binary()),
                     pa.array(list(places), pa.list_(pa.float64()))], ["doc_id", "n", "ids", "at"])
+                lo += len(n)
 
     rows = docs.select(F.col("doc_id").cast("long"), whole_text().alias("text")).mapInArrow(
         encode, "doc_id long, n long, ids binary, at array<double>")
