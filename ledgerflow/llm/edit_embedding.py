@@ -39,7 +39,7 @@ WALKS, OCTAVES, SAMPLES = 2, 5, 32
 CLASSES, PERIOD, TOP = 64, 1024, 40
 CHANCE = 0.025
 SEED = 2021
-CHUNK_CHARS = 5_000_000
+CHUNK_CHARS = 2_000_000
 ALPHABET = "".join(map(chr, range(48, 48 + 64)))
 PAD = 63
 WIDTH = 1 + WALKS * OCTAVES * SAMPLES
@@ -85,12 +85,12 @@ class Walker:
         # texts lie end to end; ``turn`` sends them to the order in which all are
         # walked: the first character of each, the second of each that has one, ...
         first = np.cumsum(size) - size
-        text_of = np.repeat(rows, size)
-        step_of = np.arange(total) - first[text_of]
+        text_of = np.repeat(rows.astype(np.int32), size)
         longest = int(size[0]) if count else 0
         walking = count - np.searchsorted(size[::-1], np.arange(longest), side="right")
         step_at = np.concatenate([[0], np.cumsum(walking)])
-        turn = step_at[step_of] + text_of
+        turn = step_at[np.arange(total) - np.repeat(first, size)].astype(np.int32)
+        turn += text_of
         by_step = np.empty(total, np.int32)
         by_step[turn] = kind * PERIOD
 
@@ -114,7 +114,7 @@ class Walker:
         span = int(j.max(initial=0)) + 2
         for w in range(WALKS if total else 0):
             length = j[w].astype(np.int64)
-            line = begun[w][turn] + text_of * span
+            line = begun[w][turn] + text_of.astype(np.int64) * span
             places = self.places[w][np.maximum(octaves, 0)]
             inside = (octaves[:, :, None] >= 0) & (places < length[:, None, None])
             query = np.where(inside, places, 0) + (rows * span)[:, None, None]
