@@ -176,7 +176,7 @@ def in_order(docs: DataFrame, pieces: int | None = None) -> DataFrame:
     ghost = F.struct(((F.col("at.piece") + F.lit(n - 1)) % F.lit(n)).cast("int").alias("piece"), F.lit(True).alias("ghost"))
     dealt = placed.select(F.explode(F.when(F.col("at.first"), F.array(own, ghost)).otherwise(F.array(own))).alias("to"),
                           "doc_id", "tie", "text").select("to.*", "doc_id", "tie", "text")
-    return dealt.repartition(pieces, "piece").sortWithinPartitions("piece", "ghost", "doc_id", "tie")
+    return dealt.repartitionById(pieces, F.col("piece")).sortWithinPartitions("piece", "ghost", "doc_id", "tie")
 
 
 def edited(text: str, following: str) -> str:
