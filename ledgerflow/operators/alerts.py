@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.columns import alert_line, epoch_to_iso, step_status
-from ledgerflow.specs import ALERT_HEADER, ALL_GOOD_TEXT, MIN_ROW_COUNT, NO_ALERT, SLOW_STEP_SECONDS
+from ledgerflow.specs import ALERT_HEADER, ALL_GOOD_TEXT, MIN_ROW_COUNT, NO_ALERT, PIPELINE_NAME, SLOW_STEP_SECONDS
 
 ORDER_COLUMNS = ("source_path", "doc_seq", "item_pos")
 
@@ -51,15 +51,16 @@ def alert_summary(alerts: DataFrame, order_cols=ORDER_COLUMNS) -> DataFrame:
     return lines.unionByName(empty)
 
 
-def notification_text(alerts: DataFrame, order_cols=ORDER_COLUMNS) -> DataFrame:
-    """Notification as rows ``(part, *order_cols, line)``: the alert header
-    (part 0) followed by the alert lines (part 1), or the all-good sentence."""
+def notification_text(alerts: DataFrame, order_cols=ORDER_COLUMNS, pipeline: str = PIPELINE_NAME) -> DataFrame:
+    """Notification as rows ``(part, *order_cols, line)``: a header naming the
+    ``pipeline`` (part 0) followed by the alert lines (part 1), or the all-good
+    sentence."""
     keys = _key_columns(alerts, order_cols)
     types = dict(alerts.dtypes)
     nulls = [F.lit(None).cast(types[k]).alias(k) for k in keys]
     status = alert_status(alerts)
     header = status.select(F.lit(0).alias("part"), *nulls,
-                           F.when(F.col("has_alert"), F.lit(ALERT_HEADER)).otherwise(F.lit(ALL_GOOD_TEXT)).alias("line"))
+                           F.when(F.col("has_alert"), F.lit(ALERT_HEADER % pipeline)).otherwise(F.lit(ALL_GOOD_TEXT % pipeline)).alias("line"))
     body = alerts.select(F.lit(1).alias("part"), *keys, F.col("alert").alias("line"))
     return header.unionByName(body)
 

@@ -4,7 +4,8 @@ and the composite customer / payment cleaning passes.
 Plan notes (scale):
 * ``dedupe_by_key`` is one hash shuffle on the key with a map-side partial
   aggregate (``partial_min_by``), so a key holding a third of all rows is
-  reduced to one row per map task before it crosses the network.
+  reduced to one row per map task before it crosses the network.  Its state
+  is a struct, so Spark sorts by key on both sides of the shuffle.
 * ``impute_mean`` computes the mean as a scalar subquery: a one-row partial
   + final aggregate whose result is substituted as a literal - no join, and
   the main plan keeps its filter pushdown.
@@ -29,8 +30,8 @@ def dedupe_by_key(df: DataFrame, keys: Iterable[str], order_by: Iterable[str] |
 
     ``order_by=None`` keeps an arbitrary survivor (``dropDuplicates``).  With
     ``order_by`` the survivor is the row with the smallest order value
-    (lexicographic over the listed columns), which makes every sink and
-    every recomputation agree.  NULL keys form one group.
+    (lexicographic over the listed columns, NULL last), which makes every sink
+    and every recomputation agree.  NULL keys form one group.
     """
     keys = list(keys)
     if order_by is None:
@@ -39,7 +40,8 @@ def dedupe_by_key(df: DataFrame, keys: Iterable[str], order_by: Iterable[str] |
     others = [c for c in df.columns if c not in keys]
     if not others:
         return df.select(*keys).distinct()
-    order = F.col(order_by[0]) if len(order_by) == 1 else F.struct(*[F.col(c) for c in order_by])
+    # a struct is never NULL, so rows whose order values are NULL keep their content
+    order = F.struct(*[part for c in order_by for part in (F.col(c).isNull(), F.col(c))])
     survivor = df.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(c) for c in others]), order).alias("_survivor"))
     return survivor.select(*[F.col(k) for k in keys], *[F.col(f"_survivor.{c}").alias(c) for c in others]).select(
         *df.columns

@@ -57,13 +57,10 @@ def confusion_counts(scored: DataFrame, label: str = "label", prediction: str =
     return scored.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).count()
 
 
-def confusion_matrix(scored: DataFrame, label: str = "label", prediction: str = "prediction",
-                     classes: tuple[int, ...] = (0, 1)) -> DataFrame:
-    """Rows per true label, one ``pred_<c>`` count column per class."""
-    cm = confusion_counts(scored, label, prediction)
-    out = cm.groupBy("label").pivot("prediction", list(classes)).agg(F.sum("count"))
-    out = out.fillna(0, subset=[str(c) for c in classes])
-    return out.select("label", *[F.col(str(c)).cast("long").alias(f"pred_{c}") for c in classes])
+def confusion_matrix(scored: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """``(label, prediction, n)``: a row for every pair that occurs, of any class
+    and NULL included."""
+    return confusion_counts(scored, label, prediction).select("label", "prediction", F.col("count").alias("n"))
 
 
 def classification_report(scored: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

@@ -14,7 +14,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerflow.sources.readers import read_table
-from ledgerflow.sources.sinks import Target, _short
+from ledgerflow.sources.sinks import Target, error_text
 
 VERIFY_SCHEMA = ("table string, format string, path string, is_table boolean, status string, "
                  "row_count bigint, error string, duration_sec double")
@@ -35,7 +35,7 @@ def verify_table(spark: SparkSession, target: Target, table: str | None = None,
             df.show(preview)
         res.update(status="success", row_count=int(df.count()))
     except Exception as e:  # noqa: BLE001 - the result row carries the failure
-        res.update(status="failed", error=_short(e))
+        res.update(status="failed", error=error_text(e))
     res["duration_sec"] = round(time.time() - start, 2)
     return res
 

@@ -161,11 +161,10 @@ def duration_by_step(runs: DataFrame, digits: int = 4) -> DataFrame:
                       "total_duration_sec", "n_records")
 
 
-def daily_status(runs: DataFrame, statuses: tuple[str, ...] = ("success", "failed")) -> DataFrame:
-    """Count of results per day and status (pivot with a fixed value list, so
-    no extra job discovers the values)."""
-    out = runs.groupBy("run_date").pivot("status", list(statuses)).count()
-    return out.fillna(0, subset=list(statuses))
+def daily_status(runs: DataFrame) -> DataFrame:
+    """Count of results per day and status, every status that occurs and NULL
+    (records without one) as rows of their own."""
+    return runs.groupBy("run_date", "status").agg(F.count(F.lit(1)).alias("n_results"))
 
 
 def row_drop_check(runs: DataFrame, max_drop: float = 0.1,
@@ -174,7 +173,8 @@ def row_drop_check(runs: DataFrame, max_drop: float = 0.1,
 
     Record counts are summed per day and step (conditional aggregation, one
     shuffle on ``run_date``; no pairing of documents), then the relative
-    drop per table is compared with ``max_drop``.
+    drop per table is compared with ``max_drop``.  A day without the later
+    step has lost everything: its count there is 0.
     """
     def total(step: str, col: str) -> Column:
         return F.sum(F.when(F.col("step") == step, F.col(col))).alias(f"{col}_{step}")
@@ -185,7 +185,8 @@ def row_drop_check(runs: DataFrame, max_drop: float = 0.1,
     tables = []
     for table, col in (("customer", "customer_records"), ("payment", "payment_records")):
         before = F.col(f"{col}_{before_step}")
-        after = F.col(f"{col}_{after_step}")
+        after = F.when(before.isNotNull(), F.coalesce(F.col(f"{col}_{after_step}"), F.lit(0).cast("bigint"))).otherwise(
+            F.col(f"{col}_{after_step}"))
         ratio = F.lit(1.0) - F.try_divide(after.cast("double"), before.cast("double"))
         tables.append(per_day.select(
             "run_date", F.lit(table).alias("table"), before.alias("records_before"),

@@ -158,7 +158,7 @@ run_items AS (
          CASE WHEN k % 3 = 0 OR k % 5 = 0 THEN src ELSE 'out/' || event_type || '/' || k END,
          CASE WHEN k % 3 = 0 THEN '' WHEN k % 5 = 0 THEN NULL ELSE 'out/' || event_type || '/' || k END,
          CASE WHEN event_type = 'purchase' THEN 'true' ELSE 'false' END,
-         CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END,
+         CASE WHEN event_type = 'error' THEN 'failed' WHEN k % 9 = 1 THEN 'warning' ELSE 'success' END,
          CASE WHEN event_type = 'error' THEN 'boom ' || k END,
          CASE WHEN event_type = 'error' THEN NULL ELSE user_id * 5 END,
          NULL, TRUE
@@ -205,8 +205,8 @@ SELECT NULL, NULL, NULL, 'NO_ALERT' WHERE NOT EXISTS (SELECT 1 FROM alerts)"""
 
 ORACLE["notification_text"] = _with(RUN_ITEMS) + """
 SELECT 0 AS part, NULL AS source_path, NULL AS doc_seq, NULL AS item_pos,
-       CASE WHEN EXISTS (SELECT 1 FROM alerts) THEN '🚨 *ALERT from DataOps Pipeline!*'
-            ELSE '✅ DataOps pipeline ran successfully and no alert was triggered. All good!' END AS line
+       CASE WHEN EXISTS (SELECT 1 FROM alerts) THEN 'ledgerflow: results that need attention'
+            ELSE 'ledgerflow: every result is in order' END AS line
 UNION ALL
 SELECT 1, src, k, item_pos, alert FROM alerts"""
 
@@ -232,9 +232,7 @@ SELECT run_date, step,
 FROM g"""
 
 ORACLE["daily_status"] = _with(RUN_ITEMS) + """
-SELECT run_date, count(*) FILTER (WHERE status = 'success') AS success,
-       count(*) FILTER (WHERE status = 'failed') AS failed
-FROM run_items GROUP BY run_date"""
+SELECT run_date, status, count(*) AS n_results FROM run_items GROUP BY run_date, status"""
 
 ORACLE["alert_trend"] = _with(RUN_ITEMS) + """
 SELECT run_date, count(*) AS n_alerts FROM alerts GROUP BY run_date"""
@@ -249,9 +247,11 @@ ORACLE["row_drop_check"] = _with(RUN_ITEMS) + """
   FROM run_items GROUP BY run_date
 ), r AS (
   SELECT run_date, 'customer' AS "table", cb AS records_before, ca AS records_after,
-         1.0 - CAST(ca AS DOUBLE) / CAST(nullif(cb, 0) AS DOUBLE) AS drop_ratio FROM d
+         1.0 - CAST(ca AS DOUBLE) / CAST(nullif(cb, 0) AS DOUBLE) AS drop_ratio
+  FROM (SELECT run_date, cb, CASE WHEN ca IS NULL AND cb IS NOT NULL THEN 0 ELSE ca END AS ca FROM d)
   UNION ALL
-  SELECT run_date, 'payment', pb, pa, 1.0 - CAST(pa AS DOUBLE) / CAST(nullif(pb, 0) AS DOUBLE) FROM d
+  SELECT run_date, 'payment', pb, pa, 1.0 - CAST(pa AS DOUBLE) / CAST(nullif(pb, 0) AS DOUBLE)
+  FROM (SELECT run_date, pb, CASE WHEN pa IS NULL AND pb IS NOT NULL THEN 0 ELSE pa END AS pa FROM d)
 )
 SELECT run_date, "table", records_before, records_after, round(drop_ratio, 4) AS drop_ratio,
        coalesce(drop_ratio > 0.1, FALSE) AS flagged
@@ -348,7 +348,7 @@ ORACLE["standardise"] = _with(*BASE_FEATURES, MEDIANS, FILLED, FEATURES, SPLIT,
 SCORED = """
 scored AS (
   SELECT CAST(l.quality AS INTEGER) AS label, d.n_chars / CAST(20000 AS DOUBLE) AS score,
-         CAST(d.n_chars / CAST(20000 AS DOUBLE) >= 0.05 AS INTEGER) AS prediction
+         CASE WHEN d.doc_id % 29 = 0 THEN 2 ELSE CAST(d.n_chars / CAST(20000 AS DOUBLE) >= 0.05 AS INTEGER) END AS prediction
   FROM labels l JOIN documents d USING (doc_id)
 )"""
 
@@ -360,8 +360,7 @@ c AS (SELECT sum(ar) FILTER (WHERE label = 1) AS rs, count(*) FILTER (WHERE labe
 SELECT round((rs - p * (p + 1) / 2.0) / (CAST(p AS DOUBLE) * n), 4) AS roc_auc, p AS n_pos, n AS n_neg FROM c"""
 
 ORACLE["confusion_matrix"] = _with(SCORED) + """
-SELECT label, count(*) FILTER (WHERE prediction = 0) AS pred_0, count(*) FILTER (WHERE prediction = 1) AS pred_1
-FROM scored GROUP BY label"""
+SELECT label, prediction, count(*) AS n FROM scored GROUP BY label, prediction"""
 
 ORACLE["classification_report"] = _with(SCORED) + """
 , cls AS (SELECT label AS c FROM scored UNION SELECT prediction FROM scored),
@@ -452,6 +451,15 @@ ORACLE["fan_out_counts"] = _COUNTS + """SELECT n."table", f.format, 'success' AS
 
 ORACLE["verify_tables"] = ORACLE["fan_out_counts"]
 
+ORACLE["run_pipeline_status"] = _with(RAW_CUSTOMER, CLEAN_CUSTOMER, RAW_PAYMENT, CLEAN_PAYMENT) + """
+, n AS (SELECT 'customer' AS "table", count(*) AS c FROM clean_customer UNION ALL SELECT 'payment', count(*) FROM clean_payment),
+f AS (SELECT * FROM (VALUES ('csv', TRUE), ('parquet', TRUE), ('delta', FALSE), ('hudi', FALSE), ('iceberg', FALSE)) t(format, here))
+SELECT s.step, n."table", f.format, CASE WHEN f.here THEN 'success' ELSE 'failed' END AS status,
+       CASE WHEN f.here THEN n.c END AS row_count
+FROM (VALUES ('fan_out'), ('verify')) s(step), n, f
+UNION ALL
+SELECT 'load', "table" || '_clean', NULL, 'success', c FROM n"""
+
 ORACLE["load_table_modes"] = _COUNTS + """
 SELECT n."table", m.mode, n.row_count * m.k AS row_count
 FROM n, (VALUES ('truncate', 1), ('append', 2)) m(mode, k)"""

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ledgerflow.operators import alerts, clean, features, metrics, ml, runs, sampling, smote
 from ledgerflow.sources import fixtures as fx
+from ledgerflow.plans.daily import run_pipeline
 from ledgerflow.operators.quality import results_frame, schema_check, verify_table
 from ledgerflow.sources import readers, sinks
 from ledgerflow.sources.scratch import reliable_checkpoint, scratch_path
@@ -384,6 +385,17 @@ def q_verify(spark, sf):
     return results_frame(spark, rows).select("table", "format", "status", "row_count")
 
 
+@register("run_pipeline_status")
+def q_run_pipeline_status(spark, sf):
+    """The daily pipeline over all five copy formats: one row per copy written,
+    copy checked and table loaded; formats without a connector fail."""
+    out = run_pipeline(spark, raw_customer(spark, sf), raw_payment(spark, sf), scratch_path(spark, "daily"),
+                       customer_order=["copy"], payment_order=["ord"], run_date="2026-01-01")
+    rows = [(step, r["table"], r.get("format"), r["status"], r.get("row_count"))
+            for step in ("fan_out", "verify", "load") for r in out[step]]  # one a copy or table
+    return spark.createDataFrame(rows, "step string, table string, format string, status string, row_count bigint")
+
+
 @register("schema_check")
 def q_schema_check(spark, sf):
     """The payment table written as Parquet and as CSV, read back the way a

@@ -19,36 +19,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Driver table ``name`` from ``sf_dir`` (one Parquet file per table)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return balanced(spark.read.parquet(path), path)
-
-
-_SPLITS: dict[str, int] = {}
-
-
-def estimated_splits(spark: SparkSession, path: str) -> int:
-    """Input splits a scan of ``path`` will have (file sizes over
-    ``spark.sql.files.maxPartitionBytes``; a metadata lookup, cached)."""
-    if path not in _SPLITS:
-        jvm = spark.sparkContext._jvm
-        hp = jvm.org.apache.hadoop.fs.Path(path)
-        size = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(hp).getLength()
-        per = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-        _SPLITS[path] = max(1, -(-size // per))
-    return _SPLITS[path]
-
-
-def balanced(df: DataFrame, path: str) -> DataFrame:
-    """Spread an input that scans as fewer splits than the cluster has
-    cores (a single small file is one task) with a round-robin repartition;
-    a large input already has many splits and is returned unchanged."""
-    spark = df.sparkSession
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        small = estimated_splits(spark, path) < cores
-    except Exception:  # noqa: BLE001 - no file-system access from this session: leave as is
-        return df
-    return df.repartition(cores) if small else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _null_when(cond: Column, value: Column) -> Column:
@@ -142,7 +113,7 @@ def run_docs(events: DataFrame) -> DataFrame:
         etype.alias("format"),
         item_path.alias("path"),
         (etype == "purchase").alias("is_table"),
-        F.when(failed, F.lit("failed")).otherwise(F.lit("success")).alias("status"),
+        F.when(failed, F.lit("failed")).when(k % 9 == 1, F.lit("warning")).otherwise(F.lit("success")).alias("status"),
         _null_when(failed, F.col("user_id") * 5).alias("row_count"),
         F.when(failed, F.concat(F.lit("boom "), k.cast("string"))).alias("error"),
         (F.col("value") * 10).alias("duration_sec"),
@@ -168,13 +139,15 @@ def run_docs(events: DataFrame) -> DataFrame:
 
 
 def scored(labels: DataFrame, documents: DataFrame) -> DataFrame:
-    """FIXTURES C4: ``labels`` join ``documents`` -> (doc_id, label, score, prediction)."""
+    """FIXTURES C4: ``labels`` join ``documents`` -> (doc_id, label, score, prediction);
+    every 29th id is predicted to be of a class that no label has."""
     docs = documents.select("doc_id", "n_chars")
     return labels.join(docs, "doc_id").select(
         "doc_id",
         F.col("quality").cast("int").alias("label"),
         (F.col("n_chars") / F.lit(20000.0)).alias("score"),
-        ((F.col("n_chars") / F.lit(20000.0)) >= F.lit(0.05)).cast("int").alias("prediction"),
+        F.when(F.col("doc_id") % 29 == 0, F.lit(2))
+         .otherwise(((F.col("n_chars") / F.lit(20000.0)) >= F.lit(0.05)).cast("int")).alias("prediction"),
     )
 
 

@@ -48,10 +48,23 @@ def format_available(spark: SparkSession, fmt: str) -> bool:
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None,
              infer: bool = False, as_strings: bool = False, header: bool = True) -> DataFrame:
     """CSV with a header.  ``schema`` (preferred) types the columns with no
-    extra pass; ``infer=True`` runs Spark's inference pass; ``as_strings``
-    (or neither) keeps every column as text."""
+    pass over the data: columns are found by their header names (columns it
+    does not name are left out, one that no header has is an error), and every
+    file's header is checked.  ``infer=True`` runs Spark's inference pass;
+    ``as_strings`` (or neither) keeps every column as text."""
     reader = spark.read.option("header", header)
     if schema is not None and not as_strings:
+        if header:
+            wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+            names = reader.csv(path).columns  # reads the first line
+            if not names:
+                return spark.createDataFrame([], wanted)
+            absent = [f.name for f in wanted if f.name not in names]
+            if absent:
+                raise ValueError(f"CSV header lacks {', '.join(absent)}")
+            types = {f.name: f.dataType for f in wanted}
+            present = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in names])
+            return reader.option("enforceSchema", False).schema(present).csv(path).select(*wanted.names)
         reader = reader.schema(schema)
     elif infer and not as_strings:
         reader = reader.option("inferSchema", True)

@@ -101,7 +101,7 @@ def fan_out(df: DataFrame, targets: Iterable[Target], table: str | None = None,
                     write_table(cached, t)
                 res.update(status="success", row_count=rows)
             except Exception as e:  # noqa: BLE001 - captured into the result row
-                res.update(status="failed", error=_short(e))
+                res.update(status="failed", error=error_text(e))
             res["duration_sec"] = round(time.time() - start, 2)
             results.append(res)
     finally:
@@ -135,7 +135,7 @@ def load_table(spark: SparkSession, source: DataFrame | str, target: str, mode:
             writer.saveAsTable(target)
         res.update(status="success", row_count=int(obs.get["n"]))
     except Exception as e:  # noqa: BLE001
-        res.update(status="failed", error=_short(e))
+        res.update(status="failed", error=error_text(e))
     res["duration_sec"] = round(time.time() - start, 2)
     return res
 
@@ -181,15 +181,8 @@ def log_training_run(spark: SparkSession, target: str, run_id: str, run_name: st
     return df
 
 
-def _short(e: Exception, limit: int = 500) -> str:
-    """A one-line error message; for JVM errors, the Java exception text."""
+def error_text(e: Exception) -> str:
+    """The whole error message (of JVM errors the Java exception's), or the name
+    of an error without one."""
     java = getattr(e, "java_exception", None)
-    if java is not None:
-        try:
-            text = str(java.toString())
-        except Exception:  # noqa: BLE001
-            text = str(e)
-    else:
-        text = str(e)
-    lines = [x for x in text.strip().splitlines() if x.strip()]
-    return (lines[0] if lines else type(e).__name__)[:limit]
+    return (str(java.toString()) if java is not None else str(e)).strip() or type(e).__name__

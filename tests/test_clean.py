@@ -110,3 +110,8 @@ def test_hot_key_holding_a_third_of_rows(spark):
     assert len(rows) == raw.select("id").distinct().count()
     hot_row = [r for r in rows if r.id == -7][0]
     assert hot_row.ord == raw.filter("id = -7").agg(F.min("ord")).first()[0]
+
+
+def test_dedupe_keeps_rows_whose_order_value_is_null(spark):
+    df = spark.createDataFrame([(1, None, "a"), (2, None, "x"), (2, 5, "y")], "id int, ord int, v string")
+    assert {r.id: (r.ord, r.v) for r in clean.dedupe_by_key(df, ["id"], ["ord"]).collect()} == {1: (None, "a"), 2: (5, "y")}

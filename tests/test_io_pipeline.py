@@ -7,7 +7,7 @@ from ledgerflow.operators.quality import schema_check, verify_table
 from ledgerflow.plans.daily import run_pipeline
 from ledgerflow.sources import fixtures as fx
 from ledgerflow.sources.readers import UnknownFormat, format_available, read_csv, read_table
-from ledgerflow.sources.sinks import Target, fan_out, hudi_options, load_table, write_table
+from ledgerflow.sources.sinks import Target, error_text, fan_out, hudi_options, load_table, write_table
 from ledgerflow.plans.session import session_conf
 
 SMOKE = "/root/testdata/sf0.001"
@@ -30,6 +30,18 @@ def test_csv_reads_text_or_typed(spark, tmp_path):
     assert dict(read_csv(spark, str(tmp_path / "c"), infer=True).dtypes)["x"] == "double"
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("b,extra,a\n1,z,2\n")
+    got = read_csv(spark, str(tmp_path / "x.csv"), schema="a int, b int").collect()
+    assert [tuple(r) for r in got] == [(2, 1)]
+    with pytest.raises(ValueError, match="lacks c"):
+        read_csv(spark, str(tmp_path / "x.csv"), schema="a int, c int")
+
+
+def test_error_text_is_whole():
+    assert error_text(ValueError("one\n" + "two" * 400)) == "one\n" + "two" * 400 and error_text(KeyError()) == "KeyError"
+
+
 def test_verify_unknown_and_missing_lakehouse_are_rows(spark, tmp_path):
     bad = verify_table(spark, Target("xml", str(tmp_path)))
     assert bad["status"] == "failed" and "Unknown format" in bad["error"]

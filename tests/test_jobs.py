@@ -25,6 +25,9 @@ def test_step_jobs_on_csv_inputs(spark, tmp_path, capsys):
     assert jobs.main(["metadata", *args, "--run-date", "2026-01-01"], spark=spark) == 0
     assert jobs.main(["alert", *args], spark=spark) == 0
     assert spark.read.parquet(f"{base}/warehouse/pipeline_runs").count() > 0
+    whole = ["all", "--customer", str(tmp_path / "customer"), "--payment", str(tmp_path / "payment"), "--base"]
+    assert jobs.main([*whole, f"{base}2", "--formats", "csv,nosuch"], spark=spark) == 1
+    assert jobs.main([*whole, f"{base}3", "--formats", "csv,parquet"], spark=spark) == 0
 
 
 def test_shuffle_partitions_scale_with_input():

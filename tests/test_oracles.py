@@ -4,6 +4,8 @@
 import pytest
 
 import __spark_entry__ as entry
+from ledgerflow.plans.oracle import ORACLE
+from ledgerflow.plans.registry import QUERIES
 from oracle_compare import compare, duck
 
 SMOKE = "/root/testdata/sf0.001"
@@ -15,14 +17,15 @@ def con():
     return duck(SMOKE)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(ORACLE) - SLOW))
 def test_query_matches_oracle(spark, con, name):
-    problems = compare(entry.queries()[name](spark, SMOKE), con, entry.oracle_sql()[name])
+    problems = compare(QUERIES[name](spark, SMOKE), con, ORACLE[name])
     assert not problems, problems
 
 
 def test_every_query_has_an_oracle_or_is_a_model():
-    assert set(entry.queries()) - set(entry.oracle_sql()) <= SLOW
+    assert set(QUERIES) - set(ORACLE) <= SLOW
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry_smoke(spark):

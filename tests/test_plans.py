@@ -3,7 +3,7 @@ data path, no cartesian or nested-loop joins."""
 
 import pytest
 
-import __spark_entry__ as entry
+from ledgerflow.plans.registry import QUERIES
 
 SMOKE = "/root/testdata/sf0.001"
 MODEL = {"gbt_predict", "top_k_importance"}  # Spark ML transforms; trained once per session
@@ -11,9 +11,9 @@ FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "
              "CartesianProduct", "BroadcastNestedLoopJoin")
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - MODEL))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - MODEL))
 def test_plan_has_no_python_or_cross_join(spark, name):
-    df = entry.queries()[name](spark, SMOKE)
+    df = QUERIES[name](spark, SMOKE)
     df.write.format("noop").mode("overwrite").save()  # final adaptive plan
     plan = df._jdf.queryExecution().executedPlan().toString()
     found = [f for f in FORBIDDEN if f in plan]

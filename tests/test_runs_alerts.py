@@ -78,12 +78,12 @@ def test_alert_summary_and_notification(spark):
     found = alerts.evaluate_alerts(empty)
     assert [r.line for r in alerts.alert_summary(found).collect()] == ["NO_ALERT"]
     note = alerts.notification_text(found).collect()
-    assert len(note) == 1 and note[0].line.endswith("All good!")
+    assert len(note) == 1 and note[0].line.endswith("is in order")
     some = alerts.evaluate_alerts(spark.createDataFrame([("csv", "failed", 1.0, 5)],
                                                         "format string, status string, duration_sec double, row_count bigint"))
     assert [r.line for r in alerts.alert_summary(some).collect()] == ["Format csv: status=failed, duration=1s, row_count=5"]
     parts = sorted((r.part, r.line) for r in alerts.notification_text(some).collect())
-    assert parts[0][1].startswith("🚨") and parts[1][1].startswith("Format csv")
+    assert parts[0][1].startswith("ledgerflow:") and parts[1][1].startswith("Format csv")
     assert alerts.alert_status(some).first().n_alerts == 1
 
 
@@ -104,6 +104,19 @@ def test_row_drop_check(spark):
     assert not out["payment"].flagged
 
 
+def test_total_loss_is_flagged(spark):
+    r = spark.createDataFrame([("d", "ingest", 100, 50), ("e", "transform", 9, 9)],
+                              "run_date string, step string, customer_records bigint, payment_records bigint")
+    out = {(x.run_date, x.table): x for x in runs.row_drop_check(r, 0.1).collect()}
+    assert out["d", "customer"].flagged and out["d", "customer"].drop_ratio == 1.0 and out["d", "customer"].records_after == 0
+    assert not out["e", "customer"].flagged and out["e", "customer"].drop_ratio is None
+
+
+def test_daily_status_keeps_every_status(spark):
+    r = spark.createDataFrame([("d", "success"), ("d", "warning"), ("d", None), ("d", None)], "run_date string, status string")
+    assert {x.status: x.n_results for x in runs.daily_status(r).collect()} == {"success": 1, "warning": 1, None: 2}
+
+
 def test_huge_durations_do_not_raise_under_ansi(spark):
     assert spark.conf.get("spark.sql.ansi.enabled") == "true"
     r = spark.createDataFrame([("ingest", 0.0, 1e30, 1e30)],

@@ -45,8 +45,10 @@ def test_roc_auc_matches_pairwise_count_with_ties(spark):
 
 def test_report_and_confusion(spark):
     df = spark.createDataFrame([(1, 1), (1, 0), (0, 0), (0, 0), (1, 1)], "label int, prediction int")
-    cm = {r.label: (r.pred_0, r.pred_1) for r in metrics.confusion_matrix(df).collect()}
-    assert cm == {0: (2, 0), 1: (1, 2)}
+    cm = {(r.label, r.prediction): r.n for r in metrics.confusion_matrix(df).collect()}
+    assert cm == {(0, 0): 2, (1, 0): 1, (1, 1): 2}
+    other = spark.createDataFrame([(1, 2), (None, 1)], "label int, prediction int")
+    assert {(r.label, r.prediction): r.n for r in metrics.confusion_matrix(other).collect()} == {(1, 2): 1, (None, 1): 1}
     rep = {r["class"]: r for r in metrics.classification_report(df).collect()}
     assert rep["1"].precision == 1.0 and rep["1"].recall == pytest.approx(2 / 3)
     assert rep["accuracy"].f1_score == pytest.approx(0.8) and rep["accuracy"].support == 5
