@@ -1,21 +1,19 @@
 """SMOTE: lift the minority class to the majority count by interpolating
-each minority row toward one of its k nearest minority neighbours.
+each minority row toward one of its k near minority neighbours.
 
-Exact neighbours without an all-pairs join:
+Neighbours are approximate, by one rule at every size, so that the work grows
+linearly with the minority:
 
 * identical vectors are merged first (``groupBy`` on the features, with a
   multiplicity), so a value repeated in a third of the rows is one point;
-* distinct points are indexed on a 2-D grid over two random orthonormal
-  projections; the cell size is chosen from the spread and halved until no
-  cell holds more than ``cell_cap`` points;
-* candidates of a point are the points of its 3x3 block.  Projections do
-  not lengthen distances, so every point within the block's margin
-  ``rho`` (distance from the point to the block border) is a candidate; a
-  point whose k-th candidate distance is below ``rho`` is exact.  The rest
-  retry on a grid ``growth`` times as coarse, until all are resolved.
-  Candidate distances are computed once per level (the ranked candidates,
-  at most k plus ties per point, are checkpointed).
-
+* each of ``tables`` random sign projections (``sum of +-x``) orders the distinct
+  points, and cuts that order into leaves of ``leaf`` points (the last one takes
+  the remainder, fewer than two leaves' worth);
+* the candidates of a point are the points of its leaf in each table, at most
+  ``tables * (2 * leaf - 1)``; their distances are exact, and the nearest fill
+  the ``k`` slots.  A minority of fewer than two leaves is searched exactly.
+
+An exact search in the full dimension cannot avoid comparing most pairs.
 Randomness is md5 of ``(id, sample, seed)`` - reproducible, partition
 independent, and expressible in SQL for an independent check.  Every
 minority row gets ``S // m`` samples; the ``S % m`` rows with the smallest
@@ -24,11 +22,11 @@ seeded keys get one more (exact total, chosen with ``select_ranks``).
 
 from __future__ import annotations
 
-import math
+import hashlib
 from collections.abc import Sequence
 from functools import reduce
 
-import numpy as np
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,7 +35,9 @@ from ledgerflow.operators.sampling import hash_key
 from ledgerflow.sources.scratch import reliable_checkpoint
 from ledgerflow.specs import SEED, SMOTE_NEIGHBOURS
 
-OFFSETS = [(a, b) for a in (-1, 0, 1) for b in (-1, 0, 1)]
+TABLES = 8
+LEAF = 64
+RANK_ROWS = 8192  # rows ranked together when points are put in order
 
 
 def md5_unit(*parts: Column) -> Column:
@@ -51,15 +51,15 @@ def md5_int(*parts: Column) -> Column:
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
-def _projections(d: int, seed: int) -> tuple[list[float], list[float]]:
-    rng = np.random.default_rng(seed)
-    q, _ = np.linalg.qr(rng.standard_normal((d, 2)))
-    return [float(x) for x in q[:, 0]], [float(x) for x in q[:, 1]]
+def signs(table: int, dims: int, seed: int = SEED) -> list[int]:
+    """The +-1 weights of a projection: + where md5 of ``seed:table:i`` starts below 8."""
+    return [1 if hashlib.md5(f"{seed}:{table}:{i}".encode()).hexdigest()[0] < "8" else -1 for i in range(dims)]
 
 
-def _dot(vec: Column, w: Sequence[float]) -> Column:
-    weights = F.array(*[F.lit(float(x)) for x in w])
-    return F.aggregate(F.zip_with(vec, weights, lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
+def _project(vec: Column, weights: Sequence[int]) -> Column:
+    """Signed sum, left to right from 0.0."""
+    return F.aggregate(F.zip_with(vec, F.array(*[F.lit(float(w)) for w in weights]), lambda a, b: a * b), F.lit(0.0),
+                       lambda acc, x: acc + x)
 
 
 def _sq_dist(a: Column, b: Column) -> Column:
@@ -72,73 +72,59 @@ def distinct_points(rows: DataFrame, vec: str, id_col: str) -> DataFrame:
     return rows.groupBy(vec).agg(F.min(id_col).alias("vid"), F.count(F.lit(1)).alias("mult"))
 
 
-def neighbour_slots(points: DataFrame, dims: int, k: int, seed: int = SEED, vec: str = "vec",
-                    cell_target: int = 256, cell_cap: int = 2048, max_levels: int = 40,
-                    growth: int = 4) -> DataFrame:
+def leaves(points: DataFrame, n: int, dims: int, seed: int, vec: str, tables: int, leaf: int) -> DataFrame:
+    """``(table, leaf, vid)``: the leaf of every point in every table.
+
+    Points are ranked in the order of (projection, vid): they fall into quantile
+    buckets of about ``RANK_ROWS``, and the sizes of the buckets before (one row
+    each) are added to the row number within one."""
+    buckets = -(-n // RANK_ROWS)
+    p = [_project(F.col(vec), signs(t, dims, seed)) for t in range(tables)]
+    cuts = [[]] * tables
+    if buckets > 1:
+        probs = [i / buckets for i in range(1, buckets)]
+        cuts = points.agg(*[F.percentile_approx(x, probs, 20 * buckets) for x in p]).first()
+    parts = []
+    for t in range(tables):
+        part = points.select(F.lit(t).alias("table"), "vid", p[t].alias("p"))
+        splits = [float("-inf"), *sorted({float(c) for c in cuts[t]}), float("inf")]
+        parts.append(Bucketizer(splits=splits, inputCol="p", outputCol="_bucket").transform(part)
+                     if len(splits) > 2 else part.withColumn("_bucket", F.lit(0.0)))
+    placed = reduce(DataFrame.unionByName, parts)
+    sizes = placed.groupBy("table", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("table").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("table", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("table", "_bucket").orderBy("p", "vid"))
+    ranked = placed.withColumn("_i", inside).join(F.broadcast(sizes), ["table", "_bucket"])
+    last = max(n // leaf, 1) - 1
+    return ranked.select("table", F.least(F.floor((F.col("_before") + F.col("_i") - 1) / leaf), F.lit(last)).alias("leaf"), "vid")
+
+
+def neighbour_slots(points: DataFrame, dims: int, k: int, seed: int = SEED, vec: str = "vec", tables: int = TABLES,
+                    leaf: int = LEAF) -> DataFrame:
     """``(vid, slot, nvid)``: for every distinct point, its neighbours filling
     slots ``0..k-1`` in order of (distance, vid); a point repeated ``m``
     times has ``m - 1`` copies of itself at distance 0."""
-    w1, w2 = _projections(dims, seed)
-    pts = reliable_checkpoint(points.withColumns({"p1": _dot(F.col(vec), w1), "p2": _dot(F.col(vec), w2)}))
-    stats = pts.agg(F.count(F.lit(1)).alias("n"), F.sum("mult").alias("rows"),
-                    F.percentile_approx("p1", [0.01, 0.99]).alias("s1"),
-                    F.percentile_approx("p2", [0.01, 0.99]).alias("s2")).first()
-    n = stats["n"]
-    if n == 0:
-        return pts.sparkSession.createDataFrame([], "vid bigint, slot int, nvid bigint")
-    k = min(k, int(stats["rows"]) - 1)
+    if leaf <= k:
+        raise ValueError("a leaf must hold more points than k")
+    sizes = points.agg(F.count(F.lit(1)).alias("n"), F.sum("mult").alias("rows")).first()
+    if sizes["n"] == 0:
+        return points.sparkSession.createDataFrame([], "vid bigint, slot int, nvid bigint")
+    k = min(k, int(sizes["rows"]) - 1)
     if k <= 0:  # a single row: its only "neighbour" is itself
-        return pts.select("vid", F.lit(0).alias("slot"), F.col("vid").alias("nvid"))
-    span1 = max(stats["s1"][1] - stats["s1"][0], 1e-12)
-    span2 = max(stats["s2"][1] - stats["s2"][0], 1e-12)
-    h = math.sqrt(span1 * span2 * cell_target / max(n, 1))
-    for _ in range(12):  # bound the work per cell
-        busiest = (pts.groupBy(F.floor(F.col("p1") / h).alias("a"), F.floor(F.col("p2") / h).alias("b"))
-                   .count().agg(F.max("count")).first()[0])
-        if busiest <= cell_cap:
-            break
-        h /= 2
-
-    y = pts.select(F.col("vid").alias("y_vid"), F.col("mult").alias("y_mult"), F.col("p1").alias("y_p1"),
-                   F.col("p2").alias("y_p2"), F.col(vec).alias("y_vec"))
-    unresolved = pts
-    parts = []
-    for level in range(max_levels):
-        hl = h * (growth ** level)
-        x = unresolved.withColumns({"c1": F.floor(F.col("p1") / hl), "c2": F.floor(F.col("p2") / hl)})
-        offs = F.array(*[F.struct(F.lit(a).alias("da"), F.lit(b).alias("db")) for a, b in OFFSETS])
-        xb = x.select("*", F.inline(offs)).withColumns({"t1": F.col("c1") + F.col("da"),
-                                                        "t2": F.col("c2") + F.col("db")})
-        yl = y.withColumns({"yc1": F.floor(F.col("y_p1") / hl), "yc2": F.floor(F.col("y_p2") / hl)})
-        cand = (xb.join(yl, (xb["t1"] == yl["yc1"]) & (xb["t2"] == yl["yc2"]))
-                .filter(F.col("y_vid") != F.col("vid"))
-                .select("vid", "y_vid", _sq_dist(F.col(vec), F.col("y_vec")).alias("d2"), F.col("y_mult").alias("w")))
-        selfc = x.filter(F.col("mult") > 1).select("vid", F.col("vid").alias("y_vid"), F.lit(0.0).alias("d2"),
-                                                   (F.col("mult") - 1).alias("w"))
-        allc = cand.unionByName(selfc)
-        win = Window.partitionBy("vid").orderBy("d2", "y_vid")
-        ranked = allc.withColumn("cum", F.sum("w").over(win.rowsBetween(Window.unboundedPreceding,
-                                                                       Window.currentRow)))
-        # at most k (+ ties) rows per point: materialised once per level
-        ranked = reliable_checkpoint(ranked.withColumn("before", F.col("cum") - F.col("w")).filter(F.col("before") < k))
-        kth = ranked.groupBy("vid").agg(F.max("cum").alias("covered"), F.max("d2").alias("dk"))
-        margin = F.least(F.col("p1") - (F.col("c1") - 1) * hl, (F.col("c1") + 2) * hl - F.col("p1"),
-                         F.col("p2") - (F.col("c2") - 1) * hl, (F.col("c2") + 2) * hl - F.col("p2"))
-        judged = (x.join(kth, "vid", "left")
-                  .withColumn("ok", F.coalesce((F.col("covered") >= k) & (F.sqrt("dk") < margin), F.lit(False)))
-                  .select("vid", "ok"))
-        judged = reliable_checkpoint(judged)
-        done = judged.filter("ok").select("vid")
-        parts.append(ranked.join(done, "vid", "left_semi").select(
-            "vid", F.explode(F.sequence(F.col("before"), F.least(F.col("cum"), F.lit(k)) - 1)).alias("slot"),
-            F.col("y_vid").alias("nvid")))
-        left = judged.filter(~F.col("ok")).select("vid")
-        if left.isEmpty():
-            break
-        unresolved = reliable_checkpoint(pts.join(left, "vid", "left_semi"))
-    else:
-        raise RuntimeError("neighbour_slots: points left unresolved; raise max_levels")
-    return reliable_checkpoint(reduce(DataFrame.unionByName, parts).select("vid", F.col("slot").cast("int"), "nvid"))
+        return points.select("vid", F.lit(0).alias("slot"), F.col("vid").alias("nvid"))
+    placed = reliable_checkpoint(leaves(points, int(sizes["n"]), dims, seed, vec, tables, leaf))
+    pairs = (placed.join(placed.withColumnRenamed("vid", "y_vid"), ["table", "leaf"])
+             .filter(F.col("vid") != F.col("y_vid")).select("vid", "y_vid").distinct())
+    x = points.select("vid", F.col(vec).alias("_x"))
+    y = points.select(F.col("vid").alias("y_vid"), F.col(vec).alias("_y"), F.col("mult").alias("w"))
+    near = pairs.join(x, "vid").join(y, "y_vid").select("vid", "y_vid", _sq_dist(F.col("_x"), F.col("_y")).alias("d2"), "w")
+    own = points.filter(F.col("mult") > 1).select("vid", F.col("vid").alias("y_vid"), F.lit(0.0).alias("d2"), (F.col("mult") - 1).alias("w"))
+    order = Window.partitionBy("vid").orderBy("d2", "y_vid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = near.unionByName(own).withColumn("cum", F.sum("w").over(order)).withColumn("before", F.col("cum") - F.col("w"))
+    return reliable_checkpoint(ranked.filter(F.col("before") < k).select(
+        "vid", F.explode(F.sequence(F.col("before"), F.least(F.col("cum"), F.lit(k)) - 1)).alias("slot"),
+        F.col("y_vid").alias("nvid")).withColumn("slot", F.col("slot").cast("int")))
 
 
 def smote_balance(df: DataFrame, features: Sequence[str], label: str = "label", id_col: str = "id",
@@ -147,7 +133,11 @@ def smote_balance(df: DataFrame, features: Sequence[str], label: str = "label",
     minority row a sample grew from) and ``sample`` (NULL for originals).
     Synthetic rows have a NULL ``id``.  The minority is the smaller class."""
     features = list(features)
-    counts = sorted(((r["count"], r[label]) for r in df.groupBy(label).count().collect()))
+    by_class = df.filter(F.col(label).isNotNull()).groupBy(label).count()
+    low = by_class.orderBy("count", label).limit(2).collect()
+    counts = [(r["count"], r[label]) for r in low]
+    if len(counts) == 2:
+        counts[1:] = [(by_class.agg(F.max("count")).first()[0], None)]
     base = df.withColumns({"src_id": F.col(id_col), "sample": F.lit(None).cast("int")})
     if len(counts) < 2 or counts[0][0] == counts[-1][0]:
         return base
@@ -177,11 +167,13 @@ def smote_balance(df: DataFrame, features: Sequence[str], label: str = "label",
         "slot": F.pmod(md5_int(F.col(id_col), F.col("sample"), F.lit(seed), F.lit("slot")), F.lit(kk)).cast("int"),
         "gap": md5_unit(F.col(id_col), F.col("sample"), F.lit(seed), F.lit("gap")),
     })
-    joined = samples.join(slots, ["vid", "slot"])
+    # both ends of every slot, one row a distinct point and slot: samples then join
+    # once, and a hot point is skewed on the side that adaptive execution can split
     xs = points.select("vid", F.col("vec").alias("x_vec"))
     ys = points.select(F.col("vid").alias("nvid"), F.col("vec").alias("n_vec"))
+    ends = slots.join(xs, "vid").join(ys, "nvid").select("vid", "slot", "x_vec", "n_vec")
     step = F.zip_with(F.col("x_vec"), F.col("n_vec"), lambda x, y: x + F.col("gap") * (y - x))
-    synth = joined.join(xs, "vid").join(ys, "nvid").select(
+    synth = samples.join(ends, ["vid", "slot"]).select(
         F.lit(None).cast(dict(df.dtypes)[id_col]).alias(id_col),
         F.lit(minority).cast(dict(df.dtypes)[label]).alias(label),
         step.alias("_new"), F.col(id_col).alias("src_id"), F.col("sample").cast("int").alias("sample"))

@@ -8,6 +8,8 @@ Doubles are rounded to 4 decimals at the query boundary, as in the registry.
 
 from __future__ import annotations
 
+import hashlib
+
 # -- dirty inputs, decoded ---------------------------------------------------
 
 RAW_CUSTOMER = """
@@ -386,17 +388,22 @@ UNION ALL
 SELECT 'weighted avg', round(sum(precision * support) / sum(support), 4), round(sum(recall * support) / sum(support), 4),
        round(sum(f1_score * support) / sum(support), 4), CAST(sum(support) AS BIGINT) FROM f"""
 
-# -- SMOTE, brute force over the (small) minority class ---------------------
+# -- SMOTE: leaves of sign projections, then exact distances within them --------
+
+_DIMS, _TABLES, _LEAF = 64, 8, 64
+_X = [f"x{i}" for i in range(_DIMS)]
+
+
+def _sign(table: int, i: int) -> str:
+    return "+" if hashlib.md5(f"42:{table}:{i}".encode()).hexdigest()[0] < "8" else "-"
+
 
-_X = [f"x{i}" for i in range(8)]
-_XS = ", ".join(_X)
-_D2 = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in _X)
-_PT_EQ = " AND ".join(f"r.{c} IS NOT DISTINCT FROM p.{c}" for c in _X)
+_P = ["CAST(0 AS DOUBLE) " + " ".join(f"{_sign(t, i)} v[{i + 1}]" for i in range(_DIMS)) for t in range(_TABLES)]
+_D2 = " + ".join(f"(a.v[{i + 1}] - b.v[{i + 1}]) * (a.v[{i + 1}] - b.v[{i + 1}])" for i in range(_DIMS))
 
 ORACLE["smote_balance"] = f"""
 WITH e AS (
-  SELECT vec_id AS id, CAST(label = 0 AS INTEGER) AS label,
-         {", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS x{i}" for i in range(8))}
+  SELECT vec_id AS id, CAST(label = 0 AS INTEGER) AS label, CAST(embedding AS DOUBLE[]) AS v
   FROM embeddings
 ),
 cnt AS (SELECT label, count(*) AS c FROM e GROUP BY label),
@@ -404,9 +411,14 @@ mino AS (SELECT label AS ml, c AS m FROM cnt ORDER BY c, label LIMIT 1),
 params AS (SELECT ml, m, (SELECT max(c) FROM cnt) - m AS s_total, ((SELECT max(c) FROM cnt) - m) // m AS per,
                   ((SELECT max(c) FROM cnt) - m) % m AS extra, least(5, m - 1) AS kk FROM mino),
 rows_ AS (SELECT e.* FROM e, params WHERE e.label = params.ml),
-pts AS (SELECT min(id) AS vid, count(*) AS mult, {_XS} FROM rows_ GROUP BY {_XS}),
+pts AS (SELECT min(id) AS vid, count(*) AS mult, v FROM rows_ GROUP BY v),
+proj AS ({" UNION ALL ".join(f"SELECT {t} AS t, vid, {_P[t]} AS p FROM pts" for t in range(_TABLES))}),
+leaf AS (SELECT t, vid, least((row_number() OVER (PARTITION BY t ORDER BY p, vid) - 1) // {_LEAF},
+                              greatest((SELECT count(*) FROM pts) // {_LEAF}, 1) - 1) AS leaf FROM proj),
+pairs AS (SELECT DISTINCT a.vid, b.vid AS y_vid FROM leaf a JOIN leaf b ON a.t = b.t AND a.leaf = b.leaf AND a.vid <> b.vid),
 cand AS (
-  SELECT a.vid, b.vid AS y_vid, {_D2} AS d2, b.mult AS w FROM pts a JOIN pts b ON a.vid <> b.vid
+  SELECT a.vid, b.vid AS y_vid, {_D2} AS d2, b.mult AS w
+  FROM pairs JOIN pts a ON a.vid = pairs.vid JOIN pts b ON b.vid = pairs.y_vid
   UNION ALL
   SELECT vid, vid, 0.0, mult - 1 FROM pts WHERE mult > 1
 ),
@@ -416,7 +428,7 @@ slots AS (SELECT vid, unnest(range(CAST(cum - w AS BIGINT), CAST(least(cum, kk)
           FROM ranked, params WHERE cum - w < kk),
 keyed AS (SELECT id, row_number() OVER (ORDER BY {HASH_U}, id) AS rk FROM rows_),
 alloc AS (SELECT id, per + CASE WHEN rk <= extra THEN 1 ELSE 0 END AS s FROM keyed, params),
-rv AS (SELECT r.id, p.vid FROM rows_ r JOIN pts p ON {_PT_EQ}),
+rv AS (SELECT r.id, p.vid FROM rows_ r JOIN pts p ON r.v = p.v),
 samples AS (SELECT a.id, rv.vid, unnest(range(0, CAST(a.s AS BIGINT))) AS sample FROM alloc a JOIN rv USING (id) WHERE a.s > 0),
 sm AS (
   SELECT samples.*,
@@ -425,11 +437,11 @@ sm AS (
            / CAST(4294967296 AS DOUBLE) AS gap
   FROM samples, params
 )
-SELECT id, label, {", ".join(f"round({c}, 4) AS {c}" for c in _X)}, id AS src_id, CAST(NULL AS INTEGER) AS sample
+SELECT id, label, {", ".join(f"round(v[{i + 1}], 4) AS {c}" for i, c in enumerate(_X))}, id AS src_id, CAST(NULL AS INTEGER) AS sample
 FROM e
 UNION ALL
 SELECT CAST(NULL AS BIGINT), params.ml,
-       {", ".join(f"round(x.{c} + sm.gap * (n.{c} - x.{c}), 4)" for c in _X)},
+       {", ".join(f"round(x.v[{i + 1}] + sm.gap * (n.v[{i + 1}] - x.v[{i + 1}]), 4)" for i in range(_DIMS))},
        sm.id, CAST(sm.sample AS INTEGER)
 FROM sm JOIN slots ON sm.vid = slots.vid AND sm.slot = slots.slot
      JOIN pts x ON x.vid = sm.vid JOIN pts n ON n.vid = slots.nvid, params"""

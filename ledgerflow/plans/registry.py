@@ -291,7 +291,7 @@ def q_report(spark, sf):
 
 # -- resampling and models -------------------------------------------------------
 
-EMBED_DIMS = 8
+EMBED_DIMS = 64  # the whole vector
 
 
 @register("smote_balance")

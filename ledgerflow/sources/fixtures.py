@@ -151,7 +151,7 @@ def scored(labels: DataFrame, documents: DataFrame) -> DataFrame:
     )
 
 
-def embedding_matrix(embeddings: DataFrame, dims: int = 8) -> DataFrame:
+def embedding_matrix(embeddings: DataFrame, dims: int = 64) -> DataFrame:
     """FIXTURES C5b: binary label (``label = 0`` is the minority) and the
     first ``dims`` embedding components as double columns ``x0..``."""
     return embeddings.select(

@@ -25,24 +25,49 @@ def brute_slots(points, k):
     return out
 
 
-@pytest.mark.parametrize("cell_cap", [2048, 3])
-def test_neighbour_slots_exact_with_duplicates(spark, cell_cap):
-    rnd = random.Random(5)
-    pts = []
-    for i in range(120):
-        vec = [round(rnd.gauss(0, 1), 3) for _ in range(4)]
-        if i % 10 == 0:
-            vec = [9.0, 9.0, 9.0, 9.0]  # a hot vector repeated in many rows
-        pts.append((i, vec))
-    pts.append((500, [40.0, -40.0, 0.0, 0.0]))  # a far outlier: needs coarse levels
-    rows = spark.createDataFrame([(i, v) for i, v in pts], "id long, vec array<double>")
-    points = smote.distinct_points(rows, "vec", "id")
+def gaussian_points(spark, n, dims, seed=5):
+    rnd = random.Random(seed)
+    rows = [(i, [9.0] * dims if i % 10 == 0 else [round(rnd.gauss(0, 1), 3) for _ in range(dims)]) for i in range(n)]
+    return smote.distinct_points(spark.createDataFrame(rows, "id long, vec array<double>"), "vec", "id")
+
+
+def slots_of(df):
     got = {}
-    for r in smote.neighbour_slots(points, 4, 5, cell_target=4, cell_cap=cell_cap).collect():
+    for r in df.collect():
         got.setdefault(r.vid, {})[r.slot] = r.nvid
-    plist = [(r.vid, r.vec, r.mult) for r in points.collect()]
-    want = brute_slots(plist, 5)
-    assert {v: [s[i] for i in range(len(s))] for v, s in got.items()} == want
+    return {v: [s[i] for i in range(len(s))] for v, s in got.items()}
+
+
+def test_one_leaf_is_exact_with_duplicates(spark):
+    points = gaussian_points(spark, 120, 4)
+    want = brute_slots([(r.vid, r.vec, r.mult) for r in points.collect()], 5)
+    assert slots_of(smote.neighbour_slots(points, 4, 5, leaf=64)) == want
+
+
+@pytest.mark.parametrize("rank_rows", [8192, 16])
+def test_slots_follow_the_leaf_rule(spark, monkeypatch, rank_rows):
+    monkeypatch.setattr(smote, "RANK_ROWS", rank_rows)
+    points = gaussian_points(spark, 150, 6)
+    rows = {r.vid: (r.vec, r.mult) for r in points.collect()}
+    cands = {v: set() for v in rows}
+    for t in range(3):
+        order = sorted(rows, key=lambda v: (sum(s * x for s, x in zip(smote.signs(t, 6), rows[v][0])), v))
+        last = len(order) // 10 - 1
+        for i, v in enumerate(order):
+            cands[v] |= {u for j, u in enumerate(order) if min(j // 10, last) == min(i // 10, last)} | {v}
+    want = {v: brute_slots([(u, *rows[u]) for u in cands[v]], 5)[v] for v in rows}
+    assert slots_of(smote.neighbour_slots(points, 6, 5, tables=3, leaf=10)) == want
+
+
+def test_candidates_grow_linearly(spark):
+    per_point = []
+    for n in (400, 1600):
+        points = gaussian_points(spark, n, 16)
+        m = points.count()
+        sizes = smote.leaves(points, m, 16, 42, "vec", 4, 20).groupBy("table", "leaf").count().collect()
+        assert all(20 <= r["count"] < 40 for r in sizes) and sum(r["count"] for r in sizes) == 4 * m
+        per_point.append(sum(r["count"] ** 2 for r in sizes) / m)
+    assert per_point[1] < 1.1 * per_point[0]
 
 
 def test_smote_balances_and_interpolates(spark):
