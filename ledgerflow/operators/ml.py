@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.operators.sampling import fold_column, scaler_stats
 from ledgerflow.operators.smote import smote_balance
+from ledgerflow.sources.scratch import reliable_checkpoint
 from ledgerflow.specs import CV_FOLDS, PARAM_GRID, SEED, SMOTE_NEIGHBOURS, TOP_FEATURES
 
 
@@ -67,6 +68,8 @@ class ResampledClassifier(Estimator, _GbtParams, DefaultParamsReadable, DefaultP
             scaled = smote_balance(scaled, cols, label=label, id_col=idc, k=self.getOrDefault(self.neighbours),
                                    seed=seed)
         assembled = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep").transform(scaled)
+        # the trees pass over their rows many times: resample once
+        assembled = reliable_checkpoint(assembled.select(label, "features"))
         gbt = GBTClassifier(labelCol=label, featuresCol="features", lossType="logistic", seed=seed, cacheNodeIds=True,
                             maxIter=self.getOrDefault(self.maxIter), maxDepth=self.getOrDefault(self.maxDepth),
                             stepSize=self.getOrDefault(self.stepSize),
@@ -96,6 +99,22 @@ class ResampledModel(Model, _GbtParams):
         return that
 
 
+def save_resampled(model: ResampledModel, path: str) -> None:
+    """Write everything that scoring raw rows needs: trees, and the scaler as one
+    row a feature."""
+    model.trees.write().overwrite().save(f"{path}/trees")
+    cols = model.getOrDefault(model.featureCols)
+    rows = [(i, c, m, s) for i, (c, m, s) in enumerate(zip(cols, model.means, model.stds))]
+    scaler = SparkSession.active().createDataFrame(rows, "position int, feature string, mean double, std double")
+    scaler.coalesce(1).write.mode("overwrite").parquet(f"{path}/scaler")
+
+
+def load_resampled(spark: SparkSession, path: str) -> ResampledModel:
+    rows = spark.read.parquet(f"{path}/scaler").orderBy("position").collect()  # one row a feature
+    model = ResampledModel(GBTClassificationModel.load(f"{path}/trees"), [r["mean"] for r in rows], [r["std"] for r in rows])
+    return model._set(featureCols=[r["feature"] for r in rows])
+
+
 def _scale(df: DataFrame, cols: Sequence[str], means, stds) -> DataFrame:
     out = {}
     for c, m, s in zip(cols, means, stds):
@@ -115,13 +134,13 @@ def param_grid(est: ResampledClassifier, grid: dict | None = None):
 def grid_search(train: DataFrame, features: Sequence[str], grid: dict | None = None, folds: int = CV_FOLDS,
                 parallelism: int = 4, seed: int = SEED, label: str = "label", id_col: str = "id"):
     """K-fold cross-validated grid search by ROC-AUC; the best point is
-    refit on all training rows.  Folds come from a seeded hash of the key."""
+    refit on all training rows.  Folds are stratified by class."""
     est = ResampledClassifier(featureCols=list(features), labelCol=label, idCol=id_col, seed=seed)
     evaluator = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
                                               metricName="areaUnderROC")
     cv = CrossValidator(estimator=est, estimatorParamMaps=param_grid(est, grid), evaluator=evaluator,
                         numFolds=folds, foldCol="fold", parallelism=parallelism, seed=seed)
-    return cv.fit(fold_column(train, id_col, folds, seed))
+    return cv.fit(reliable_checkpoint(fold_column(train, id_col, folds, seed, label=label)))
 
 
 def best_params(cv_model) -> dict:

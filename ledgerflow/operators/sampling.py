@@ -7,8 +7,8 @@
   test rows are the ones with the smallest keys of their class.  The k-th
   key per class comes from ``select_ranks`` (bounded bands), and the
   thresholds (one row per class) are broadcast.
-* ``fold_column``: fold = key mod k - balanced in expectation per class,
-  one narrow projection.
+* ``fold_column``: every class is cut into k folds of equal size (within one
+  row) at ranks of its seeded keys, found the same way.
 * ``standardise``: mean 0 and population std 1, fitted on training rows
   only; a constant column is only centred (scale 1).
 """
@@ -47,8 +47,22 @@ def stratified_split(df: DataFrame, label: str = "label", id_col: str = "id", te
         "_u", "_tu", "_tid")
 
 
-def fold_column(df: DataFrame, id_col: str = "id", folds: int = 3, seed: int = SEED, name: str = "fold") -> DataFrame:
-    return df.withColumn(name, F.pmod(hash_key(id_col, seed + 1), F.lit(folds)).cast("int"))
+def fold_column(df: DataFrame, id_col: str = "id", folds: int = 3, seed: int = SEED, name: str = "fold",
+                label: str = "label") -> DataFrame:
+    """Adds ``fold``: the rows of each class, in the order of their seeded keys,
+    cut after ranks ``floor(n_c * j / folds)``.  Rows without a label: fold 0."""
+    keyed = df.withColumn("_u", hash_key(id_col, seed + 1))
+    picked = select_ranks(keyed, [label], ["_u", id_col],
+                          lambda n: [F.floor(n * F.lit(j) / F.lit(folds)) for j in range(1, folds)])
+    cuts: dict = {}
+    for r in picked.collect():  # at most ``folds - 1`` rows a class
+        cuts.setdefault(r[label], []).append((r["_u"], r[id_col]))
+    types = dict(df.dtypes)
+    table = df.sparkSession.createDataFrame(list(cuts.items()), f"{label} {types[label]}, "
+                                                                f"_cuts array<struct<u:bigint,id:{types[id_col]}>>")
+    above = F.size(F.filter("_cuts", lambda c: F.struct(F.col("_u"), F.col(id_col)) > F.struct(c["u"], c["id"])))
+    return (keyed.join(F.broadcast(table), label, "left")
+            .withColumn(name, F.when(F.col("_cuts").isNull(), 0).otherwise(above).cast("int")).drop("_u", "_cuts"))
 
 
 def scaler_stats(train: DataFrame, columns: Iterable[str]) -> DataFrame:

@@ -52,7 +52,7 @@ def train(spark, layout: P.Layout, folds: int, parallelism: int, grid: dict | No
     trees per fold) -> test metrics -> model, importances and run log."""
     from ledgerflow.operators import features, metrics, ml, sampling
     from ledgerflow.sources.scratch import reliable_checkpoint
-    from ledgerflow.sources.sinks import log_training_run, save_model
+    from ledgerflow.sources.sinks import log_training_run
 
     customer = spark.read.parquet(layout.copy("parquet", "customer").path)
     payment = spark.read.parquet(layout.copy("parquet", "payment").path)
@@ -64,7 +64,7 @@ def train(spark, layout: P.Layout, folds: int, parallelism: int, grid: dict | No
     scored = reliable_checkpoint(ml.predict(cv.bestModel, test_df))
     auc = metrics.roc_auc(scored).first()["roc_auc"]
     base = f"{layout.base}/model"
-    save_model(cv.bestModel.trees, f"{base}/trees")
+    ml.save_resampled(cv.bestModel, f"{base}/classifier")
     metrics.classification_report(scored).write.mode("overwrite").parquet(f"{base}/report")
     metrics.confusion_matrix(scored).write.mode("overwrite").parquet(f"{base}/confusion")
     ml.top_importances(cv.bestModel, cols, spark).write.mode("overwrite").parquet(f"{base}/importance")

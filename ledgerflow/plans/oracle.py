@@ -473,8 +473,21 @@ UNION ALL
 SELECT 'load', "table" || '_clean', NULL, 'success', c FROM n"""
 
 ORACLE["load_table_modes"] = _COUNTS + """
-SELECT n."table", m.mode, n.row_count * m.k AS row_count
-FROM n, (VALUES ('truncate', 1), ('append', 2)) m(mode, k)"""
+SELECT n."table", m.mode, n.row_count * m.k AS row_count, CAST(i.s * m.k AS BIGINT) AS id_sum, i.d AS distinct_ids
+FROM n JOIN (SELECT 'customer' AS "table", sum(id) AS s, count(DISTINCT id) AS d FROM clean_customer
+             UNION ALL SELECT 'payment', sum(id), count(DISTINCT id) FROM clean_payment) i ON i."table" = n."table",
+     (VALUES ('truncate', 1), ('append', 2)) m(mode, k)"""
+
+ORACLE["ingest_run_docs"] = _with(RUN_ITEMS) + """
+SELECT step, format, status, row_count, round(duration_sec, 4) AS duration_sec, error, 1 AS missing_paths FROM run_items"""
+
+ORACLE["step_metric_log"] = ORACLE["step_metrics"].replace(
+    "SELECT ts, task, duration, status, concat_ws(',', ts, task, CAST(duration AS VARCHAR), status) AS line FROM m",
+    "SELECT ts, task, duration, status FROM m")
+
+ORACLE["alert_file"] = ORACLE["alert_summary"].replace(
+    "SELECT src AS source_path, k AS doc_seq, item_pos, alert AS line", "SELECT alert AS line").replace(
+    "SELECT NULL, NULL, NULL, 'NO_ALERT'", "SELECT 'NO_ALERT'")
 
 ORACLE["stream_flatten_runs"] = ORACLE["flatten_runs"]
 

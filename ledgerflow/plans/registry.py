@@ -301,20 +301,9 @@ def q_smote(spark, sf):
     return boundary(smote.smote_balance(df, cols))
 
 
-_MODELS: dict = {}
-
-
 def trained_model(spark: SparkSession, sf: str):
     """Split the training frame, fit scale -> SMOTE -> trees on the training
-    part with the parameters of the reference's logged run (fitted once per
-    session and scale; both model queries use it)."""
-    key = (id(spark), sf)
-    if key not in _MODELS:
-        _MODELS[key] = _fit_model(spark, sf)
-    return _MODELS[key]
-
-
-def _fit_model(spark: SparkSession, sf: str):
+    part with the parameters of the reference's logged run."""
     df = sampling.stratified_split(feature_frame(spark, sf))
     cols = features.feature_columns(df, drop=("id", "label", "update_date", "report_date", "split"))
     df = reliable_checkpoint(df)
@@ -420,8 +409,44 @@ def q_load_modes(spark, sf):
             target = scratch_path(spark, f"{table}_{mode}")
             for _ in range(2):
                 sinks.load_table(spark, staged, target, mode=mode)
-            rows.append((table, mode, spark.read.parquet(target).count()))
-    return spark.createDataFrame(rows, "table string, mode string, row_count bigint")
+            held = spark.read.parquet(target).agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids"),
+                                                  F.count_distinct("id").alias("keys")).first()
+            rows.append((table, mode, held["n"], held["ids"], held["keys"]))
+    return spark.createDataFrame(rows, "table string, mode string, row_count bigint, id_sum bigint, distinct_ids bigint")
+
+
+@register("ingest_run_docs")
+def q_ingest_run_docs(spark, sf):
+    """Run documents from text files: two folders, one of them found by a glob,
+    an empty file and a path that matches nothing."""
+    docs = fx.run_docs(fx.load(spark, sf, "events"))
+    base = scratch_path(spark, "doc_files")
+    docs.filter(F.col("doc_seq") % 2 == 0).select("value").write.text(f"{base}/even")
+    docs.filter(F.col("doc_seq") % 2 == 1).select("value").write.text(f"{base}/more/odd")
+    spark.createDataFrame([("",)], "value string").write.text(f"{base}/more/empty")
+    found, missing = readers.read_run_docs(spark, [f"{base}/even", f"{base}/more/*", f"{base}/nothing/here"])
+    table = runs.flatten_runs(found, run_date="2026-01-01")
+    return boundary(table.select("step", "format", "status", "row_count", "duration_sec", "error",
+                                 F.lit(len(missing)).alias("missing_paths")))
+
+
+@register("step_metric_log")
+def q_step_metric_log(spark, sf):
+    """The step-metric log, appended in two loads and read back."""
+    metrics_ = alerts.step_metrics(run_table(spark, sf))
+    path = scratch_path(spark, "step_log")
+    slow = F.col("status") == "warning"
+    for part in (metrics_.filter(slow), metrics_.filter(~slow)):
+        sinks.append_step_metric(part, path)
+    return spark.read.schema("ts string, task string, duration bigint, status string").csv(path)
+
+
+@register("alert_file")
+def q_alert_file(spark, sf):
+    """The alert document as its file holds it."""
+    path = scratch_path(spark, "alert")
+    sinks.write_alert(alerts.alert_summary(verify_alerts(spark, sf)), path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
 
 
 # -- streaming ------------------------------------------------------------------

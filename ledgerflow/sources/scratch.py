@@ -37,5 +37,11 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark)}/scratch/{uuid.uuid4().hex}/{name}"
+    """A fresh folder under the shared checkpoint folder, removed when the
+    driver ends."""
+    base = f"{ensure_checkpoint_dir(spark)}/scratch/{uuid.uuid4().hex}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(folder)
+    system.deleteOnExit(folder)
+    return f"{base}/{name}"

@@ -98,3 +98,25 @@ def test_grid_search_applies_grid_and_predicts(spark):
     assert pred.count() == 240 and pred.filter("score < 0 or score > 1").count() == 0
     top = ml.top_importances(cv.bestModel, ["f0", "f1", "f2"], spark, k=2).collect()
     assert len(top) == 2 and top[0].importance >= top[1].importance
+
+
+def test_folds_are_stratified(spark):
+    from ledgerflow.operators.sampling import fold_column
+
+    df = spark.range(1000).select("id", (F.col("id") % 7 == 0).cast("int").alias("label"))
+    got = {}
+    for r in fold_column(df, folds=3).groupBy("label", "fold").count().collect():
+        got.setdefault(r.label, {})[r.fold] = r["count"]
+    for label, sizes in got.items():
+        assert set(sizes) == {0, 1, 2} and max(sizes.values()) - min(sizes.values()) <= 1, (label, sizes)
+
+
+def test_saved_model_scores_raw_rows(spark, tmp_path):
+    rnd = np.random.default_rng(3)
+    x = rnd.normal(loc=50, scale=9, size=(120, 2))
+    df = spark.createDataFrame([(i, int(v[0] > 55), *map(float, v)) for i, v in enumerate(x)], "id long, label int, f0 double, f1 double")
+    model = ml.ResampledClassifier(featureCols=["f0", "f1"], maxIter=2, maxDepth=1).fit(df)
+    ml.save_resampled(model, str(tmp_path / "m"))
+    again = ml.load_resampled(spark, str(tmp_path / "m"))
+    key = lambda d: sorted((r.id, r.prediction, round(r.score, 12)) for r in d.collect())
+    assert key(ml.predict(again, df)) == key(ml.predict(model, df))
