@@ -196,21 +196,57 @@ def _select(cand: DataFrame, gkey: list[str], order_cols: list[str], tgt_rows: l
     return out
 
 
-def long_format(df: DataFrame, columns: Sequence[str], name_col: str = "column", value_col: str = "value") -> DataFrame:
-    """(column name, double value) rows for the listed numeric columns,
-    NaN mapped to NULL (pandas skips both)."""
-    pairs = F.array(*[F.struct(F.lit(c).alias(name_col),
-                               F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(value_col))
-                      for c in columns])
-    return df.select(F.inline(pairs))
-
-
-def exact_medians(df: DataFrame, columns: Sequence[str], **kw) -> DataFrame:
+def exact_medians(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000, max_band: int = 2_000_000) -> DataFrame:
     """One row: the exact median of every listed column (mean of the two
-    middle values for an even count; NULL for an all-NULL column)."""
+    middle values for an even count; NULL for an all-NULL column; NaN is
+    skipped).
+
+    All columns go through the same wide passes over ``df``: counts, a bracket
+    of approximate percentiles around each middle, exact counts around the
+    bracket (a bracket that misses is not used; one of more than ``max_band``
+    rows is bracketed again).  Only rows inside a bracket become (column,
+    value) rows, counted per value and accumulated.  One row of numbers a
+    pass reaches the driver.
+    """
     columns = list(columns)
-    picked = select_ranks(long_format(df, columns), ["column"], ["value"],
-                          lambda n: [F.floor((n + 1) / 2), F.floor(n / 2) + 1], **kw)
-    per_col = picked.groupBy("column").agg(F.avg("value").alias("median"))
-    wide = per_col.groupBy().pivot("column", columns).agg(F.first("median"))
-    return wide.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    spark = df.sparkSession
+    value = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns}
+    row = df.agg(*[f(value[c]) for c in columns for f in (F.count, F.min, F.max)]).first()
+    # column -> [middle ranks, rows below, rows inside, low, high]
+    state = {c: [((n + 1) // 2, n // 2 + 1), 0, n, lo, hi]
+             for c, (n, lo, hi) in zip(columns, (row[3 * i:3 * i + 3] for i in range(len(columns)))) if n}
+    todo = list(state)
+    while todo:
+        asked = []
+        for c in todo:
+            (k1, k2), below, inside, lo, hi = state[c]
+            at = [max((k1 - below) / inside - 2 / accuracy, 0.0), min((k2 - below) / inside + 2 / accuracy, 1.0)]
+            asked.append(F.percentile_approx(F.when(value[c].between(lo, hi), value[c]), at, accuracy))
+        brackets = dict(zip(todo, df.agg(*asked).first()))
+        counts = df.agg(*[F.count(F.when(cond, 1)) for c in todo for cond in (
+            value[c] < brackets[c][0], value[c].between(*brackets[c]))]).first()
+        again = []
+        for i, c in enumerate(todo):
+            below, inside = counts[2 * i:2 * i + 2]
+            if below < state[c][0][0] and below + inside >= state[c][0][1]:
+                narrower = inside < state[c][2]
+                state[c][1:] = [below, inside, *brackets[c]]
+                if narrower and inside > max_band and brackets[c][0] < brackets[c][1]:
+                    again.append(c)
+        todo = again
+
+    inside = [F.struct(F.lit(c).alias("column"), F.when(value[c].between(st[3], st[4]), value[c]).alias("value"))
+              for c, st in state.items()]
+    medians = dict.fromkeys(columns)
+    if inside:
+        per_value = (df.select(F.inline(F.array(*inside))).filter(F.col("value").isNotNull())
+                     .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
+        upto = F.sum("n").over(Window.partitionBy("column").orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
+        first = F.create_map(*[F.lit(x) for c, st in state.items() for x in (c, st[0][0] - st[1])])[F.col("column")]
+        second = F.create_map(*[F.lit(x) for c, st in state.items() for x in (c, st[0][1] - st[1])])[F.col("column")]
+        ranked = per_value.withColumn("upto", upto)
+        hit = lambda k: (F.col("upto") >= k) & (F.col("upto") - F.col("n") < k)
+        for r in ranked.groupBy("column").agg(F.max(F.when(hit(first), F.col("value"))).alias("a"),
+                                              F.max(F.when(hit(second), F.col("value"))).alias("b")).collect():
+            medians[r["column"]] = (r["a"] + r["b"]) / 2
+    return spark.createDataFrame([tuple(medians[c] for c in columns)], ", ".join(f"`{c}` double" for c in columns))
