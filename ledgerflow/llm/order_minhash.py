@@ -143,8 +143,9 @@ def shared(texts: list[np.ndarray], rows: np.ndarray, cols: np.ndarray) -> np.nd
     total = np.zeros((len(rows), len(cols)), np.float32)
     order = np.argsort(code, kind="stable")
     owner, code = owner[order], code[order]
-    width = max(1, (1 << 23) // max(len(used), 1))
-    for lo in range(0, int(several.sum()), width):
+    columns = int(several.sum())
+    width = max(1, min(columns, (1 << 23) // max(len(used), 1)))
+    for lo in range(0, columns, width):
         i, j = np.searchsorted(code, [lo, lo + width])
         has = np.zeros((len(used), width), np.float32)
         has[owner[i:j], code[i:j] - lo] = 1
