@@ -241,12 +241,14 @@ def near_duplicate_classes(docs: DataFrame, keep: Sequence[str] | None = None, s
 
     blocks = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(BLOCK))).cast("int").alias("m"))
     members = (clusters.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), F.col("m")).cast("int"))
-               .join(rows.select(F.col("row").alias("node"), "shingles"), "node"))
+               .join(rows.select(F.col("row").alias("node"), "shingles").hint("merge"), "node"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("m") - 1), lambda j: F.struct(
         F.least(j, F.col("block")).alias("low"), F.greatest(j, F.col("block")).alias("high")))
     dealt = members.select("cluster", "node", "block", "shingles", F.explode(pairs).alias("to")).select(
         "cluster", "to.low", "to.high", "node", "block", "shingles")
-    groups = dealt.repartition("cluster", "low", "high").sortWithinPartitions("cluster", "low", "high", "node")
+    # few bytes but much work: as many tasks as partitions
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    groups = dealt.repartition(tasks, "cluster", "low", "high").sortWithinPartitions("cluster", "low", "high", "node")
     links = groups.mapInPandas(verifier(similar), "a long, b long")
 
     joined = components(links)
