@@ -17,6 +17,7 @@ from collections.abc import Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
+from pyspark.ml.base import _FitMultipleIterator
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -33,6 +34,9 @@ from ledgerflow.sources.scratch import reliable_checkpoint
 from ledgerflow.specs import CV_FOLDS, PARAM_GRID, SEED, SMOTE_NEIGHBOURS, TOP_FEATURES
 
 
+TREE_PARAMS = ("maxIter", "maxDepth", "stepSize", "subsamplingRate")
+
+
 class _GbtParams(Params):
     featureCols = Param(Params._dummy(), "featureCols", "input feature columns", TypeConverters.toListString)
     labelCol = Param(Params._dummy(), "labelCol", "label column", TypeConverters.toString)
@@ -58,6 +62,18 @@ class ResampledClassifier(Estimator, _GbtParams, DefaultParamsReadable, DefaultP
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> "ResampledModel":
+        return self._fit_trees(*self._prepare(dataset))
+
+    def fitMultiple(self, dataset: DataFrame, paramMaps):
+        """Points that differ in the trees only (as a fold's grid does) share one
+        scaled and resampled copy of their rows."""
+        if any(p.name not in TREE_PARAMS for point in paramMaps for p in point):
+            return super().fitMultiple(dataset, paramMaps)
+        estimator = self.copy()
+        prepared = estimator._prepare(dataset)
+        return _FitMultipleIterator(lambda i: estimator.copy(paramMaps[i])._fit_trees(*prepared), len(paramMaps))
+
+    def _prepare(self, dataset: DataFrame) -> tuple[DataFrame, list, list]:
         cols = self.getOrDefault(self.featureCols)
         label, idc, seed = self.getOrDefault(self.labelCol), self.getOrDefault(self.idCol), self.getOrDefault(self.seed)
         st = scaler_stats(dataset, cols).first()  # one row: 2 numbers per feature
@@ -69,7 +85,10 @@ class ResampledClassifier(Estimator, _GbtParams, DefaultParamsReadable, DefaultP
                                    seed=seed)
         assembled = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep").transform(scaled)
         # the trees pass over their rows many times: resample once
-        assembled = reliable_checkpoint(assembled.select(label, "features"))
+        return reliable_checkpoint(assembled.select(label, "features")), means, stds
+
+    def _fit_trees(self, assembled: DataFrame, means: list, stds: list) -> "ResampledModel":
+        label, seed = self.getOrDefault(self.labelCol), self.getOrDefault(self.seed)
         gbt = GBTClassifier(labelCol=label, featuresCol="features", lossType="logistic", seed=seed, cacheNodeIds=True,
                             maxIter=self.getOrDefault(self.maxIter), maxDepth=self.getOrDefault(self.maxDepth),
                             stepSize=self.getOrDefault(self.stepSize),
@@ -145,7 +164,7 @@ def grid_search(train: DataFrame, features: Sequence[str], grid: dict | None = N
 
 def best_params(cv_model) -> dict:
     best = cv_model.bestModel
-    return {p: best.getOrDefault(best.getParam(p)) for p in ("maxIter", "maxDepth", "stepSize", "subsamplingRate")}
+    return {p: best.getOrDefault(best.getParam(p)) for p in TREE_PARAMS}
 
 
 def predict(model, df: DataFrame, keep: Sequence[str] = ("id", "label")) -> DataFrame:

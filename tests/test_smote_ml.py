@@ -120,3 +120,14 @@ def test_saved_model_scores_raw_rows(spark, tmp_path):
     again = ml.load_resampled(spark, str(tmp_path / "m"))
     key = lambda d: sorted((r.id, r.prediction, round(r.score, 12)) for r in d.collect())
     assert key(ml.predict(again, df)) == key(ml.predict(model, df))
+
+
+def test_grid_search_resamples_once_a_fold(spark, monkeypatch):
+    calls = []
+    plain = ml.smote_balance
+    monkeypatch.setattr(ml, "smote_balance", lambda *a, **k: calls.append(1) or plain(*a, **k))
+    rnd = np.random.default_rng(4)
+    x = rnd.normal(size=(150, 2))
+    df = spark.createDataFrame([(i, int(v[0] > 0.7), *map(float, v)) for i, v in enumerate(x)], "id long, label int, f0 double, f1 double")
+    ml.grid_search(df, ["f0", "f1"], grid={"maxIter": [1, 2], "maxDepth": [1]}, folds=2, parallelism=2)
+    assert len(calls) == 3  # two folds, and the best point on all rows
