@@ -140,7 +140,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> RuleModel
     stats = statistics(whole_text())
     rows = (docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
             .select(F.col("_quality"), *[c.alias(k) for k, c in stats.items()])
-            .orderBy("_quality", *stats).toPandas())
+            .toPandas().sort_values(["_quality", *stats], ignore_index=True))  # any input order, one model
     return fit_rules(rows[list(stats)].to_numpy(np.float64), rows["_quality"].to_numpy(np.float64), list(stats))
 
 
