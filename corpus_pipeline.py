@@ -15,11 +15,14 @@ Null or empty texts have no language and go in stage 1.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.llm import language, mixing, order_minhash, packing, rules
-from ledgerflow.llm.common import staged, table
+from ledgerflow.llm.common import discard, recording, staged, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,13 +47,30 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs)
 
 
-STAGES = [
+_scratch: list[list[str]] = [[] for _ in range(5)]
+
+
+def _tidy(place: int, stage: Callable) -> Callable:
+    """The stage, which first removes the scratch tables of the one before: the
+    result of that one has been written by then."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if place:
+            discard(spark, _scratch[place - 1])
+        with recording(_scratch[place]):
+            return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+STAGES = [(name, _tidy(i, stage)) for i, (name, stage) in enumerate([
     ("language_id", identify_language),
     ("quality", keep_quality),
     ("near_dedup", remove_near_duplicates),
     ("mixing", mix_sources),
     ("packing", pack),
-]
+])]
 
 # tokenising, the classifiers and alignment are beyond SQL
 ORACLE_SQL = None

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,10 +17,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_recorders: list[list[str]] = []
+
+
+@contextmanager
+def recording(paths: list[str]) -> Iterator[None]:
+    """Note in ``paths`` every scratch table that is staged meanwhile."""
+    _recorders.append(paths)
+    try:
+        yield
+    finally:
+        _recorders.remove(paths)
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Remove scratch tables whose readers are done."""
+    while paths:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once into the shared scratch folder and read it back: a
     result that several passes use, and that outlives a lost executor."""
     path = scratch_path(df.sparkSession, name)
+    for paths in _recorders:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
