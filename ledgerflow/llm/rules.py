@@ -156,8 +156,11 @@ def score_of(model: RuleModel, stats: dict[str, Column]) -> Column:
 
 
 def score_documents(docs: DataFrame, model: RuleModel, into: str = "score") -> DataFrame:
-    """``docs`` plus the score in column ``into``; statistics are computed once a row."""
+    """``docs`` plus the score in column ``into``.  Statistics are computed once a
+    row: a struct with a member that is not deterministic is never copied into the
+    expressions, or a later filter, that use its other members."""
     stats = statistics(whole_text())
     holder = f"_{into}_stats"
-    rows = docs.withColumn(holder, F.struct(*[c.alias(k) for k, c in stats.items()]))
+    once = F.monotonically_increasing_id().alias("_once")
+    rows = docs.withColumn(holder, F.struct(*[c.alias(k) for k, c in stats.items()], once))
     return rows.withColumn(into, score_of(model, {k: F.col(holder)[k] for k in stats})).drop(holder)
