@@ -1,19 +1,23 @@
 """SMOTE: lift the minority class to the majority count by interpolating
-each minority row toward one of its k near minority neighbours.
+each minority row toward one of its k nearest minority neighbours.
 
-Neighbours are approximate, by one rule at every size, so that the work grows
-linearly with the minority:
+Neighbours are the true ones, in order of (distance, id), at every size:
 
 * identical vectors are merged first (``groupBy`` on the features, with a
   multiplicity), so a value repeated in a third of the rows is one point;
-* each of ``tables`` random sign projections (``sum of +-x``) orders the distinct
-  points, and cuts that order into leaves of ``leaf`` points (the last one takes
-  the remainder, fewer than two leaves' worth);
-* the candidates of a point are the points of its leaf in each table, at most
-  ``tables * (2 * leaf - 1)``; their distances are exact, and the nearest fill
-  the ``k`` slots.  A minority of fewer than two leaves is searched exactly.
-
-An exact search in the full dimension cannot avoid comparing most pairs.
+* distinct points fall into cells around sampled centres, a cell into blocks of
+  about ``BLOCK`` points; the neighbours of a point within its block bound the
+  distance of its ``k``-th neighbour;
+* a point visits every other block whose cell may hold a point within that bound
+  (triangle inequality on centre and radius); where nothing can be ruled out, as
+  in many dimensions without clusters, that is all of them, block by block.
+  Distances that decide are sums from left to right in double precision.
+
+The worst case compares all pairs, but a task holds one block and a bounded part
+of its visitors.  Vectors with a null or NaN feature are farthest from all.
+With ``tables`` or ``leaf`` given, ``neighbour_slots`` only looks within the
+leaves of sign projections instead (see ``leaves``).
+
 Randomness is md5 of ``(id, sample, seed)`` - reproducible, partition
 independent, and expressible in SQL for an independent check.  Every
 minority row gets ``S // m`` samples; the ``S % m`` rows with the smallest
@@ -26,6 +30,8 @@ import hashlib
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,6 +44,9 @@ from ledgerflow.specs import SEED, SMOTE_NEIGHBOURS
 TABLES = 8
 LEAF = 64
 RANK_ROWS = 8192  # rows ranked together when points are put in order
+BLOCK = 2048  # points of a block of the exact search
+VISITORS = 8192  # visitors of a block in one task
+MAX_CENTRES = 4096
 
 
 def md5_unit(*parts: Column) -> Column:
@@ -100,12 +109,173 @@ def leaves(points: DataFrame, n: int, dims: int, seed: int, vec: str, tables: in
     return ranked.select("table", F.least(F.floor((F.col("_before") + F.col("_i") - 1) / leaf), F.lit(last)).alias("leaf"), "vid")
 
 
-def neighbour_slots(points: DataFrame, dims: int, k: int, seed: int = SEED, vec: str = "vec", tables: int = TABLES,
-                    leaf: int = LEAF) -> DataFrame:
+def _nearest(k: int):
+    """Search in one block: a function that travels to the executors by value."""
+
+    def nearest(x: np.ndarray, limit: np.ndarray, y: np.ndarray, weight: np.ndarray, own: np.ndarray):
+        """``(i, j, d2)``: for each row of ``x`` the rows of ``y`` within ``limit`` that fill its
+        first ``k`` places (a row counts ``weight`` times), nearest first, then in order of ``y``;
+        ``own`` is each row's place in ``y`` (-1 if not there), with the other copies of itself."""
+        with np.errstate(all="ignore"):
+            middle = np.nan_to_num(y[np.isfinite(y).all(axis=1)].mean(axis=0)) if len(y) else 0.0
+            yc = y - middle
+            yy = (yc * yc).sum(axis=1)
+            widest = np.max(yy[np.isfinite(yy)], initial=0.0)
+            out = []
+            for at in range(0, len(x), 256):
+                part, mine = x[at:at + 256], own[at:at + 256]
+                xc = part - middle
+                xx = (xc * xc).sum(axis=1)
+                rough = xx[:, None] + yy[None, :] - 2 * xc @ yc.T
+                known = np.isfinite(rough)
+                rough[~known] = np.inf
+                here = np.flatnonzero(mine >= 0)
+                rough[here, mine[here]] = np.inf
+                slack = 1e-11 * (xx + widest)
+                bound = limit[at:at + 256] + slack
+                if len(y) > k:
+                    bound = np.minimum(bound, np.partition(rough, k - 1, axis=1)[:, k - 1] + 2 * slack)
+                bound[~np.isfinite(bound)] = np.inf
+                some = (rough <= bound[:, None]) | ~known
+                some[here, mine[here]] = weight[mine[here]] > 1
+                i, j = np.nonzero(some)
+                d2 = np.zeros(len(i))
+                for c in range(y.shape[1]):  # left to right, as in SQL
+                    step = part[i, c] - y[j, c]
+                    d2 += step * step
+                d2[np.isnan(d2)] = np.inf
+                itself = mine[i] == j
+                d2[itself] = 0.0
+                within = d2 <= limit[at + i]
+                i, j, d2, itself = i[within], j[within], d2[within], itself[within]
+                order = np.lexsort((j, d2, i))
+                i, j, d2 = i[order], j[order], d2[order]
+                w = weight[j] - itself[order]
+                before = np.cumsum(w) - w
+                first = np.searchsorted(i, i, side="left")
+                take = before - before[first] < k
+                out.append((at + i[take], j[take], d2[take]))
+        return tuple(np.concatenate(p) for p in zip(*out))
+
+    return nearest
+
+
+def _nearest_pairs(points: DataFrame, n: int, k: int, vec: str) -> DataFrame:
+    """``(vid, y_vid, d2, w)``: among them the nearest points that fill the ``k`` slots of each."""
+    kind = points.schema["vid"].dataType.simpleString()
+    tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    nearest = _nearest(k)
+    found = f"vid {kind}, y_vid {kind}, d2 double, w long"
+    want = min(-(-n // BLOCK), MAX_CENTRES)
+    turn = F.xxhash64("vid")
+    drawn = points.select(F.col(vec).alias("_v"), turn.alias("_t")).orderBy("_t").limit(want).collect() if want > 1 else []
+    drawn = np.array([r["_v"] for r in drawn], np.float64)
+    centres = drawn[np.isfinite(drawn).all(axis=1)] if len(drawn) else drawn
+    middle = centres.mean(axis=0) if len(centres) else 0.0
+    shifted = centres - middle
+    norms = (shifted * shifted).sum(axis=1) if len(centres) else np.zeros(0)
+
+    def to_centres(x):
+        """Distances to all centres, and how far off they may be."""
+        xc = x - middle
+        xx = (xc * xc).sum(axis=1)
+        d = np.sqrt(np.maximum(xx[:, None] + norms[None, :] - 2 * xc @ shifted.T, 0))
+        return np.where(np.isnan(d), np.inf, d), 1e-5 * np.sqrt(xx + norms.max())
+
+    def place(batches):
+        for pdf in batches:
+            pdf = pdf.assign(cell=0, far=np.inf)
+            if len(centres) and len(pdf):
+                with np.errstate(all="ignore"):
+                    d, off = to_centres(np.array(pdf["v"].tolist(), np.float64))
+                    far = d.min(axis=1) + off
+                pdf["cell"], pdf["far"] = d.argmin(axis=1), np.where(np.isnan(far), np.inf, far)
+            yield pdf
+
+    base = points.select("vid", F.col(vec).alias("v"), F.col("mult").cast("long").alias("w"))
+    placed = reliable_checkpoint(base.mapInPandas(place, f"vid {kind}, v array<double>, w long, cell int, far double"))
+    cells = {r.cell: (-(-r.n // BLOCK), r.far) for r in placed.groupBy("cell").agg(
+        F.count(F.lit(1)).alias("n"), F.max("far").alias("far")).collect()}  # at most MAX_CENTRES rows
+    ids = np.array(sorted(cells))
+    parts, radius = (np.array([cells[c][i] for c in sorted(cells)]) for i in (0, 1))
+    pieces = F.element_at(F.create_map(*[F.lit(int(v)) for c in cells for v in (c, cells[c][0])]), F.col("cell")) \
+        if parts.max() > 1 else F.lit(1)
+    placed = placed.withColumn("block", F.pmod(turn, pieces).cast("int"))
+
+    def inside(pdf):
+        pdf = pdf.sort_values("vid", ignore_index=True)
+        x, w = np.array(pdf["v"].tolist(), np.float64), pdf["w"].to_numpy()
+        i, j, d2 = nearest(x, np.full(len(x), np.inf), x, w, np.arange(len(x)))
+        return pd.DataFrame({"vid": pdf["vid"].to_numpy()[i], "y_vid": pdf["vid"].to_numpy()[j], "d2": d2, "w": w[j] - (i == j)})
+
+    own = placed.repartition(tasks, "cell", "block").groupBy("cell", "block").applyInPandas(inside, found)
+    if parts.sum() == 1:
+        return own
+    own = reliable_checkpoint(own)
+    kth = own.groupBy("vid").agg(F.when(F.sum("w") >= k, F.max("d2")).otherwise(F.lit(float("inf"))).alias("bound"))
+    several = -(-n // VISITORS)
+
+    def visit(batches):
+        all_blocks = np.repeat(ids, parts), np.concatenate([np.arange(m) for m in parts])
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            with np.errstate(all="ignore"):
+                if len(centres):
+                    d, off = to_centres(np.array(pdf["v"].tolist(), np.float64))
+                    reach = np.sqrt(pdf["bound"].to_numpy()) * (1 + 1e-9) + off
+                    apart = d[:, ids] - radius[None, :] > reach[:, None]
+                else:
+                    apart = np.zeros((len(pdf), len(ids)), bool)
+            meets = np.repeat(~apart, parts, axis=1)
+            meets &= (pdf["cell"].to_numpy()[:, None] != all_blocks[0]) | (pdf["block"].to_numpy()[:, None] != all_blocks[1])
+            pdf = pdf.assign(to=[[{"to_cell": int(all_blocks[0][b]), "to_block": int(all_blocks[1][b])} for b in np.flatnonzero(row)]
+                                 for row in meets])
+            yield pdf[["vid", "v", "bound", "to"]]
+
+    visitors = placed.join(kth, "vid", "left").select("vid", "v", "cell", "block", F.coalesce("bound", F.lit(float("inf"))).alias("bound"))
+    visitors = visitors.mapInPandas(visit, f"vid {kind}, v array<double>, bound double, to array<struct<to_cell int, to_block int>>")
+    visitors = visitors.select("vid", "v", F.lit(0).cast("long").alias("w"), "bound", F.inline("to")).select(
+        "vid", "v", "w", "bound", F.col("to_cell").alias("cell"), F.col("to_block").alias("block"),
+        F.pmod(F.xxhash64("vid", F.lit(1)), F.lit(several)).cast("int").alias("part"))
+    members = placed.select("vid", "v", "w", F.lit(None).cast("double").alias("bound"), "cell", "block",
+                            F.explode(F.sequence(F.lit(0), F.lit(several - 1))).alias("part"))
+
+    def across(pdf):
+        guests = pdf["w"].to_numpy() == 0
+        x, y = pdf[guests], pdf[~guests].sort_values("vid", ignore_index=True)
+        if not len(x) or not len(y):
+            return pd.DataFrame({"vid": x["vid"][:0], "y_vid": x["vid"][:0], "d2": np.zeros(0), "w": np.zeros(0, np.int64)})
+        w = y["w"].to_numpy()
+        i, j, d2 = nearest(np.array(x["v"].tolist(), np.float64), x["bound"].to_numpy(), np.array(y["v"].tolist(), np.float64), w,
+                           np.full(len(x), -1))
+        return pd.DataFrame({"vid": x["vid"].to_numpy()[i], "y_vid": y["vid"].to_numpy()[j], "d2": d2, "w": w[j]})
+
+    met = members.unionByName(visitors).repartition(tasks, "cell", "block", "part").groupBy("cell", "block", "part").applyInPandas(across, found)
+    return own.unionByName(met)
+
+
+def _leaf_pairs(points: DataFrame, n: int, dims: int, seed: int, vec: str, tables: int, leaf: int) -> DataFrame:
+    """``(vid, y_vid, d2, w)`` of the points that share a leaf."""
+    placed = reliable_checkpoint(leaves(points, n, dims, seed, vec, tables, leaf))
+    pairs = (placed.join(placed.withColumnRenamed("vid", "y_vid"), ["table", "leaf"])
+             .filter(F.col("vid") != F.col("y_vid")).select("vid", "y_vid").distinct())
+    x = points.select("vid", F.col(vec).alias("_x"))
+    y = points.select(F.col("vid").alias("y_vid"), F.col(vec).alias("_y"), F.col("mult").alias("w"))
+    near = pairs.join(x, "vid").join(y, "y_vid").select("vid", "y_vid", _sq_dist(F.col("_x"), F.col("_y")).alias("d2"), "w")
+    own = points.filter(F.col("mult") > 1).select("vid", F.col("vid").alias("y_vid"), F.lit(0.0).alias("d2"), (F.col("mult") - 1).alias("w"))
+    return near.unionByName(own)
+
+
+def neighbour_slots(points: DataFrame, dims: int, k: int, seed: int = SEED, vec: str = "vec", tables: int | None = None,
+                    leaf: int | None = None) -> DataFrame:
     """``(vid, slot, nvid)``: for every distinct point, its neighbours filling
     slots ``0..k-1`` in order of (distance, vid); a point repeated ``m``
-    times has ``m - 1`` copies of itself at distance 0."""
-    if leaf <= k:
+    times has ``m - 1`` copies of itself at distance 0.  The neighbours are the
+    nearest of all points, or of shared leaves if ``tables`` or ``leaf`` is given."""
+    exact = tables is None and leaf is None
+    tables, leaf = tables or TABLES, leaf or LEAF
+    if not exact and leaf <= k:
         raise ValueError("a leaf must hold more points than k")
     sizes = points.agg(F.count(F.lit(1)).alias("n"), F.sum("mult").alias("rows")).first()
     if sizes["n"] == 0:
@@ -113,15 +283,10 @@ def neighbour_slots(points: DataFrame, dims: int, k: int, seed: int = SEED, vec:
     k = min(k, int(sizes["rows"]) - 1)
     if k <= 0:  # a single row: its only "neighbour" is itself
         return points.select("vid", F.lit(0).alias("slot"), F.col("vid").alias("nvid"))
-    placed = reliable_checkpoint(leaves(points, int(sizes["n"]), dims, seed, vec, tables, leaf))
-    pairs = (placed.join(placed.withColumnRenamed("vid", "y_vid"), ["table", "leaf"])
-             .filter(F.col("vid") != F.col("y_vid")).select("vid", "y_vid").distinct())
-    x = points.select("vid", F.col(vec).alias("_x"))
-    y = points.select(F.col("vid").alias("y_vid"), F.col(vec).alias("_y"), F.col("mult").alias("w"))
-    near = pairs.join(x, "vid").join(y, "y_vid").select("vid", "y_vid", _sq_dist(F.col("_x"), F.col("_y")).alias("d2"), "w")
-    own = points.filter(F.col("mult") > 1).select("vid", F.col("vid").alias("y_vid"), F.lit(0.0).alias("d2"), (F.col("mult") - 1).alias("w"))
+    n = int(sizes["n"])
+    pairs = _nearest_pairs(points, n, k, vec) if exact else _leaf_pairs(points, n, dims, seed, vec, tables, leaf)
     order = Window.partitionBy("vid").orderBy("d2", "y_vid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = near.unionByName(own).withColumn("cum", F.sum("w").over(order)).withColumn("before", F.col("cum") - F.col("w"))
+    ranked = pairs.withColumn("cum", F.sum("w").over(order)).withColumn("before", F.col("cum") - F.col("w"))
     return reliable_checkpoint(ranked.filter(F.col("before") < k).select(
         "vid", F.explode(F.sequence(F.col("before"), F.least(F.col("cum"), F.lit(k)) - 1)).alias("slot"),
         F.col("y_vid").alias("nvid")).withColumn("slot", F.col("slot").cast("int")))

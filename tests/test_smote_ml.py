@@ -59,6 +59,36 @@ def test_slots_follow_the_leaf_rule(spark, monkeypatch, rank_rows):
     assert slots_of(smote.neighbour_slots(points, 6, 5, tables=3, leaf=10)) == want
 
 
+@pytest.mark.parametrize("dims, clusters", [(23, 0), (64, 0), (64, 40)])
+def test_neighbours_are_the_true_ones(spark, monkeypatch, dims, clusters):
+    monkeypatch.setattr(smote, "BLOCK", 256)
+    monkeypatch.setattr(smote, "VISITORS", 1500)
+    rng = np.random.default_rng(11)
+    x = np.round(rng.standard_normal((4000, dims)), 3)
+    if clusters:
+        x = np.round(x * 0.3 + 3 * rng.standard_normal((clusters, dims))[rng.integers(0, clusters, len(x))], 3)
+    x[::50] = x[0]  # a hot vector
+    points = smote.distinct_points(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vec array<double>"), "vec", "id")
+    rows = sorted((r.vid, r.mult) for r in points.collect())
+    ids, mult = np.array(rows).T
+    y = x[ids]
+    want = {}
+    for i, v in enumerate(ids):
+        d2 = ((y - y[i]) ** 2).sum(axis=1)
+        w = mult - (np.arange(len(ids)) == i)
+        order = np.lexsort((ids, d2))
+        want[int(v)] = np.repeat(ids[order], w[order])[:5].tolist()
+    assert slots_of(smote.neighbour_slots(points, dims, 5)) == want
+
+
+def test_neighbours_without_finite_features_come_last(spark, monkeypatch):
+    monkeypatch.setattr(smote, "BLOCK", 4)
+    rows = [(i, [float(i), 0.0]) for i in range(20)] + [(20, [None, 1.0]), (21, [float("nan"), 2.0])]
+    points = smote.distinct_points(spark.createDataFrame(rows, "id long, vec array<double>"), "vec", "id")
+    got = slots_of(smote.neighbour_slots(points, 2, 3))
+    assert got[0] == [1, 2, 3] and got[10] == [9, 11, 8] and got[20] == got[21] == [0, 1, 2]
+
+
 def test_candidates_grow_linearly(spark):
     per_point = []
     for n in (400, 1600):
