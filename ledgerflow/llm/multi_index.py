@@ -6,9 +6,12 @@ the grid's cells in order of summed distance to its halves (the multi-sequence
 order) and meets the members of the first ``visits`` cells; every pair that
 meets is verified by its cosine in double precision.
 
-How many cells to visit is measured, not guessed: a bounded sample of vectors
-is compared with all rows, and ``visits`` is the rank within which the target
-share of their true links lies.  Codebooks are fitted on a bounded sample whose
+How many cells to visit is measured, not guessed, for each vector length: a
+bounded sample of vectors is compared with all rows, and ``visits`` is the rank
+within which the target share of the true links of those with a partner in
+another cell lies, with each vector weighing the same and with each group of
+like vectors weighing the same.  The rank is seen from one side; a pair also
+meets if the other side visits, so the share found is at least that.  Codebooks are fitted on a bounded sample whose
 size follows the square root of the number of vectors; every row is indexed.
 
 Equal vectors are one class with a multiplicity.  A pair whose members visit
@@ -40,7 +43,9 @@ TARGET_RECALL = 0.99
 CELL_ROWS = 128
 BLOCK = 512
 MIN_VISITS = 4
-MAX_CALIBRATION = 1024
+MAX_CALIBRATION = 1024  # vectors asked at first
+CROSSING = 200  # draw more until so many groups have a partner in another cell
+MAX_QUERIES = 16384  # or so many vectors are asked
 SEED = 5
 
 
@@ -108,42 +113,71 @@ def fit_grids(classes: DataFrame, cell_rows: int = CELL_ROWS, seed: int = SEED)
     return grids
 
 
-def calibrate(classes: DataFrame, grids: dict[int, Grid], threshold: float = THRESHOLD,
-              target: float = TARGET_RECALL) -> int:
-    """Cells to visit: the rank within which ``target`` of the true links of a
-    sample (at most ``MAX_CALIBRATION`` vectors or so) lie, at least ``MIN_VISITS``."""
-    n = classes.count()
-    if not n:
-        return MIN_VISITS
-    chance = F.pmod(F.xxhash64("key", F.lit(1)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    asked = classes.filter(chance < F.lit(MAX_CALIBRATION / n)).select("vector", "dim").toPandas()
-    queries = {dim: _unit(part["vector"]) for dim, part in asked.groupby("dim")}
+def _links_of(classes: DataFrame, grids: dict[int, Grid], asked: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """``dim, q, cell, n``: links of the asked vectors to others, by the cell of the other
+    one; ``q`` counts the asked vectors of a length."""
+    queries = {dim: (_unit(part["vector"]), part["key"].to_numpy()) for dim, part in asked.groupby("dim")}
 
     def compare(batches):
         for pdf in batches:
             for dim, part in pdf.groupby("dim"):
                 if dim not in queries:
                     continue
-                unit, grid = _unit(part["vector"]), grids[dim]
-                row, q = np.nonzero(unit @ queries[dim].T >= threshold)
-                cell = grid.traverse(unit, 1)[:, 0]
-                found = pd.DataFrame({"dim": dim, "q": q, "cell": cell[row]})
-                yield found.groupby(["dim", "q", "cell"]).size().reset_index(name="n")
-
-    links = (classes.select("vector", "dim").mapInPandas(compare, "dim int, q int, cell long, n long")
-             .groupBy("dim", "q", "cell").agg(F.sum("n").alias("n")).toPandas())
-    ranks, weights = [], []
-    for (dim, q), part in links.groupby(["dim", "q"]):
-        d1, d2 = grids[dim].distances(queries[dim][q:q + 1])
-        total = (d1[0][:, None] + d2[0][None, :]).reshape(-1)
-        for cell, w in zip(part["cell"], part["n"]):
-            ranks.append(1 + int((total < total[cell]).sum()))
-            weights.append(w)
-    if not ranks:
-        return MIN_VISITS
-    order = np.argsort(ranks)
-    share = np.cumsum(np.array(weights)[order]) / sum(weights)
-    return max(MIN_VISITS, int(np.array(ranks)[order][np.searchsorted(share, target)]))
+                ask, keys = queries[dim]
+                place = {key: q for q, key in enumerate(keys)}
+                unit, own = _unit(part["vector"]), np.array([place.get(key, -1) for key in part["key"]])
+                cell = grids[dim].traverse(unit, 1)[:, 0]
+                rows = max(1, (1 << 22) // len(ask))
+                for at in range(0, len(unit), rows):
+                    near = unit[at:at + rows] @ ask.T >= threshold
+                    here = np.flatnonzero(own[at:at + rows] >= 0)
+                    near[here, own[at + here]] = False  # a vector is no partner of its own
+                    row, q = np.nonzero(near)
+                    if len(row):
+                        found = pd.DataFrame({"dim": dim, "q": q, "cell": cell[at + row]})
+                        yield found.groupby(["dim", "q", "cell"]).size().reset_index(name="n")
+
+    return (classes.select("key", "vector", "dim").mapInPandas(compare, "dim int, q int, cell long, n long")
+            .groupBy("dim", "q", "cell").agg(F.sum("n").alias("n")).toPandas())
+
+
+def calibrate(classes: DataFrame, grids: dict[int, Grid], threshold: float = THRESHOLD,
+              target: float = TARGET_RECALL) -> dict[int, int]:
+    """Cells to visit for each vector length: the rank within which ``target`` of the true
+    links of asked vectors lie, at least ``MIN_VISITS``.  Vectors with all partners in their
+    own cell say nothing and are left out; about ``MAX_CALIBRATION`` vectors are asked, then
+    four times as many, until ``CROSSING`` groups (or ``MAX_QUERIES`` vectors, or all) are seen."""
+    visits = {}
+    turn = F.pmod(F.xxhash64("key", F.lit(1)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    for dim, grid in grids.items():
+        mine = classes.filter(F.col("dim") == dim)
+        n, low, want = mine.count(), 0.0, MAX_CALIBRATION
+        ranks, evenly, by_group = [], [], []
+        while True:
+            high = min(want / n, 1.0)
+            asked = mine.filter((turn >= F.lit(low)) & (turn < F.lit(high))).select("key", "vector", "dim").toPandas()
+            links = _links_of(mine, {dim: grid}, asked, threshold) if len(asked) else pd.DataFrame(columns=["q", "cell", "n"])
+            unit = _unit(asked["vector"]) if len(asked) else None
+            for q, part in links.groupby("q"):
+                d1, d2 = grid.distances(unit[int(q):int(q) + 1])
+                total = (d1[0][:, None] + d2[0][None, :]).reshape(-1)
+                all_ranks = [1 + int((total < total[cell]).sum()) for cell in part["cell"]]
+                if max(all_ranks) == 1:
+                    continue
+                share = part["n"].to_numpy() / part["n"].sum()
+                ranks += all_ranks
+                evenly += share.tolist()
+                by_group += (share * 2 / (1 + part["n"].sum())).tolist()
+            if high >= 1 or want >= MAX_QUERIES or sum(by_group) >= CROSSING:
+                break
+            low, want = high, min(4 * want, MAX_QUERIES)
+        visits[dim] = MIN_VISITS
+        order = np.argsort(ranks, kind="stable")
+        for weights in (evenly, by_group) if ranks else ():
+            seen = np.cumsum(np.array(weights)[order])
+            at = min(int(np.searchsorted(seen, target * seen[-1])), len(order) - 1)
+            visits[dim] = max(visits[dim], ranks[order[at]])
+    return visits
 
 
 def _meet(threshold: float):
@@ -191,13 +225,13 @@ def _meet(threshold: float):
     return meet
 
 
-def link_classes(classes: DataFrame, grids: dict[int, Grid], visits: int, threshold: float = THRESHOLD) -> DataFrame:
+def link_classes(classes: DataFrame, grids: dict[int, Grid], visits: dict[int, int], threshold: float = THRESHOLD) -> DataFrame:
     """``node, links, root``: partial link counts, and an edge of the node's component."""
 
     def index(batches):
         for pdf in batches:
             for dim, part in pdf.groupby("dim"):
-                cells = grids[dim].traverse(_unit(part["vector"]), visits)
+                cells = grids[dim].traverse(_unit(part["vector"]), visits[dim])
                 yield pd.DataFrame({"node": part["node"], "dim": dim, "weight": part["weight"], "vector": part["vector"],
                                     "own": cells[:, 0], "visits": list(cells[:, 1:].astype(np.int64))})
 

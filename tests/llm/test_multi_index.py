@@ -91,3 +91,27 @@ def test_query_recall_on_planted_copies(spark, sf):
     rows = base + [(10_000 + i, (np.array(v) + 0.03 * rng.standard_normal(len(v))).tolist(), 0) for i, v, _ in base[:200]]
     want, got = brute(rows), found(M.near_duplicates(spark.createDataFrame(rows, SCHEMA)))
     assert sum(g[0] for g in got.values()) >= 0.9 * sum(w[0] for w in want.values()) > 0
+
+
+@pytest.mark.parametrize("hot, paired", [(0, 0.02), (0, 0.1), (2700, 0.1)])
+def test_recall_of_sparse_pairs_beside_a_hot_group(spark, monkeypatch, hot, paired):
+    """400 cells or more (k >= 20): pairs across cells are found whatever else there is."""
+    rng = np.random.default_rng(6)
+    n, dim = 8000, 64
+    x = rng.standard_normal((n, dim))
+    x[:hot] = rng.standard_normal(dim) + 0.1 * rng.standard_normal((hot, dim))
+    pairs = int(n * paired / 2)
+    a = np.arange(hot, hot + pairs)
+    x[a + pairs] = x[a] + rng.uniform(0.3, 0.45, (pairs, 1)) * rng.standard_normal((pairs, dim))
+    u = x / np.sqrt((x * x).sum(1))[:, None]
+    near = u @ u.T >= 0.9
+    np.fill_diagonal(near, False)
+    want = near.sum(1)
+    monkeypatch.setattr(M.fit_grids, "__defaults__", (16, M.SEED))
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(u)], "vec_id long, embedding array<double>, label int").repartition(8)
+    got = found(M.near_duplicates(df))
+    got = np.array([got[i][0] for i in range(n)])
+    small = (want > 0) & (np.arange(n) >= hot)
+    assert small.sum() > 0.8 * 2 * pairs and (got <= want).all()
+    for part in (small, (want > 0) & ~small):
+        assert not part.any() or (got[part] / want[part]).mean() >= 0.98
