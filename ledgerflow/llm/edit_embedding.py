@@ -227,24 +227,30 @@ def fingerprint_documents(docs: DataFrame, pieces: int | None = None) -> DataFra
              "near_edited double, near_next double")
 
 
+def bands(seed: int = SEED + 1) -> list:
+    """Keys of sampled symbols of one octave, for each of the octaves below the top that
+    texts fill.  An octave is sampled at the same places whichever it is from the top, so
+    texts whose walks lie on either side of a power of two meet as well."""
+    rng = np.random.default_rng(seed)
+    top, keys = F.ascii(F.substring("fingerprint", 1, 1)) - 48, []
+    for band in range(BANDS // 2):
+        picks = sorted(rng.choice(SAMPLES, BAND_SYMBOLS, replace=False))
+        for block in (1, 2, 3):
+            base = 2 + (band % WALKS) * OCTAVES * SAMPLES + block * SAMPLES
+            key = F.xxhash64(F.lit(band), top - block, *[F.substring("fingerprint", int(base + p), 1) for p in picks])
+            keys.append(F.when(top >= block, key) if block == 3 else key)
+    return keys
+
+
 def near_pairs(prints: DataFrame, like: float = LIKE) -> DataFrame:
     """``(doc_id, fingerprint)`` -> ``a, b, near``: pairs of class representatives
     (the least id with that fingerprint) whose likeness is at least ``like``.
 
-    Bands are sampled symbols of one octave that both texts fill (the second
-    and third from the top); members of a band meet its representative, so a
+    Bands are sampled symbols of one octave that both texts fill; members of a band meet its representative, so a
     band of any size gives as many candidates as members.
     """
     classes = staged(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("rep")).filter("rep is not null"), "classes")
-    rng = np.random.default_rng(SEED + 1)
-    keys = []
-    for band in range(BANDS):
-        block = 1 + band % 2
-        base = 2 + (band // 2 % WALKS) * OCTAVES * SAMPLES + block * SAMPLES
-        picks = sorted(rng.choice(SAMPLES, BAND_SYMBOLS, replace=False))
-        octave = F.ascii(F.substring("fingerprint", 1, 1)) - 48 - block
-        keys.append(F.concat_ws(":", F.lit(f"{band // 2}"), octave.cast("string"), *[F.substring("fingerprint", int(base + p), 1) for p in picks]))
-    banded = classes.select("rep", F.explode(F.array(*keys)).alias("band"))
+    banded = classes.select("rep", F.explode(F.array_distinct(F.array_compact(F.array(*bands())))).alias("band"))
     hubs = banded.groupBy("band").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     pairs = banded.join(hubs, "band").filter("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
     one = classes.select(F.col("rep").alias("a"), F.col("fingerprint").alias("fa"))

@@ -93,3 +93,30 @@ def test_near_classes(spark, documents):
     got = {r.doc_id: r.class_id for r in E.near_classes(prints).collect()}
     assert len(got) == len(rows) and all(got[200 + i] == 0 for i in range(50))
     assert sum(got[100 + i] == i for i in range(20)) >= 18 and all(got[i] == i for i in range(20))
+
+
+def test_near_copies_across_powers_of_two(spark, documents):
+    rng = random.Random(13)
+    walker = E.Walker()
+    rows, crossing = [], set()
+    for n in range(200, 1400, 10):
+        text = "".join(rng.choices("etaoin shrdlu", k=n))
+        copy = text + "".join(rng.choices("etaoin shrdlu", k=6))
+        a, b = walker.prints([text, copy])
+        i = len(rows)
+        if E.likeness([a], [b])[0] >= E.LIKE:
+            rows += [(i, text), (i + 1, copy)]
+            crossing |= {i} if a[0] != b[0] else set()
+    for power in (9, 10, 11):  # the longest start of a text whose walk ends below the power, and a few more characters
+        for _ in range(12):
+            text = "".join(rng.choices("etaoin shrdlu", k=1 << power))
+            n = next(n for n in range(len(text) // 3, len(text)) if ord(walker.prints([text[:n]])[0][0]) - 48 >= power)
+            a, b = walker.prints([text[:n - 1], text[:n + 6]])
+            if a[0] != b[0] and E.likeness([a], [b])[0] >= E.LIKE:
+                crossing.add(len(rows))
+                rows += [(len(rows), text[:n - 1]), (len(rows) + 1, text[:n + 6])]
+    assert len(crossing) >= 20
+    prints = E.fingerprint_documents(documents(rows)).select("doc_id", "fingerprint")
+    got = {r.doc_id: r.class_id for r in E.near_classes(prints).collect()}
+    assert all(got[i + 1] == i for i in crossing)
+    assert sum(got[i + 1] == i for i in range(0, len(rows), 2)) >= 0.98 * len(rows) / 2
