@@ -13,7 +13,8 @@ Positions do not depend on the text, so equal symbols mean walks in step; the
 likeness of two fingerprints is the share of equal symbols, weighted by the
 length of output each stands for, less what chance gives.
 
-``near_pairs`` finds like fingerprints by bit-sampled bands and verifies them.
+``near_pairs`` finds like fingerprints by bit-sampled bands and verifies all
+pairs of a band that are not connected already.
 
 Defined cases: null text is empty; the empty text has a fingerprint of its own,
 like only to itself; null ids come first in order; repeated rows follow one
@@ -45,6 +46,7 @@ PAD = 63
 WIDTH = 1 + WALKS * OCTAVES * SAMPLES
 
 BANDS, BAND_SYMBOLS = 12, 5
+BAND_BLOCK = 512
 LIKE = 0.8
 
 
@@ -129,7 +131,14 @@ def likeness(a: list[str], b: list[str]) -> np.ndarray:
     """Of each pair of fingerprints, 0 to 1 (1 if they are equal)."""
     if not len(a):
         return np.zeros(0)
-    x, y = (np.frombuffer("".join(s).encode("ascii"), np.uint8).reshape(len(s), WIDTH).astype(np.int16) - 48 for s in (a, b))
+    return _likeness(_codes(a), _codes(b))
+
+
+def _codes(prints: list[str]) -> np.ndarray:
+    return np.frombuffer("".join(prints).encode("ascii"), np.uint8).reshape(len(prints), WIDTH).astype(np.int16) - 48
+
+
+def _likeness(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     top = np.maximum(x[:, 0], y[:, 0])
     blocks = []
     for p in (x, y):
@@ -242,15 +251,42 @@ def bands(seed: int = SEED + 1) -> list:
     return keys
 
 
+def _verify(like: float):
+    """Links among one block of a band's lesser components and one block of all its members."""
+
+    def verify(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        codes = _codes(pdf["fingerprint"].tolist())
+        rep, part = pdf["rep"].to_numpy(), pdf["component"].to_numpy()
+        lesser, member = np.flatnonzero(pdf["kind"] == 1), np.flatnonzero(pdf["kind"] == 0)
+        inner = part[member] != pdf["main"].to_numpy()[member]
+        names, number = np.unique(part, return_inverse=True)
+        root = np.arange(len(names))
+        out = []
+        for i in lesser:
+            # a pair of two lesser ones is seen from both ends: once is enough
+            todo = member[(root[number[member]] != root[number[i]]) & ~(inner & (rep[member] > rep[i]))]
+            near = _likeness(np.broadcast_to(codes[i], (len(todo), WIDTH)), codes[todo]) if len(todo) else np.zeros(0)
+            for j, value in zip(todo[near >= like], near[near >= like]):
+                p, q = root[number[i]], root[number[j]]
+                if p != q:
+                    root[root == max(p, q)] = min(p, q)
+                    out.append((rep[min(i, j, key=lambda t: rep[t])], rep[max(i, j, key=lambda t: rep[t])], value))
+        return pd.DataFrame(out, columns=["a", "b", "near"]).astype({"a": "int64", "b": "int64", "near": "float64"})
+
+    return verify
+
+
 def near_pairs(prints: DataFrame, like: float = LIKE) -> DataFrame:
     """``(doc_id, fingerprint)`` -> ``a, b, near``: pairs of class representatives
-    (the least id with that fingerprint) whose likeness is at least ``like``.
+    (the least id with that fingerprint) whose likeness is at least ``like``, enough of
+    them to connect any two that share a band.
 
-    Bands are sampled symbols of one octave that both texts fill; members of a band meet its representative, so a
-    band of any size gives as many candidates as members.
+    Members of a band meet its least representative first, so a band of like texts
+    gives as many candidates as members.  Where that leaves a band in several
+    components, its members outside the largest of them meet all others, in blocks.
     """
     classes = staged(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("rep")).filter("rep is not null"), "classes")
-    banded = classes.select("rep", F.explode(F.array_distinct(F.array_compact(F.array(*bands())))).alias("band"))
+    banded = staged(classes.select("rep", F.explode(F.array_distinct(F.array_compact(F.array(*bands())))).alias("band")), "bands")
     hubs = banded.groupBy("band").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     pairs = banded.join(hubs, "band").filter("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
     one = classes.select(F.col("rep").alias("a"), F.col("fingerprint").alias("fa"))
@@ -260,13 +296,41 @@ def near_pairs(prints: DataFrame, like: float = LIKE) -> DataFrame:
     def near(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series(likeness(a.tolist(), b.tolist()))
 
-    return pairs.join(one, "a").join(two, "b").withColumn("near", near("fa", "fb")).filter(F.col("near") >= like).select("a", "b", "near")
+    first = staged(pairs.join(one, "a").join(two, "b").withColumn("near", near("fa", "fb")).filter(F.col("near") >= like)
+                   .select("a", "b", "near"), "hub_pairs")
+
+    joined = components(first).withColumnRenamed("node", "rep")
+    told = (banded.join(hubs.select("band"), "band").join(joined, "rep", "left")
+            .select("rep", "band", F.coalesce("component", "rep").alias("component")))
+    told = staged(told, "told")
+    sizes = told.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("band").agg(
+        F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("most"))
+    blocks = lambda n: F.ceil(n / F.lit(float(BAND_BLOCK))).cast("int")
+    open_ = staged(sizes.filter(F.col("n") > F.col("most.n")).select(
+        "band", F.col("most.component").alias("main"), blocks(F.col("n")).alias("all_blocks"),
+        blocks(F.col("n") - F.col("most.n")).alias("lesser_blocks")), "open")
+    left = told.join(open_, "band").join(classes, "rep")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    turn = F.xxhash64("rep")
+    row = "band", "rep", "component", "main", "fingerprint"
+    members = left.select(*row, F.lit(0).alias("kind"), F.pmod(turn, F.col("all_blocks")).cast("int").alias("i"), every("lesser_blocks").alias("j"))
+    lesser = left.filter("component <> main").select(
+        *row, F.lit(1).alias("kind"), F.pmod(turn, F.col("lesser_blocks")).cast("int").alias("j"), every("all_blocks").alias("i"))
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rest = members.unionByName(lesser).repartition(tasks, "band", "i", "j").groupBy("band", "i", "j").applyInPandas(
+        _verify(like), "a long, b long, near double")
+    return first.unionByName(staged(rest, "rest").dropDuplicates(["a", "b"]))
+
+
+def fingerprint_classes(prints: DataFrame, like: float = LIKE) -> DataFrame:
+    """``(doc_id, fingerprint)`` -> ``fingerprint, class_id``, one row a fingerprint."""
+    reps = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("rep"))
+    joined = components(near_pairs(prints, like)).withColumnRenamed("node", "rep")
+    return reps.join(joined, "rep", "left").select("fingerprint", F.coalesce("component", "rep").alias("class_id"))
 
 
 def near_classes(prints: DataFrame, like: float = LIKE) -> DataFrame:
     """``(doc_id, fingerprint)`` -> every row with ``class_id``, the least id that
     near pairs lead to (its own where there are none)."""
-    reps = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("rep"))
-    joined = components(near_pairs(prints, like)).withColumnRenamed("node", "rep")
-    found = reps.join(joined, "rep", "left").select("fingerprint", F.coalesce("component", "rep").alias("class_id"))
+    found = fingerprint_classes(prints, like)
     return prints.join(found, "fingerprint").select("doc_id", "fingerprint", "class_id")

@@ -95,6 +95,22 @@ def test_near_classes(spark, documents):
     assert sum(got[100 + i] == i for i in range(20)) >= 18 and all(got[i] == i for i in range(20))
 
 
+def test_near_copies_whose_hub_is_unlike_them(spark, documents, monkeypatch):
+    """Two near copies share a passage (as long as the banded octaves) with a text that comes first."""
+    monkeypatch.setattr(E, "BAND_BLOCK", 8, raising=False)
+    rng = random.Random(9)
+    draw = lambda n: "".join(rng.choices("etaoin shrdlu", k=n))
+    passage = draw(1040)
+    rows = [(i, passage + draw(860)) for i in range(40)]
+    rows += [(95 + i, t[:1700] + "qq" + t[1702:]) for i, t in rows[5:25]]
+    prints = E.fingerprint_documents(documents(rows)).select("doc_id", "fingerprint")
+    near = {r.doc_id: r.fingerprint for r in prints.collect()}
+    got = {r.doc_id: r.class_id for r in E.near_classes(prints).collect()}
+    for i in range(20):
+        assert (got[100 + i] == got[5 + i]) or E.likeness([near[100 + i]], [near[5 + i]])[0] < E.LIKE
+    assert sum(got[100 + i] == 5 + i for i in range(20)) >= 16 and len({got[i] for i in range(40)}) == 40
+
+
 def test_near_copies_across_powers_of_two(spark, documents):
     rng = random.Random(13)
     walker = E.Walker()
