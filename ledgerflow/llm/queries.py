@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.llm import edit_embedding, hash_tree, html_lstm, language, mixing, multi_index, order_minhash, packing, rules, warc
-from ledgerflow.llm.common import held_out, table
+from ledgerflow.llm.common import held_out, staged, table
 from ledgerflow.llm.oracle_sql import ORACLE  # noqa: F401
 
 
@@ -20,7 +20,9 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edit_embedding.fingerprint_documents(table(spark, sf_dir, "documents"))
+    prints = staged(edit_embedding.fingerprint_documents(table(spark, sf_dir, "documents")), "prints")
+    found = edit_embedding.fingerprint_classes(prints.select("doc_id", "fingerprint"))
+    return prints.join(found, "fingerprint").select(*prints.columns, "class_id")
 
 
 def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
