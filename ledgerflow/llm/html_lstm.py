@@ -425,10 +425,11 @@ def train(pages: list[str], seed: int = SEED, templates: int = TEMPLATES, epochs
 
 
 def fit(pages: DataFrame, sample: int = SAMPLE) -> Labeller:
-    """Learn from about ``sample`` pages, chosen by a hash of their html."""
-    n = pages.count()
+    """Learn from about ``sample`` different pages, chosen by a hash of their html."""
+    n = pages.select(F.xxhash64("html").alias("h")).distinct().count()
     chance = F.pmod(F.xxhash64("html"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rows = pages.filter((F.octet_length("html") <= SAMPLE_BYTES) & (chance < F.lit(sample / max(n, 1)))).select("html").collect()
+    chosen = pages.filter((F.octet_length("html") <= SAMPLE_BYTES) & (chance < F.lit(sample / max(n, 1))))
+    rows = chosen.select("html").distinct().collect()
     return train(sorted(r.html for r in rows))
 
 

@@ -91,3 +91,14 @@ def test_unusual_pages(spark, model):
 
 def test_learning_without_pages(spark):
     assert H.fit(spark.createDataFrame([], PAGES), 5).p["o"].shape == (2 * H.HIDDEN, 1)
+
+
+def test_sample_holds_a_repeated_page_once(spark, monkeypatch):
+    from ledgerflow.llm import html_lstm
+
+    seen = []
+    monkeypatch.setattr(html_lstm, "train", lambda pages: seen.extend(pages))
+    html = [f"<p>page {i}</p>" for i in range(10)]
+    rows = [(i, h) for i, h in enumerate(html + html[:1] * 200)]
+    html_lstm.fit(spark.createDataFrame(rows, "page_id long, html string"), sample=210)
+    assert seen == sorted(html)
