@@ -60,4 +60,39 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
-ORACLE: dict[str, str] = {"op5_mixing": MIXING}
+_FILTERS = "ABCDE"
+_BIT = "(1 << (ascii({}) - 65))"
+
+FILTER_AUDIT = f"""
+WITH flags AS (SELECT doc_id, max(CAST(quality = 1 AS INTEGER)) AS good, max(CAST(toxic = 1 AS INTEGER)) AS toxic FROM labels GROUP BY 1),
+t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS body,
+             regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+first AS (SELECT body, min(doc_id) AS first FROM t GROUP BY body),
+d AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+        CAST(len(words) < 50 AS INTEGER) + 2 * CAST(100 * len(list_distinct(words)) < 65 * len(words) AS INTEGER)
+        + 4 * CAST(100 * (length(body) - length(regexp_replace(body, '[A-Z]', '', 'g'))) > 5 * length(body) AS INTEGER)
+        + 8 * CAST(regexp_matches(body, '[#$%&*|]') AS INTEGER) + 16 * coalesce(CAST(doc_id > first AS INTEGER), 0) AS mask
+      FROM t JOIN first USING (body) LEFT JOIN flags USING (doc_id)),
+m AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM d GROUP BY part, mask),
+letter AS (SELECT unnest(string_split('{_FILTERS}', '')) AS l),
+orders AS (SELECT a.l || b.l || c.l || e.l || f.l AS o FROM letter a, letter b, letter c, letter e, letter f
+           WHERE len(list_distinct([a.l, b.l, c.l, e.l, f.l])) = 5),
+slots AS (SELECT o, CAST(s AS INTEGER) AS step, {_BIT.format("substr(o, s, 1)")} AS bit,
+                 list_sum([{_BIT.format("x")} FOR x IN string_split(substr(o, 1, s - 1), '') IF x <> '']) AS seen
+          FROM orders, range(1, 6) r(s)),
+found AS (
+  SELECT part, o, step, bit,
+    sum(CASE WHEN mask & (coalesce(seen, 0)::BIGINT | bit) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & coalesce(seen, 0)::BIGINT = 0 AND mask & bit > 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & coalesce(seen, 0)::BIGINT > 0 AND mask & bit > 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & coalesce(seen, 0)::BIGINT = 0 AND mask & bit > 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & coalesce(seen, 0)::BIGINT = 0 AND mask & bit > 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM m, slots GROUP BY part, o, step, bit)
+SELECT part, o AS filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM found
+"""
+
+ORACLE: dict[str, str] = {"op5_mixing": MIXING, "op13_filter_audit": FILTER_AUDIT}

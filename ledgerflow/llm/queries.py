@@ -10,7 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import edit_embedding, hash_tree, html_lstm, language, mixing, multi_index, order_minhash, packing, rules, warc
+from ledgerflow.llm import (edit_embedding, filter_audit, hash_tree, html_lstm, language, merge_path, mixing, multi_index,
+                            order_minhash, packing, prefix_counts, rules, warc)
 from ledgerflow.llm.common import held_out, staged, table
 from ledgerflow.llm.oracle_sql import ORACLE  # noqa: F401
 
@@ -65,6 +66,18 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "language.lang_pred", "language.score")
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge_path.align(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_fingerprints": op2_fingerprints,
@@ -76,5 +89,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_warc": op9_warc,
     "op10_language": op10_language,
+    "op11_token_counts": op11_token_counts,
+    "op12_alignment": op12_alignment,
+    "op13_filter_audit": op13_filter_audit,
 }
 
