@@ -38,7 +38,7 @@ from ledgerflow.llm.common import staged, whole_text
 from ledgerflow.llm.packing import _byte_alphabet
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
-PIECE = 1 << 14
+PIECE = 1 << 16
 BATCH_TOKENS = 1_500_000
 SPACE = "▁"
 PIECES = ("row long, doc_id long, piece int, pieces int, a binary, b binary, a_before long, a_at long, b_at long")
@@ -193,29 +193,33 @@ class Pieces:
         self.cut_of = self.b_of[self.cut_b]
         self.cuts = np.bincount(self.cut_of, minlength=count)
 
-    def digests(self, both: Vocabularies) -> list[str]:
-        """Of pieces that are whole texts: the digest of their groups."""
+    def words(self, both: Vocabularies) -> list[str]:
+        """Every id with the mark behind it, group after group, A's before B's."""
         text = np.empty(len(self.a) + len(self.b), object)
         a, b = np.arange(len(self.a)), np.arange(len(self.b))
         group_a, group_b = np.searchsorted(self.cut_a, a), np.searchsorted(self.cut_b, b)
         b_upto = np.concatenate([[0], self.cut_b + 1])
         a_upto = np.concatenate([self.cut_a + 1, [len(a)]])
         last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
-        last_a[self.cut_a], last_b[self.cut_b] = 1, 1
+        last_a[self.cut_a[self.cut_a >= 0]], last_b[self.cut_b] = 1, 1
         text[a + b_upto[group_a]] = both.a_text[self.a + last_a * len(both.a_bytes)]
         text[b + a_upto[group_b]] = both.b_text[self.b + last_b * len(both.b_bytes)]
+        return text.tolist()
+
+    def digests(self, both: Vocabularies) -> list[str]:
+        """Of pieces that are whole texts: the digest of their groups."""
         upto = np.concatenate([[0], np.cumsum(self.n_a + self.n_b)]).tolist()
-        words = text.tolist()
+        words = self.words(both)
         return [hashlib.sha256("".join(words[i:j])[:-1].encode()).hexdigest() if j > i else "" for i, j in zip(upto, upto[1:])]
 
-    def parts(self) -> tuple[str, str, str, str, str]:
+    def parts(self, both: Vocabularies) -> tuple[str, str, str, str, str]:
         """Of one piece: A's and B's ids up to the first common end, the groups between
         common ends, A's and B's ids behind the last."""
         cut_a, cut_b = self.cut_a + 1, self.cut_b + 1
         join = lambda ids: ",".join(map(str, ids.tolist()))
         if not len(cut_a):
             return join(self.a), join(self.b), "", "", ""
-        body = ";".join(f"{join(self.a[i:k])}|{join(self.b[j:m])}" for i, k, j, m in zip(cut_a, cut_a[1:], cut_b, cut_b[1:]))
+        body = "".join(self.words(both)[cut_a[0] + cut_b[0]:cut_a[-1] + cut_b[-1]])[:-1]
         return join(self.a[:cut_a[0]]), join(self.b[:cut_b[0]]), body, join(self.a[cut_a[-1]:]), join(self.b[cut_b[-1]:])
 
 
@@ -246,7 +250,7 @@ def overlaps(pieces: DataFrame, batch_tokens: int = BATCH_TOKENS, paths: tuple[s
                 codes.append((code, often))
                 whole = group[0][3] == 1
                 digest = found.digests(both) if whole else [None]
-                rest = None if whole else list(found.parts())
+                rest = None if whole else list(found.parts(both))
                 for k, r in enumerate(group):
                     i, j = bound[k], bound[k + 1]
                     out.append((number, r[0], r[1], r[2], r[3], int(found.n_a[k]), int(found.n_b[k]), int(found.cuts[k]), digest[k],
