@@ -16,8 +16,8 @@ payload is handed back to the record that holds it.
 
 Defined cases: null html is an empty payload; null url gives no target header;
 line breaks in a url are percent-encoded; repeated rows are records of their
-own (rows with the id of their group's response are all responses); an empty
-table gives no rows; other columns are ignored.  A null page id is kept as null.
+own (rows with the id of their group's response are all responses; a revisit means
+the response of that id with its own digest); an empty table gives no rows; other columns are ignored.  A null page id is kept as null.
 """
 
 from __future__ import annotations
@@ -127,6 +127,7 @@ def _parsed(rows: DataFrame) -> DataFrame:
         *[c for c in rows.columns if c not in ("value", "head", "payload")],
         page("WARC-Record-ID").alias("page_id"), _declared(F.col("head"), "WARC-Type").alias("record_type"),
         page("WARC-Refers-To").alias("refers_to"),
+        F.substring_index(_declared(F.col("head"), "WARC-Payload-Digest"), ":", -1).alias("declared"),
         F.octet_length("payload").cast("long").alias("payload_bytes"),
         F.sha1(F.col("payload").cast("binary")).alias("payload_digest"))
 
@@ -200,17 +201,18 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     whole = _parsed(whole.withColumn("nbytes", F.octet_length("value").cast("long"))).select(
         "file", F.col("start").alias("offset"), F.col("payload_bytes").alias("_bytes"), F.col("payload_digest").alias("_digest"))
     records = records.join(whole, ["file", "offset"], "left").select(
-        "page_id", "record_type", "refers_to", F.coalesce("payload_bytes", "_bytes").alias("payload_bytes"),
+        "page_id", "record_type", "refers_to", "declared", F.coalesce("payload_bytes", "_bytes").alias("payload_bytes"),
         F.coalesce("payload_digest", "_digest").alias("payload_digest"))
 
-    # a revisit has the payload of the response it points to
-    revisits = records.filter("record_type = 'revisit'").select("page_id", "record_type", "refers_to")
+    # a revisit has the payload of the response it points to: that of its id and digest
+    revisits = records.filter("record_type = 'revisit'").select(
+        "page_id", "record_type", "refers_to", F.col("declared").alias("payload_digest"))
     responses = records.filter("record_type = 'response'")
-    origin = (responses.join(revisits.select(F.col("refers_to").alias("page_id")).distinct(), "page_id", "left_semi")
-              .groupBy(F.col("page_id").alias("refers_to")).agg(F.max("payload_bytes").alias("payload_bytes"),
-                                                                F.max("payload_digest").alias("payload_digest")))
+    wanted = revisits.select(F.col("refers_to").alias("page_id"), "payload_digest").distinct()
+    origin = (responses.join(wanted, ["page_id", "payload_digest"], "left_semi")
+              .groupBy(F.col("page_id").alias("refers_to"), "payload_digest").agg(F.max("payload_bytes").alias("payload_bytes")))
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
-    return responses.select(*columns).unionByName(revisits.join(origin, "refers_to", "left").select(*columns))
+    return responses.select(*columns).unionByName(revisits.join(origin, ["refers_to", "payload_digest"], "left").select(*columns))
 
 
 def round_trip(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:

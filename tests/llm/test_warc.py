@@ -59,3 +59,11 @@ def test_empty_and_clashing_columns(spark):
     assert warc.round_trip(spark.createDataFrame([], SCHEMA)).count() == 0
     df = spark.createDataFrame([(1, "u", "h"), (2, None, None)], SCHEMA).withColumn("payload", F.lit(1)).withColumn("file", F.lit("f"))
     assert result(warc.round_trip(df)) == brute([(1, "u", "h"), (2, None, None)])
+
+
+def test_one_page_id_with_different_payloads(spark):
+    a, b, c = "a" * 1500, "b" * 2500, "c" * 1200
+    rows = [(1, "u", a), (2, "u", a), (2, "u", b), (3, "u", c), (2, "u", c), (1, "u", c)]
+    got = result(warc.round_trip(spark.createDataFrame(rows, SCHEMA)))
+    assert got == brute(rows)
+    assert (1, 1500, hashlib.sha1(a.encode()).hexdigest(), "revisit", 2) in got
