@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from ledgerflow.llm.common import staged, whole_text
 
 Leaf = tuple[int, int, int, float]
-SLOT_BUCKETS = 256
+BUCKET_ROWS = 100_000  # rows of a shard that are numbered together, about
+COPIES = 100_000  # copies of one row that are unfolded together
 
 
 def balanced_tree(shards: int, racks_per_region: int = 2, shards_per_rack: int = 2) -> list[Leaf]:
@@ -69,14 +70,15 @@ def shard_of(key: Column, tree: Sequence[Leaf]) -> Column:
     return _descend(key, [l for l in tree if l[3] > 0], 0).cast("int")
 
 
-def shard_documents(docs: DataFrame, tree: Sequence[Leaf], slot_buckets: int = SLOT_BUCKETS) -> DataFrame:
+def shard_documents(docs: DataFrame, tree: Sequence[Leaf], bucket_rows: int = BUCKET_ROWS, copies: int = COPIES) -> DataFrame:
     """One row per document with its shard, its gapless slot there and the
     shard it would have in the grown tree.
 
-    Slots come from two levels: rows fall into hash buckets within a shard,
-    bucket counts give each bucket its first slot, and a window numbers the
-    rows of one bucket only.  Equal rows are counted before the shuffle and
-    unfolded after it, so a repeated row never fills a window.
+    Slots come from two levels: rows fall into hash buckets within a shard (as
+    many as the rows ask for), bucket counts give each bucket its first slot, and a
+    window numbers the rows of one bucket only.  Equal rows are counted before the
+    shuffle and unfolded after it, in runs of ``copies`` that are dealt anew, so a
+    repeated row fills neither a window nor a task.
     """
     key = F.col("doc_id")
     text = whole_text()
@@ -88,18 +90,22 @@ def shard_documents(docs: DataFrame, tree: Sequence[Leaf], slot_buckets: int = S
         shard_of(key, grow(tree)).alias("grown_shard"),
     )
     distinct = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
-    distinct = staged(distinct.withColumn(
-        "bucket", F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(slot_buckets)).cast("int")), "shards")
+    distinct = staged(distinct, "shards")
+    slot_buckets = max(-(-distinct.count() // (bucket_rows * max(len(tree), 1))), 1)
+    distinct = distinct.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(slot_buckets)).cast("int"))
 
-    # at most shards x slot_buckets rows
+    # a row for each shard and bucket
     buckets = distinct.groupBy("shard", "bucket").agg(F.sum("copies").alias("n"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     buckets = buckets.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
 
     inside = (Window.partitionBy("shard", "bucket").orderBy("doc_id", "text_crc32", "size")
               .rowsBetween(Window.unboundedPreceding, -1))
-    placed = (distinct.join(F.broadcast(buckets), ["shard", "bucket"])
+    placed = (distinct.join(buckets, ["shard", "bucket"])
               .withColumn("start", F.col("first") + F.coalesce(F.sum("copies").over(inside), F.lit(0))))
-    return placed.select(
+    runs = placed.withColumn("stop", F.col("start") + F.col("copies")).withColumn(
+        "run", F.explode(F.sequence(F.col("start"), F.col("stop") - 1, F.lit(copies).cast("long"))))
+    runs = runs.repartition("doc_id", "text_crc32", "run")
+    return runs.select(
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard",
-        F.explode(F.sequence(F.col("start"), F.col("start") + F.col("copies") - 1)).alias("slot"), "grown_shard")
+        F.explode(F.sequence(F.col("run"), F.least(F.col("run") + copies, F.col("stop")) - 1)).alias("slot"), "grown_shard")

@@ -1,3 +1,4 @@
+import math
 import zlib
 from collections import Counter, defaultdict
 
@@ -8,7 +9,7 @@ from ledgerflow.llm import hash_tree as H
 
 def test_rows_slots_and_growth(spark, documents):
     rows = [(i, f"text {i % 50}") for i in range(4000)] + [(7, "same")] * 900 + [(None, None), (1, ""), (2, "äöü€")]
-    out = H.shard_documents(documents(rows), H.balanced_tree(8), slot_buckets=16).collect()
+    out = H.shard_documents(documents(rows), H.balanced_tree(8), bucket_rows=40, copies=70).collect()
     assert Counter((r.doc_id, r.size, r.text_crc32) for r in out) == Counter(
         (i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in rows)
     slots, of_key = defaultdict(list), defaultdict(set)
@@ -40,3 +41,21 @@ def test_weights_and_empty(spark, documents):
     assert H.shard_documents(documents([]), H.balanced_tree(8)).count() == 0
     clash = documents([(1, "a"), (2, "b")]).withColumn("shard", F.lit("x")).withColumn("size", F.lit(None).cast("int"))
     assert H.shard_documents(clash, H.balanced_tree(3)).count() == 2
+
+
+def test_shards_equal_a_walk_down_the_tree(spark):
+    """The drawn shard, walked down in plain Python from the hashes of one key at a time."""
+    tree = [(0, 0, 0, 1.0), (0, 0, 1, 2.0), (0, 1, 2, 1.0), (1, 2, 3, 0.5), (1, 2, 4, 1.0), (2, 3, 5, 1.5)]
+    keys = [*range(300), -5, 1 << 60, None]
+    levels = ("region", "rack", "shard")
+    asked = spark.createDataFrame([(k,) for k in keys], "k long").select("k", H.shard_of(F.col("k"), tree).alias("got"), *[
+        F.xxhash64(F.col("k"), F.lit(level), F.lit(c)).alias(f"{level}{c}") for d, level in enumerate(levels) for c in {l[d] for l in tree}])
+    for r in asked.collect():
+        left = tree
+        for d, level in enumerate(levels):
+            cost = {}
+            for c in {l[d] for l in left}:
+                uniform = (((r[f"{level}{c}"] & (1 << 64) - 1) >> 11) + 0.5) / (1 << 53)
+                cost[c] = -math.log(uniform) / sum(l[3] for l in left if l[d] == c)
+            left = [l for l in left if l[d] == min(cost, key=cost.get)]
+        assert r.got == left[0][2]
