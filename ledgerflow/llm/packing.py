@@ -28,6 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerflow.llm.chunks import Memory, by_bytes, gather
 from ledgerflow.llm.common import staged, whole_text
 
 LENGTH = 2048
@@ -35,7 +36,8 @@ END_ID = 1
 DIMS, BITS = 4, 8
 HASHED = 1024
 SEED = 11
-CACHE_WORDS = 300_000
+SLICE_BYTES = 6_000_000
+CACHE_BYTES = 40_000_000
 TOKENIZER = "word_bpe_49k.json"
 
 #: one word of Latin letters, with or without a closing mark
@@ -58,14 +60,9 @@ def _byte_alphabet() -> dict[int, str]:
     return table
 
 
-def _gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The runs ``flat[start:start + size]``, end to end."""
-    first = np.cumsum(size) - size
-    return flat[np.repeat(start - first, size) + np.arange(int(size.sum()))]
-
-
 class WordEncoder:
-    """Exact ids of many texts at a time, each distinct word encoded once.
+    """Exact ids of many texts at a time, each distinct word encoded once (and kept
+    within a bound of bytes).
 
     No rule of this vocabulary joins characters across white space, so a text's
     ids are those of its chunks in turn.  A chunk of Latin letters, with or
@@ -80,34 +77,34 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.alphabet = {k: v for k, v in _byte_alphabet().items() if chr(k) != v}
-        self.words: dict[str, list[int]] = {}
+        self.words = Memory(lambda words: [self.word(w).tobytes() for w in words], CACHE_BYTES)
+        self.others = Memory(self._whole, CACHE_BYTES)
 
-    def word(self, word: str) -> list[int]:
+    def word(self, word: str) -> np.ndarray:
         text = word if word.isascii() else word.encode().decode("latin-1").translate(self.alphabet)
-        return [t.id for t in self.model.tokenize(text)]
+        return np.array([t.id for t in self.model.tokenize(text)], np.uint32)
 
-    def _words(self, words: list[str]) -> list[list[int]]:
-        known = self.words
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        new = [w for w in words if w not in known]
-        known.update(zip(new, map(self.word, new)))
-        return [known[w] for w in words]
+    def _whole(self, chunks: list[str]) -> list[bytes]:
+        """Chunks through the whole tokenizer, a bounded number at a time."""
+        out = []
+        for lo in range(0, len(chunks), 4096):
+            out += [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch(chunks[lo:lo + 4096], add_special_tokens=False)]
+        return out
 
     def chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of each chunk end to end, and their numbers."""
         plain = pc.match_substring_regex(chunks, PLAIN)
         simple = plain.to_numpy(zero_copy_only=False)
         coded = pc.utf8_rtrim(pc.utf8_lower(chunks.filter(plain)), ".,").dictionary_encode()
-        found = self._words(coded.dictionary.to_pylist())
-        rest = [e.ids for e in self.tokenizer.encode_batch(chunks.filter(pc.invert(plain)).to_pylist(), add_special_tokens=False)]
+        found = self.words(coded.dictionary.to_pylist())
+        rest = self.others(chunks.filter(pc.invert(plain)).to_pylist())
         closing = [pc.ends_with(chunks, mark).to_numpy(zero_copy_only=False) & simple for mark in ".,"]
 
-        size_of = np.fromiter(map(len, found), np.int64, len(found))
+        size_of = np.fromiter(map(len, found), np.int64, len(found)) // 4
         code = coded.indices.to_numpy(zero_copy_only=False)
         size = np.empty(len(simple), np.int64)
         size[simple] = size_of[code]
-        size[~simple] = np.fromiter(map(len, rest), np.int64, len(rest))
+        size[~simple] = np.fromiter(map(len, rest), np.int64, len(rest)) // 4
         size += closing[0] | closing[1]
         ids = np.empty(int(size.sum()), np.uint32)
         end = np.cumsum(size)
@@ -115,14 +112,14 @@ class WordEncoder:
         inner = np.ones(len(ids), bool)
         inner[end[closed] - 1] = False
         owner = np.repeat(simple, size)
-        flat = np.fromiter((i for ws in found for i in ws), np.uint32, int(size_of.sum()))
-        ids[owner & inner] = _gather(flat, (np.cumsum(size_of) - size_of)[code], size_of[code])
-        ids[~owner] = np.fromiter((i for ws in rest for i in ws), np.uint32, int(size[~simple].sum()))
+        flat = np.frombuffer(b"".join(found), np.uint32)
+        ids[owner & inner] = gather(flat, (np.cumsum(size_of) - size_of)[code], size_of[code])
+        ids[~owner] = np.frombuffer(b"".join(rest), np.uint32)
         for mark, at in zip(".,", closing):
             ids[end[at] - 1] = self.word(mark)[0]
         return ids, size
 
-    def batch(self, texts: pa.Array, rows: int = 1000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def batch(self, texts: pa.Array, rows: int = 500) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For every ``rows`` texts: all ids end to end, and the number of ids of each."""
         for mark in ("\n", "\t", "\r"):
             texts = pc.replace_substring(texts, mark, " ")
@@ -137,7 +134,7 @@ class WordEncoder:
             hi = min(lo + rows, len(texts))
             c = code[bounds[lo]:bounds[hi]]
             upto = np.concatenate([[0], np.cumsum(size[c])])
-            yield _gather(flat, start[c], size[c]), np.diff(upto[bounds[lo:hi + 1] - bounds[lo]])
+            yield gather(flat, start[c], size[c]), np.diff(upto[bounds[lo:hi + 1] - bounds[lo]])
 
 
 def hilbert_key(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -184,20 +181,21 @@ def tokenised(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
         sign = rng.choice([-1.0, 1.0], len(bins))
         last = np.array([END_ID], wide).tobytes()
         for batch in batches:
-            lo = 0
-            for ids, n in encoder.batch(batch.column(1)):
-                ends = np.cumsum(n)
-                blobs, places = [], np.zeros((len(n), DIMS))
-                narrow = ids.astype(wide)
-                for i, (b, m) in enumerate(zip(ends.tolist(), n.tolist())):
-                    blobs.append(narrow[b - m:b].tobytes() + last)
-                    if m:
-                        v = np.bincount(bins[ids[b - m:b]], sign[ids[b - m:b]], HASHED)
-                        places[i] = (v @ matrix) / max(np.sqrt(v @ v), 1e-9)
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(lo, len(n)), pa.array(n + 1, pa.int64()), pa.array(blobs, pa.binary()),
-                    pa.array(list(places), pa.list_(pa.float64()))], ["doc_id", "n", "ids", "at"])
-                lo += len(n)
+            for begin, end in by_bytes(batch.column(1), SLICE_BYTES):
+                lo = begin
+                for ids, n in encoder.batch(batch.column(1).slice(begin, end - begin)):
+                    ends = np.cumsum(n)
+                    blobs, places = [], np.zeros((len(n), DIMS))
+                    narrow = ids.astype(wide)
+                    for i, (b, m) in enumerate(zip(ends.tolist(), n.tolist())):
+                        blobs.append(narrow[b - m:b].tobytes() + last)
+                        if m:
+                            v = np.bincount(bins[ids[b - m:b]], sign[ids[b - m:b]], HASHED)
+                            places[i] = (v @ matrix) / max(np.sqrt(v @ v), 1e-9)
+                    yield pa.RecordBatch.from_arrays([
+                        batch.column(0).slice(lo, len(n)), pa.array(n + 1, pa.int64()), pa.array(blobs, pa.binary()),
+                        pa.array(list(places), pa.list_(pa.float64()))], ["doc_id", "n", "ids", "at"])
+                    lo += len(n)
 
     rows = docs.select(F.col("doc_id").cast("long"), whole_text().alias("text")).mapInArrow(
         encode, "doc_id long, n long, ids binary, at array<double>")
