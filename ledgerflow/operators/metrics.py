@@ -1,56 +1,57 @@
 """Classification metrics as distributed DataFrame jobs.
 
-* ``roc_auc``: exact rank-sum AUC (ties get average ranks).  Scores are
-  first collapsed to distinct values (partial aggregation, so a hot score
-  is one row), bucketed by approximate quantiles, and the prefix sums of
-  negatives are computed per bucket plus a bucket offset - no global
-  single-partition window.
+* ``roc_auc``: exact rank-sum AUC (ties get average ranks), of all rows or of
+  each group.  Scores are first collapsed to distinct values (partial
+  aggregation, so a hot score is one row), dealt by ranges of (group, score)
+  whose number follows the distinct scores, and summed within ranges; a range
+  starts from the totals of the ranges before it - no window holds more than a
+  range, or one row a range.
 * ``confusion_matrix`` / ``classification_report``: one aggregate over
   (label, prediction) - a handful of rows - then per-class arithmetic.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.ml.feature import Bucketizer
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerflow.sources.scratch import staged
 
-def _score_buckets(distinct_scores: DataFrame, score: str, buckets: int) -> DataFrame:
-    probs = [i / buckets for i in range(1, buckets)]
-    q = distinct_scores.select(F.percentile_approx(score, probs, 10_000).alias("q")).first()["q"] or []
-    splits = [float("-inf")] + sorted({float(x) for x in q}) + [float("inf")]
-    return Bucketizer(splits=splits, inputCol=score, outputCol="_bucket").transform(distinct_scores)
+RANGE_ROWS = 200_000  # distinct scores of a range
 
 
-def roc_auc(scored: DataFrame, label: str = "label", score: str = "score", buckets: int = 256) -> DataFrame:
-    """One row ``(roc_auc, n_pos, n_neg)``; positives are ``label == 1``.
-    NULL when a class is absent.  Computed eagerly (the per-score counts
-    are kept for its passes) and returned as a one-row frame."""
-    per_score = scored.filter(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("_s")).agg(
-        F.sum((F.col(label) == 1).cast("long")).alias("pos"),
-        F.sum((F.col(label) != 1).cast("long")).alias("neg"))
-    per_score = per_score.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        b = _score_buckets(per_score, "_s", buckets)
-        totals = b.groupBy("_bucket").agg(F.sum("neg").alias("bneg"))
-        # bucket offsets: a window over at most ``buckets`` rows
-        offs = totals.select("_bucket", (F.sum("bneg").over(Window.orderBy("_bucket")) - F.col("bneg")).alias("off"))
-        w = Window.partitionBy("_bucket").orderBy("_s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ranked = (b.withColumn("_cum", F.sum("neg").over(w))
-                  .join(F.broadcast(offs), "_bucket")
-                  .withColumn("neg_below", F.col("off") + F.col("_cum") - F.col("neg")))
-        agg = ranked.agg(
-            F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") * 0.5)).alias("u"),
-            F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
-        out = agg.select(
-            F.try_divide(F.col("u"), (F.col("n_pos") * F.col("n_neg")).cast("double")).alias("roc_auc"),
-            F.coalesce(F.col("n_pos"), F.lit(0)).cast("long").alias("n_pos"),
-            F.coalesce(F.col("n_neg"), F.lit(0)).cast("long").alias("n_neg"))
-        return scored.sparkSession.createDataFrame(out.collect(), out.schema)
-    finally:
-        per_score.unpersist()
+def roc_auc(scored: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = (),
+            range_rows: int = RANGE_ROWS) -> DataFrame:
+    """``(*by, roc_auc, n_pos, n_neg)``, one row a group, or one row in all;
+    positives are ``label == 1``.  NULL where a class is absent.  The distinct
+    scores and their ranges are staged in the scratch folder."""
+    by = list(by)
+    keys = [F.col(c).alias(f"_k{i}") for i, c in enumerate(by)]
+    names = [f"_k{i}" for i in range(len(by))]
+    per_score = staged(
+        scored.filter(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(*keys, F.col(score).cast("double").alias("_s")).agg(
+            F.sum((F.col(label) == 1).cast("long")).alias("pos"),
+            F.sum((F.col(label) != 1).cast("long")).alias("neg")), "scores")
+    ranges = max(-(-per_score.count() // range_rows), 1)
+    placed = staged(per_score.repartitionByRange(ranges, *names, "_s").withColumn("_part", F.spark_partition_id()), "ranges")
+    order = Window.partitionBy("_part", *names).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy("_part", *names).agg(F.sum("neg").alias("_total"))
+    earlier = Window.partitionBy(*names).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    base = totals.select(*[F.col(c).alias(f"b{c}") for c in ("_part", *names)], F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_base"))
+    below = F.coalesce(F.sum("neg").over(order), F.lit(0))
+    same = F.col("_part") == F.col("b_part")
+    for c in names:
+        same &= F.col(c).eqNullSafe(F.col(f"b{c}"))
+    ranked = placed.withColumn("_below", below).join(base, same)
+    u = F.sum(F.col("pos") * (F.col("_base") + F.col("_below") + F.col("neg") * 0.5))
+    agg = ranked.groupBy(*names).agg(u.alias("u"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
+    return agg.select(
+        *[F.col(f"_k{i}").alias(c) for i, c in enumerate(by)],
+        F.try_divide(F.col("u"), (F.col("n_pos") * F.col("n_neg")).cast("double")).alias("roc_auc"),
+        F.coalesce(F.col("n_pos"), F.lit(0)).cast("long").alias("n_pos"),
+        F.coalesce(F.col("n_neg"), F.lit(0)).cast("long").alias("n_neg"))
 
 
 def confusion_counts(scored: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
@@ -28,6 +29,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerflow.operators.metrics import roc_auc
 from ledgerflow.operators.sampling import fold_column, scaler_stats
 from ledgerflow.operators.smote import smote_balance
 from ledgerflow.sources.scratch import reliable_checkpoint
@@ -73,7 +75,7 @@ class ResampledClassifier(Estimator, _GbtParams, DefaultParamsReadable, DefaultP
         prepared = estimator._prepare(dataset)
         return _FitMultipleIterator(lambda i: estimator.copy(paramMaps[i])._fit_trees(*prepared), len(paramMaps))
 
-    def _prepare(self, dataset: DataFrame) -> tuple[DataFrame, list, list]:
+    def _prepare(self, dataset: DataFrame, keep=reliable_checkpoint) -> tuple[DataFrame, list, list]:
         cols = self.getOrDefault(self.featureCols)
         label, idc, seed = self.getOrDefault(self.labelCol), self.getOrDefault(self.idCol), self.getOrDefault(self.seed)
         st = scaler_stats(dataset, cols).first()  # one row: 2 numbers per feature
@@ -85,7 +87,7 @@ class ResampledClassifier(Estimator, _GbtParams, DefaultParamsReadable, DefaultP
                                    seed=seed)
         assembled = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep").transform(scaled)
         # the trees pass over their rows many times: resample once
-        return reliable_checkpoint(assembled.select(label, "features")), means, stds
+        return keep(assembled.select(label, "features")), means, stds
 
     def _fit_trees(self, assembled: DataFrame, means: list, stds: list) -> "ResampledModel":
         label, seed = self.getOrDefault(self.labelCol), self.getOrDefault(self.seed)
@@ -123,11 +125,15 @@ def save_resampled(model: ResampledModel, path: str) -> None:
     row a feature."""
     model.trees.write().overwrite().save(f"{path}/trees")
     cols = model.getOrDefault(model.featureCols)
-    rows = [(i, c, m, s) for i, (c, m, s) in enumerate(zip(cols, model.means, model.stds))]
-    scaler = SparkSession.active().createDataFrame(rows, "position int, feature string, mean double, std double")
+    scaler = _scaler_rows(SparkSession.active(), cols, model.means, model.stds)
     scaler.coalesce(1).write.mode("overwrite").parquet(f"{path}/scaler")
 
 
+def _scaler_rows(spark: SparkSession, cols: Sequence[str], means: Sequence, stds: Sequence) -> DataFrame:
+    rows = [(i, c, m, s) for i, (c, m, s) in enumerate(zip(cols, means, stds))]
+    return spark.createDataFrame(rows, "position int, feature string, mean double, std double")
+
+
 def load_resampled(spark: SparkSession, path: str) -> ResampledModel:
     rows = spark.read.parquet(f"{path}/scaler").orderBy("position").collect()  # one row a feature
     model = ResampledModel(GBTClassificationModel.load(f"{path}/trees"), [r["mean"] for r in rows], [r["std"] for r in rows])
@@ -162,6 +168,67 @@ def grid_search(train: DataFrame, features: Sequence[str], grid: dict | None = N
     return cv.fit(reliable_checkpoint(fold_column(train, id_col, folds, seed, label=label)))
 
 
+def _held(spark: SparkSession, path: str) -> bool:
+    """Whether a staged table was written to its end."""
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+
+
+def _once(spark: SparkSession, path: str, make) -> DataFrame:
+    """The table at ``path``, written by ``make()`` unless an earlier run has done so."""
+    if not _held(spark, path):
+        make().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def grid_search_folds(train: DataFrame, features: Sequence[str], base: str, grid: dict | None = None, folds: int = CV_FOLDS,
+                      parallelism: int = 4, seed: int = SEED, label: str = "label", id_col: str = "id",
+                      resample: bool = True) -> DataFrame:
+    """The grid search step by step: ``point, <tree parameters>, fold, n_pos, n_neg,
+    n_fitted, roc_auc``, one row a point and fold.
+
+    Under ``base``: the rows with their fold, each fold's scaled and resampled
+    rows with its scaler, and the scores of each point on the fold left out.  A step
+    whose table is complete is not done again, so a search that was interrupted
+    (or gets more points) goes on where it stood; all AUCs come from the staged
+    scores in one job.
+    """
+    spark = train.sparkSession
+    est = ResampledClassifier(featureCols=list(features), labelCol=label, idCol=id_col, seed=seed, resample=resample)
+    points = param_grid(est, grid)
+    rows = _once(spark, f"{base}/rows", lambda: fold_column(train, id_col, folds, seed, label=label))
+    fitted = []
+    for i in range(folds):
+        scaler = f"{base}/scaler/fold={i}"
+
+        def prepare(i=i, scaler=scaler) -> DataFrame:
+            assembled, means, stds = est._prepare(rows.filter(F.col("fold") != i), keep=lambda df: df)
+            _scaler_rows(spark, features, means, stds).coalesce(1).write.mode("overwrite").parquet(scaler)
+            return assembled
+
+        assembled = _once(spark, f"{base}/resampled/fold={i}", prepare)
+        stats = spark.read.parquet(scaler).orderBy("position").collect()  # one row a feature
+        left_out = rows.filter(F.col("fold") == i)
+
+        def score(j: int, assembled=assembled, stats=stats, left_out=left_out, i=i) -> None:
+            path = f"{base}/scores/point={j}/fold={i}"
+            if not _held(spark, path):
+                model = est.copy(points[j])._fit_trees(assembled, [r["mean"] for r in stats], [r["std"] for r in stats])
+                predict(model, left_out, keep=(id_col, label)).write.mode("overwrite").parquet(path)
+
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            list(pool.map(score, range(len(points))))
+        fitted.append((i, assembled.count()))
+    paths = [f"{base}/scores/point={j}/fold={i}" for j in range(len(points)) for i in range(folds)]
+    scores = spark.read.option("basePath", f"{base}/scores").parquet(*paths)
+    auc = roc_auc(scores, label, "score", by=["point", "fold"])
+    told = spark.createDataFrame([(j, *[est.copy(p).getOrDefault(n) for n in TREE_PARAMS]) for j, p in enumerate(points)],
+                                 "point int, maxIter int, maxDepth int, stepSize double, subsamplingRate double")
+    sizes = spark.createDataFrame(fitted, "fold int, n_fitted bigint")
+    return auc.join(F.broadcast(told), "point").join(F.broadcast(sizes), "fold").select(
+        "point", *TREE_PARAMS, "fold", "n_pos", "n_neg", "n_fitted", "roc_auc")
+
+
 def best_params(cv_model) -> dict:
     best = cv_model.bestModel
     return {p: best.getOrDefault(best.getParam(p)) for p in TREE_PARAMS}

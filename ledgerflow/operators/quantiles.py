@@ -250,3 +250,22 @@ def exact_medians(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000,
                                               F.max(F.when(hit(second), F.col("value"))).alias("b")).collect():
             medians[r["column"]] = (r["a"] + r["b"]) / 2
     return spark.createDataFrame([tuple(medians[c] for c in columns)], ", ".join(f"`{c}` double" for c in columns))
+
+
+SKETCH_K = 400
+
+
+def daily_sketches(df: DataFrame, day: str, columns: Sequence[str], k: int = SKETCH_K) -> DataFrame:
+    """``(day, column, n, sketch)``: a mergeable KLL sketch of every column and day.
+    Stored by day, a new day costs its own rows only (NaN and NULL are skipped)."""
+    value = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns}
+    aggs = [F.struct(F.lit(c).alias("column"), F.count(value[c]).alias("n"), F.kll_sketch_agg_double(value[c], k).alias("sketch"))
+            for c in columns]
+    return df.groupBy(F.col(day).alias("day")).agg(F.array(*aggs).alias("all")).select("day", F.inline("all"))
+
+
+def merged_quantile(sketches: DataFrame, probability: float = 0.5) -> DataFrame:
+    """``(column, n, quantile)`` of all days together: the days' sketches merged.  The
+    rank error is that of one sketch of all rows (below 1 % for ``SKETCH_K``)."""
+    merged = sketches.filter("n > 0").groupBy("column").agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch").alias("sketch"))
+    return merged.select("column", "n", F.kll_sketch_get_quantile_double("sketch", F.lit(probability)).alias("quantile"))

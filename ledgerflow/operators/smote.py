@@ -5,18 +5,20 @@ Neighbours are the true ones, in order of (distance, id), at every size:
 
 * identical vectors are merged first (``groupBy`` on the features, with a
   multiplicity), so a value repeated in a third of the rows is one point;
-* distinct points fall into cells around sampled centres, a cell into blocks of
-  about ``BLOCK`` points; the neighbours of a point within its block bound the
-  distance of its ``k``-th neighbour;
-* a point visits every other block whose cell may hold a point within that bound
-  (triangle inequality on centre and radius); where nothing can be ruled out, as
-  in many dimensions without clusters, that is all of them, block by block.
-  Distances that decide are sums from left to right in double precision.
-
-The worst case compares all pairs, but a task holds one block and a bounded part
-of its visitors.  Vectors with a null or NaN feature are farthest from all.
-With ``tables`` or ``leaf`` given, ``neighbour_slots`` only looks within the
-leaves of sign projections instead (see ``leaves``).
+* distinct points fall into cells around spread-out centres, a cell into blocks
+  of at most about ``BLOCK_BYTES``; a block is one row (ids and one binary matrix);
+* a block first searches itself, then visits other blocks in rounds, those of the
+  nearest cells first, with the points that the triangle inequality (distance to
+  the centre, radius of the cell) leaves open; each round keeps the ``k`` best so
+  far, and blocks none of whose points are open stop;
+* points still open after the rounds meet all blocks that are left, matrix by
+  matrix.  Distances that decide are sums from left to right in double precision.
+
+On clustered data a point meets a bounded number of blocks.  Where nothing can be
+ruled out, as in many dimensions without clusters, all pairs are compared: ``n``
+vectors go to each of ``n / B`` blocks (``B`` points of ``BLOCK_BYTES``: 8192 in 64
+dimensions), a visit in a row of its own, ``VISITS`` of them a copy of the block.
+Vectors with a null or NaN feature are farthest from all.
 
 Randomness is md5 of ``(id, sample, seed)`` - reproducible, partition
 independent, and expressible in SQL for an independent check.  Every
@@ -26,27 +28,26 @@ seeded keys get one more (exact total, chosen with ``select_ranks``).
 
 from __future__ import annotations
 
-import hashlib
+import sys
 from collections.abc import Sequence
-from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import Bucketizer
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.operators.quantiles import select_ranks
 from ledgerflow.operators.sampling import hash_key
-from ledgerflow.sources.scratch import reliable_checkpoint
+from ledgerflow.sources.scratch import reliable_checkpoint, staged
 from ledgerflow.specs import SEED, SMOTE_NEIGHBOURS
 
-TABLES = 8
-LEAF = 64
-RANK_ROWS = 8192  # rows ranked together when points are put in order
-BLOCK = 2048  # points of a block of the exact search
-VISITORS = 8192  # visitors of a block in one task
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of this module
+
+BLOCK_BYTES = 4 << 20  # packed vectors of a block
 MAX_CENTRES = 4096
+ROUNDS = (2, 6)  # blocks that a block visits in each round, before it meets all that are left
+VISITS = 16  # visits of a block in one task, when all that are left meet
 
 
 def md5_unit(*parts: Column) -> Column:
@@ -60,55 +61,11 @@ def md5_int(*parts: Column) -> Column:
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
-def signs(table: int, dims: int, seed: int = SEED) -> list[int]:
-    """The +-1 weights of a projection: + where md5 of ``seed:table:i`` starts below 8."""
-    return [1 if hashlib.md5(f"{seed}:{table}:{i}".encode()).hexdigest()[0] < "8" else -1 for i in range(dims)]
-
-
-def _project(vec: Column, weights: Sequence[int]) -> Column:
-    """Signed sum, left to right from 0.0."""
-    return F.aggregate(F.zip_with(vec, F.array(*[F.lit(float(w)) for w in weights]), lambda a, b: a * b), F.lit(0.0),
-                       lambda acc, x: acc + x)
-
-
-def _sq_dist(a: Column, b: Column) -> Column:
-    """Squared distance, summed left to right from 0.0."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, x: acc + x)
-
-
 def distinct_points(rows: DataFrame, vec: str, id_col: str) -> DataFrame:
     """``(vid, vec, mult)``: one point per distinct feature vector."""
     return rows.groupBy(vec).agg(F.min(id_col).alias("vid"), F.count(F.lit(1)).alias("mult"))
 
 
-def leaves(points: DataFrame, n: int, dims: int, seed: int, vec: str, tables: int, leaf: int) -> DataFrame:
-    """``(table, leaf, vid)``: the leaf of every point in every table.
-
-    Points are ranked in the order of (projection, vid): they fall into quantile
-    buckets of about ``RANK_ROWS``, and the sizes of the buckets before (one row
-    each) are added to the row number within one."""
-    buckets = -(-n // RANK_ROWS)
-    p = [_project(F.col(vec), signs(t, dims, seed)) for t in range(tables)]
-    cuts = [[]] * tables
-    if buckets > 1:
-        probs = [i / buckets for i in range(1, buckets)]
-        cuts = points.agg(*[F.percentile_approx(x, probs, 20 * buckets) for x in p]).first()
-    parts = []
-    for t in range(tables):
-        part = points.select(F.lit(t).alias("table"), "vid", p[t].alias("p"))
-        splits = [float("-inf"), *sorted({float(c) for c in cuts[t]}), float("inf")]
-        parts.append(Bucketizer(splits=splits, inputCol="p", outputCol="_bucket").transform(part)
-                     if len(splits) > 2 else part.withColumn("_bucket", F.lit(0.0)))
-    placed = reduce(DataFrame.unionByName, parts)
-    sizes = placed.groupBy("table", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("table").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select("table", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy("table", "_bucket").orderBy("p", "vid"))
-    ranked = placed.withColumn("_i", inside).join(F.broadcast(sizes), ["table", "_bucket"])
-    last = max(n // leaf, 1) - 1
-    return ranked.select("table", F.least(F.floor((F.col("_before") + F.col("_i") - 1) / leaf), F.lit(last)).alias("leaf"), "vid")
-
-
 def _nearest(k: int):
     """Search in one block: a function that travels to the executors by value."""
 
@@ -160,131 +117,198 @@ def _nearest(k: int):
     return nearest
 
 
-def _nearest_pairs(points: DataFrame, n: int, k: int, vec: str) -> DataFrame:
-    """``(vid, y_vid, d2, w)``: among them the nearest points that fill the ``k`` slots of each."""
+def spread_centres(sample: np.ndarray, want: int) -> np.ndarray:
+    """``want`` of the sampled vectors, each the farthest from those before it, so
+    that every dense region has a centre near by."""
+    if len(sample) <= want:
+        return sample
+    picked = [0]
+    far = ((sample - sample[0]) ** 2).sum(axis=1)
+    while len(picked) < want and far.max() > 0:
+        picked.append(int(far.argmax()))
+        far = np.minimum(far, ((sample - sample[picked[-1]]) ** 2).sum(axis=1))
+    return sample[picked]
+
+
+class Cells:
+    """Cells around centres: which block lies in which cell, and which blocks a point
+    may have neighbours in.  Travels to the executors with what uses it."""
+
+    def __init__(self, centres: np.ndarray):
+        self.centres = centres
+        self.middle = centres.mean(axis=0) if len(centres) else 0.0
+        self.shifted = centres - self.middle
+        self.norms = (self.shifted * self.shifted).sum(axis=1) if len(centres) else np.zeros(0)
+
+    def fill(self, sizes: dict[int, tuple[int, float]], block_points: int) -> None:
+        """``sizes``: cell -> its points, and the radius that holds them."""
+        self.cells = np.array(sorted(sizes))
+        self.parts = np.array([-(-sizes[c][0] // block_points) for c in self.cells.tolist()])
+        self.radius = np.array([sizes[c][1] for c in self.cells.tolist()])
+        self.start = np.cumsum(self.parts) - self.parts
+        self.cell_of = np.repeat(np.arange(len(self.cells)), self.parts)  # of every block
+
+    def distances(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """To all centres, and how far off they may be."""
+        xc = x - self.middle
+        xx = (xc * xc).sum(axis=1)
+        d = np.sqrt(np.maximum(xx[:, None] + self.norms[None, :] - 2 * xc @ self.shifted.T, 0))
+        return np.where(np.isnan(d), np.inf, d), 1e-5 * np.sqrt(xx + self.norms.max())
+
+    def open(self, x: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each cell may hold a point within ``bound`` (squared) of each row,
+        and how near the cell comes to any row."""
+        if not len(self.centres):
+            return np.ones((len(x), len(self.cells)), bool), np.zeros(len(self.cells))
+        needs, near = [], np.full(len(self.cells), np.inf)
+        with np.errstate(all="ignore"):
+            for lo in range(0, len(x), 512):
+                d, off = self.distances(x[lo:lo + 512])
+                low = d[:, self.cells] - self.radius[None, :]
+                reach = np.sqrt(bound[lo:lo + 512]) * (1 + 1e-9) + off
+                needs.append(~(low > reach[:, None]))
+                near = np.minimum(near, np.where(np.isnan(low), 0.0, low).min(axis=0))
+        return np.concatenate(needs), near
+
+
+def _bounds(at: np.ndarray, d2: np.ndarray, w: np.ndarray, rows: int, k: int) -> np.ndarray:
+    """Squared distance of each row's ``k``-th neighbour so far."""
+    bound = np.full(rows, -np.inf)
+    np.maximum.at(bound, at, d2)
+    return np.where(np.bincount(at, w, rows) >= k, bound, np.inf)
+
+
+def _nearest_pairs(points: DataFrame, n: int, k: int, vec: str, dims: int, log: list | None = None) -> DataFrame:
+    """``(vid, y_vid, d2, w)``: among them the nearest points that fill the ``k`` slots of each.
+    ``log`` takes the number of pairs compared across blocks in each round."""
+    spark = points.sparkSession
     kind = points.schema["vid"].dataType.simpleString()
-    tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    nearest = _nearest(k)
-    found = f"vid {kind}, y_vid {kind}, d2 double, w long"
-    want = min(-(-n // BLOCK), MAX_CENTRES)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    nearest, bounds = _nearest(k), _bounds
+    rows = f"vid {kind}, y_vid {kind}, d2 double, w long"
+    size = max(BLOCK_BYTES // (8 * max(dims, 1)), 1)
+    want = min(-(-4 * n // size), MAX_CENTRES) if n > size else 0
     turn = F.xxhash64("vid")
-    drawn = points.select(F.col(vec).alias("_v"), turn.alias("_t")).orderBy("_t").limit(want).collect() if want > 1 else []
-    drawn = np.array([r["_v"] for r in drawn], np.float64)
-    centres = drawn[np.isfinite(drawn).all(axis=1)] if len(drawn) else drawn
-    middle = centres.mean(axis=0) if len(centres) else 0.0
-    shifted = centres - middle
-    norms = (shifted * shifted).sum(axis=1) if len(centres) else np.zeros(0)
-
-    def to_centres(x):
-        """Distances to all centres, and how far off they may be."""
-        xc = x - middle
-        xx = (xc * xc).sum(axis=1)
-        d = np.sqrt(np.maximum(xx[:, None] + norms[None, :] - 2 * xc @ shifted.T, 0))
-        return np.where(np.isnan(d), np.inf, d), 1e-5 * np.sqrt(xx + norms.max())
+    drawn = points.select(F.col(vec).alias("_v"), turn.alias("_t")).orderBy("_t").limit(4 * want).collect() if want else []
+    drawn = np.array([r["_v"] for r in drawn], np.float64).reshape(-1, dims)
+    cells = Cells(spread_centres(drawn[np.isfinite(drawn).all(axis=1)], want))
 
     def place(batches):
         for pdf in batches:
             pdf = pdf.assign(cell=0, far=np.inf)
-            if len(centres) and len(pdf):
+            if len(cells.centres) and len(pdf):
                 with np.errstate(all="ignore"):
-                    d, off = to_centres(np.array(pdf["v"].tolist(), np.float64))
+                    d, off = cells.distances(np.array(pdf["v"].tolist(), np.float64))
                     far = d.min(axis=1) + off
                 pdf["cell"], pdf["far"] = d.argmin(axis=1), np.where(np.isnan(far), np.inf, far)
             yield pdf
 
     base = points.select("vid", F.col(vec).alias("v"), F.col("mult").cast("long").alias("w"))
-    placed = reliable_checkpoint(base.mapInPandas(place, f"vid {kind}, v array<double>, w long, cell int, far double"))
-    cells = {r.cell: (-(-r.n // BLOCK), r.far) for r in placed.groupBy("cell").agg(
-        F.count(F.lit(1)).alias("n"), F.max("far").alias("far")).collect()}  # at most MAX_CENTRES rows
-    ids = np.array(sorted(cells))
-    parts, radius = (np.array([cells[c][i] for c in sorted(cells)]) for i in (0, 1))
-    pieces = F.element_at(F.create_map(*[F.lit(int(v)) for c in cells for v in (c, cells[c][0])]), F.col("cell")) \
-        if parts.max() > 1 else F.lit(1)
-    placed = placed.withColumn("block", F.pmod(turn, pieces).cast("int"))
-
-    def inside(pdf):
+    placed = staged(base.mapInPandas(place, f"vid {kind}, v array<double>, w long, cell int, far double"), "placed")
+    sizes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far"))
+    cells.fill({r.cell: (r.n, r.far) for r in sizes.collect()}, size)  # at most MAX_CENTRES rows
+    blocks = int(cells.parts.sum())
+    pieces = F.element_at(F.create_map(*[F.lit(int(v)) for pair in zip(cells.cells, cells.parts) for v in pair]), F.col("cell")) \
+        if cells.parts.max() > 1 else F.lit(1)
+
+    def pack(pdf):
         pdf = pdf.sort_values("vid", ignore_index=True)
-        x, w = np.array(pdf["v"].tolist(), np.float64), pdf["w"].to_numpy()
+        x, w, vids = np.array(pdf["v"].tolist(), "<f8").reshape(-1, dims), pdf["w"].to_numpy(), pdf["vid"].to_numpy()
         i, j, d2 = nearest(x, np.full(len(x), np.inf), x, w, np.arange(len(x)))
-        return pd.DataFrame({"vid": pdf["vid"].to_numpy()[i], "y_vid": pdf["vid"].to_numpy()[j], "d2": d2, "w": w[j] - (i == j)})
-
-    own = placed.repartition(tasks, "cell", "block").groupBy("cell", "block").applyInPandas(inside, found)
-    if parts.sum() == 1:
-        return own
-    own = reliable_checkpoint(own)
-    kth = own.groupBy("vid").agg(F.when(F.sum("w") >= k, F.max("d2")).otherwise(F.lit(float("inf"))).alias("bound"))
-    several = -(-n // VISITORS)
+        number = int(cells.start[np.searchsorted(cells.cells, pdf["cell"][0])] + pdf["part"][0])
+        return pd.DataFrame({"block": [number], "vids": [vids], "w": [w], "vectors": [x.tobytes()],
+                             "at": [i], "y": [vids[j]], "d2": [d2], "yw": [w[j] - (i == j)], "seen": [[number]]})
+
+    best_schema = f"at array<int>, y array<{kind}>, d2 array<double>, yw array<long>, seen array<int>"
+    packed = placed.withColumn("part", F.pmod(turn, pieces).cast("int")).repartition(tasks, "cell", "part").groupBy("cell", "part")
+    packed = staged(packed.applyInPandas(pack, f"block int, vids array<{kind}>, w array<long>, vectors binary, {best_schema}"), "blocks")
+    body = packed.select("block", "vids", "w", "vectors")
+    best = packed.drop("vids", "w", "vectors")
+    visit_schema = f"block int, to int, part int, rows array<int>, x_vids array<{kind}>, x binary, bound array<double>"
+    several = -(-blocks // VISITS)
+
+    def visits(limit: int | None) -> DataFrame:
+        """A row for each block that some points of a block have yet to meet: these points."""
+
+        def visit(batches):
+            for pdf in batches:
+                for block, vids, vectors, at, d2, yw, seen in zip(*(pdf[c] for c in ("block", "vids", "vectors", "at", "d2", "yw", "seen"))):
+                    x = np.frombuffer(vectors, "<f8").reshape(-1, dims)
+                    bound = bounds(at, d2, yw, len(x), k)
+                    needs, near = cells.open(x, bound)
+                    left = np.setdiff1d(np.flatnonzero(needs.any(axis=0)[cells.cell_of]), seen)
+                    for to in left[np.argsort(near[cells.cell_of[left]], kind="stable")][:limit].tolist():
+                        some = np.flatnonzero(needs[:, cells.cell_of[to]])
+                        yield pd.DataFrame({"block": [block], "to": [to], "part": [block % several], "rows": [some], "x_vids": [vids[some]],
+                                            "x": [x[some].tobytes()], "bound": [bound[some]]})
+
+        return body.join(best, "block").select("block", "vids", "vectors", "at", "d2", "yw", "seen").mapInPandas(visit, visit_schema)
+
+    def met(limit: int | None):
+        """The visits beside the blocks that they meet."""
+        hosts = body.select(F.col("block").alias("to"), F.col("vids").alias("y_vids"), "w", F.col("vectors").alias("y"))
+        if limit is None:
+            return visits(limit).join(hosts.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(several - 1)))), ["to", "part"])
+        return visits(limit).join(hosts, "to")
+
+    def compare(r):
+        x, y = (np.frombuffer(m, "<f8").reshape(-1, dims) for m in (r.x, r.y))
+        return *nearest(x, r.bound, y, r.w, np.full(len(x), -1)), len(x) * len(y)
+
+    def across(batches):
+        for pdf in batches:
+            for r in pdf.itertuples():
+                i, j, d2, pairs = compare(r)
+                yield pd.DataFrame({"block": [r.block], "at": [r.rows[i]], "y": [r.y_vids[j]], "d2": [d2], "yw": [r.w[j]],
+                                    "seen": [[r.to]], "pairs": [pairs]})
+
+    def merge(pdf, new):
+        names = "at", "y", "d2", "yw"
+        both = pd.DataFrame({c: np.concatenate([*pdf[c], *new[c]]) for c in names}).sort_values(["at", "d2", "y"])
+        upto = both.groupby("at")["yw"].cumsum()
+        both = both[upto - both["yw"] < k]
+        return pd.DataFrame({"block": pdf["block"], **{c: [both[c].to_numpy()] for c in names}, "seen": [np.concatenate([*pdf["seen"], *new["seen"]])]})
+
+    def unpack(batches):
+        for pdf in batches:
+            for vids, at, y, d2, yw in zip(*(pdf[c] for c in ("vids", "at", "y", "d2", "yw"))):
+                yield pd.DataFrame({"vid": vids[at], "y_vid": y, "d2": d2, "w": yw})
 
-    def visit(batches):
-        all_blocks = np.repeat(ids, parts), np.concatenate([np.arange(m) for m in parts])
+    def rest(batches):
         for pdf in batches:
-            if not len(pdf):
-                continue
-            with np.errstate(all="ignore"):
-                if len(centres):
-                    d, off = to_centres(np.array(pdf["v"].tolist(), np.float64))
-                    reach = np.sqrt(pdf["bound"].to_numpy()) * (1 + 1e-9) + off
-                    apart = d[:, ids] - radius[None, :] > reach[:, None]
-                else:
-                    apart = np.zeros((len(pdf), len(ids)), bool)
-            meets = np.repeat(~apart, parts, axis=1)
-            meets &= (pdf["cell"].to_numpy()[:, None] != all_blocks[0]) | (pdf["block"].to_numpy()[:, None] != all_blocks[1])
-            pdf = pdf.assign(to=[[{"to_cell": int(all_blocks[0][b]), "to_block": int(all_blocks[1][b])} for b in np.flatnonzero(row)]
-                                 for row in meets])
-            yield pdf[["vid", "v", "bound", "to"]]
-
-    visitors = placed.join(kth, "vid", "left").select("vid", "v", "cell", "block", F.coalesce("bound", F.lit(float("inf"))).alias("bound"))
-    visitors = visitors.mapInPandas(visit, f"vid {kind}, v array<double>, bound double, to array<struct<to_cell int, to_block int>>")
-    visitors = visitors.select("vid", "v", F.lit(0).cast("long").alias("w"), "bound", F.inline("to")).select(
-        "vid", "v", "w", "bound", F.col("to_cell").alias("cell"), F.col("to_block").alias("block"),
-        F.pmod(F.xxhash64("vid", F.lit(1)), F.lit(several)).cast("int").alias("part"))
-    members = placed.select("vid", "v", "w", F.lit(None).cast("double").alias("bound"), "cell", "block",
-                            F.explode(F.sequence(F.lit(0), F.lit(several - 1))).alias("part"))
-
-    def across(pdf):
-        guests = pdf["w"].to_numpy() == 0
-        x, y = pdf[guests], pdf[~guests].sort_values("vid", ignore_index=True)
-        if not len(x) or not len(y):
-            return pd.DataFrame({"vid": x["vid"][:0], "y_vid": x["vid"][:0], "d2": np.zeros(0), "w": np.zeros(0, np.int64)})
-        w = y["w"].to_numpy()
-        i, j, d2 = nearest(np.array(x["v"].tolist(), np.float64), x["bound"].to_numpy(), np.array(y["v"].tolist(), np.float64), w,
-                           np.full(len(x), -1))
-        return pd.DataFrame({"vid": x["vid"].to_numpy()[i], "y_vid": y["vid"].to_numpy()[j], "d2": d2, "w": w[j]})
-
-    met = members.unionByName(visitors).repartition(tasks, "cell", "block", "part").groupBy("cell", "block", "part").applyInPandas(across, found)
-    return own.unionByName(met)
-
-
-def _leaf_pairs(points: DataFrame, n: int, dims: int, seed: int, vec: str, tables: int, leaf: int) -> DataFrame:
-    """``(vid, y_vid, d2, w)`` of the points that share a leaf."""
-    placed = reliable_checkpoint(leaves(points, n, dims, seed, vec, tables, leaf))
-    pairs = (placed.join(placed.withColumnRenamed("vid", "y_vid"), ["table", "leaf"])
-             .filter(F.col("vid") != F.col("y_vid")).select("vid", "y_vid").distinct())
-    x = points.select("vid", F.col(vec).alias("_x"))
-    y = points.select(F.col("vid").alias("y_vid"), F.col(vec).alias("_y"), F.col("mult").alias("w"))
-    near = pairs.join(x, "vid").join(y, "y_vid").select("vid", "y_vid", _sq_dist(F.col("_x"), F.col("_y")).alias("d2"), "w")
-    own = points.filter(F.col("mult") > 1).select("vid", F.col("vid").alias("y_vid"), F.lit(0.0).alias("d2"), (F.col("mult") - 1).alias("w"))
-    return near.unionByName(own)
-
-
-def neighbour_slots(points: DataFrame, dims: int, k: int, seed: int = SEED, vec: str = "vec", tables: int | None = None,
-                    leaf: int | None = None) -> DataFrame:
-    """``(vid, slot, nvid)``: for every distinct point, its neighbours filling
+            for r in pdf.itertuples():
+                i, j, d2, _ = compare(r)
+                yield pd.DataFrame({"vid": r.x_vids[i], "y_vid": r.y_vids[j], "d2": d2, "w": r.w[j]})
+
+    for limit in ROUNDS if blocks > 1 else ():
+        found = staged(met(limit).mapInPandas(across, f"block int, {best_schema}, pairs long"), "met")
+        count, pairs = found.agg(F.count(F.lit(1)), F.sum("pairs")).first()
+        if log is not None:
+            log.append(pairs or 0)
+        if not count:
+            break
+        best = staged(best.groupBy("block").cogroup(found.groupBy(F.col("block").alias("of"))).applyInPandas(
+            merge, f"block int, {best_schema}"), "best")
+    near = body.join(best, "block").mapInPandas(unpack, rows)
+    if blocks == 1:
+        return near
+    if log is not None:
+        some = visits(None).join(body.select(F.col("block").alias("to"), F.size("vids").alias("n")), "to")
+        log.append(some.agg(F.sum(F.size("rows") * F.col("n"))).first()[0] or 0)
+    return near.unionByName(met(None).mapInPandas(rest, rows))
+
+
+def neighbour_slots(points: DataFrame, dims: int, k: int, vec: str = "vec", log: list | None = None) -> DataFrame:
+    """``(vid, slot, nvid)``: for every distinct point, its nearest neighbours filling
     slots ``0..k-1`` in order of (distance, vid); a point repeated ``m``
-    times has ``m - 1`` copies of itself at distance 0.  The neighbours are the
-    nearest of all points, or of shared leaves if ``tables`` or ``leaf`` is given."""
-    exact = tables is None and leaf is None
-    tables, leaf = tables or TABLES, leaf or LEAF
-    if not exact and leaf <= k:
-        raise ValueError("a leaf must hold more points than k")
+    times has ``m - 1`` copies of itself at distance 0."""
     sizes = points.agg(F.count(F.lit(1)).alias("n"), F.sum("mult").alias("rows")).first()
     if sizes["n"] == 0:
         return points.sparkSession.createDataFrame([], "vid bigint, slot int, nvid bigint")
     k = min(k, int(sizes["rows"]) - 1)
     if k <= 0:  # a single row: its only "neighbour" is itself
         return points.select("vid", F.lit(0).alias("slot"), F.col("vid").alias("nvid"))
-    n = int(sizes["n"])
-    pairs = _nearest_pairs(points, n, k, vec) if exact else _leaf_pairs(points, n, dims, seed, vec, tables, leaf)
+    pairs = _nearest_pairs(points, int(sizes["n"]), k, vec, dims, log)
     order = Window.partitionBy("vid").orderBy("d2", "y_vid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = pairs.withColumn("cum", F.sum("w").over(order)).withColumn("before", F.col("cum") - F.col("w"))
     return reliable_checkpoint(ranked.filter(F.col("before") < k).select(
@@ -293,7 +317,7 @@ def neighbour_slots(points: DataFrame, dims: int, k: int, seed: int = SEED, vec:
 
 
 def smote_balance(df: DataFrame, features: Sequence[str], label: str = "label", id_col: str = "id",
-                  k: int = SMOTE_NEIGHBOURS, seed: int = SEED, **knn) -> DataFrame:
+                  k: int = SMOTE_NEIGHBOURS, seed: int = SEED) -> DataFrame:
     """Original rows plus synthetic minority rows; adds ``src_id`` (the
     minority row a sample grew from) and ``sample`` (NULL for originals).
     Synthetic rows have a NULL ``id``.  The minority is the smaller class."""
@@ -311,7 +335,7 @@ def smote_balance(df: DataFrame, features: Sequence[str], label: str = "label",
     vec = F.array(*[F.col(c).cast("double") for c in features])
     rows = df.filter(F.col(label) == F.lit(minority)).select(id_col, vec.alias("vec"))
     points = reliable_checkpoint(distinct_points(rows, "vec", id_col))
-    slots = neighbour_slots(points, len(features), k, seed, **knn)
+    slots = neighbour_slots(points, len(features), k)
     kk = slots.agg(F.max("slot")).first()[0] + 1
 
     per, extra = divmod(total, m)

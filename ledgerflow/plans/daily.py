@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ledgerflow.operators import alerts, clean, runs
 from ledgerflow.operators.quality import results_frame, step_record, verify_doc, verify_table
 from ledgerflow.sources.readers import read_run_docs
-from ledgerflow.sources.sinks import Target, append_rows, fan_out, load_table, write_alert, write_run_doc
+from ledgerflow.sources.sinks import Target, fan_out, load_table, replace_partitions, write_alert, write_run_doc
 from ledgerflow.specs import VERIFY_FORMATS
 
 TABLES = ("customer", "payment")
@@ -127,12 +127,13 @@ def load(spark: SparkSession, layout: Layout, mode: str = "truncate", fmt: str =
 
 def collect_metadata(spark: SparkSession, layout: Layout, run_date: str | None = None,
                      steps=("ingest", "transform", "verify", "load")) -> DataFrame:
-    """Flatten the step documents into the run table and append them."""
+    """Flatten the step documents into the run table: the rows of the day, in place
+    of those that an earlier run of the day has left."""
     run_date = run_date or datetime.now(timezone.utc).strftime("%Y-%m-%d")
     docs, missing = read_run_docs(spark, [layout.doc(s) for s in steps])
     table = runs.flatten_runs(docs, run_date=run_date)
     # partitioned by day: reading one day back prunes the rest of the history
-    append_rows(table, layout.runs_table, partition_by=["run_date"])
+    replace_partitions(table, layout.runs_table, ["run_date"])
     schema = ", ".join(f"{n} {t}" for n, t in runs.RUN_SCHEMA)  # keeps run_date a string, in place
     back = spark.read.schema(schema).parquet(layout.runs_table).filter(F.col("run_date") == run_date)
     return back.select(*[n for n, _ in runs.RUN_SCHEMA])
@@ -140,7 +141,7 @@ def collect_metadata(spark: SparkSession, layout: Layout, run_date: str | None =
 
 def check_alerts(spark: SparkSession, layout: Layout) -> DataFrame:
     """Alert rules over the verify document; writes the alert text."""
-    docs, _ = read_run_docs(spark, [layout.doc("verify")])
+    docs, _ = read_run_docs(spark, [layout.doc("verify")], probe=False)  # written by the step before
     verify_rows = runs.flatten_runs(docs, run_date="", keep_position=True).filter(F.col("step") == "verify")
     found = alerts.evaluate_alerts(verify_rows)
     summary = alerts.alert_summary(found)

@@ -8,8 +8,6 @@ Doubles are rounded to 4 decimals at the query boundary, as in the registry.
 
 from __future__ import annotations
 
-import hashlib
-
 # -- dirty inputs, decoded ---------------------------------------------------
 
 RAW_CUSTOMER = """
@@ -388,17 +386,10 @@ UNION ALL
 SELECT 'weighted avg', round(sum(precision * support) / sum(support), 4), round(sum(recall * support) / sum(support), 4),
        round(sum(f1_score * support) / sum(support), 4), CAST(sum(support) AS BIGINT) FROM f"""
 
-# -- SMOTE: leaves of sign projections, then exact distances within them --------
+# -- SMOTE: the true neighbours of every distinct point ------------------------
 
-_DIMS, _TABLES, _LEAF = 64, 8, 64
+_DIMS = 64
 _X = [f"x{i}" for i in range(_DIMS)]
-
-
-def _sign(table: int, i: int) -> str:
-    return "+" if hashlib.md5(f"42:{table}:{i}".encode()).hexdigest()[0] < "8" else "-"
-
-
-_P = ["CAST(0 AS DOUBLE) " + " ".join(f"{_sign(t, i)} v[{i + 1}]" for i in range(_DIMS)) for t in range(_TABLES)]
 _D2 = " + ".join(f"(a.v[{i + 1}] - b.v[{i + 1}]) * (a.v[{i + 1}] - b.v[{i + 1}])" for i in range(_DIMS))
 
 ORACLE["smote_balance"] = f"""
@@ -412,13 +403,8 @@ params AS (SELECT ml, m, (SELECT max(c) FROM cnt) - m AS s_total, ((SELECT max(c
                   ((SELECT max(c) FROM cnt) - m) % m AS extra, least(5, m - 1) AS kk FROM mino),
 rows_ AS (SELECT e.* FROM e, params WHERE e.label = params.ml),
 pts AS (SELECT min(id) AS vid, count(*) AS mult, v FROM rows_ GROUP BY v),
-proj AS ({" UNION ALL ".join(f"SELECT {t} AS t, vid, {_P[t]} AS p FROM pts" for t in range(_TABLES))}),
-leaf AS (SELECT t, vid, least((row_number() OVER (PARTITION BY t ORDER BY p, vid) - 1) // {_LEAF},
-                              greatest((SELECT count(*) FROM pts) // {_LEAF}, 1) - 1) AS leaf FROM proj),
-pairs AS (SELECT DISTINCT a.vid, b.vid AS y_vid FROM leaf a JOIN leaf b ON a.t = b.t AND a.leaf = b.leaf AND a.vid <> b.vid),
 cand AS (
-  SELECT a.vid, b.vid AS y_vid, {_D2} AS d2, b.mult AS w
-  FROM pairs JOIN pts a ON a.vid = pairs.vid JOIN pts b ON b.vid = pairs.y_vid
+  SELECT a.vid, b.vid AS y_vid, {_D2} AS d2, b.mult AS w FROM pts a JOIN pts b ON a.vid <> b.vid
   UNION ALL
   SELECT vid, vid, 0.0, mult - 1 FROM pts WHERE mult > 1
 ),
@@ -446,6 +432,94 @@ SELECT CAST(NULL AS BIGINT), params.ml,
 FROM sm JOIN slots ON sm.vid = slots.vid AND sm.slot = slots.slot
      JOIN pts x ON x.vid = sm.vid JOIN pts n ON n.vid = slots.nvid, params"""
 
+# -- boosted stumps: every split from grouped gradient sums ----------------------
+
+FEW_VALUED = ["region_code", "fea_3", "fea_5", "fea_6", "fea_7", "fea_9", "OVD_t1", "OVD_t2", "OVD_sum", "pay_normal"]
+_FEW = ", ".join(f"CAST(f.{c} AS DOUBLE) AS {c}" for c in FEW_VALUED)
+
+
+def _impurity(n: str, s: str, q: str) -> str:
+    return f"(({q}) - ({s}) * ({s}) / ({n})) / ({n})"
+
+
+def _stumps(trees: int, step: float) -> str:
+    """CTEs over ``fit_rows (fit, id, label, train, features)``: ``margin<t>`` after ``t`` trees
+    (logistic loss, first tree of weight 1) and ``best<t>``, the split of each tree."""
+    out = ["long AS MATERIALIZED (SELECT fit, id, train, unnest([" + ", ".join(
+        f"struct_pack(f := {i}, v := {c})" for i, c in enumerate(FEW_VALUED)) + "], recursive := true) FROM fit_rows)",
+        "margin0 AS MATERIALIZED (SELECT fit, id, 2.0 * label - 1 AS y, CAST(0 AS DOUBLE) AS m FROM fit_rows)"]
+    for t in range(trees):
+        target = "y" if t == 0 else "4 * y / (1 + exp(2 * y * m))"
+        gain = (f"{_impurity('nt', 'st', 'qt')} - nl / nt * {_impurity('nl', 'sl', 'ql')}"
+                f" - (nt - nl) / nt * {_impurity('nt - nl', 'st - sl', 'qt - ql')}")
+        out += [
+            f"hist{t} AS (SELECT l.fit, l.f, l.v, CAST(count(*) AS DOUBLE) AS n, sum(r) AS s, sum(r * r) AS q FROM long l "
+            f"JOIN (SELECT fit, id, {target} AS r FROM margin{t}) g ON l.fit = g.fit AND l.id = g.id WHERE l.train GROUP BY ALL)",
+            f"cum{t} AS (SELECT fit, f, v, lead(v) OVER o AS nv, sum(n) OVER o AS nl, sum(s) OVER o AS sl, sum(q) OVER o AS ql, "
+            f"sum(n) OVER p AS nt, sum(s) OVER p AS st, sum(q) OVER p AS qt FROM hist{t} "
+            f"WINDOW o AS (PARTITION BY fit, f ORDER BY v), p AS (PARTITION BY fit, f))",
+            f"best{t} AS MATERIALIZED (SELECT fit, f, v, (v + nv) / 2 AS cut, sl / nl AS low, (st - sl) / (nt - nl) AS high, {gain} AS gain, nt "
+            f"FROM cum{t} WHERE nv IS NOT NULL QUALIFY row_number() OVER (PARTITION BY fit ORDER BY round(gain, 10) DESC, f, v) = 1)",
+            f"margin{t + 1} AS MATERIALIZED (SELECT a.fit, a.id, a.y, a.m + {1.0 if t == 0 else step} * CASE WHEN l.v <= b.cut THEN b.low ELSE b.high END AS m "
+            f"FROM margin{t} a JOIN best{t} b ON a.fit = b.fit JOIN long l ON l.fit = a.fit AND l.id = a.id AND l.f = b.f)"]
+    return ",\n".join(out)
+
+
+_FIT_ONCE = f"""
+fit_rows AS MATERIALIZED (SELECT 0 AS fit, f.id, f.label, s.split = 'train' AS train, {_FEW} FROM features f JOIN split s USING (id))"""
+_STUMP_BASE = _with(*BASE_FEATURES, MEDIANS, FILLED, FEATURES, SPLIT, _FIT_ONCE, _stumps(3, 0.1))
+
+ORACLE["stumps_predict"] = _STUMP_BASE + """
+SELECT id, r.label, CAST(m > 0 AS INTEGER) AS prediction, round(1 / (1 + exp(-2 * m)), 4) AS score
+FROM margin3 JOIN fit_rows r USING (fit, id) WHERE NOT r.train"""
+ORACLE["model_round_trip"] = ORACLE["train_from_csv"] = ORACLE["stumps_predict"]
+
+ORACLE["stumps_importance"] = _STUMP_BASE + """
+, worth AS (SELECT f, sum(gain * nt) AS g FROM (""" + " UNION ALL ".join(f"SELECT f, gain, nt FROM best{t}" for t in range(3)) + """) GROUP BY f)
+SELECT [""" + ", ".join(f"'{c}'" for c in FEW_VALUED) + """][f + 1] AS feature, round(g / sum(g) OVER (), 4) AS importance
+FROM worth WHERE g > 0 ORDER BY g DESC LIMIT 10"""
+
+FOLDS = f"""
+folds AS MATERIALIZED (
+  SELECT id, label, CAST((rk > n * 1 // 3) AS INTEGER) + CAST((rk > n * 2 // 3) AS INTEGER) AS fold FROM (
+    SELECT j.id, j.label, row_number() OVER (PARTITION BY j.label ORDER BY {HASH_U.replace(':42', ':43').replace('CAST(id', 'CAST(j.id')}, j.id) AS rk,
+           count(*) OVER (PARTITION BY j.label) AS n
+    FROM joined j JOIN split s USING (id) WHERE s.split = 'train'))"""
+_FIT_FOLDS = f"""
+fit_rows AS MATERIALIZED (SELECT k AS fit, f.id, f.label, d.fold <> k AS train, {_FEW} FROM features f JOIN folds d USING (id), range(3) r(k))"""
+
+ORACLE["grid_search_folds"] = _with(*BASE_FEATURES, MEDIANS, FILLED, FEATURES, SPLIT, FOLDS, _FIT_FOLDS, _stumps(3, 0.1)) + """
+, told AS (SELECT 0 AS point, 1 AS maxIter, fit, id, m FROM margin1 UNION ALL SELECT 1, 3, fit, id, m FROM margin3),
+scores AS (SELECT t.*, r.label FROM told t JOIN fit_rows r USING (fit, id) WHERE NOT r.train),
+ranked AS (SELECT *, rank() OVER (PARTITION BY point, fit ORDER BY round(m, 10))
+                     + (count(*) OVER (PARTITION BY point, fit, round(m, 10)) - 1) / 2.0 AS ar FROM scores),
+c AS (SELECT point, maxIter, fit, sum(ar) FILTER (WHERE label = 1) AS rs, count(*) FILTER (WHERE label = 1) AS p,
+             count(*) FILTER (WHERE label <> 1) AS n FROM ranked GROUP BY ALL)
+SELECT CAST(point AS INTEGER) AS point, maxIter, 1 AS maxDepth, CAST(0.1 AS DOUBLE) AS stepSize, CAST(1 AS DOUBLE) AS subsamplingRate,
+       CAST(fit AS INTEGER) AS fold, p AS n_pos, n AS n_neg, (SELECT count(*) FROM folds WHERE fold <> fit) AS n_fitted,
+       round((rs - p * (p + 1) / 2.0) / nullif(CAST(p AS DOUBLE) * n, 0), 4) AS roc_auc FROM c"""
+
+ORACLE["fold_resampling"] = _with(*BASE_FEATURES, SPLIT, FOLDS) + """
+, c AS (SELECT k AS fold, label, count(*) FILTER (WHERE fold <> k) AS n, count(*) FILTER (WHERE fold = k) AS n_left_out
+        FROM folds, range(3) r(k) GROUP BY ALL)
+SELECT CAST(fold AS INTEGER) AS fold, label, max(n) OVER (PARTITION BY fold) AS n_fitted, n_left_out FROM c"""
+
+ORACLE["best_training_runs"] = """
+WITH scored AS (SELECT d.lang, CAST(l.quality AS INTEGER) AS label, d.n_chars / CAST(20000 AS DOUBLE) AS score
+                FROM labels l JOIN documents d USING (doc_id) WHERE d.lang IS NOT NULL),
+two AS (SELECT 'long_texts' AS run_name, * FROM scored UNION ALL SELECT 'short_texts', lang, label, -score FROM scored),
+r AS (SELECT run_name, lang, label, rank() OVER (PARTITION BY run_name, lang ORDER BY score)
+             + (count(*) OVER (PARTITION BY run_name, lang, score) - 1) / 2.0 AS ar FROM two),
+c AS (SELECT run_name, lang, sum(ar) FILTER (WHERE label = 1) AS rs, count(*) FILTER (WHERE label = 1) AS p,
+             count(*) FILTER (WHERE label <> 1) AS n FROM r GROUP BY ALL),
+a AS (SELECT run_name, lang, (rs - p * (p + 1) / 2.0) / (CAST(p AS DOUBLE) * n) AS auc FROM c WHERE p > 0 AND n > 0)
+SELECT run_name, lang AS run_id, round(auc, 4) AS value, count(*) OVER (PARTITION BY run_name) AS n_runs
+FROM a QUALIFY row_number() OVER (PARTITION BY run_name ORDER BY auc DESC, lang) = 1"""
+
+ORACLE["median_sketches"] = _with(RAW_PAYMENT, CLEAN_PAYMENT) + " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count({c}) AS n, TRUE AS within_error FROM clean_payment"""
+    for c in ("prod_limit", "new_balance", "highest_balance"))
+
 # -- sources and sinks ----------------------------------------------------------
 
 ORACLE["csv_roundtrip"] = _with(RAW_PAYMENT, CLEAN_PAYMENT) + "SELECT " + PAYMENT_OUT.replace(
@@ -481,6 +555,31 @@ FROM n JOIN (SELECT 'customer' AS "table", sum(id) AS s, count(DISTINCT id) AS d
 ORACLE["ingest_run_docs"] = _with(RUN_ITEMS) + """
 SELECT step, format, status, row_count, round(duration_sec, 4) AS duration_sec, error, 1 AS missing_paths FROM run_items"""
 
+ORACLE["unreadable_run_docs"] = _with(RUN_ITEMS) + """
+SELECT step, format, status, row_count, round(duration_sec, 4) AS duration_sec, error, 1 AS unreadable_files FROM run_items
+WHERE k % 4 <> 3"""
+
+ORACLE["rerun_run_table"] = ORACLE["flatten_runs"]
+
+_WHOLE = "CASE WHEN max(abs({c})) <= 2147483647 THEN 'int' WHEN count({c}) > 0 THEN 'bigint' ELSE 'string' END"
+_SMALL = "CASE WHEN count({c}) > 0 THEN 'int' ELSE 'string' END"
+_REAL = "CASE WHEN count({c}) > 0 THEN 'double' ELSE 'string' END"
+
+
+def _types(table: str, source: str, kinds: dict[str, str]) -> str:
+    return " UNION ALL ".join(f"""SELECT '{table}' AS "table", '{c}' AS "column", {k.format(c=c)} AS type FROM {source}"""
+                              for c, k in kinds.items())
+
+
+ORACLE["infer_csv_types"] = _with(RAW_CUSTOMER, RAW_PAYMENT) + _types("customer", "raw_customer", {
+    "label": _SMALL, "id": _WHOLE, "fea_1": _SMALL,
+    "fea_2": "CASE WHEN count(*) FILTER (WHERE id % 11 = 0 AND id % 7 <> 0) = 0 AND count({c}) > 0 THEN 'double' ELSE 'string' END",
+    **dict.fromkeys(("fea_3", "fea_4"), _REAL), **dict.fromkeys((f"fea_{i}" for i in range(5, 10)), _SMALL),
+    "fea_10": _REAL, "fea_11": _REAL, "copy": _SMALL}) + " UNION ALL " + _types("payment", "raw_payment", {
+        "id": _WHOLE, "ord": _WHOLE, **dict.fromkeys(("OVD_t1", "OVD_t2", "OVD_t3", "OVD_sum", "pay_normal", "prod_code"), _SMALL),
+        "prod_limit": "CASE WHEN count(*) = count({c}) AND count(*) > 0 THEN 'double' ELSE 'string' END", "update_date": "coalesce(max('string'), 'string')",
+        "new_balance": _REAL, "highest_balance": _REAL, "report_date": "coalesce(max('string'), 'string')"})
+
 ORACLE["step_metric_log"] = ORACLE["step_metrics"].replace(
     "SELECT ts, task, duration, status, concat_ws(',', ts, task, CAST(duration AS VARCHAR), status) AS line FROM m",
     "SELECT ts, task, duration, status FROM m")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerflow.operators import alerts, clean, features, metrics, ml, runs, sampling, smote
+from ledgerflow.operators import alerts, clean, features, metrics, ml, quantiles, runs, sampling, smote
 from ledgerflow.sources import fixtures as fx
 from ledgerflow.plans.daily import run_pipeline
 from ledgerflow.operators.quality import results_frame, schema_check, verify_table
@@ -324,6 +324,108 @@ def q_top_k_importance(spark, sf):
     return boundary(ml.top_importances(model, cols, spark))
 
 
+# Trees whose fit is sums over few values of a feature, without chance: three
+# stumps, no row sampling, no resampling.  SQL repeats the whole fit.
+FEW_VALUED = ["region_code", "fea_3", "fea_5", "fea_6", "fea_7", "fea_9", "OVD_t1", "OVD_t2", "OVD_sum", "pay_normal"]
+STUMPS = {"maxIter": 3, "maxDepth": 1, "stepSize": 0.1, "subsamplingRate": 1.0}
+
+
+def fitted_stumps(frame: DataFrame):
+    """Model and test rows of the reproducible fit."""
+    df = reliable_checkpoint(sampling.stratified_split(frame).select("id", "label", "split", *FEW_VALUED))
+    est = ml.ResampledClassifier(featureCols=FEW_VALUED, resample=False, **STUMPS)
+    return est.fit(df.filter(F.col("split") == "train")), df.filter(F.col("split") == "test")
+
+
+@register("stumps_predict")
+def q_stumps_predict(spark, sf):
+    """Class and score of the test rows (fit, apply)."""
+    return boundary(ml.predict(*fitted_stumps(feature_frame(spark, sf))))
+
+
+@register("stumps_importance")
+def q_stumps_importance(spark, sf):
+    """Top-k features by gain; features without any are left out."""
+    model, _ = fitted_stumps(feature_frame(spark, sf))
+    return boundary(ml.top_importances(model, FEW_VALUED, spark).filter("importance > 0"))
+
+
+@register("model_round_trip")
+def q_model_round_trip(spark, sf):
+    """The model written, read into a new object, and applied to raw rows."""
+    model, test = fitted_stumps(feature_frame(spark, sf))
+    path = scratch_path(spark, "model")
+    ml.save_resampled(model, path)
+    return boundary(ml.predict(ml.load_resampled(spark, path), test))
+
+
+@register("train_from_csv")
+def q_train_from_csv(spark, sf):
+    """Both cleaned tables written as CSV, read with inferred types, and trained on."""
+    copies = {}
+    for table, df in conformed(spark, sf).items():
+        path = scratch_path(spark, f"{table}_csv")
+        sinks.write_table(df, sinks.Target("csv", path))
+        copies[table] = readers.read_csv(spark, path, infer=True).withColumn("id", F.col("id").cast("bigint"))
+    return boundary(ml.predict(*fitted_stumps(features.build_features(copies["customer"], copies["payment"]))))
+
+
+@register("grid_search_folds")
+def q_grid_search_folds(spark, sf):
+    """A grid search by folds from its staged steps: interrupted after the first point,
+    it goes on with the others."""
+    df = sampling.stratified_split(feature_frame(spark, sf)).filter(F.col("split") == "train")
+    df = reliable_checkpoint(df.select("id", "label", *FEW_VALUED))
+    base = scratch_path(spark, "grid")
+    fixed = {k: [v] for k, v in STUMPS.items() if k != "maxIter"}
+    ml.grid_search_folds(df, FEW_VALUED, base, {"maxIter": [1], **fixed}, resample=False)
+    return boundary(ml.grid_search_folds(df, FEW_VALUED, base, {"maxIter": [1, 3], **fixed}, resample=False))
+
+
+@register("fold_resampling")
+def q_fold_resampling(spark, sf):
+    """Class sizes of each fold's fitted rows: balanced inside every fold, none of the
+    rows left out among them."""
+    df = sampling.stratified_split(feature_frame(spark, sf)).filter(F.col("split") == "train")
+    base = scratch_path(spark, "grid")
+    ml.grid_search_folds(reliable_checkpoint(df.select("id", "label", *FEW_VALUED)), FEW_VALUED, base,
+                         {"maxIter": [1], "maxDepth": [1]})
+    fitted = spark.read.parquet(f"{base}/resampled").groupBy("fold", "label").agg(F.count(F.lit(1)).alias("n_fitted"))
+    left = spark.read.parquet(f"{base}/rows").groupBy("fold", "label").agg(F.count(F.lit(1)).alias("n_left_out"))
+    return fitted.join(left, ["fold", "label"])
+
+
+@register("best_training_runs")
+def q_best_training_runs(spark, sf):
+    """Runs of two scores on each language, logged one by one, and the log read back."""
+    langs = fx.load(spark, sf, "documents").filter("lang is not null").select("doc_id", "lang")
+    scored = scored_frame(spark, sf).join(langs, "doc_id")
+    log = scratch_path(spark, "training_runs")
+    for name, score in (("long_texts", F.col("score")), ("short_texts", -F.col("score"))):
+        found = metrics.roc_auc(scored.withColumn("score", score), by=["lang"]).filter("roc_auc is not null")
+        for r in found.collect():  # one row a language
+            sinks.log_training_run(spark, log, r["lang"], name, {"lang": r["lang"]}, {"roc_auc": r["roc_auc"], "n_pos": r["n_pos"]})
+    return boundary(sinks.best_training_runs(spark.read.parquet(log)).drop("params"))
+
+
+@register("median_sketches")
+def q_median_sketches(spark, sf):
+    """Medians from sketches stored by day and merged, and whether the exact rank of each
+    is within 2 % of the middle."""
+    df = reliable_checkpoint(cleaned_payment(spark, sf))
+    columns = ["prod_limit", "new_balance", "highest_balance"]
+    path = scratch_path(spark, "sketches")
+    sinks.replace_partitions(quantiles.daily_sketches(df, "update_date", columns), path, ["day"])
+    found = quantiles.merged_quantile(spark.read.parquet(path))
+    value = {r["column"]: r["quantile"] for r in found.collect()}  # one row a column
+    exact = df.agg(*[F.count(F.when(cond, 1)).alias(f"{c}_{side}") for c in value
+                     for side, cond in (("below", F.col(c) < value[c]), ("upto", F.col(c) <= value[c]))]).first()
+    within = {c: (exact[f"{c}_below"], exact[f"{c}_upto"]) for c in value}
+    rows = [(r["column"], r["n"], within[r["column"]][0] <= 0.52 * r["n"] and within[r["column"]][1] >= 0.48 * r["n"])
+            for r in found.collect()]
+    return spark.createDataFrame(rows, "column string, n bigint, within_error boolean")
+
+
 # -- sources and sinks (written to a scratch folder under the shared
 #    checkpoint folder, then read back) ------------------------------------
 
@@ -423,13 +525,50 @@ def q_ingest_run_docs(spark, sf):
     base = scratch_path(spark, "doc_files")
     docs.filter(F.col("doc_seq") % 2 == 0).select("value").write.text(f"{base}/even")
     docs.filter(F.col("doc_seq") % 2 == 1).select("value").write.text(f"{base}/more/odd")
-    spark.createDataFrame([("",)], "value string").write.text(f"{base}/more/empty")
+    fx.zero_byte_file(spark, f"{base}/more/empty.json")
     found, missing = readers.read_run_docs(spark, [f"{base}/even", f"{base}/more/*", f"{base}/nothing/here"])
     table = runs.flatten_runs(found, run_date="2026-01-01")
     return boundary(table.select("step", "format", "status", "row_count", "duration_sec", "error",
                                  F.lit(len(missing)).alias("missing_paths")))
 
 
+@register("unreadable_run_docs")
+def q_unreadable_run_docs(spark, sf):
+    """Compressed run documents under one glob, some of the files cut short: the rows of
+    the whole files, and how many files were reported."""
+    docs = fx.run_docs(fx.load(spark, sf, "events"))
+    base = scratch_path(spark, "doc_files")
+    for i in range(4):
+        docs.filter(F.col("doc_seq") % 4 == i).select("value").coalesce(1).write.option("compression", "gzip").text(f"{base}/r{i}")
+    fx.cut_short(spark, f"{base}/r3")
+    found, skipped = readers.read_run_docs(spark, [f"{base}/r*"])
+    table = runs.flatten_runs(found, run_date="2026-01-01")
+    return boundary(table.select("step", "format", "status", "row_count", "duration_sec", "error",
+                                 F.lit(len(skipped)).alias("unreadable_files")))
+
+
+@register("rerun_run_table")
+def q_rerun_run_table(spark, sf):
+    """The run table after some of its days were loaded again: the same rows."""
+    table = run_table(spark, sf)
+    path = scratch_path(spark, "runs")
+    sinks.replace_partitions(table, path, ["run_date"])
+    sinks.replace_partitions(table.filter(F.substring("run_date", 10, 1).isin("0", "2", "4", "6", "8")), path, ["run_date"])
+    schema = ", ".join(f"{n} {t}" for n, t in runs.RUN_SCHEMA)
+    return boundary(floor4(spark.read.schema(schema).parquet(path).select(*[n for n, _ in runs.RUN_SCHEMA])))
+
+
+@register("infer_csv_types")
+def q_infer_csv_types(spark, sf):
+    """Column types that an inference pass finds in the dirty tables as CSV."""
+    rows = []
+    for table, df in (("customer", raw_customer(spark, sf)), ("payment", raw_payment(spark, sf))):
+        path = scratch_path(spark, f"{table}_raw")
+        sinks.write_table(df, sinks.Target("csv", path))
+        rows += [(table, name, kind) for name, kind in readers.read_csv(spark, path, infer=True).dtypes]
+    return spark.createDataFrame(rows, "table string, column string, type string")
+
+
 @register("step_metric_log")
 def q_step_metric_log(spark, sf):
     """The step-metric log, appended in two loads and read back."""

@@ -159,3 +159,27 @@ def embedding_matrix(embeddings: DataFrame, dims: int = 64) -> DataFrame:
         (F.col("label") == 0).cast("int").alias("label"),
         *[F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(dims)],
     )
+
+
+def _file_system(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def zero_byte_file(spark: SparkSession, path: str) -> None:
+    """A file that holds nothing at all."""
+    file, system = _file_system(spark, path)
+    system.create(file).close()
+
+
+def cut_short(spark: SparkSession, folder: str, suffix: str = ".gz") -> None:
+    """Every file of ``folder`` with the suffix loses its second half, as a broken copy would."""
+    place, system = _file_system(spark, folder)
+    for status in system.listStatus(place):
+        if status.getPath().getName().endswith(suffix):
+            source = system.open(status.getPath())
+            held = source.readNBytes(int(status.getLen() // 2))
+            source.close()
+            out = system.create(status.getPath(), True)
+            out.write(held)
+            out.close()

@@ -117,20 +117,75 @@ def existing_paths(spark: SparkSession, paths: Iterable[str]) -> tuple[list[str]
     return found, missing
 
 
-def read_run_docs(spark: SparkSession, paths: Iterable[str]) -> tuple[DataFrame, list[str]]:
+class SkippedPath(str):
+    """A path that was not read, and why."""
+
+    error: str
+
+    def __new__(cls, path: str, error: str) -> "SkippedPath":
+        out = super().__new__(cls, path)
+        out.error = error
+        return out
+
+
+def _read_error(spark: SparkSession, paths: list[str]) -> str | None:
+    """Why the text files under ``paths`` cannot be read to their end, if so."""
+    try:
+        spark.read.text(paths).agg(F.count(F.lit(1))).collect()
+        return None
+    except Exception as e:  # noqa: BLE001 - whatever stops the read is the answer
+        java = getattr(e, "java_exception", None)
+        return (str(java.toString()) if java is not None else str(e)).strip() or type(e).__name__
+
+
+def readable_files(spark: SparkSession, paths: list[str]) -> tuple[list[str], list[SkippedPath]]:
+    """Paths that read to their end, and files that do not.
+
+    One pass tells whether all of them do.  If not, their files are listed, and
+    halves that cannot be read are divided until the files are found: a broken
+    file costs a few short passes, the others are kept.
+    """
+    paths = list(paths)
+    if not paths or _read_error(spark, paths) is None:
+        return paths, []
+    listed = spark.read.format("binaryFile").load(paths).select("path").orderBy("path")  # names only, no content
+    todo, good, bad = [[r.path for r in listed.collect()]], [], []
+    while todo:
+        part = todo.pop()
+        error = _read_error(spark, part)
+        if error is None:
+            good += part
+        elif len(part) == 1:
+            bad.append(SkippedPath(part[0], error))
+        else:
+            todo += [part[:len(part) // 2], part[len(part) // 2:]]
+    return sorted(good), sorted(bad)
+
+
+def read_run_docs(spark: SparkSession, paths: Iterable[str], probe: bool = True) -> tuple[DataFrame, list[SkippedPath]]:
     """Run documents from text files/folders (globs allowed) as
-    ``(path, doc_seq, value)``.  Paths that match nothing are reported in the
-    second return value and skipped; empty files give no row; ``path`` is
+    ``(path, doc_seq, value)``.  Paths that match nothing, and files that cannot
+    be read to their end (``probe``: found by a pass over them), are reported in
+    the second return value and skipped; empty files give no row; ``path`` is
     the written folder of a ``part-*`` file (the path the job wrote to)."""
     found, missing = existing_paths(spark, paths)
+    skipped = [SkippedPath(p, "no such path") for p in missing]
+    if probe:
+        found, broken = readable_files(spark, found)
+        skipped += broken
     if not found:
         empty = spark.createDataFrame([], "path string, doc_seq bigint, value string")
-        return empty, missing
+        return empty, skipped
     df = spark.read.text(found).select(
         F.regexp_replace(F.col("_metadata.file_path"), r"/part-[^/]*$", "").alias("path"),
         F.lit(None).cast("bigint").alias("doc_seq"),
         F.col("value"))
-    return df.filter(F.length(F.trim("value")) > 0), missing
+    return df.filter(F.length(F.trim("value")) > 0), skipped
+
+
+def skipped_frame(spark: SparkSession, skipped: list[SkippedPath]) -> DataFrame:
+    """The skipped paths as rows ``(path, error)``."""
+    return spark.createDataFrame([(str(p), p.error) for p in skipped], "path string, error string")
 
 
 def doc_frame(spark: SparkSession, obj) -> DataFrame:

@@ -45,3 +45,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     system.mkdirs(folder)
     system.deleteOnExit(folder)
     return f"{base}/{name}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet into the shared scratch folder and read it back:
+    a result that several passes read, columns pruned, and that outlives a lost
+    executor."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -152,6 +152,19 @@ def append_rows(df: DataFrame, target: str, fmt: str = "parquet", partition_by:
         w.saveAsTable(target)
 
 
+def replace_partitions(df: DataFrame, target: str, partition_by: Iterable[str], fmt: str = "parquet") -> None:
+    """Write the partitions that ``df`` holds, each in place of what it held before:
+    a load that runs again leaves the same rows.  Other partitions stay."""
+    keys = list(partition_by)
+    if "/" in target or ":" in target:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").format(fmt).partitionBy(*keys).save(target)
+    elif df.sparkSession.catalog.tableExists(target):
+        df.select(*[c for c in df.columns if c not in keys], *keys).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").insertInto(target)
+    else:
+        df.write.format(fmt).partitionBy(*keys).saveAsTable(target)
+
+
 def append_step_metric(metrics: DataFrame, path: str) -> None:
     """Append ``ts,task,duration,status`` lines (no header) to a log folder."""
     metrics.select("ts", "task", "duration", "status").write.mode("append").csv(path)
@@ -181,6 +194,18 @@ def log_training_run(spark: SparkSession, target: str, run_id: str, run_name: st
     return df
 
 
+def best_training_runs(log: DataFrame, metric: str = "roc_auc") -> DataFrame:
+    """The run log read back: of each run name, the run with the highest ``metric``
+    (of equal ones the first id): ``run_name, run_id, value, n_runs, params``."""
+    runs = log.groupBy("run_name", "run_id").agg(
+        F.max(F.when((F.col("kind") == "metric") & (F.col("key") == metric), F.col("value").try_cast("double"))).alias("value"),
+        F.map_from_entries(F.array_sort(F.collect_set(F.when(F.col("kind") == "param", F.struct("key", "value"))))).alias("params"))
+    runs = runs.filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    best = F.min_by(F.struct("run_id", "value", "params"), F.struct((-F.col("value")).alias("v"), F.col("run_id")))
+    return runs.groupBy("run_name").agg(best.alias("best"), F.count(F.lit(1)).alias("n_runs")).select(
+        "run_name", "best.run_id", "best.value", "n_runs", "best.params")
+
+
 def error_text(e: Exception) -> str:
     """The whole error message (of JVM errors the Java exception's), or the name
     of an error without one."""

@@ -38,31 +38,16 @@ def slots_of(df):
     return {v: [s[i] for i in range(len(s))] for v, s in got.items()}
 
 
-def test_one_leaf_is_exact_with_duplicates(spark):
+def test_slots_with_duplicates(spark):
     points = gaussian_points(spark, 120, 4)
     want = brute_slots([(r.vid, r.vec, r.mult) for r in points.collect()], 5)
-    assert slots_of(smote.neighbour_slots(points, 4, 5, leaf=64)) == want
-
-
-@pytest.mark.parametrize("rank_rows", [8192, 16])
-def test_slots_follow_the_leaf_rule(spark, monkeypatch, rank_rows):
-    monkeypatch.setattr(smote, "RANK_ROWS", rank_rows)
-    points = gaussian_points(spark, 150, 6)
-    rows = {r.vid: (r.vec, r.mult) for r in points.collect()}
-    cands = {v: set() for v in rows}
-    for t in range(3):
-        order = sorted(rows, key=lambda v: (sum(s * x for s, x in zip(smote.signs(t, 6), rows[v][0])), v))
-        last = len(order) // 10 - 1
-        for i, v in enumerate(order):
-            cands[v] |= {u for j, u in enumerate(order) if min(j // 10, last) == min(i // 10, last)} | {v}
-    want = {v: brute_slots([(u, *rows[u]) for u in cands[v]], 5)[v] for v in rows}
-    assert slots_of(smote.neighbour_slots(points, 6, 5, tables=3, leaf=10)) == want
+    assert slots_of(smote.neighbour_slots(points, 4, 5)) == want
 
 
 @pytest.mark.parametrize("dims, clusters", [(23, 0), (64, 0), (64, 40)])
 def test_neighbours_are_the_true_ones(spark, monkeypatch, dims, clusters):
-    monkeypatch.setattr(smote, "BLOCK", 256)
-    monkeypatch.setattr(smote, "VISITORS", 1500)
+    monkeypatch.setattr(smote, "BLOCK_BYTES", 8 * dims * 256)
+    monkeypatch.setattr(smote, "VISITS", 3)
     rng = np.random.default_rng(11)
     x = np.round(rng.standard_normal((4000, dims)), 3)
     if clusters:
@@ -82,22 +67,40 @@ def test_neighbours_are_the_true_ones(spark, monkeypatch, dims, clusters):
 
 
 def test_neighbours_without_finite_features_come_last(spark, monkeypatch):
-    monkeypatch.setattr(smote, "BLOCK", 4)
+    monkeypatch.setattr(smote, "BLOCK_BYTES", 64)
     rows = [(i, [float(i), 0.0]) for i in range(20)] + [(20, [None, 1.0]), (21, [float("nan"), 2.0])]
     points = smote.distinct_points(spark.createDataFrame(rows, "id long, vec array<double>"), "vec", "id")
     got = slots_of(smote.neighbour_slots(points, 2, 3))
     assert got[0] == [1, 2, 3] and got[10] == [9, 11, 8] and got[20] == got[21] == [0, 1, 2]
 
 
-def test_candidates_grow_linearly(spark):
+def test_pairs_grow_with_the_points_on_clustered_data(spark, monkeypatch):
+    monkeypatch.setattr(smote, "BLOCK_BYTES", 8 * 16 * 128)
     per_point = []
-    for n in (400, 1600):
-        points = gaussian_points(spark, n, 16)
-        m = points.count()
-        sizes = smote.leaves(points, m, 16, 42, "vec", 4, 20).groupBy("table", "leaf").count().collect()
-        assert all(20 <= r["count"] < 40 for r in sizes) and sum(r["count"] for r in sizes) == 4 * m
-        per_point.append(sum(r["count"] ** 2 for r in sizes) / m)
-    assert per_point[1] < 1.1 * per_point[0]
+    for n in (2000, 8000):
+        rng = np.random.default_rng(7)
+        clusters = 10 * rng.standard_normal((n // 50, 16))
+        x = clusters[np.arange(n) % len(clusters)] + 0.1 * rng.standard_normal((n, 16))
+        points = smote.distinct_points(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vec array<double>"), "vec", "id")
+        log = []
+        got = slots_of(smote.neighbour_slots(points, 16, 5, log=log))
+        per_point.append(sum(log) / n)
+        for i in range(0, n, 97):
+            d2 = ((x - x[i]) ** 2).sum(axis=1)
+            d2[i] = np.inf
+            assert got[i] == np.argsort(d2, kind="stable")[:5].tolist()
+    assert per_point[1] < 1.5 * per_point[0] + 50
+
+
+def test_blocks_travel_in_bounded_batches(spark):
+    """Rows of several MB reach Python a few at a time, not ten thousand."""
+    rows = spark.range(40).repartition(1).selectExpr("id", "cast(repeat('x', 4000000) as binary) as m")
+
+    def sizes(batches):
+        for pdf in batches:
+            yield pdf.assign(n=len(pdf))[["n"]]
+
+    assert max(r.n for r in rows.mapInPandas(sizes, "n long").collect()) <= 32
 
 
 def test_smote_balances_and_interpolates(spark):
