@@ -58,8 +58,11 @@ def chunked(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
 
 def gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The runs ``flat[start:start + size]``, end to end."""
-    first = np.cumsum(size) - size
-    return flat[np.repeat(start - first, size) + np.arange(int(size.sum()))]
+    total = int(size.sum())
+    kind = np.int32 if max(total, len(flat)) < 1 << 31 else np.int64
+    at = np.repeat((start - (np.cumsum(size) - size)).astype(kind), size)
+    at += np.arange(total, dtype=kind)
+    return flat.take(at)
 
 
 class Memory:
@@ -71,14 +74,18 @@ class Memory:
         self.held = 0
 
     def __call__(self, chunks: list[str]) -> list[bytes]:
+        """The result of each of some different chunks."""
         if self.held > self.limit:
             self.known.clear()
             self.held = 0
-        new = [c for c in chunks if c not in self.known]
-        got = dict(zip(new, self.work(new)))
-        out = [got[c] if c in got else self.known[c] for c in chunks]
-        for c, r in got.items():
-            if len(c) < 200:
-                self.known[c] = r
-                self.held += len(c) + len(r) + 180
+        out = list(map(self.known.get, chunks))
+        missing = [i for i, r in enumerate(out) if r is None]
+        if missing:
+            new = [chunks[i] for i in missing]
+            found = self.work(new)
+            for i, r in zip(missing, found):
+                out[i] = r
+            kept = {c: r for c, r in zip(new, found) if len(c) < 200}
+            self.known.update(kept)
+            self.held += sum(map(len, kept)) + sum(map(len, kept.values())) + 180 * len(kept)
         return out

@@ -19,6 +19,7 @@ columns are ignored.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -36,8 +37,8 @@ END_ID = 1
 DIMS, BITS = 4, 8
 HASHED = 1024
 SEED = 11
-SLICE_BYTES = 6_000_000
-CACHE_BYTES = 40_000_000
+SLICE_BYTES = 10_000_000
+CACHE_BYTES, OTHERS_BYTES = 40_000_000, 10_000_000
 TOKENIZER = "word_bpe_49k.json"
 
 #: one word of Latin letters, with or without a closing mark
@@ -77,18 +78,18 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.alphabet = {k: v for k, v in _byte_alphabet().items() if chr(k) != v}
-        self.words = Memory(lambda words: [self.word(w).tobytes() for w in words], CACHE_BYTES)
-        self.others = Memory(self._whole, CACHE_BYTES)
+        self.words = Memory(lambda words: [array("I", self.word(w)).tobytes() for w in words], CACHE_BYTES)
+        self.others = Memory(self._whole, OTHERS_BYTES)
 
-    def word(self, word: str) -> np.ndarray:
+    def word(self, word: str) -> list[int]:
         text = word if word.isascii() else word.encode().decode("latin-1").translate(self.alphabet)
-        return np.array([t.id for t in self.model.tokenize(text)], np.uint32)
+        return [t.id for t in self.model.tokenize(text)]
 
     def _whole(self, chunks: list[str]) -> list[bytes]:
         """Chunks through the whole tokenizer, a bounded number at a time."""
         out = []
         for lo in range(0, len(chunks), 4096):
-            out += [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch(chunks[lo:lo + 4096], add_special_tokens=False)]
+            out += [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(chunks[lo:lo + 4096], add_special_tokens=False)]
         return out
 
     def chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
