@@ -251,26 +251,84 @@ def bands(seed: int = SEED + 1) -> list:
     return keys
 
 
+class Packed:
+    """Fingerprints in one matrix: the likeness of one of them to many, part by part.
+
+    Filled samples of an octave are its first ones (positions ascend), so the filled
+    samples of a pair are counted without looking at them.  What the counts, and then
+    the top octaves alone, leave too unlike is not compared further.
+    """
+
+    def __init__(self, prints: list[str]):
+        codes = _codes(prints).astype(np.uint8)
+        self.top = codes[:, 0].astype(np.int64)
+        body = codes[:, 1:].reshape(-1, WALKS, OCTAVES, SAMPLES)
+        self.filled = (body != PAD).sum(axis=3)
+        self.body = np.ascontiguousarray(body.transpose(2, 0, 1, 3))  # an octave of all rows lies together
+        self.other = np.where(self.body == PAD, np.uint8(255), self.body)  # equal to no empty sample
+        self.weight = np.exp2(-np.arange(OCTAVES, dtype=float))
+
+    def near(self, i: int, members: np.ndarray, like: float) -> tuple[np.ndarray, np.ndarray]:
+        """Those of ``members`` whose likeness to ``i`` is at least ``like``, and the likeness."""
+        out, values = [], []
+        shift = self.top[members] - self.top[i]
+        for s in np.unique(shift).tolist():
+            if abs(s) < OCTAVES:
+                some, value = self._aligned(i, members[shift == s], s, like)
+                out.append(some)
+                values.append(value)
+        return (np.concatenate(out), np.concatenate(values)) if out else (members[:0], np.zeros(0))
+
+    def _aligned(self, i: int, members: np.ndarray, shift: int, like: float) -> tuple[np.ndarray, np.ndarray]:
+        """``members`` reach ``shift`` octaves beyond ``i``; octaves count from the higher top."""
+        mine, theirs = max(shift, 0), max(-shift, 0)
+        first = max(mine, theirs)
+        own = np.zeros((WALKS, OCTAVES), np.int64)
+        own[:, mine:] = self.filled[i][:, :OCTAVES - mine]
+        least = like * (1 - CHANCE) + CHANCE - 1e-9
+
+        def counts(members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            filled = np.zeros((len(members), WALKS, OCTAVES), np.int64)
+            filled[:, :, theirs:] = self.filled[members][:, :, :OCTAVES - theirs]
+            return np.maximum(filled, own) @ self.weight, np.minimum(filled, own)
+
+        total, common = counts(members)
+        keep = ((common @ self.weight) / np.maximum(total, 1e-12)).max(axis=1) >= least
+        members, total, common = members[keep], total[keep], common[keep]
+        equal = common.astype(float)
+        for o in range(first, OCTAVES):
+            if not len(members):
+                break
+            same = self.other[o - mine, i] == self.body[o - theirs][members]
+            equal[:, :, o] = np.bitwise_count(same.view(np.uint64)).sum(axis=2)  # a byte of 1 for each equal sample
+            if o <= first + 1:
+                keep = ((equal @ self.weight) / np.maximum(total, 1e-12)).max(axis=1) >= least
+                members, total, equal = members[keep], total[keep], equal[keep]
+        share = ((equal @ self.weight) / np.maximum(total, 1e-12)).max(axis=1)
+        near = np.clip((share - CHANCE) / (1 - CHANCE), 0, 1)
+        keep = near >= like
+        return members[keep], near[keep]
+
+
 def _verify(like: float):
     """Links among one block of a band's lesser components and one block of all its members."""
 
     def verify(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        codes = _codes(pdf["fingerprint"].tolist())
+        packed = Packed(pdf["fingerprint"].tolist())
         rep, part = pdf["rep"].to_numpy(), pdf["component"].to_numpy()
         lesser, member = np.flatnonzero(pdf["kind"] == 1), np.flatnonzero(pdf["kind"] == 0)
         inner = part[member] != pdf["main"].to_numpy()[member]
-        names, number = np.unique(part, return_inverse=True)
-        root = np.arange(len(names))
+        number = np.unique(part, return_inverse=True)[1]
+        root = np.arange(number.max(initial=-1) + 1)
         out = []
         for i in lesser:
             # a pair of two lesser ones is seen from both ends: once is enough
             todo = member[(root[number[member]] != root[number[i]]) & ~(inner & (rep[member] > rep[i]))]
-            near = _likeness(np.broadcast_to(codes[i], (len(todo), WIDTH)), codes[todo]) if len(todo) else np.zeros(0)
-            for j, value in zip(todo[near >= like], near[near >= like]):
+            for j, value in zip(*packed.near(i, todo, like)):
                 p, q = root[number[i]], root[number[j]]
                 if p != q:
                     root[root == max(p, q)] = min(p, q)
-                    out.append((rep[min(i, j, key=lambda t: rep[t])], rep[max(i, j, key=lambda t: rep[t])], value))
+                    out.append((min(rep[i], rep[j]), max(rep[i], rep[j]), value))
         return pd.DataFrame(out, columns=["a", "b", "near"]).astype({"a": "int64", "b": "int64", "near": "float64"})
 
     return verify

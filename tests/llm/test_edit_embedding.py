@@ -136,3 +136,26 @@ def test_near_copies_across_powers_of_two(spark, documents):
     got = {r.doc_id: r.class_id for r in E.near_classes(prints).collect()}
     assert all(got[i + 1] == i for i in crossing)
     assert sum(got[i + 1] == i for i in range(0, len(rows), 2)) >= 0.98 * len(rows) / 2
+
+
+def test_packed_comparison_equals_the_likeness():
+    rng = random.Random(4)
+    walker = E.Walker()
+    texts = ["", "a", "ab"]
+    for n in (5, 60, 500, 1000, 1020, 1030, 2050):  # walks on either side of a power of two
+        base = "".join(rng.choices("etaoin shrdlu", k=n))
+        for _ in range(25):
+            t = list(base)
+            for _ in range(rng.choice([0, 1, 3, 12])):
+                t[rng.randrange(len(t))] = rng.choice("xyz")
+            texts.append("".join(t)[:rng.choice([n, n, n // 2, n - n // 8])])
+    prints = sorted(set(walker.prints(texts)))
+    codes, packed, links = E._codes(prints), E.Packed(prints), 0
+    for i in range(len(prints)):
+        others = np.delete(np.arange(len(prints)), i)
+        near = E._likeness(np.broadcast_to(codes[i], (len(others), E.WIDTH)), codes[others])
+        want = {int(j): v for j, v in zip(others, near) if v >= E.LIKE}
+        got = dict(zip(*(x.tolist() for x in packed.near(i, others, E.LIKE))))
+        assert got == want
+        links += len(want)
+    assert links > 100
