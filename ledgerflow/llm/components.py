@@ -21,16 +21,16 @@ def components(edges: DataFrame) -> DataFrame:
     ones first, then the smaller ones; rounds grow with the logarithm of the
     longest path.  Every round's edges (at most one a node and old edge) are
     written to the shared folder; only two numbers a round reach the driver.
-    A hub with many edges meets one row in the join, which adaptive execution
-    can split.
+    The least neighbours are written before they are joined, so the join reads
+    two plain shuffles and adaptive execution splits the edges of a hub.
     """
     now = staged(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     mark = None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = (both.join(_lowest(both), "u").filter("v > u")
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        low = _lowest(large)
+        large = staged(both.join(staged(_lowest(both), "least"), "u").filter("v > u")
+                       .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+        low = staged(_lowest(large), "least")
         small = (large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
         now = staged(small, "edges")
