@@ -5,15 +5,19 @@
    labelled shingles under a random hash, in text order; ``ROWS`` sketches make
    a band.  Texts that share a band are candidates.
 2. Equal texts are one class from the start.  In each band every class meets
-   the least one; connected candidates form a cluster, of any size.
-3. Clusters are dealt in blocks of ``BLOCK`` classes, each pair of blocks a
-   group, and all pairs of a group are verified unless links already found
+   the least one, its hub; connected candidates form a cluster, of any size.
+3. Classes are verified against their hubs first, dealt in blocks of ``BLOCK``.
+   Where that leaves a cluster in several components, its classes outside the
+   largest of them meet all others, block by block, unless links already found
    connect them.  A count of shared shingles rules pairs out; the others are
    aligned: the longest chain of equal labelled shingles that rises in both
    texts, within the band of diagonals that a similar pair cannot leave.  Two
    texts are linked when chain / (shingles of either or both) >= ``SIMILAR``.
 4. Linked classes are one class; the least document of each is kept.
 
+Another threshold takes other sketches (``sketch_plan``): a pair exactly at the
+threshold shares a band with probability 0.99 at least.
+
 Defined cases: null text is empty; texts without a word equal each other only;
 shorter texts than ``K`` words are one shingle; of equal ids the first stored
 row is kept, null ids come last; an empty table gives no rows; other columns
@@ -27,7 +31,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.common import staged
@@ -40,15 +44,27 @@ SEED = 77
 CHUNK = 1 << 14
 
 
+def sketch_plan(similar: float = SIMILAR) -> tuple[int, int]:
+    """``rows, bands``: the most sketches a band, and bands enough that a pair of this
+    similarity shares one with probability 0.99 (two shingles a sketch, text order kept)."""
+    for rows in range(ROWS, 0, -1):
+        one = similar ** (ELL * rows)
+        bands = max(BANDS, int(np.ceil(np.log(0.01) / np.log1p(-one)))) if one < 1 else BANDS
+        if bands <= 2 * BANDS or rows == 1:
+            return rows, bands
+    return 1, BANDS
+
+
 class Sketcher:
     """Labelled shingles and band keys of single texts."""
 
-    def __init__(self, seed: int = SEED):
+    def __init__(self, seed: int = SEED, rows: int = ROWS, bands: int = BANDS):
+        self.rows, self.n_bands = rows, bands
         rng = np.random.default_rng(seed)
         odd = lambda n: rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.base = odd(1)[0]
         self.back = np.uint64(pow(int(self.base), -1, 1 << 64))
-        self.times, self.plus = odd(BANDS * ROWS), odd(BANDS * ROWS)
+        self.times, self.plus = odd(bands * rows), odd(bands * rows)
         self.word_times, self.label_times = odd(K), odd(1)[0]
         self.grow(1 << 12)
 
@@ -99,13 +115,13 @@ class Sketcher:
             pick = np.argpartition(part, ell - 1, axis=0)[:ell] if len(part) > ell else np.arange(len(part))[:, None].repeat(part.shape[1], 1)
             keep = np.take_along_axis(part, pick, 0), np.take_along_axis(at, pick, 0)
         inorder = np.sort(keep[1], axis=0)
-        key = np.zeros(BANDS * ROWS, np.uint64)
+        key = np.zeros(self.n_bands * self.rows, np.uint64)
         for row in inorder:
             key = (key ^ shingle[row]) * self.label_times
             key ^= key >> np.uint64(30)
-        key = key.reshape(BANDS, ROWS)
-        out = np.arange(BANDS, dtype=np.uint64)
-        for r in range(ROWS):
+        key = key.reshape(self.n_bands, self.rows)
+        out = np.arange(self.n_bands, dtype=np.uint64)
+        for r in range(self.rows):
             out = (out ^ key[:, r]) * self.base
             out ^= out >> np.uint64(28)
         return out.view(np.int64)
@@ -153,15 +169,17 @@ def shared(texts: list[np.ndarray], rows: np.ndarray, cols: np.ndarray) -> np.nd
     return total
 
 
-def linked(nodes: Sequence[int], texts: list[np.ndarray], low: np.ndarray, high: np.ndarray,
+def linked(nodes: np.ndarray, parts: np.ndarray, texts: list[np.ndarray], low: np.ndarray, high: np.ndarray,
            similar: float = SIMILAR) -> list[tuple[int, int]]:
-    """Links (a spanning set of them) among pairs of ``low`` x ``high`` members."""
+    """Links (a spanning set of them) among pairs of ``low`` x ``high`` members; members
+    of one of the ``parts`` are connected already."""
     size = np.array([len(t) for t in texts], np.float32)
     common = shared(texts, low, high)
     either = size[low][:, None] + size[high][None, :] - common
-    a, b = np.nonzero((common >= similar * either) & (low[:, None] != high[None, :]))
+    a, b = np.nonzero((common >= similar * either) & (parts[low][:, None] != parts[high][None, :]))
     best = np.argsort(-(common / np.maximum(either, 1))[a, b], kind="stable")
     root = list(range(len(nodes)))
+    part = np.unique(parts, return_inverse=True)[1].tolist()
 
     def top(i: int) -> int:
         while root[i] != i:
@@ -171,27 +189,30 @@ def linked(nodes: Sequence[int], texts: list[np.ndarray], low: np.ndarray, high:
 
     out = []
     for i, j in zip(low[a[best]].tolist(), high[b[best]].tolist()):
-        x, y = top(i), top(j)
+        x, y = top(part[i]), top(part[j])
         if x != y and aligned(texts[i], texts[j], similar) >= similar:
             root[max(x, y)] = min(x, y)
-            out.append((nodes[i], nodes[j]))
+            out.append((int(nodes[i]), int(nodes[j])))
     return out
 
 
+GROUP = "cluster", "low", "high"
+
+
 def verifier(similar: float) -> Callable:
-    """Sorted rows -> links, one group (cluster, low, high) after another."""
+    """Sorted rows -> links, one group (cluster, low, high) after another; a row's ``side``
+    says whether it is one of the low or of the high members."""
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def links(group: list[tuple]) -> list[tuple[int, int]]:
-            low, high = group[0][1], group[0][2]
-            block = np.array([g[4] for g in group])
-            texts = [np.frombuffer(g[5], np.uint32) for g in group]
-            return linked([g[3] for g in group], texts, np.flatnonzero(block == low), np.flatnonzero(block == high), similar)
+            nodes, parts, side = (np.array([g[k] for g in group]) for k in (3, 4, 5))
+            texts = [np.frombuffer(g[6], np.uint32) for g in group]
+            return linked(nodes, parts, texts, np.flatnonzero(side == 0), np.flatnonzero(side == 1), similar)
 
         group: list[tuple] = []
         for pdf in batches:
             out = []
-            columns = [pdf[c].tolist() for c in ("cluster", "low", "high", "node", "block")] + [pdf["shingles"]]
+            columns = [pdf[c].tolist() for c in (*GROUP, "node", "part", "side")] + [pdf["shingles"]]
             for row in zip(*columns):
                 if group and group[0][:3] != row[:3]:
                     out += links(group)
@@ -204,15 +225,61 @@ def verifier(similar: float) -> Callable:
     return verify
 
 
-def sketched(docs: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
+def _verified(groups: DataFrame, texts: DataFrame, similar: float, tasks: int) -> DataFrame:
+    """Links among the dealt members (``cluster, low, high, node, part, side``)."""
+    full = groups.join(texts.hint("merge"), "node").select(*GROUP, "node", "part", "side", "shingles")
+    # few bytes but much work: as many tasks as partitions
+    return full.repartition(tasks, *GROUP).sortWithinPartitions(*GROUP, "side", "node").mapInPandas(verifier(similar), "a long, b long")
+
+
+def _blocks(n: Column) -> Column:
+    return F.ceil(n / F.lit(float(BLOCK))).cast("int")
+
+
+def _every(n: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+
+def verified_links(meet: DataFrame, texts: DataFrame, similar: float, tasks: int) -> DataFrame:
+    """Candidate pairs ``a`` (hub), ``b`` and ``node, shingles`` -> links that connect
+    whatever similar pairs within a cluster of candidates connect."""
+    meet = staged(meet, "meet")
+    turn = F.xxhash64("node")
+    hubs = meet.groupBy("a").agg(_blocks(F.count(F.lit(1))).alias("n"))
+    guests = meet.withColumnRenamed("b", "node").join(hubs, "a").select(
+        F.col("a").alias("cluster"), F.lit(0).alias("low"), F.pmod(turn, F.col("n")).cast("int").alias("high"), "node",
+        F.col("node").alias("part"), F.lit(1).alias("side"))
+    hosts = hubs.select(F.col("a").alias("cluster"), F.lit(0).alias("low"), _every("n").alias("high"), F.col("a").alias("node"),
+                        F.col("a").alias("part"), F.lit(0).alias("side"))
+    first = staged(_verified(hosts.unionByName(guests), texts, similar, tasks), "hub_links")
+
+    clusters = components(meet).withColumnRenamed("component", "cluster")
+    told = staged(clusters.join(components(first).withColumnRenamed("component", "part"), "node", "left")
+                  .select("node", "cluster", F.coalesce("part", "node").alias("part")), "told")
+    sizes = told.groupBy("cluster", "part").agg(F.count(F.lit(1)).alias("n")).groupBy("cluster").agg(
+        F.sum("n").alias("n"), F.max(F.struct("n", "part")).alias("most"))
+    open_ = staged(sizes.filter(F.col("n") > F.col("most.n")).select(
+        "cluster", F.col("most.part").alias("main"), _blocks(F.col("n")).alias("all_blocks"),
+        _blocks(F.col("n") - F.col("most.n")).alias("lesser_blocks")), "open")
+    left = told.join(open_, "cluster")
+    members = left.select("cluster", F.pmod(turn, F.col("all_blocks")).cast("int").alias("high"), _every("lesser_blocks").alias("low"),
+                          "node", "part", F.lit(1).alias("side"))
+    lesser = left.filter("part <> main").select("cluster", F.pmod(turn, F.col("lesser_blocks")).cast("int").alias("low"),
+                                                _every("all_blocks").alias("high"), "node", "part", F.lit(0).alias("side"))
+    rest = _verified(members.unionByName(lesser), texts, similar, tasks)
+    return first.unionByName(staged(rest, "rest_links"))
+
+
+def sketched(docs: DataFrame, keep: Sequence[str] | None = None, similar: float = SIMILAR) -> DataFrame:
     """Staged rows: ``doc`` (struct of the columns to keep, all by default), ``row``,
     ``key`` (equal texts have equal keys), band keys and labelled shingles (32 bits each)."""
     text = F.coalesce(F.col("text"), F.lit(""))
+    per_band, bands = sketch_plan(similar)
     rows = docs.select(F.struct(*(keep or docs.columns)).alias("doc"), F.sha1(text.cast("binary")).alias("key"), text.alias("whole"))
 
     @F.pandas_udf("bands array<long>, shingles binary")
     def sketch(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        sketcher = Sketcher()
+        sketcher = Sketcher(rows=per_band, bands=bands)
         with np.errstate(over="ignore"):
             for texts in batches:
                 out = []
@@ -229,7 +296,7 @@ def sketched(docs: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
 def near_duplicate_classes(docs: DataFrame, keep: Sequence[str] | None = None, similar: float = SIMILAR) -> DataFrame:
     """Rows ``doc`` (struct of the columns to keep, ``doc_id`` among them), ``class_id``
     (doc_id of the document that is kept) and ``kept`` (once a class)."""
-    rows = sketched(docs, keep)
+    rows = sketched(docs, keep, similar)
     order = F.struct(F.col("doc.doc_id").isNull(), F.col("doc.doc_id"), F.col("row"))
     classes = staged(rows.groupBy("key").agg(F.min(order).alias("least"), F.first("bands").alias("bands"))
                      .withColumn("node", F.col("least.row")), "classes")
@@ -237,19 +304,8 @@ def near_duplicate_classes(docs: DataFrame, keep: Sequence[str] | None = None, s
     banded = classes.select("node", F.explode("bands").alias("band"))
     hubs = banded.groupBy("band").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     meet = banded.join(hubs, "band").filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    clusters = staged(components(meet).withColumnRenamed("component", "cluster"), "clusters")
-
-    blocks = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(BLOCK))).cast("int").alias("m"))
-    members = (clusters.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), F.col("m")).cast("int"))
-               .join(rows.select(F.col("row").alias("node"), "shingles").hint("merge"), "node"))
-    pairs = F.transform(F.sequence(F.lit(0), F.col("m") - 1), lambda j: F.struct(
-        F.least(j, F.col("block")).alias("low"), F.greatest(j, F.col("block")).alias("high")))
-    dealt = members.select("cluster", "node", "block", "shingles", F.explode(pairs).alias("to")).select(
-        "cluster", "to.low", "to.high", "node", "block", "shingles")
-    # few bytes but much work: as many tasks as partitions
-    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    groups = dealt.repartition(tasks, "cluster", "low", "high").sortWithinPartitions("cluster", "low", "high", "node")
-    links = groups.mapInPandas(verifier(similar), "a long, b long")
+    texts = rows.select(F.col("row").alias("node"), "shingles")
+    links = verified_links(meet, texts, similar, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     joined = components(links)
     told = classes.select("key", "least", "node").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))

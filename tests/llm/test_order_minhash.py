@@ -137,3 +137,33 @@ def test_repeats_empty_and_extra_columns(spark, documents):
     out = O.near_duplicate_classes(docs).select("doc.*", "class_id", "kept").collect()
     assert sorted((r.class_id, r.kept) for r in out) == [(1, False), (1, True), (4, False), (4, False), (4, False), (4, True)]
     assert {r.row for r in out} == {"own"} and next(r for r in out if r.kept and r.class_id == 4).doc_id == 4
+
+
+def test_members_that_their_hub_does_not_connect(spark, documents):
+    """One frequent passage puts unlike texts in one cluster; two near copies among
+    them are found whatever their hub is like."""
+    rng = random.Random(5)
+    passage = [f"p{i}" for i in range(40)]
+    rows = [(i, " ".join(passage + [f"u{i}_{k}" for k in range(25)])) for i in range(700)]
+    pair = passage + [f"z{k}" for k in range(60)]
+    rows += [(900, " ".join(pair)), (901, " ".join([*pair[:-1], "other"]))]
+    rng.shuffle(rows)
+    got = {r.doc_id: r.class_id for r in O.near_duplicate_classes(documents(rows)).select("doc.doc_id", "class_id").collect()}
+    assert got[900] == got[901] == 900 and all(got[i] == i for i in range(700))
+
+
+def test_lower_threshold_takes_more_bands(spark, documents):
+    assert O.sketch_plan(0.8) == (O.ROWS, O.BANDS)
+    rows, bands = O.sketch_plan(0.6)
+    assert rows < O.ROWS and 1 - (1 - 0.6 ** (O.ELL * rows)) ** bands >= 0.99
+    rng = random.Random(6)
+    texts = []
+    for i in range(60):
+        a = [f"a{i}_{k}" for k in range(100)]
+        b = list(a)
+        for k in rng.sample(range(10), 4):
+            b[10 * k] = f"b{i}_{k}"  # 5 of 96 shingles each: about 0.65 alike
+        texts += [" ".join(a), " ".join(b)]
+    got = {r.doc_id: r.class_id for r in O.near_duplicate_classes(documents(list(enumerate(texts))), similar=0.6)
+           .select("doc.doc_id", "class_id").collect()}
+    assert sum(got[2 * i + 1] == 2 * i for i in range(60)) >= 57
