@@ -9,11 +9,13 @@ article text are joined by line breaks.
 
 Learning: pages laid out from many templates, with known block labels, in words
 of the corpus, plus a sample of about ``SAMPLE`` real pages (under
-``SAMPLE_BYTES`` each) whose semantic tags say what is article and what is not.
-The bounds concern learning only; extraction reads whole pages.
+``SAMPLE_BYTES`` and ``SAMPLE_BLOCKS`` blocks each) whose semantic tags, and common
+names of regions, say what is article and what is not.  The bounds concern
+learning only; extraction reads whole pages.
 
 Defined cases: null html is empty; a page without article blocks gives the empty
-text; unclosed and stray tags, quotes and comments are tolerated; repeated rows
+text; unclosed and stray tags, quotes and comments are tolerated (an unclosed
+element that is not read ends where the element around it does); repeated rows
 are pages of their own; an empty table gives no rows; other columns are ignored.
 """
 
@@ -29,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE, SAMPLE_BYTES = 400, 100_000
+SAMPLE, SAMPLE_BYTES, SAMPLE_BLOCKS = 400, 100_000, 400
 TEMPLATES, EPOCHS, BATCH, RATE = 700, 18, 25, 0.01
 PATH_DIMS, WORD_DIMS, MEASURES, HIDDEN = 160, 48, 8, 20
 DIMS = PATH_DIMS + WORD_DIMS + MEASURES
@@ -41,7 +43,8 @@ BLOCKS = frozenset("""address article aside blockquote body button caption cente
  figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html label legend li main menu nav ol optgroup
  option p pre section select summary table tbody td tfoot th thead title tr ul""".split())
 HEADINGS = frozenset(f"h{k}" for k in range(1, 7))
-UNREAD = frozenset("script style noscript template textarea svg math iframe object canvas audio video head title select".split())
+RAW = frozenset("script style textarea title iframe".split())  # hold no tags: end at their end tag alone
+UNREAD = RAW | frozenset("noscript template svg object canvas audio video head select".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ENDED_BY = {  # an open element of the key ends where one of the value begins
     "p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"},
@@ -60,6 +63,31 @@ class Block:
         self.text, self.path, self.link = text, path, link
 
 
+def unread_until(page: str, at: int, name: str, around: set[str]) -> int:
+    """Where an unread element that begins before ``at`` ends: behind its end tag, or
+    before the end tag of an element around it, or at once if neither comes."""
+    inside: dict[str, int] = {}
+    here = at
+    while m := TAG.search(page, here):
+        here = m.end()
+        if m[2] is None:
+            continue
+        tag = m[2].lower()
+        if m[1]:
+            if inside.get(tag):
+                inside[tag] -= 1
+            elif tag == name:
+                return here
+            elif tag in around:
+                return m.start()
+        elif tag in RAW:
+            end = re.compile(rf"</{tag}\s*>", re.I).search(page, here)
+            here = end.end() if end else len(page)
+        elif tag not in VOID and not m[3].endswith("/"):
+            inside[tag] = inside.get(tag, 0) + 1
+    return at
+
+
 def blocks_of(page: str) -> list[Block]:
     """Leaf blocks in page order: text (references decoded, white space collapsed),
     path (an element's tokens per level, outermost first), characters in links."""
@@ -103,9 +131,11 @@ def blocks_of(page: str) -> list[Block]:
         if name in UNREAD:
             if name in BLOCKS:
                 close()
-            if not m[3].rstrip().endswith("/") or name not in ("svg", "math"):
+            if name in RAW or name == "head":
                 end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
                 at = end.end() if end else (n if name != "head" else at)
+            elif not (m[3].rstrip().endswith("/") and name == "svg"):
+                at = unread_until(page, at, name, {open_ for open_, _ in stack})
             text.append(" ")
             continue
         if name == "br" or name in ("img", "input", "wbr"):
@@ -416,7 +446,7 @@ def train(pages: list[str], seed: int = SEED, templates: int = TEMPLATES, epochs
         ys.append(np.array([label.get(b.text, -1) for b in bs], np.float32))
     for bs in real:
         y = semantic_labels(bs)
-        if (y >= 0).any() and len(bs) <= 400:
+        if (y >= 0).any() and len(bs) <= SAMPLE_BLOCKS:
             xs.append(features.sequence(bs))
             ys.append(y)
     model = Labeller(seed)

@@ -102,3 +102,54 @@ def test_sample_holds_a_repeated_page_once(spark, monkeypatch):
     rows = [(i, h) for i, h in enumerate(html + html[:1] * 200)]
     html_lstm.fit(spark.createDataFrame(rows, "page_id long, html string"), sample=210)
     assert seen == sorted(html)
+
+
+def texts_of(page):
+    return [b.text for b in H.blocks_of(page)]
+
+
+def test_unread_elements_end_where_they_should():
+    assert texts_of("<main><p>one</p><select><p>two</p></main><p>three") == ["one", "three"]
+    assert texts_of("<p>E = <math><mi>m</mi><mo>c</mo></math> holds</p>") == ["E = mc holds"]
+    assert texts_of("<div>a<video src=x><p>b</p></div><p>c</p>") == ["a", "c"]
+    assert texts_of("<p>a<object><p>b<p>c") == ["a", "b", "c"]  # never ended: taken for empty
+    assert texts_of("<p>x<svg><path/><title>t</title></svg>y</p>") == ["x y"]
+    assert texts_of("<p>x<video><video>i</video>j</video>y</p><p>z") == ["x y", "z"]
+    assert texts_of("<p>x<canvas><script>'</p></canvas>'</script>n</canvas>y") == ["x y"]
+    assert texts_of("<p>a</p><script>if (a < b) '</p>'</script><p>b") == ["a", "b"]
+    assert texts_of("<head><title>t</title><p>q") == ["q"]
+
+
+def test_blocks_equal_a_plain_walk_of_the_layout():
+    """Pages laid out at random, read by a walk over the layout itself."""
+    rnd = random.Random(12)
+    word = lambda: "".join(rnd.choice("abcdeä") for _ in range(rnd.randint(1, 6)))
+
+    def element(depth):
+        """Markup, and its texts: None where a block begins or ends."""
+        kind = rnd.random()
+        if depth > 4 or kind < 0.35:
+            ws = [word() for _ in range(rnd.randint(1, 4))]
+            return rnd.choice([" ", "\n", " \t "]).join(ws) + " ", ws
+        if kind < 0.5:
+            name = rnd.choice(["script", "style", "svg", "object", "select", "template"])
+            return f"<{name}>{word()}</{name}> ", [None] if name == "select" else []
+        inner = [element(depth + 1) for _ in range(rnd.randint(0, 3))]
+        html = "".join(h for h, _ in inner)
+        seen = [w for _, ws in inner for w in ws]
+        if kind < 0.65:
+            name = rnd.choice(["b", "span", "em", "a href=x", "math"])
+            return f"<{name}>{html}</{name.split()[0]}>", seen
+        name = rnd.choice(["div", "section", "article", "blockquote", "ul"])
+        return f"<{name}>{html}</{name}>", [None, *seen, None]
+
+    for _ in range(400):
+        parts = [element(0) for _ in range(rnd.randint(1, 6))]
+        want, held = [], []
+        for w in [*(w for _, ws in parts for w in ws), None]:
+            if w is not None:
+                held.append(w)
+            elif held:
+                want.append(" ".join(held))
+                held = []
+        assert texts_of("".join(h for h, _ in parts)) == want
