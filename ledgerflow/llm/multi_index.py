@@ -47,6 +47,7 @@ MAX_CALIBRATION = 1024  # vectors asked at first
 CROSSING = 200  # draw more until so many groups have a partner in another cell
 MAX_QUERIES = 16384  # or so many vectors are asked
 SEED = 5
+DISTANCES = 4_000_000  # held at a time
 
 
 @dataclass
@@ -65,26 +66,38 @@ class Grid:
 
         With both codebooks in order of distance, the n-th cell of the
         multi-sequence order has ``(a + 1) * (b + 1) <= n``: only that staircase
-        is looked at."""
-        d1, d2 = self.distances(unit)
-        k1, k2 = d1.shape[1], d2.shape[1]
+        is looked at, so only that many words of a half are sorted; a bounded number
+        of distances at a time."""
+        k1, k2 = (len(w) for w in self.words)
         visits = min(visits, k1 * k2)
-        stairs = [(a, b) for a in range(min(k1, visits)) for b in range(min(k2, visits // (a + 1)))]
-        a, b = np.array(stairs).T
-        o1, o2 = (np.argsort(d, axis=1, kind="stable") for d in (d1, d2))
-        total = np.take_along_axis(d1, o1[:, a], 1) + np.take_along_axis(d2, o2[:, b], 1)
-        cells = o1[:, a] * k2 + o2[:, b]
-        first = np.lexsort((cells, total), axis=1)[:, :visits]
-        return np.take_along_axis(cells, first, 1)
+        a, b = np.array([(a, b) for a in range(min(k1, visits)) for b in range(min(k2, visits // (a + 1)))]).T
+        rows = max(DISTANCES // max(k1, k2, len(a)), 1)
+        out = np.empty((len(unit), visits), np.int64)
+        for at in range(0, len(unit), rows):
+            d1, d2 = self.distances(unit[at:at + rows])
+            o1, o2 = (_least(d, visits) for d in (d1, d2))
+            total = np.take_along_axis(d1, o1[:, a], 1) + np.take_along_axis(d2, o2[:, b], 1)
+            cells = o1[:, a] * k2 + o2[:, b]
+            first = np.lexsort((cells, total), axis=1)[:, :visits]
+            out[at:at + rows] = np.take_along_axis(cells, first, 1)
+        return out
+
+
+def _least(d: np.ndarray, n: int) -> np.ndarray:
+    """Columns of the ``n`` least values of each row, in order (ties by column)."""
+    if n >= d.shape[1]:
+        return np.argsort(d, axis=1, kind="stable")
+    some = np.sort(np.argpartition(d, n - 1, axis=1)[:, :n], axis=1)
+    return np.take_along_axis(some, np.argsort(np.take_along_axis(d, some, 1), axis=1, kind="stable"), 1)
 
 
 def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) -> np.ndarray:
     words = x[rng.choice(len(x), k, replace=False)]
+    rows = max(DISTANCES // k, 1)
     for _ in range(rounds):
-        near = ((words * words).sum(1)[None, :] - 2 * x @ words.T).argmin(1)
+        near = np.concatenate([((words * words).sum(1)[None, :] - 2 * x[at:at + rows] @ words.T).argmin(1) for at in range(0, len(x), rows)])
         count = np.bincount(near, minlength=k)
-        sums = np.zeros_like(words)
-        np.add.at(sums, near, x)
+        sums = np.stack([np.bincount(near, column, k) for column in x.T], axis=1)
         words = np.where(count[:, None] > 0, sums / np.maximum(count, 1)[:, None], words)
     return words
 
