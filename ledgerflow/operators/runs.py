@@ -45,31 +45,29 @@ COMPACT_SCHEMA = (
 POSITION_COLUMNS = ("source_path", "doc_seq", "item_pos")
 
 
-def _get(item: Column, path: str, type_: str) -> Column:
-    return F.try_variant_get(item, f"$.{path}", type_)
+# What a run document's object may hold: read in one pass over the object.  A field
+# of another kind is NULL; ``step`` and ``records`` keep theirs.
+ITEM = ("struct<step:variant,start_time:double,end_time:double,duration_sec:double,records:variant,format:string,"
+        "path:string,is_table:string,status:string,error:string,row_count:bigint>")
 
 
 def explode_documents(docs: DataFrame, value_col: str = "value", path_col: str = "path",
                       seq_col: str | None = "doc_seq") -> DataFrame:
     """One row per object of every parseable document.
 
-    Output: ``source_path, doc_seq, item_pos, is_list, item`` (item is a
-    VARIANT object).  Objects keep position 0; list items keep their index.
+    Output: ``source_path, doc_seq, item_pos, is_list, item`` (item is an ``ITEM``
+    struct).  Objects keep position 0; list items keep their index among objects.
     """
-    def is_object(x):  # an object reads as a map (``{}`` included); nothing else does
-        return F.try_variant_get(x, "$", "map<string,variant>").isNotNull()
-
     v = F.try_parse_json(F.col(value_col))
-    as_list = F.try_variant_get(F.col("_v"), "$", "array<variant>")
-    items = (F.when(F.col("_arr").isNotNull(), F.filter(F.col("_arr"), is_object))
-              .when(is_object(F.col("_v")), F.array(F.col("_v"))))
+    # an object reads as the struct (``{}`` included); nothing else does
+    items = F.coalesce(F.filter(F.try_variant_get(F.col("_v"), "$", f"array<{ITEM}>"), lambda x: x.isNotNull()),
+                       F.array(F.try_variant_get(F.col("_v"), "$", ITEM)))
     seq = F.col(seq_col) if seq_col and seq_col in docs.columns else F.lit(None).cast("bigint")
     return (docs
-            .select(F.col(path_col).alias("source_path"), seq.alias("doc_seq"), v.alias("_v"))
+            .select(F.col(path_col).alias("source_path"), seq.alias("doc_seq"), F.col(value_col).rlike(r"^\s*\[").alias("is_list"), v.alias("_v"))
             .filter(F.col("_v").isNotNull())
-            .withColumn("_arr", as_list)
-            .select("source_path", "doc_seq", F.col("_arr").isNotNull().alias("is_list"),
-                    F.posexplode(items).alias("item_pos", "item")))
+            .select("source_path", "doc_seq", "is_list", F.posexplode(items).alias("item_pos", "item"))
+            .filter(F.col("item").isNotNull()))
 
 
 def flatten_runs(docs: DataFrame, run_date: str | Column, value_col: str = "value", path_col: str = "path",
@@ -85,24 +83,17 @@ def flatten_runs(docs: DataFrame, run_date: str | Column, value_col: str = "valu
     the source path of a daily folder).
     """
     items = explode_documents(docs, value_col, path_col, seq_col)
-    item = F.col("item")
-    step_absent = F.try_variant_get(item, "$.step", "variant").isNull()
+    step = F.try_variant_get("item.step", "$", "string")
     rd = F.lit(run_date) if isinstance(run_date, str) else run_date
     cols = [
         rd.cast("string").alias("run_date"),
-        F.when(F.col("is_list") & step_absent, F.lit(DEFAULT_LIST_STEP))
-         .otherwise(_get(item, "step", "string")).alias("step"),
-        _get(item, "start_time", "double").alias("start_time"),
-        _get(item, "end_time", "double").alias("end_time"),
-        _get(item, "duration_sec", "double").alias("duration_sec"),
-        _get(item, "records.customer", "bigint").alias("customer_records"),
-        _get(item, "records.payment", "bigint").alias("payment_records"),
-        _get(item, "format", "string").alias("format"),
-        F.coalesce(F.nullif(_get(item, "path", "string"), F.lit("")), F.col("source_path")).alias("path"),
-        _get(item, "is_table", "string").alias("is_table"),
-        _get(item, "status", "string").alias("status"),
-        _get(item, "error", "string").alias("error"),
-        _get(item, "row_count", "bigint").alias("row_count"),
+        F.when(F.col("is_list") & F.col("item.step").isNull(), F.lit(DEFAULT_LIST_STEP)).otherwise(step).alias("step"),
+        "item.start_time", "item.end_time", "item.duration_sec",
+        F.try_variant_get("item.records", "$.customer", "bigint").alias("customer_records"),
+        F.try_variant_get("item.records", "$.payment", "bigint").alias("payment_records"),
+        "item.format",
+        F.coalesce(F.nullif("item.path", F.lit("")), F.col("source_path")).alias("path"),
+        "item.is_table", "item.status", "item.error", "item.row_count",
     ]
     if keep_position:
         cols += [F.col(c) for c in POSITION_COLUMNS]
@@ -115,20 +106,19 @@ def flatten_runs_compact(docs: DataFrame, value_col: str = "value", path_col: st
     a non-empty value), start/end only for step records, every list item is
     ``verify``, no path fallback."""
     items = explode_documents(docs, value_col, path_col, seq_col)
-    item = F.col("item")
     is_list = F.col("is_list")
-    rec = F.to_json(F.try_variant_get(item, "$.records", "variant"))
+    rec = F.to_json("item.records")
     truthy = rec.isNotNull() & ~rec.isin("null", "{}", "[]", '""', "0", "0.0", "false")
     return items.select(
-        F.when(is_list, F.lit(DEFAULT_LIST_STEP)).otherwise(_get(item, "step", "string")).alias("step"),
-        F.when(~is_list, _get(item, "start_time", "double")).alias("start_time"),
-        F.when(~is_list, _get(item, "end_time", "double")).alias("end_time"),
-        _get(item, "duration_sec", "double").alias("duration_sec"),
+        F.when(is_list, F.lit(DEFAULT_LIST_STEP)).otherwise(F.try_variant_get("item.step", "$", "string")).alias("step"),
+        F.when(~is_list, F.col("item.start_time")).alias("start_time"),
+        F.when(~is_list, F.col("item.end_time")).alias("end_time"),
+        "item.duration_sec",
         F.when(~is_list & truthy, rec).alias("records"),
-        F.when(is_list, _get(item, "format", "string")).alias("format"),
-        F.when(is_list, _get(item, "path", "string")).alias("path"),
-        _get(item, "status", "string").alias("status"),
-        F.when(is_list, _get(item, "row_count", "bigint")).alias("row_count"),
+        F.when(is_list, F.col("item.format")).alias("format"),
+        F.when(is_list, F.col("item.path")).alias("path"),
+        "item.status",
+        F.when(is_list, F.col("item.row_count")).alias("row_count"),
     )
 
 
