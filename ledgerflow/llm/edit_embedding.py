@@ -47,6 +47,7 @@ WIDTH = 1 + WALKS * OCTAVES * SAMPLES
 
 BANDS, BAND_SYMBOLS = 12, 5
 BAND_BLOCK = 512
+PAIRS = 1 << 15  # compared at a time
 LIKE = 0.8
 
 
@@ -268,69 +269,108 @@ class Packed:
         self.other = np.where(self.body == PAD, np.uint8(255), self.body)  # equal to no empty sample
         self.weight = np.exp2(-np.arange(OCTAVES, dtype=float))
 
-    def near(self, i: int, members: np.ndarray, like: float) -> tuple[np.ndarray, np.ndarray]:
-        """Those of ``members`` whose likeness to ``i`` is at least ``like``, and the likeness."""
-        out, values = [], []
-        shift = self.top[members] - self.top[i]
-        for s in np.unique(shift).tolist():
-            if abs(s) < OCTAVES:
-                some, value = self._aligned(i, members[shift == s], s, like)
-                out.append(some)
-                values.append(value)
-        return (np.concatenate(out), np.concatenate(values)) if out else (members[:0], np.zeros(0))
-
-    def _aligned(self, i: int, members: np.ndarray, shift: int, like: float) -> tuple[np.ndarray, np.ndarray]:
-        """``members`` reach ``shift`` octaves beyond ``i``; octaves count from the higher top."""
+    def near(self, i: np.ndarray, j: np.ndarray, like: float) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the pairs ``i, j`` have a likeness of at least ``like``, and the likeness."""
+        out, values = [np.zeros(0, np.int64)], [np.zeros(0)]
+        for lo in range(0, len(i), PAIRS):
+            x, y = i[lo:lo + PAIRS], j[lo:lo + PAIRS]
+            shift = self.top[y] - self.top[x]
+            for s in np.unique(shift).tolist():
+                if abs(s) < OCTAVES:
+                    at = np.flatnonzero(shift == s)
+                    some, value = self._aligned(x[at], y[at], s, like)
+                    out.append(lo + at[some])
+                    values.append(value)
+        return np.concatenate(out), np.concatenate(values)
+
+    def _aligned(self, i: np.ndarray, j: np.ndarray, shift: int, like: float) -> tuple[np.ndarray, np.ndarray]:
+        """``j`` reach ``shift`` octaves beyond ``i``; octaves count from the higher top."""
         mine, theirs = max(shift, 0), max(-shift, 0)
-        first = max(mine, theirs)
-        own = np.zeros((WALKS, OCTAVES), np.int64)
-        own[:, mine:] = self.filled[i][:, :OCTAVES - mine]
+        filled = np.zeros((2, len(i), WALKS, OCTAVES), np.int64)
+        filled[0, :, :, mine:] = self.filled[i][:, :, :OCTAVES - mine]
+        filled[1, :, :, theirs:] = self.filled[j][:, :, :OCTAVES - theirs]
+        total = np.maximum(filled.max(axis=0) @ self.weight, 1e-12)
+        equal = filled.min(axis=0).astype(float)
         least = like * (1 - CHANCE) + CHANCE - 1e-9
-
-        def counts(members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            filled = np.zeros((len(members), WALKS, OCTAVES), np.int64)
-            filled[:, :, theirs:] = self.filled[members][:, :, :OCTAVES - theirs]
-            return np.maximum(filled, own) @ self.weight, np.minimum(filled, own)
-
-        total, common = counts(members)
-        keep = ((common @ self.weight) / np.maximum(total, 1e-12)).max(axis=1) >= least
-        members, total, common = members[keep], total[keep], common[keep]
-        equal = common.astype(float)
-        for o in range(first, OCTAVES):
-            if not len(members):
-                break
-            same = self.other[o - mine, i] == self.body[o - theirs][members]
-            equal[:, :, o] = np.bitwise_count(same.view(np.uint64)).sum(axis=2)  # a byte of 1 for each equal sample
-            if o <= first + 1:
-                keep = ((equal @ self.weight) / np.maximum(total, 1e-12)).max(axis=1) >= least
-                members, total, equal = members[keep], total[keep], equal[keep]
-        share = ((equal @ self.weight) / np.maximum(total, 1e-12)).max(axis=1)
-        near = np.clip((share - CHANCE) / (1 - CHANCE), 0, 1)
+        left = np.arange(len(i))
+        for o in range(max(mine, theirs) - 1, OCTAVES):
+            if o >= max(mine, theirs):
+                same = self.other[o - mine][i[left]] == self.body[o - theirs][j[left]]
+                equal[:, :, o] = np.bitwise_count(same.view(np.uint64)).sum(axis=2)  # a byte of 1 for each equal sample
+            keep = ((equal @ self.weight) / total).max(axis=1) >= least
+            left, total, equal = left[keep], total[keep], equal[keep]
+        near = np.clip((((equal @ self.weight) / total).max(axis=1) - CHANCE) / (1 - CHANCE), 0, 1)
         keep = near >= like
-        return members[keep], near[keep]
+        return left[keep], near[keep]
 
 
 def _verify(like: float):
-    """Links among one block of a band's lesser components and one block of all its members."""
+    """Sorted rows -> links among one block of a band's lesser components and one block of
+    all its members, group after group.  Small groups are compared together."""
 
-    def verify(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    def links(pdf: pd.DataFrame) -> pd.DataFrame:
         packed = Packed(pdf["fingerprint"].tolist())
-        rep, part = pdf["rep"].to_numpy(), pdf["component"].to_numpy()
-        lesser, member = np.flatnonzero(pdf["kind"] == 1), np.flatnonzero(pdf["kind"] == 0)
-        inner = part[member] != pdf["main"].to_numpy()[member]
+        rep, part, main, kind = (pdf[c].to_numpy() for c in ("rep", "component", "main", "kind"))
         number = np.unique(part, return_inverse=True)[1]
-        root = np.arange(number.max(initial=-1) + 1)
-        out = []
-        for i in lesser:
+        group = pdf[["band", "i", "j"]].to_numpy()
+        first = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]).any(axis=1)]))
+        out, small = [], []
+
+        def pairs(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             # a pair of two lesser ones is seen from both ends: once is enough
-            todo = member[(root[number[member]] != root[number[i]]) & ~(inner & (rep[member] > rep[i]))]
-            for j, value in zip(*packed.near(i, todo, like)):
-                p, q = root[number[i]], root[number[j]]
+            some = (part[i] != part[j]) & ~((part[j] != main[j]) & (rep[j] > rep[i]))
+            return i[some], j[some]
+
+        def connect(i: np.ndarray, j: np.ndarray, value: np.ndarray, root: dict) -> None:
+            for x, y, v in zip(i.tolist(), j.tolist(), value.tolist()):
+                p, q = number[x], number[y]
+                while p in root:
+                    p = root[p]
+                while q in root:
+                    q = root[q]
                 if p != q:
-                    root[root == max(p, q)] = min(p, q)
-                    out.append((min(rep[i], rep[j]), max(rep[i], rep[j]), value))
+                    root[max(p, q)] = min(p, q)
+                    out.append((min(rep[x], rep[y]), max(rep[x], rep[y]), v))
+
+        for lo, hi in zip(first.tolist(), [*first[1:].tolist(), len(pdf)]):
+            lesser, member = lo + np.flatnonzero(kind[lo:hi] == 1), lo + np.flatnonzero(kind[lo:hi] == 0)
+            if len(lesser) * len(member) <= PAIRS:
+                small.append(pairs(np.repeat(lesser, len(member)), np.tile(member, len(lesser))))
+                continue
+            root: dict = {}
+            names = number.copy()
+            for x in lesser.tolist():
+                i, j = pairs(np.full(len(member), x), member)
+                apart = names[i] != names[j]
+                i, j = i[apart], j[apart]
+                found, value = packed.near(i, j, like)
+                if len(found):
+                    connect(i[found], j[found], value, root)
+                    names[np.isin(names, np.unique(names[j[found]]))] = names[x]
+        if small:
+            i, j = (np.concatenate(side) for side in zip(*small))
+            found, value = packed.near(i, j, like)
+            connect(i[found], j[found], value, {})
         return pd.DataFrame(out, columns=["a", "b", "near"]).astype({"a": "int64", "b": "int64", "near": "float64"})
 
+    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            last = tuple(pdf[["band", "i", "j"]].iloc[-1])
+            ends = np.flatnonzero(~((pdf["band"] == last[0]) & (pdf["i"] == last[1]) & (pdf["j"] == last[2])).to_numpy())
+            cut = int(ends[-1]) + 1 if len(ends) else 0
+            if cut:  # the last group may go on in the next batch
+                yield links(pd.concat([*held, pdf.iloc[:cut]], ignore_index=True))
+                held = []
+            elif held and tuple(held[-1][["band", "i", "j"]].iloc[-1]) != last:
+                yield links(pd.concat(held, ignore_index=True))
+                held = []
+            held.append(pdf.iloc[cut:])
+        if held:
+            yield links(pd.concat(held, ignore_index=True))
+
     return verify
 
 
@@ -375,8 +415,8 @@ def near_pairs(prints: DataFrame, like: float = LIKE) -> DataFrame:
     lesser = left.filter("component <> main").select(
         *row, F.lit(1).alias("kind"), F.pmod(turn, F.col("lesser_blocks")).cast("int").alias("j"), every("all_blocks").alias("i"))
     tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rest = members.unionByName(lesser).repartition(tasks, "band", "i", "j").groupBy("band", "i", "j").applyInPandas(
-        _verify(like), "a long, b long, near double")
+    dealt = members.unionByName(lesser).repartition(tasks, "band", "i", "j").sortWithinPartitions("band", "i", "j", "kind", "rep")
+    rest = dealt.mapInPandas(_verify(like), "a long, b long, near double")
     return first.unionByName(staged(rest, "rest").dropDuplicates(["a", "b"]))
 
 
