@@ -37,7 +37,7 @@ END_ID = 1
 DIMS, BITS = 4, 8
 HASHED = 1024
 SEED = 11
-SLICE_BYTES = 10_000_000
+SLICE_BYTES = 8_000_000
 CACHE_BYTES, OTHERS_BYTES = 40_000_000, 10_000_000
 TOKENIZER = "word_bpe_49k.json"
 
@@ -197,6 +197,7 @@ def tokenised(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
                         batch.column(0).slice(lo, len(n)), pa.array(n + 1, pa.int64()), pa.array(blobs, pa.binary()),
                         pa.array(list(places), pa.list_(pa.float64()))], ["doc_id", "n", "ids", "at"])
                     lo += len(n)
+                pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col("doc_id").cast("long"), whole_text().alias("text")).mapInArrow(
         encode, "doc_id long, n long, ids binary, at array<double>")
