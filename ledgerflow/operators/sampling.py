@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.operators.quantiles import select_ranks
+from ledgerflow.sources.scratch import staged
 from ledgerflow.specs import SEED, TEST_FRACTION
 
 
@@ -33,8 +34,9 @@ def hash_key(id_col: str | Column, seed: int = SEED) -> Column:
 def stratified_split(df: DataFrame, label: str = "label", id_col: str = "id", test_fraction: float = TEST_FRACTION,
                      seed: int = SEED, split_col: str = "split") -> DataFrame:
     """Adds ``split`` = ``test`` / ``train`` with exactly
-    ``round(test_fraction * n_c)`` test rows in every class ``c``."""
-    keyed = df.withColumn("_u", hash_key(id_col, seed))
+    ``round(test_fraction * n_c)`` test rows in every class ``c``.  ``df`` runs
+    once: its rows are staged, the thresholds read two columns of them."""
+    keyed = staged(df, "split_rows").withColumn("_u", hash_key(id_col, seed))
     picked = select_ranks(keyed, [label], ["_u", id_col], lambda n: [F.round(n * F.lit(test_fraction))])
     # one threshold row per class (bounded by the number of classes)
     rows = picked.select(label, F.col("_u").alias("_tu"), F.col(id_col).alias("_tid")).collect()
