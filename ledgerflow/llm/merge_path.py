@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -86,7 +87,7 @@ class Vocabularies:
                 a, b = x.ids, y if c else [self.space]
                 raw = (" " + c).encode()
                 good = b"".join(map(self.a_bytes.__getitem__, a)) == raw == b"".join(map(self.b_bytes.__getitem__, b))
-                out.append(np.array([good, len(a), *a, *b], "<u4").tobytes())
+                out.append(array("I", [good, len(a), *a, *b]).tobytes())
         return out
 
 
