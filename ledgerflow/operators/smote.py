@@ -48,6 +48,7 @@ BLOCK_BYTES = 4 << 20  # packed vectors of a block
 MAX_CENTRES = 4096
 ROUNDS = (2, 6)  # blocks that a block visits in each round, before it meets all that are left
 VISITS = 16  # visits of a block in one task, when all that are left meet
+PAIRS = 1 << 20  # distances in memory at a time, whatever the sizes of two blocks
 
 
 def md5_unit(*parts: Column) -> Column:
@@ -78,9 +79,9 @@ def _nearest(k: int):
             yc = y - middle
             yy = (yc * yc).sum(axis=1)
             widest = np.max(yy[np.isfinite(yy)], initial=0.0)
-            out = []
-            for at in range(0, len(x), 256):
-                part, mine = x[at:at + 256], own[at:at + 256]
+            out, some_rows = [], max(PAIRS // max(len(y), 1), 1)
+            for at in range(0, len(x), some_rows):
+                part, mine = x[at:at + some_rows], own[at:at + some_rows]
                 xc = part - middle
                 xx = (xc * xc).sum(axis=1)
                 rough = xx[:, None] + yy[None, :] - 2 * xc @ yc.T
@@ -89,7 +90,7 @@ def _nearest(k: int):
                 here = np.flatnonzero(mine >= 0)
                 rough[here, mine[here]] = np.inf
                 slack = 1e-11 * (xx + widest)
-                bound = limit[at:at + 256] + slack
+                bound = limit[at:at + some_rows] + slack
                 if len(y) > k:
                     bound = np.minimum(bound, np.partition(rough, k - 1, axis=1)[:, k - 1] + 2 * slack)
                 bound[~np.isfinite(bound)] = np.inf
@@ -195,13 +196,15 @@ def _nearest_pairs(points: DataFrame, n: int, k: int, vec: str, dims: int, log:
 
     def place(batches):
         for pdf in batches:
-            pdf = pdf.assign(cell=0, far=np.inf)
-            if len(cells.centres) and len(pdf):
-                with np.errstate(all="ignore"):
-                    d, off = cells.distances(np.array(pdf["v"].tolist(), np.float64))
-                    far = d.min(axis=1) + off
-                pdf["cell"], pdf["far"] = d.argmin(axis=1), np.where(np.isnan(far), np.inf, far)
-            yield pdf
+            some = 512 if len(cells.centres) else len(pdf)
+            for lo in range(0, len(pdf), some or 1):
+                part = pdf.iloc[lo:lo + some].assign(cell=0, far=np.inf)
+                if len(cells.centres):
+                    with np.errstate(all="ignore"):
+                        d, off = cells.distances(np.array(part["v"].tolist(), np.float64))
+                        far = d.min(axis=1) + off
+                    part["cell"], part["far"] = d.argmin(axis=1), np.where(np.isnan(far), np.inf, far)
+                yield part
 
     base = points.select("vid", F.col(vec).alias("v"), F.col("mult").cast("long").alias("w"))
     placed = staged(base.mapInPandas(place, f"vid {kind}, v array<double>, w long, cell int, far double"), "placed")
@@ -289,7 +292,7 @@ def _nearest_pairs(points: DataFrame, n: int, k: int, vec: str, dims: int, log:
             break
         best = staged(best.groupBy("block").cogroup(found.groupBy(F.col("block").alias("of"))).applyInPandas(
             merge, f"block int, {best_schema}"), "best")
-    near = body.join(best, "block").mapInPandas(unpack, rows)
+    near = body.join(best, "block").select("vids", "at", "y", "d2", "yw").mapInPandas(unpack, rows)
     if blocks == 1:
         return near
     if log is not None:

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -164,3 +165,15 @@ def test_grid_search_resamples_once_a_fold(spark, monkeypatch):
     df = spark.createDataFrame([(i, int(v[0] > 0.7), *map(float, v)) for i, v in enumerate(x)], "id long, label int, f0 double, f1 double")
     ml.grid_search(df, ["f0", "f1"], grid={"maxIter": [1, 2], "maxDepth": [1]}, folds=2, parallelism=2)
     assert len(calls) == 3  # two folds, and the best point on all rows
+
+
+def test_block_search_holds_a_bounded_number_of_distances():
+    rng = np.random.default_rng(3)
+    x, y = rng.random((300, 2)), rng.random((40_000, 2))
+    tracemalloc.start()
+    i, j, d2 = smote._nearest(5)(x, np.full(len(x), np.inf), y, np.ones(len(y), np.int64), np.full(len(x), -1))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 * 8 * smote.PAIRS  # 256 rows at a time, whatever the block, took 175 MB
+    true = ((x[:, None, :] - y[None, :, :]) ** 2).sum(axis=2)
+    assert (j.reshape(-1, 5) == np.argsort(true, axis=1)[:, :5]).all()
