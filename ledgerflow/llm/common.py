@@ -37,13 +37,28 @@ def discard(spark: SparkSession, paths: list[str]) -> None:
         folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_given_back(spark: SparkSession) -> Iterator[None]:
+    """Meanwhile the shuffle files of a query go when it ends, not when the driver
+    happens to collect its garbage."""
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
+def staged(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` once into the shared scratch folder and read it back: a
     result that several passes use, and that outlives a lost executor."""
     path = scratch_path(df.sparkSession, name)
     for paths in _recorders:
         paths.append(path)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import staged, whole_text
+from ledgerflow.llm.common import discard, recording, staged, whole_text
 from ledgerflow.llm.components import components
 
 WALKS, OCTAVES, SAMPLES = 2, 5, 32
@@ -421,9 +421,13 @@ def near_pairs(prints: DataFrame, like: float = LIKE) -> DataFrame:
 
 
 def fingerprint_classes(prints: DataFrame, like: float = LIKE) -> DataFrame:
-    """``(doc_id, fingerprint)`` -> ``fingerprint, class_id``, one row a fingerprint."""
+    """``(doc_id, fingerprint)`` -> ``fingerprint, class_id``, one row a fingerprint.
+    Of the scratch tables only the last one, which the result reads, is left."""
     reps = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("rep"))
-    joined = components(near_pairs(prints, like)).withColumnRenamed("node", "rep")
+    scratch: list[str] = []
+    with recording(scratch):
+        joined = components(near_pairs(prints, like)).withColumnRenamed("node", "rep")
+    discard(prints.sparkSession, scratch[:-1])
     return reps.join(joined, "rep", "left").select("fingerprint", F.coalesce("component", "rep").alias("class_id"))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.llm import (edit_embedding, filter_audit, hash_tree, html_lstm, language, merge_path, mixing, multi_index,
                             order_minhash, packing, prefix_counts, rules, warc)
-from ledgerflow.llm.common import held_out, staged, table
+from ledgerflow.llm.common import held_out, shuffles_given_back, staged, table
 from ledgerflow.llm.oracle_sql import ORACLE  # noqa: F401
 
 
@@ -21,8 +21,9 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prints = staged(edit_embedding.fingerprint_documents(table(spark, sf_dir, "documents")), "prints")
-    found = edit_embedding.fingerprint_classes(prints.select("doc_id", "fingerprint"))
+    with shuffles_given_back(spark):  # the texts were shuffled: as much disk as all that follows
+        prints = staged(edit_embedding.fingerprint_documents(table(spark, sf_dir, "documents")), "prints", codec="zstd")
+        found = edit_embedding.fingerprint_classes(prints.select("doc_id", "fingerprint"))
     return prints.join(found, "fingerprint").select(*prints.columns, "class_id")
 
 

@@ -1,10 +1,12 @@
 import hashlib
+import os
 import random
 
 import numpy as np
 from pyspark.sql import functions as F
 
 from ledgerflow.llm import edit_embedding as E
+from ledgerflow.llm.common import SHUFFLE_CLEANUP, recording, shuffles_given_back, staged
 
 
 def plain_walk(text, walker, w):
@@ -160,3 +162,22 @@ def test_packed_comparison_equals_the_likeness():
         assert got == want
         links += len(want)
     assert links > 100
+
+
+def test_classes_leave_one_scratch_table_and_no_shuffle_files(spark, documents):
+    def shuffle_files():
+        return sum(f.startswith("shuffle_") for _, _, files in os.walk(blocks) for f in files)
+
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager()
+    blocks = [d.getPath() for d in manager.diskBlockManager().localDirs()][0]
+    words = [f"w{i}" for i in range(300)]
+    docs = documents([(1, " ".join(words)), (2, " ".join([*words[:299], "x"])), (3, "another text"), (4, None)])
+    paths = []
+    before = shuffle_files(), spark.conf.get(SHUFFLE_CLEANUP)
+    with recording(paths):
+        with shuffles_given_back(spark):
+            prints = staged(E.fingerprint_documents(docs), "prints", codec="zstd")
+            found = E.fingerprint_classes(prints.select("doc_id", "fingerprint"))
+    assert shuffle_files() <= before[0] and spark.conf.get(SHUFFLE_CLEANUP) == before[1]
+    assert [os.path.exists(p.removeprefix("file:")) for p in paths] == [True] + [False] * (len(paths) - 2) + [True]
+    assert sorted(r.class_id for r in prints.join(found, "fingerprint").collect()) == [1, 1, 3, 4]
