@@ -374,10 +374,10 @@ def _verify(like: float):
     return verify
 
 
-def near_pairs(prints: DataFrame, like: float = LIKE) -> DataFrame:
-    """``(doc_id, fingerprint)`` -> ``a, b, near``: pairs of class representatives
-    (the least id with that fingerprint) whose likeness is at least ``like``, enough of
-    them to connect any two that share a band.
+def _links(prints: DataFrame, like: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(doc_id, fingerprint)`` -> the pairs ``a, b, near`` of members with the least of
+    their band, the components they make (``rep, component``), and the pairs found among
+    the rest (some more than once).
 
     Members of a band meet its least representative first, so a band of like texts
     gives as many candidates as members.  Where that leaves a band in several
@@ -416,8 +416,15 @@ def near_pairs(prints: DataFrame, like: float = LIKE) -> DataFrame:
         *row, F.lit(1).alias("kind"), F.pmod(turn, F.col("lesser_blocks")).cast("int").alias("j"), every("all_blocks").alias("i"))
     tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = members.unionByName(lesser).repartition(tasks, "band", "i", "j").sortWithinPartitions("band", "i", "j", "kind", "rep")
-    rest = dealt.mapInPandas(_verify(like), "a long, b long, near double")
-    return first.unionByName(staged(rest, "rest").dropDuplicates(["a", "b"]))
+    return first, joined, staged(dealt.mapInPandas(_verify(like), "a long, b long, near double"), "rest")
+
+
+def near_pairs(prints: DataFrame, like: float = LIKE) -> DataFrame:
+    """``(doc_id, fingerprint)`` -> ``a, b, near``: pairs of class representatives
+    (the least id with that fingerprint) whose likeness is at least ``like``, enough of
+    them to connect any two that share a band."""
+    first, _, rest = _links(prints, like)
+    return first.unionByName(rest.dropDuplicates(["a", "b"]))
 
 
 def fingerprint_classes(prints: DataFrame, like: float = LIKE) -> DataFrame:
@@ -426,7 +433,9 @@ def fingerprint_classes(prints: DataFrame, like: float = LIKE) -> DataFrame:
     reps = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("rep"))
     scratch: list[str] = []
     with recording(scratch):
-        joined = components(near_pairs(prints, like)).withColumnRenamed("node", "rep")
+        _, stars, rest = _links(prints, like)  # what is connected already goes on as one edge a member
+        links = stars.select(F.col("rep").alias("a"), F.col("component").alias("b")).unionByName(rest.select("a", "b"))
+        joined = components(links).withColumnRenamed("node", "rep")
     discard(prints.sparkSession, scratch[:-1])
     return reps.join(joined, "rep", "left").select("fingerprint", F.coalesce("component", "rep").alias("class_id"))
 
