@@ -20,7 +20,8 @@ from __future__ import annotations
 
 import zlib
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -29,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.chunks import Memory, by_bytes, gather
+from ledgerflow.llm.chunks import by_bytes, gather
 from ledgerflow.llm.common import staged, whole_text
 
 LENGTH = 2048
@@ -38,7 +39,7 @@ DIMS, BITS = 4, 8
 HASHED = 1024
 SEED = 11
 SLICE_BYTES = 8_000_000
-CACHE_BYTES, OTHERS_BYTES = 40_000_000, 10_000_000
+CACHE_BYTES, OTHERS_BYTES = 24_000_000, 8_000_000
 TOKENIZER = "word_bpe_49k.json"
 
 #: one word of Latin letters, with or without a closing mark
@@ -61,6 +62,53 @@ def _byte_alphabet() -> dict[int, str]:
     return table
 
 
+def _joined(found: Iterable[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of ids end to end, and their lengths."""
+    flat, size = array("I"), []
+    for ids in found:
+        flat.extend(ids)
+        size.append(len(ids))
+    return np.array(flat, np.uint32), np.array(size, np.int64)
+
+
+class Known:
+    """Ids of chunks seen before: the chunks in one Arrow array, their ids end to end in
+    another.  Beyond a bound of bytes only those that are asked for just now stay, and
+    not even those where they are more than twice the bound."""
+
+    def __init__(self, work: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int):
+        self.work, self.limit = work, limit
+        self.known: pa.Array | None = None
+        self.flat, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def held(self) -> int:
+        return 0 if self.known is None else self.known.nbytes + self.flat.nbytes + self.size.nbytes
+
+    def __call__(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids, and where those of each of some different chunks start and how many they are."""
+        if self.known is None:
+            self.known = chunks.slice(0, 0)
+        at = pc.fill_null(pc.index_in(chunks, value_set=self.known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        old = at >= 0
+        if self.held() > self.limit:
+            kept = at[old]
+            start = np.cumsum(self.size) - self.size
+            self.flat, self.size = gather(self.flat, start[kept], self.size[kept]), self.size[kept]
+            self.known = chunks.filter(pa.array(old))
+            at[old] = np.arange(len(kept))
+        new = chunks.filter(pa.array(~old))
+        if len(new):
+            at[~old] = len(self.size) + np.arange(len(new))
+            flat, size = zip(*[self.work(new.slice(lo, 4096).to_pylist()) for lo in range(0, len(new), 4096)])
+            self.flat = np.concatenate([self.flat, *flat])
+            self.size = np.concatenate([self.size, *size])
+            self.known = pa.concat_arrays([self.known, new])
+        found = self.flat, (np.cumsum(self.size) - self.size)[at], self.size[at]
+        if self.held() > 2 * self.limit:
+            self.known, self.flat, self.size = None, self.flat[:0].copy(), self.size[:0].copy()
+        return found
+
+
 class WordEncoder:
     """Exact ids of many texts at a time, each distinct word encoded once (and kept
     within a bound of bytes).
@@ -78,44 +126,39 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.alphabet = {k: v for k, v in _byte_alphabet().items() if chr(k) != v}
-        self.words = Memory(lambda words: [array("I", self.word(w)).tobytes() for w in words], CACHE_BYTES)
-        self.others = Memory(self._whole, OTHERS_BYTES)
+        self.words = Known(lambda words: _joined(map(self.word, words)), CACHE_BYTES)
+        self.others = Known(self._whole, OTHERS_BYTES)
 
     def word(self, word: str) -> list[int]:
         text = word if word.isascii() else word.encode().decode("latin-1").translate(self.alphabet)
         return [t.id for t in self.model.tokenize(text)]
 
-    def _whole(self, chunks: list[str]) -> list[bytes]:
-        """Chunks through the whole tokenizer, a bounded number at a time."""
-        out = []
-        for lo in range(0, len(chunks), 4096):
-            out += [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(chunks[lo:lo + 4096], add_special_tokens=False)]
-        return out
+    def _whole(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Chunks through the whole tokenizer."""
+        return _joined(e.ids for e in self.tokenizer.encode_batch(chunks, add_special_tokens=False))
 
     def chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of each chunk end to end, and their numbers."""
         plain = pc.match_substring_regex(chunks, PLAIN)
         simple = plain.to_numpy(zero_copy_only=False)
         coded = pc.utf8_rtrim(pc.utf8_lower(chunks.filter(plain)), ".,").dictionary_encode()
-        found = self.words(coded.dictionary.to_pylist())
-        rest = self.others(chunks.filter(pc.invert(plain)).to_pylist())
+        flat, start_of, size_of = self.words(coded.dictionary)
+        rest, rest_start, rest_size = self.others(chunks.filter(pc.invert(plain)))
         closing = [pc.ends_with(chunks, mark).to_numpy(zero_copy_only=False) & simple for mark in ".,"]
 
-        size_of = np.fromiter(map(len, found), np.int64, len(found)) // 4
         code = coded.indices.to_numpy(zero_copy_only=False)
         size = np.empty(len(simple), np.int64)
         size[simple] = size_of[code]
-        size[~simple] = np.fromiter(map(len, rest), np.int64, len(rest)) // 4
-        size += closing[0] | closing[1]
+        size[~simple] = rest_size
+        closed = closing[0] | closing[1]
+        size += closed
         ids = np.empty(int(size.sum()), np.uint32)
         end = np.cumsum(size)
-        closed = closing[0] | closing[1]
         inner = np.ones(len(ids), bool)
         inner[end[closed] - 1] = False
         owner = np.repeat(simple, size)
-        flat = np.frombuffer(b"".join(found), np.uint32)
-        ids[owner & inner] = gather(flat, (np.cumsum(size_of) - size_of)[code], size_of[code])
-        ids[~owner] = np.frombuffer(b"".join(rest), np.uint32)
+        ids[owner & inner] = gather(flat, start_of[code], size_of[code])
+        ids[~owner] = gather(rest, rest_start, rest_size)
         for mark, at in zip(".,", closing):
             ids[end[at] - 1] = self.word(mark)[0]
         return ids, size
@@ -138,6 +181,13 @@ class WordEncoder:
             yield gather(flat, start[c], size[c]), np.diff(upto[bounds[lo:hi + 1] - bounds[lo]])
 
 
+@lru_cache(1)
+def worker_encoder(path: str) -> WordEncoder:
+    """One encoder a Python worker, for all its tasks: a vocabulary loaded anew for each
+    task costs time, and memory that a reused worker does not give back."""
+    return WordEncoder(path)
+
+
 def hilbert_key(cells: np.ndarray, bits: int) -> np.ndarray:
     """Hilbert index of each row of ``cells`` (ints below ``2 ** bits``)."""
     x = cells.astype(np.int64).T.copy()
@@ -173,7 +223,7 @@ def tokenised(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
     path = tokenizer_path or default_tokenizer_path()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
+        encoder = worker_encoder(path)
         wide = "<u2" if encoder.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         rng = np.random.default_rng(SEED)
         matrix = rng.standard_normal((HASHED, DIMS))

@@ -36,6 +36,45 @@ def test_encoder_is_exact(tokenizer):
         assert at == len(ids)
 
 
+def test_known_chunks_are_worked_on_once_within_a_bound():
+    asked = []
+
+    def work(chunks):
+        asked.extend(chunks)
+        return P._joined([[len(c), *map(ord, c)] for c in chunks])
+
+    def ids(chunks):
+        flat, start, size = known(pa.array(chunks, pa.string()))
+        return [flat[a:a + n].tolist() for a, n in zip(start.tolist(), size.tolist())]
+
+    known = P.Known(work, 4000)
+    for chunks in (["a", "bc", ""], ["bc", "é", "a"], [], ["日本", "", "d"]):
+        assert ids(chunks) == [[len(c), *map(ord, c)] for c in chunks]
+    assert asked == ["a", "bc", "", "é", "日本", "d"]  # each once
+    rng = random.Random(8)
+    for _ in range(200):
+        chunks = list({f"w{rng.randrange(300)}" for _ in range(40)})
+        assert ids(chunks) == [[len(c), *map(ord, c)] for c in chunks]
+        assert known.held() <= 8000
+    assert len(asked) < 200 * 36  # some were known, though all together exceed the bound
+    many = [f"long{i}" for i in range(5000)]  # over 4096 at a time
+    assert ids(many) == [[len(c), *map(ord, c)] for c in many]
+    assert known.held() == 0 and ids(["bc"]) == [[2, 98, 99]]
+
+
+def test_a_worker_keeps_one_encoder_that_holds_a_bounded_number_of_words():
+    encoder = P.worker_encoder(P.default_tokenizer_path())
+    assert P.worker_encoder(P.default_tokenizer_path()) is encoder
+    rng = random.Random(3)
+    for _ in range(6):
+        texts = [" ".join("".join(rng.choices("aeioustrn", k=9)) for _ in range(400)) for _ in range(50)]
+        encoder.words.limit = 300_000
+        (ids, n), = encoder.batch(pa.array(texts))
+        assert ids.tolist() == [i for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False) for i in e.ids]
+        assert encoder.words.held() <= 2 * encoder.words.limit
+    P.worker_encoder.cache_clear()
+
+
 def test_hilbert_neighbours_are_adjacent_cells():
     for dims, bits in ((2, 4), (3, 3), (4, 2)):
         cells = np.stack(np.meshgrid(*[np.arange(1 << bits)] * dims, indexing="ij"), -1).reshape(-1, dims)
