@@ -33,17 +33,23 @@ def by_bytes(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, i
 def chunked(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     """``distinct chunks (without the space before each), code of every chunk in
     order, bounds of each text among them``."""
+    distinct, code, bounds = chunked_array(texts)
+    return distinct.to_pylist(), code, bounds
+
+
+def chunked_array(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """``chunked``, with the distinct chunks left in Arrow."""
     parts = pc.split_pattern(texts, " ")
     sizes = pc.list_value_length(parts).to_numpy(zero_copy_only=False)
     bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
     coded = parts.flatten().dictionary_encode()
     code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     open_part = pc.match_substring_regex(coded.dictionary, OPEN_END).to_numpy(zero_copy_only=False)
-    distinct = coded.dictionary.to_pylist()
     glued = open_part[code] if len(code) else np.zeros(0, bool)
     glued[bounds[1:] - 1] = False
     if not glued.any():
-        return distinct, code, bounds
+        return coded.dictionary, code, bounds
+    distinct = coded.dictionary.to_pylist()
     begins = np.concatenate([[True], ~glued[:-1]])
     first = np.flatnonzero(begins)
     long = glued[first]
@@ -53,7 +59,7 @@ def chunked(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     for k in np.flatnonzero(long).tolist():
         word = " ".join([distinct[c] for c in code[first[k]:ends[k]].tolist()])
         out[k] = known.setdefault(word, len(distinct) + len(known))
-    return distinct + list(known), out, np.searchsorted(first, bounds)
+    return pa.array(distinct + list(known), texts.type), out, np.searchsorted(first, bounds)
 
 
 def gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:

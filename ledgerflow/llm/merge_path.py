@@ -24,23 +24,25 @@ from __future__ import annotations
 
 import hashlib
 import os
-from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.chunks import Memory, by_bytes, chunked, gather
+from ledgerflow.llm.chunks import OPEN_END, by_bytes, chunked_array, gather
 from ledgerflow.llm.common import staged, whole_text
-from ledgerflow.llm.packing import _byte_alphabet
+from ledgerflow.llm.packing import Known, _byte_alphabet
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 PIECE = 1 << 16
 BATCH_TOKENS = 1_500_000
+CACHE_BYTES = 48_000_000
 SPACE = "▁"
 PIECES = ("row long, doc_id long, piece int, pieces int, a binary, b binary, a_before long, a_at long, b_at long")
 
@@ -76,19 +78,56 @@ class Vocabularies:
         self.a_text = np.array([f"{i}{m}" for m in ",|" for i in range(len(self.a_bytes))], object)
         self.b_text = np.array([f"{i}{m}" for m in ",;" for i in range(len(self.b_bytes))], object)
 
-    def encode(self, chunks: list[str]) -> list[bytes]:
-        """Of each chunk with the space before it: a byte that says whether both sides
-        give it back, the number of A's ids, A's and B's ids (32 bits each)."""
-        out = []
-        for lo in range(0, len(chunks), 4096):
-            part = chunks[lo:lo + 4096]
-            for c, x, y in zip(part, self.a.encode_batch_fast([" " + c for c in part], add_special_tokens=False),
-                               self.b.encode(part, num_threads=1)):
-                a, b = x.ids, y if c else [self.space]
-                raw = (" " + c).encode()
-                good = b"".join(map(self.a_bytes.__getitem__, a)) == raw == b"".join(map(self.b_bytes.__getitem__, b))
-                out.append(array("I", [good, len(a), *a, *b]).tobytes())
-        return out
+    def encode(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Records of the chunks, each with the space before it, end to end, and their
+        lengths: whether both sides give the chunk back, the number of A's ids, A's and
+        B's ids."""
+        open_end = pc.match_substring_regex(pa.array(chunks), OPEN_END).to_numpy(zero_copy_only=False)
+        order = np.argsort(open_end, kind="stable")
+        closed = len(chunks) - int(open_end.sum())
+        chunks = [chunks[i] for i in order.tolist()]
+        raw = [(" " + c).encode() for c in chunks]
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        raw = b"".join(raw)
+        # closed chunks are encoded as one text, which costs A much less than one by one
+        a = _flat(self._a_ids([" " + " ".join(chunks[:closed])] * (closed > 0) + [" " + c for c in chunks[closed:]]))
+        upto = np.cumsum(self.a_length[a])
+        cut = np.searchsorted(upto, np.cumsum(size)) + 1
+        n_a = np.diff(cut, prepend=0)
+        if cut[-1] != len(a) or not given_back(a, n_a, self.a_bytes, self.a_length, raw, size).all():
+            found = self._a_ids([" " + c for c in chunks])
+            a, n_a = _flat(found), np.fromiter(map(len, found), np.int64, len(found))
+        found = [y if c else [self.space] for c, y in zip(chunks, self.b.encode(chunks, num_threads=1))]
+        b, n_b = _flat(found), np.fromiter(map(len, found), np.int64, len(found))
+        good = given_back(a, n_a, self.a_bytes, self.a_length, raw, size) & given_back(b, n_b, self.b_bytes, self.b_length, raw, size)
+        length = 2 + n_a + n_b
+        first = np.cumsum(length) - length
+        flat = np.empty(int(length.sum()), np.uint32)
+        flat[first], flat[first + 1] = good, n_a
+        side = np.repeat(np.tile(np.array([0, 1, 2], np.int8), len(chunks)), np.column_stack([np.full(len(chunks), 2), n_a, n_b]).ravel())
+        flat[side == 1], flat[side == 2] = a, b
+        back = np.argsort(order)
+        return gather(flat, first[back], length[back]), length[back]
+
+    def _a_ids(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+def _flat(found: list[list[int]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(found), np.uint32, sum(map(len, found)))
+
+
+def given_back(ids: np.ndarray, count: np.ndarray, token: list[bytes], length: np.ndarray, raw: bytes, size: np.ndarray) -> np.ndarray:
+    """Which chunks (``size`` bytes each of ``raw``) the bytes of their ``count`` ids give back."""
+    made = b"".join(map(token.__getitem__, ids.tolist()))
+    upto = np.concatenate([[0], np.cumsum(length[ids])])[np.concatenate([[0], np.cumsum(count)])]
+    good = np.diff(upto) == size
+    if good.all() and made == raw or not good.any():
+        return good
+    first, want = upto[:-1][good], size[good]
+    differ = gather(np.frombuffer(made, np.uint8), first, want) != gather(np.frombuffer(raw, np.uint8), (np.cumsum(size) - size)[good], want)
+    good[good] = np.add.reduceat(differ.astype(np.int64), np.cumsum(want) - want) == 0
+    return good
 
 
 def diagonals(a_end: np.ndarray, b_end: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -120,23 +159,22 @@ def split_tokens(docs: DataFrame, piece: int = PIECE, paths: tuple[str, str] | N
     a_path, b_path = paths or default_paths()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
-        both = Vocabularies(a_path, b_path)
-        memory = Memory(both.encode)
+        both = None  # loaded only where there are rows: many tasks of a scan have none
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
+            if both is None:
+                both = Vocabularies(a_path, b_path)
+                known = Known(both.encode, CACHE_BYTES)
             for lo, hi in by_bytes(batch.column(1)):
-                distinct, code, bounds = chunked(batch.column(1).slice(lo, hi - lo))
-                found = memory(distinct)
-                size = np.fromiter(map(len, found), np.int64, len(found)) // 4
-                flat = np.frombuffer(b"".join(found), "<u4")
-                first = np.cumsum(size) - size
+                distinct, code, bounds = chunked_array(batch.column(1).slice(lo, hi - lo))
+                flat, first, size = known(distinct)
                 good, n_a = flat[first].astype(bool), flat[first + 1].astype(np.int64)
                 sides = []
                 for start, n in ((first + 2, n_a), (first + 2 + n_a, size - 2 - n_a)):
                     sides.append((gather(flat, start[code], n[code]), np.concatenate([[0], np.cumsum(n[code])])[bounds]))
                 (a, a_of), (b, b_of) = sides
                 whole = np.logical_and.reduceat(good[code], bounds[:-1]) if len(code) else np.zeros(0, bool)
-                blank = np.array([n == 1 and not distinct[c] for n, c in zip(np.diff(bounds).tolist(), code[bounds[:-1]].tolist())], bool)
+                blank = (np.diff(bounds) == 1) & (pc.binary_length(distinct).to_numpy(zero_copy_only=False)[code[bounds[:-1]]] == 0)
                 out = []
                 for k, doc in enumerate(batch.column(0).slice(lo, hi - lo).to_pylist()):
                     if blank[k] or not whole[k]:
@@ -198,7 +236,7 @@ class Pieces:
         """Every id with the mark behind it, group after group, A's before B's."""
         text = np.empty(len(self.a) + len(self.b), object)
         a, b = np.arange(len(self.a)), np.arange(len(self.b))
-        group_a, group_b = np.searchsorted(self.cut_a, a), np.searchsorted(self.cut_b, b)
+        group_a, group_b = (np.cumsum(np.bincount(cut + 1, minlength=len(ids) + 1)[:len(ids)]) for cut, ids in ((self.cut_a, a), (self.cut_b, b)))
         b_upto = np.concatenate([[0], self.cut_b + 1])
         a_upto = np.concatenate([self.cut_a + 1, [len(a)]])
         last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
@@ -235,7 +273,7 @@ def overlaps(pieces: DataFrame, batch_tokens: int = BATCH_TOKENS, paths: tuple[s
     a_path, b_path = paths or default_paths()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        both = Vocabularies(a_path, b_path)
+        both = None  # as above
         number = TaskContext.get().partitionId() << 40
 
         def emit(rows: list[tuple]) -> pd.DataFrame:
@@ -265,6 +303,8 @@ def overlaps(pieces: DataFrame, batch_tokens: int = BATCH_TOKENS, paths: tuple[s
         held: list[tuple] = []
         tokens = 0
         for pdf in batches:
+            if both is None:
+                both = Vocabularies(a_path, b_path)
             ids = [None if pd.isna(i) else int(i) for i in pdf["doc_id"]]
             for r in zip(pdf["row"].tolist(), ids, *(pdf[c].tolist() for c in ("piece", "pieces", "a", "b", "a_before", "a_at", "b_at"))):
                 held.append(r)

@@ -1,6 +1,8 @@
+import copy
 import hashlib
 import random
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -58,6 +60,58 @@ def test_rows_equal_brute_force_whatever_the_pieces(spark, documents, both, piec
     assert sorted(map(tuple, got)) == brute(both, rows)
 
 
+class Asked:
+    """A's tokenizer, noting how many texts it is given at a time; ``crossing`` makes one
+    token too few of the first text of several."""
+
+    def __init__(self, tokenizer, crossing=False):
+        self.tokenizer, self.crossing, self.texts = tokenizer, crossing, []
+
+    def encode_batch_fast(self, texts, **kw):
+        self.texts.append(len(texts))
+        found = [x.ids for x in self.tokenizer.encode_batch_fast(texts, **kw)]
+        if self.crossing and len(self.texts) == 1:
+            found[0] = found[0][:-1]
+        return [SimpleNamespace(ids=ids) for ids in found]
+
+
+@pytest.mark.parametrize("crossing", [False, True])
+def test_chunks_are_encoded_as_one_text_and_come_out_as_one_by_one(both, crossing):
+    rnd = random.Random(11)
+    closed = sorted({"".join(rnd.choice([c for c in LETTERS if not c.isspace()]) for _ in range(rnd.randint(1, 12))) for _ in range(500)})
+    closed += ["<|endoftext|>", "<s>", "\nabc", "\n \nx", "don't", "ﬁn", "a\u0000b", "e\u0301", "\u0301e", "²."]
+    open_end = ["", "a\n", "x\u3000", "x▁", "▁"]
+    chunks = closed + open_end
+    rnd.shuffle(chunks)
+    want = []
+    for c in chunks:
+        a, b = both.a.encode(" " + c, add_special_tokens=False).ids, both.b.encode(c) if c else [both.space]
+        good = all(b"".join(t[i] for i in ids) == (" " + c).encode() for t, ids in ((both.a_bytes, a), (both.b_bytes, b)))
+        want.append([int(good), len(a), *a, *b])
+    assert {w[0] for w in want} == {0, 1}
+    vocabularies = copy.copy(both)
+    vocabularies.a = Asked(both.a, crossing)
+    flat, size = vocabularies.encode(chunks)
+    assert [x.tolist() for x in np.split(flat, np.cumsum(size)[:-1])] == want
+    assert vocabularies.a.texts == [1 + len(open_end)] + [len(chunks)] * crossing
+    for c, w in zip(chunks[:40], want):  # alone, open or closed, given back or not
+        flat, size = both.encode([c])
+        assert flat.tolist() == w and size.tolist() == [len(w)]
+
+
+def test_given_back_compares_chunk_by_chunk():
+    token, length = [b"a", b"bc", b"d"], np.array([1, 2, 1])
+    for raw, size, want in ((b"abcd", [3, 1], [True, True]), (b"abcx", [3, 1], [True, False]), (b"axcd", [3, 1], [False, True]),
+                            (b"abcd", [2, 2], [False, False]), (b"abcdd", [3, 2], [True, False]), (b"xxxx", [3, 1], [False, False])):
+        assert merge_path.given_back(np.array([0, 1, 2]), np.array([2, 1]), token, length, raw, np.array(size)).tolist() == want
+
+
+def test_tasks_without_rows_load_no_vocabulary(spark, documents):
+    docs = documents([(1, "a b"), (2, "c")])
+    missing = ("/nowhere/a.json", "/nowhere/b.model")
+    assert merge_path.align(docs.filter("doc_id > 2"), paths=missing).collect() == []
+
+
 def test_diagonals_divide_the_merge():
     rnd = np.random.default_rng(2)
     for _ in range(200):
